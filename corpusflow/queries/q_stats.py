@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import chatstats as cs
+from corpusflow.operators.reports import revenue_extremes, revenue_totals
 from corpusflow.queries.common import day, r6, t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts import CHAT, SALES, facets_sql, period
@@ -156,16 +157,6 @@ def q_mean_loss_perplexity(spark, d):
             .select("event_type", r6("m").alias("mean_loss"), r6(F.coalesce(F.exp("m"), F.lit(-1.0))).alias("perplexity")))
 
 
-def revenue_totals(s):
-    """Total, per product and per month revenue in one grouping-sets pass."""
-    s = s.withColumn("month", F.date_format("date", "yyyy-MM"))
-    g = (s.groupingSets([[], ["product_id"], ["month"]], "product_id", "month")
-         .agg(F.sum("revenue").cast("double").alias("revenue"), F.grouping_id().alias("_g")))
-    # grouping_id bits: product_id is the high bit, month the low bit (1 = rolled up)
-    level = F.when(F.col("_g") == 1, "product").when(F.col("_g") == 2, "month").otherwise("total")
-    return g.select(level.alias("level"), "product_id", "month", r6("revenue").alias("revenue"))
-
-
 @register("revenue_totals", G, sql=f"""
 WITH {SALES}
 SELECT 'total' AS level, NULL::BIGINT AS product_id, NULL::VARCHAR AS month, CAST(sum(revenue) AS DOUBLE) AS revenue FROM sales
@@ -176,18 +167,6 @@ def q_revenue_totals(spark, d):
     return revenue_totals(sales(t(spark, d, "lineitem"), t(spark, d, "part")))
 
 
-def revenue_extremes(s):
-    """Best product and best day by revenue; ties go to the smaller id / earlier day."""
-    by_p = s.groupBy("product_id").agg(F.sum("revenue").cast("double").alias("rev"))
-    by_d = s.groupBy("date").agg(F.sum("revenue").cast("double").alias("rev"))
-    bp = by_p.agg(F.max_by("product_id", F.struct("rev", -F.col("product_id"))).alias("best_product"),
-                  F.max("rev").alias("best_product_revenue"))
-    bd = by_d.agg(F.max_by("date", F.struct("rev", -F.datediff("date", F.lit("1970-01-01")))).alias("best_date"),
-                  F.max("rev").alias("best_date_revenue"))
-    return bp.crossJoin(bd).select("best_product", r6("best_product_revenue").alias("best_product_revenue"),
-                                   day("best_date").alias("best_date"), r6("best_date_revenue").alias("best_date_revenue"))
-
-
 @register("revenue_extremes", G, sql=f"""
 WITH {SALES},
 p AS (SELECT product_id, CAST(sum(revenue) AS DOUBLE) AS rev FROM sales GROUP BY 1),
