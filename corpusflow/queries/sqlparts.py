@@ -49,3 +49,14 @@ SELECT {head}, '_id', count(*) FROM {x} x GROUP BY p_at, span"""
 def dsum(x: str) -> str:
     """Exact sum of a money-like double (decimal accumulator), as double."""
     return f"CAST(sum(CAST({x} AS DECIMAL(38, 6))) AS DOUBLE)"
+
+QA = """qa AS (
+  SELECT u.conv_id, u.turn, u.text AS question, a.text AS answer
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant')"""
+
+PAIRS = """pairs AS (
+  SELECT q.conv_id, q.question, a.response_j, a.response_k
+  FROM (SELECT conv_id, arg_min(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id) q
+  JOIN (SELECT conv_id, list(text ORDER BY turn)[1] AS response_j, list(text ORDER BY turn)[2] AS response_k
+        FROM conversations WHERE role = 'assistant' GROUP BY conv_id HAVING count(*) >= 2) a USING (conv_id))"""

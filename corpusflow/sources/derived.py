@@ -50,3 +50,28 @@ def sales(lineitem: DataFrame, part: DataFrame) -> DataFrame:
             .select(F.to_date("l_shipdate").alias("date"), F.col("l_partkey").alias("product_id"),
                     F.col("p_retailprice").alias("price"), F.col("l_quantity").alias("units"),
                     (F.col("p_retailprice") * F.col("l_quantity")).cast("decimal(18,2)").alias("revenue")))
+
+
+def qa_pairs(conversations: DataFrame) -> DataFrame:
+    """User turn followed by an assistant turn of the same thread -> (conv_id, turn, question, answer).
+
+    The answer is the turn right after (``turn + 1``), found by an equi-join, not a window.
+    """
+    c = conversations
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
+    a = c.filter(F.col("role") == "assistant").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
+    return u.join(a, ["conv_id", "turn"])
+
+
+def preference_pairs(conversations: DataFrame) -> DataFrame:
+    """Per thread: question = first user turn, response_j / response_k = first / second assistant turn.
+
+    Threads with fewer than two assistant turns give no pair.
+    """
+    c = conversations
+    q = c.filter(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("question"))
+    a = (c.filter(F.col("role") == "assistant").groupBy("conv_id")
+         .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("_a"))
+         .filter(F.size("_a") >= 2)
+         .select("conv_id", F.col("_a")[0]["text"].alias("response_j"), F.col("_a")[1]["text"].alias("response_k")))
+    return q.join(a, "conv_id")
