@@ -60,3 +60,20 @@ PAIRS = """pairs AS (
   FROM (SELECT conv_id, arg_min(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id) q
   JOIN (SELECT conv_id, list(text ORDER BY turn)[1] AS response_j, list(text ORDER BY turn)[2] AS response_k
         FROM conversations WHERE role = 'assistant' GROUP BY conv_id HAVING count(*) >= 2) a USING (conv_id))"""
+
+
+def lit(s: str) -> str:
+    """Python string -> DuckDB string literal (newlines through chr(10))."""
+    parts = s.replace("'", "''").split("\n")
+    return "(" + " || chr(10) || ".join(f"'{p}'" for p in parts) + ")"
+
+
+SP = "[\\t\\n\\x0B\\f\\r ]"
+
+
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{SP}+|{SP}+$', '', 'g')"
+
+
+THREADS = """th AS (SELECT conv_id, list({'turn': turn, 'role': role, 'text': text} ORDER BY turn) AS m
+             FROM conversations GROUP BY conv_id)"""
