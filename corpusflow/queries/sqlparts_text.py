@@ -8,7 +8,7 @@ def tokens(x: str) -> str:
 
 
 def words(x: str) -> str:
-    return f"list_filter(regexp_split_to_array({x}, '{WORD_SPLIT}'), w -> w <> '')"
+    return f"list_filter(regexp_split_to_array({x}, '{WORD_SPLIT}'), lambda w: w <> '')"
 
 
 def unit(seed, key: str) -> str:
