@@ -53,7 +53,7 @@ def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
     grp = ["_part", *within]
     counts = ck.groupBy(*grp).agg(F.sum(wcol).alias("_cnt"))
     wo = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*grp, F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).cast("bigint").alias("_off"))
+    offsets = counts.select(*grp, F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).cast("bigint").alias("_poff"))
     # running sum inside a partition: rows of one partition are already in order
     wl = Window.partitionBy(*grp).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum(wcol).over(wl), F.lit(0)).cast("bigint")
@@ -64,10 +64,10 @@ def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
         else:
             local = F.col("_pos").cast("bigint")
     out = ck.withColumn("_local", local).join(F.broadcast(offsets), grp)
-    out = out.withColumn(name, F.col("_off") + F.col("_local"))
+    out = out.withColumn(name, F.col("_poff") + F.col("_local"))
     if weight is not None:
         out = out.withColumn(f"{name}_end", F.col(name) + F.col("_w").cast("bigint")).drop("_w")
-    return out.drop("_part", "_pos", "_local", "_off")
+    return out.drop("_part", "_pos", "_local", "_poff")
 
 
 def total_rows(df: DataFrame, name: str = "_total") -> DataFrame:
