@@ -82,14 +82,19 @@ def remove_everywhere(entities: DataFrame, holders: DataFrame, removed: DataFram
     return kept, stripped.unionByName(empty).unionByName(all_gone)
 
 
-def response_pairs(df: DataFrame, group: str, pos: str, cols: Sequence[str]) -> DataFrame:
-    """All unordered pairs within a group (a.pos < b.pos) by a self equi-join on the group key.
+def adjacent_pairs(df: DataFrame, group: str, pos: str, cols: Sequence[str]) -> DataFrame:
+    """Preference pairs of consecutive ranks inside a group: (rank i, rank i + 1).
 
-    Output is quadratic in the group size by definition; groups are answers of one prompt.
+    This is the linear form of the reference's all-pairs expansion: the same total order
+    in n - 1 rows instead of n(n-1)/2, built with ``lead`` over the group (no self-join).
     """
-    a = df.select(F.col(group), F.col(pos).alias("pos_a"), *[F.col(c).alias(f"{c}_a") for c in cols])
-    b = df.select(F.col(group), F.col(pos).alias("pos_b"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    return a.join(b, group).filter(F.col("pos_a") < F.col("pos_b"))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(group).orderBy(pos)
+    nxt = [F.lead(F.col(c)).over(w).alias(f"{c}_b") for c in cols]
+    out = df.select(F.col(group), F.col(pos).alias("pos_a"), F.lead(F.col(pos)).over(w).alias("pos_b"),
+                    *[F.col(c).alias(f"{c}_a") for c in cols], *nxt)
+    return out.filter(F.col("pos_b").isNotNull())
 
 
 def guard_rows(small: DataFrame, max_rows: int, what: str = "broadcast side") -> DataFrame:
@@ -105,6 +110,6 @@ def guard_rows(small: DataFrame, max_rows: int, what: str = "broadcast side") ->
             .drop("_guard_n"))
 
 
-def guarded_cross_join(small: DataFrame, big: DataFrame, max_small_rows: int) -> DataFrame:
-    """Cross product with the small side broadcast; fails instead of broadcasting past the bound."""
-    return big.crossJoin(F.broadcast(guard_rows(small, max_small_rows, "cross join side")))
+def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (a scalar result) to every row; fails if it holds more rows."""
+    return df.crossJoin(F.broadcast(guard_rows(one_row, 1, "scalar side")))

@@ -18,22 +18,32 @@ from pyspark.sql import functions as F
 from corpusflow.functions.vectors import dot, sq_l2
 from corpusflow.operators.joins import guard_rows
 
-MAX_QUERIES = 100_000
+MAX_QUERIES = 10_000  # query vectors held in one broadcast row
 
 
-def score_pairs(queries: DataFrame, corpus: DataFrame, metric: str = "dot", qvec: str = "qv", cvec: str = "cv") -> DataFrame:
-    """Query x corpus scores with the query side broadcast (guarded)."""
-    q = F.broadcast(guard_rows(queries, MAX_QUERIES, "query set"))
-    x = corpus.crossJoin(q)
+def score_pairs(queries: DataFrame, corpus: DataFrame, metric: str = "dot", qvec: str = "qv", cvec: str = "cv",
+                qid: str = "query_id") -> DataFrame:
+    """Score every corpus row against the query set.
+
+    The query set is folded into one array row (its size is guarded), attached to each
+    corpus row as a broadcast scalar, and scored with array expressions inside the row:
+    the corpus is read once, in place, and never joined with itself or shuffled.
+    """
+    qcols = [c for c in queries.columns if c != qvec]
+    qarr = guard_rows(queries, MAX_QUERIES, "query set").agg(
+        F.collect_list(F.struct(*[F.col(c) for c in qcols], F.col(qvec).alias("_qv"))).alias("_qs"))
+    x = corpus.crossJoin(F.broadcast(qarr))
     if metric == "dot":
-        s = dot(qvec, cvec)
+        fn = lambda q: dot(q["_qv"], cvec)
     elif metric == "ip_distance":
-        s = F.lit(1.0) - dot(qvec, cvec)
+        fn = lambda q: F.lit(1.0) - dot(q["_qv"], cvec)
     elif metric == "l2":
-        s = sq_l2(qvec, cvec)
+        fn = lambda q: sq_l2(q["_qv"], cvec)
     else:
         raise ValueError(metric)
-    return x.withColumn("score", s)
+    scored = x.select(*corpus.columns, F.explode(F.transform("_qs", lambda q: F.struct(q.alias("_q"), fn(q).alias("_s")))).alias("_e"))
+    return scored.select(*corpus.columns, *[F.col("_e._q")[c].alias(c) for c in qcols],
+                         F.col("_e._q._qv").alias(qvec), F.col("_e._s").alias("score"))
 
 
 def _ascending(metric: str) -> bool:
@@ -46,7 +56,7 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "dot", qid:
     if where:
         for c, v in where.items():
             corpus = corpus.filter(F.col(c) == v)
-    scored = score_pairs(queries, corpus, metric)
+    scored = score_pairs(queries, corpus, metric, qid=qid)
     order = F.col("score").asc() if _ascending(metric) else F.col("score").desc()
     w = Window.partitionBy(qid).orderBy(order, F.col(cid))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
@@ -104,10 +114,15 @@ def hyperplanes(spark, dim: int, n_planes: int, n_tables: int, seed: int) -> Dat
 
 
 def lsh_buckets(df: DataFrame, vec: str, planes: DataFrame, key: str) -> DataFrame:
-    """(key, tbl, bucket): sign bits of dot products with each table's planes."""
-    x = df.select(key, vec).crossJoin(F.broadcast(planes))
-    bits = x.select(key, "tbl", "plane", (dot(vec, "h") >= 0).cast("int").alias("bit"))
-    return bits.groupBy(key, "tbl").agg(F.sum(F.expr("shiftleft(bit, plane)")).alias("bucket"))
+    """(key, tbl, bucket): sign bits of dot products with each table's planes.
+
+    The planes (tables x planes x dim floats, fixed by parameters) ride along as one array row.
+    """
+    parr = planes.agg(F.collect_list(F.struct("tbl", "plane", "h")).alias("_pl"))
+    x = df.select(key, vec).crossJoin(F.broadcast(guard_rows(parr, 1, "plane set")))
+    bits = x.select(key, F.explode(F.transform("_pl", lambda p: F.struct(p["tbl"].alias("tbl"), p["plane"].alias("plane"),
+                                                                         (dot(vec, p["h"]) >= 0).cast("int").alias("bit")))).alias("b"))
+    return bits.groupBy(key, F.col("b.tbl").alias("tbl")).agg(F.sum(F.expr("shiftleft(b.bit, b.plane)")).alias("bucket"))
 
 
 def ann(queries: DataFrame, corpus: DataFrame, k: int, planes: DataFrame, qid: str = "query_id", cid: str = "item_id") -> DataFrame:

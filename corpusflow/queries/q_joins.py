@@ -92,29 +92,32 @@ def q_cascade_remove(spark, d):
 
 
 @register("self_join_pairs", G, sql="""
-WITH a AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rank
-           FROM conversations WHERE role = 'assistant')
-SELECT x.conv_id, x.turn AS turn_a, y.turn AS turn_b, x.turn AS chosen_turn, y.turn AS rejected_turn
-FROM a x JOIN a y ON x.conv_id = y.conv_id AND x.rank < y.rank
+WITH a AS (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS nxt FROM conversations WHERE role = 'assistant')
+SELECT conv_id, turn AS chosen_turn, nxt AS rejected_turn FROM a WHERE nxt IS NOT NULL
 """)
 def q_self_join_pairs(spark, d):
+    # consecutive ranks only (n - 1 pairs per prompt): the order is the same, no quadratic expansion
     a = t(spark, d, "conversations").filter(F.col("role") == "assistant").select("conv_id", "turn")
-    p = J.response_pairs(a.withColumn("turn_c", F.col("turn")), "conv_id", "turn", ["turn_c"])
-    return p.select("conv_id", F.col("pos_a").alias("turn_a"), F.col("pos_b").alias("turn_b"),
-                    F.col("pos_a").alias("chosen_turn"), F.col("pos_b").alias("rejected_turn"))
+    p = J.adjacent_pairs(a, "conv_id", "turn", [])
+    return p.select("conv_id", F.col("pos_a").alias("chosen_turn"), F.col("pos_b").alias("rejected_turn"))
 
 
 @register("cross_join_product", G, sql="""
-SELECT q.vec_id AS query_id, c.vec_id AS item_id, round(list_dot_product(CAST(q.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])), 5) AS dot
-FROM embeddings q, embeddings c WHERE q.vec_id < 10 AND c.vec_id >= 10
+WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 10),
+c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 10),
+s AS (SELECT q.vec_id AS query_id, list_dot_product(q.v, c.v) AS dot FROM q, c)
+SELECT query_id, count(*) FILTER (WHERE dot > 0) AS n_positive, round(max(dot), 5) AS max_dot FROM s GROUP BY query_id
 """)
 def q_cross_join(spark, d):
+    # the product is scored inside each corpus row against the bounded, broadcast query set
+    # and reduced per query: no pair list is materialised
+    from corpusflow.operators.retrieval import score_pairs
+
     e = t(spark, d, "embeddings")
     q = e.filter(F.col("vec_id") < 10).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
     c = e.filter(F.col("vec_id") >= 10).select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"))
-    x = J.guarded_cross_join(q, c, max_small_rows=10_000)
-    dot = F.aggregate(F.zip_with("qv", "cv", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda acc, v: acc + v)
-    return x.select("query_id", "item_id", F.round(dot, 5).alias("dot"))
+    s = score_pairs(q, c, "dot")
+    return s.groupBy("query_id").agg(F.count(F.when(F.col("score") > 0, 1)).alias("n_positive"), F.round(F.max("score"), 5).alias("max_dot"))
 
 
 @register("multi_table_join", G, sql="""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusflow.operators import prompts as P
-from corpusflow.operators.joins import guarded_cross_join
+from corpusflow.operators.joins import attach_scalar
 from corpusflow.queries.common import t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts import PAIRS, QA, THREADS, lit, strip
@@ -97,7 +97,7 @@ def q_few_shot(spark, d):
     shots = (qa.orderBy("conv_id", "turn").limit(SHOTS)
              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "question", "answer"))),
                                            lambda x: F.concat(F.lit("Question: "), x["question"], F.lit("\nAnswer: "), x["answer"], F.lit("\n###\n"))), "").alias("s")))
-    return guarded_cross_join(shots, qa, 1).select("conv_id", "turn", F.concat("s", F.lit("Question: "), "question", F.lit("\nAnswer:")).alias("prompt"))
+    return attach_scalar(qa, shots).select("conv_id", "turn", F.concat("s", F.lit("Question: "), "question", F.lit("\nAnswer:")).alias("prompt"))
 
 
 _FOLD = f"""f AS (SELECT conv_id, CASE WHEN len(m) >= 2 AND m[1].role = 'system'
@@ -249,22 +249,33 @@ SELECT p_partkey, r AS rep,
 FROM part, range({REPEATS}) t(r)
 """)
 def q_captions(spark, d):
+    # each item is repeated a fixed number of times (a bounded fan-out, not a join)
     part = t(spark, d, "part").select("p_partkey", "p_name")
-    reps = spark.range(REPEATS).select(F.col("id").alias("rep"))
-    x = guarded_cross_join(reps, part, REPEATS)
+    x = part.select("*", F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))).alias("rep")).withColumn("rep", F.col("rep").cast("bigint"))
     key = F.concat_ws("-", F.col("p_partkey").cast("string"), F.col("rep").cast("string"))
     return x.select("p_partkey", "rep", F.replace(P.pick_template(CAPTIONS, key), F.lit("{}"), F.col("p_name")).alias("caption"))
 
 
-@register("prompt_grammar", G, sql="""
-WITH n AS (SELECT DISTINCT p_name AS noun FROM part), a AS (SELECT DISTINCT lower(p_type) AS activity FROM part)
-SELECT CASE WHEN lower(noun[1]) IN ('a', 'e', 'i', 'o', 'u') THEN 'an' ELSE 'a' END || ' ' || noun || ' ' || activity AS prompt, noun, activity
-FROM n, a
+ACTIVITIES = ["riding a bike", "playing chess", "washing the dishes", "reading a book", "flying a kite", "baking bread"]
+NUMBER_WORDS = ["one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten"]
+
+
+@register("prompt_grammar", G, sql=f"""
+WITH n AS (SELECT DISTINCT p_name AS noun FROM part)
+SELECT noun, list_extract([{', '.join(repr(a) for a in ACTIVITIES)}], CAST(('0x' || substr(md5('21|' || noun), 1, 8)) AS BIGINT) % {len(ACTIVITIES)} + 1) AS activity,
+  CASE WHEN lower(noun[1]) IN ('a', 'e', 'i', 'o', 'u') THEN 'an' ELSE 'a' END || ' ' || noun || ' ' ||
+  list_extract([{', '.join(repr(a) for a in ACTIVITIES)}], CAST(('0x' || substr(md5('21|' || noun), 1, 8)) AS BIGINT) % {len(ACTIVITIES)} + 1) AS prompt,
+  list_extract([{', '.join(repr(w) for w in NUMBER_WORDS)}], CAST(('0x' || substr(md5('22|' || noun), 1, 8)) AS BIGINT) % 10 + 1) || ' ' || noun AS counting_prompt
+FROM n
 """)
 def q_grammar(spark, d):
-    part = t(spark, d, "part")
-    nouns = part.select(F.col("p_name").alias("noun")).distinct()
-    acts = part.select(F.lower("p_type").alias("activity")).distinct()
-    # both sides are vocabularies; the activity side is guarded before it is broadcast
-    x = guarded_cross_join(acts, nouns, 10_000)
-    return x.select(F.concat_ws(" ", P.article(F.col("noun")), "noun", "activity").alias("prompt"), "noun", "activity")
+    from corpusflow.functions.text import seeded_int
+
+    nouns = t(spark, d, "part").select(F.col("p_name").alias("noun")).distinct()
+    # one activity per noun by a seeded hash (the grammar's random choice), not a noun x activity product
+    acts = F.array(*[F.lit(a) for a in ACTIVITIES])
+    nums = F.array(*[F.lit(w) for w in NUMBER_WORDS])
+    act = F.element_at(acts, (F.pmod(seeded_int(21, F.col("noun")), F.lit(len(ACTIVITIES))) + 1).cast("int"))
+    num = F.element_at(nums, (F.pmod(seeded_int(22, F.col("noun")), F.lit(10)) + 1).cast("int"))
+    return nouns.select("noun", act.alias("activity"), F.concat_ws(" ", P.article(F.col("noun")), "noun", act).alias("prompt"),
+                        F.concat_ws(" ", num, "noun").alias("counting_prompt"))
