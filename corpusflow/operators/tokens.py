@@ -10,8 +10,6 @@ two-pass prefix sum of ``plans.dense_index``; each document is cut only into the
 chunk pieces it touches, and pieces are regrouped by chunk id.
 """
 
-from __future__ import annotations
-
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,8 +61,10 @@ def tokenize_with(df: DataFrame, col: str, fn: Callable, out: str = "input_ids")
     """Plug-in tokenizer: ``fn(list[str]) -> list[list[int]]`` run per Arrow batch (iterator pandas_udf)."""
     import pandas as pd
 
+    from collections.abc import Iterator
+
     @F.pandas_udf("array<int>")
-    def run(it):
+    def run(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in it:
             yield pd.Series(fn(s.tolist()))
 
