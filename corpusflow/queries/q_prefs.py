@@ -277,3 +277,18 @@ SELECT '{{"metrics":{{"rouge1":{{"value":' || CAST(round(avg(rouge1), 4) AS VARC
 def q_report(spark, d):
     s = _model_scores(spark, d).filter(F.col("model") == "model_a").agg(F.round(F.avg("rouge1"), 4).alias("value"))
     return s.select(F.to_json(F.struct(F.struct(F.struct("value").alias("rouge1")).alias("metrics"))).alias("report"))
+
+
+@register("group_collect_arrays", "J", sql=f"""
+WITH {RANKED_SQL}, q AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY conv_id)
+SELECT conv_id, prompt, string_agg(text, ' ||| ' ORDER BY ranking) AS responses, string_agg(CAST(ranking AS VARCHAR), ',' ORDER BY ranking) AS rankings
+FROM ranked JOIN q USING (conv_id) GROUP BY conv_id, prompt
+""")
+def q_collect_arrays(spark, d):
+    # responses and rankings collected as arrays of structs, in matching order (no comma join / split round trip)
+    r = _ranked(spark, d)
+    q = t(spark, d, "conversations").filter(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("prompt"))
+    g = r.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("ranking", "text"))).alias("items"))
+    j = g.join(q, "conv_id")
+    return j.select("conv_id", "prompt", F.array_join(F.transform("items", lambda x: x["text"]), " ||| ").alias("responses"),
+                    F.array_join(F.transform("items", lambda x: x["ranking"].cast("string")), ",").alias("rankings"))
