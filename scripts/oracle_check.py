@@ -6,7 +6,6 @@ Compares row count, column names and the sorted rows (floats rounded to 6 places
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 import traceback
@@ -16,30 +15,13 @@ import duckdb
 sys.path.insert(0, ".")
 from corpusflow.queries.registry import load_all  # noqa: E402
 from corpusflow.session import build_session  # noqa: E402
+from corpusflow.testing import sorted_rows  # noqa: E402
 from corpusflow.sources.tables import TABLES  # noqa: E402
 
 
-def _norm(v):
-    if v is None:
-        return "<null>"
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "nan"
-        return f"{round(v, 6):.6f}".rstrip("0").rstrip(".").replace("-0", "0") if abs(v) < 1e15 else f"{v:.6e}"
-    if hasattr(v, "tolist"):
-        v = v.tolist()
-    if isinstance(v, (list, tuple)):
-        return "[" + ",".join(_norm(x) for x in v) + "]"
-    if isinstance(v, dict):
-        return "{" + ",".join(f"{k}:{_norm(x)}" for k, x in sorted(v.items())) + "}"
-    if isinstance(v, bool):
-        return str(int(v))
-    return str(v)
-
-
 def rows_of(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted(tuple(_norm(r[i]) for i in order) for r in rows), [cols[i] for i in order]
+    c, r = sorted_rows(cols, rows)
+    return r, c
 
 
 def main():
