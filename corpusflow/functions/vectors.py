@@ -1,7 +1,5 @@
 """Vector math as array expressions (JVM side, no Python), and a hashing-trick embedder."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,18 +31,32 @@ def token_bucket(tok: Column, dim: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(tok), 1, 8), 16, 10).cast("bigint"), F.lit(dim))
 
 
+def _bucket_vectors(dim: int):
+    import hashlib
+
+    import numpy as np
+    import pandas as pd
+
+    def embed(tok_lists: pd.Series) -> pd.Series:
+        out = []
+        for toks in tok_lists:
+            counts = np.zeros(dim)
+            for tk in toks:
+                counts[int(hashlib.md5(tk.encode("utf-8")).hexdigest()[:8], 16) % dim] += 1.0
+            n = float(np.sqrt(sum(float(v) * float(v) for v in counts)))
+            out.append(counts / n if n > 0 else counts)
+        return pd.Series(out)
+
+    return F.pandas_udf(embed, "array<double>")
+
+
 def with_hash_embedding(df: DataFrame, text: Column | str, out: str, dim: int = 32) -> DataFrame:
     """Deterministic default embedder: lower-cased tokens hashed (md5) into ``dim`` buckets, L2-normalised.
 
-    Computed inside each row (no explode, no shuffle).  Each stage is its own projection:
-    a value used inside a lambda would otherwise be recomputed for every element.
+    Tokens are cut in the JVM; the per-row bucket histogram runs in an Arrow-batched pandas UDF
+    (a small helper: md5 + bincount per row), no shuffle.  Same rule as the SQL form in the oracle.
     """
-    buckets = F.transform(tokens(F.lower(col_(text))), lambda tk: token_bucket(tk, dim))
-    # one pass over the tokens: each token bumps its bucket (the bucket array is referenced once)
-    counts = F.aggregate(buckets, F.array_repeat(F.lit(0.0), dim),
-                         lambda acc, b: F.transform(acc, lambda v, i: F.when(i == b, v + 1.0).otherwise(v)))
-    c = df.withColumn("_hc", counts)
-    return with_normalized(c, "_hc", out).drop("_hc")
+    return df.withColumn(out, _bucket_vectors(dim)(tokens(F.lower(col_(text)))))
 
 
 def with_normalized(df: DataFrame, vec: str, out: str) -> DataFrame:

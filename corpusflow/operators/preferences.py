@@ -64,23 +64,35 @@ def ngrams(toks: Column, n: int) -> Column:
     return F.transform(F.filter(z, lambda e: e[f"t{n - 1}"].isNotNull()), lambda e: F.concat_ws(" ", *[e[f"t{k}"] for k in range(n)]))
 
 
-def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
-    """Per row ROUGE-n precision / recall / F1 from multiset n-gram overlap.
+def _tagger(n: int, side: str):
+    return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("s"), g.alias("g"))
+
+
+def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
+    """Per row ROUGE-n precision / recall / F1 for every n in ``ns`` from multiset n-gram overlap.
 
-    N-grams are exploded with counts per side and joined on (key, gram); overlap = sum(min).
-    No per-row quadratic work and no cross product.
+    Tokens are computed once; the n-grams of both sides and all n are exploded in one pass, tagged
+    with their side, and counted per (row, n, gram); overlap = sum of the smaller count.  A marker
+    element per (row, n) keeps rows without n-grams.  No per-row quadratic work, no cross product.
     """
     toks = df.select(key, rouge_tokens(pred).alias("_pt"), rouge_tokens(ref).alias("_rt"))
-    base = toks.select(key, ngrams(F.col("_pt"), n).alias("pg"), ngrams(F.col("_rt"), n).alias("rg"))
-    totals = base.select(key, F.size("pg").alias("np"), F.size("rg").alias("nr"))
-    pc = base.select(key, F.explode("pg").alias("g")).groupBy(key, "g").agg(F.count(F.lit(1)).alias("cp"))
-    rc = base.select(key, F.explode("rg").alias("g")).groupBy(key, "g").agg(F.count(F.lit(1)).alias("cr"))
-    ov = pc.join(rc, [key, "g"]).groupBy(key).agg(F.sum(F.least("cp", "cr")).alias("ov"))
-    j = totals.join(ov, key, "left").fillna(0, ["ov"])
+    parts = []
+    for n in ns:
+        for side, col in (("p", "_pt"), ("r", "_rt")):
+            parts.append(F.transform(ngrams(F.col(col), n), _tagger(n, side)))
+        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit("x").alias("s"), F.lit(None).cast("string").alias("g"))))
+    ex = toks.select(key, F.explode(F.concat(*parts)).alias("e")).select(key, "e.n", "e.s", "e.g")
+    per_gram = ex.groupBy(key, "n", "g").agg(F.count(F.when(F.col("s") == "p", 1)).alias("cp"), F.count(F.when(F.col("s") == "r", 1)).alias("cr"))
+    per_row = per_gram.groupBy(key, "n").agg(F.sum(F.least("cp", "cr")).alias("ov"), F.sum("cp").alias("np"), F.sum("cr").alias("nr"))
     p = F.when(F.col("np") > 0, F.col("ov") / F.col("np")).otherwise(F.lit(0.0))
     r = F.when(F.col("nr") > 0, F.col("ov") / F.col("nr")).otherwise(F.lit(0.0))
     f = F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return j.select(key, p.alias("precision"), r.alias("recall"), f.alias("f1"))
+    return per_row.select(key, "n", p.alias("precision"), r.alias("recall"), f.alias("f1"))
+
+
+def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
+    """ROUGE-n for one n: (key, precision, recall, f1)."""
+    return rouge_scores(df, key, pred, ref, (n,)).drop("n")
 
 
 def lcs_length(a: list, b: list) -> int:

@@ -41,9 +41,10 @@ def score_pairs(queries: DataFrame, corpus: DataFrame, metric: str = "dot", qvec
         fn = lambda q: sq_l2(q["_qv"], cvec)
     else:
         raise ValueError(metric)
-    scored = x.select(*corpus.columns, F.explode(F.transform("_qs", lambda q: F.struct(q.alias("_q"), fn(q).alias("_s")))).alias("_e"))
-    return scored.select(*corpus.columns, *[F.col("_e._q")[c].alias(c) for c in qcols],
-                         F.col("_e._q._qv").alias(qvec), F.col("_e._s").alias("score"))
+    keep = [c for c in corpus.columns if c != cvec]
+    scored = x.select(*keep, F.explode(F.transform("_qs", lambda q: F.struct(*[q[c].alias(c) for c in qcols], fn(q).alias("_s")))).alias("_e"))
+    # query vectors and corpus vectors are dropped once scored: only ids, metadata and the score move on
+    return scored.select(*keep, *[F.col("_e")[c].alias(c) for c in qcols], F.col("_e._s").alias("score"))
 
 
 def _ascending(metric: str) -> bool:
@@ -73,6 +74,11 @@ def knn_post(queries: DataFrame, corpus: DataFrame, k: int, fetch_k: int, where:
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def attach_vectors(hits: DataFrame, queries: DataFrame, corpus: DataFrame, qid: str = "query_id", cid: str = "item_id") -> DataFrame:
+    """Bring the vectors back to the (bounded) top hits: both joins are on ids of k rows per query."""
+    return hits.join(queries.select(qid, "qv"), qid).join(corpus.select(cid, "cv"), cid)
+
+
 def mmr(candidates: DataFrame, k: int, lam: float = 0.5, qid: str = "query_id", cid: str = "item_id",
         qvec: str = "qv", cvec: str = "cv") -> DataFrame:
     """Maximal marginal relevance over each query's ``fetch_k`` candidates (bounded group) in ``applyInPandas``."""

@@ -167,8 +167,9 @@ FROM r1_f JOIN r2_f USING (doc_id)
 """)
 def q_rouge_n(spark, d):
     o = _outputs(spark, d)
-    r1 = P.rouge_n(o, "doc_id", "pred_a", "ref", 1)
-    r2 = P.rouge_n(o, "doc_id", "pred_a", "ref", 2).select("doc_id", F.col("f1").alias("f2"))
+    sc = P.rouge_scores(o, "doc_id", "pred_a", "ref", (1, 2))
+    r1 = sc.filter(F.col("n") == 1).drop("n")
+    r2 = sc.filter(F.col("n") == 2).select("doc_id", F.col("f1").alias("f2"))
     return r1.join(r2, "doc_id").select("doc_id", r6("precision").alias("rouge1_precision"), r6("recall").alias("rouge1_recall"),
                                         r6("f1").alias("rouge1_f1"), r6("f2").alias("rouge2_f1"))
 

@@ -139,7 +139,7 @@ def q_cosine(spark, d):
 @register("mmr_search", G)
 def q_mmr(spark, d):
     q, c = _qc(spark, d)
-    cand = H.knn(q, c, 20, "dot")
+    cand = H.attach_vectors(H.knn(q, c, 20, "dot"), q, c)
     return H.mmr(cand, 5, 0.5)
 
 
@@ -196,8 +196,14 @@ def q_store(spark, d):
 
 
 def _doc_vectors(spark, d):
+    # ids and vectors only: texts are joined back after the top-k, never carried through the scoring
     docs = t(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return with_hash_embedding(docs, "text", "cv", DIM)
+    return with_hash_embedding(docs, "text", "cv", DIM).drop("text")
+
+
+def _with_text(spark, d, hits):
+    docs = t(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
+    return hits.select("query_id", "item_id", "rank").join(docs, "item_id")
 
 
 def _bench_vectors(spark, d):
@@ -217,10 +223,11 @@ SELECT query_id, string_agg(CAST(h.item_id AS VARCHAR), ',' ORDER BY rank) AS so
 FROM h JOIN documents d ON d.doc_id = h.item_id JOIN benchmark b ON b.item_id = h.query_id GROUP BY query_id, b.text
 """)
 def q_rqa(spark, d):
-    hits = H.knn(_bench_vectors(spark, d), _doc_vectors(spark, d), 5, "dot")
+    bench = _bench_vectors(spark, d)
+    hits = _with_text(spark, d, H.knn(bench.drop("question"), _doc_vectors(spark, d), 5, "dot"))
     p = H.stuff_prompt(hits, "query_id", "rank", "text", RAG_TEMPLATE)
     src = hits.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "item_id"))), lambda x: x["item_id"].cast("string")), ",").alias("sources"))
-    qs = hits.select("query_id", "question").distinct()
+    qs = bench.select("query_id", "question")
     return p.join(src, "query_id").join(qs, "query_id").select("query_id", "sources", F.replace("prompt", F.lit("{question}"), F.col("question")).alias("prompt"))
 
 
@@ -230,7 +237,7 @@ SELECT query_id, replace({"'" + RAG_TEMPLATE.replace(chr(10), "' || chr(10) || '
 FROM h JOIN documents d ON d.doc_id = h.item_id GROUP BY query_id
 """)
 def q_rag_prompt(spark, d):
-    hits = H.knn(_bench_vectors(spark, d), _doc_vectors(spark, d), 5, "dot")
+    hits = _with_text(spark, d, H.knn(_bench_vectors(spark, d).drop("question"), _doc_vectors(spark, d), 5, "dot"))
     return H.stuff_prompt(hits, "query_id", "rank", "text", RAG_TEMPLATE).select("query_id", "prompt")
 
 
@@ -245,7 +252,7 @@ SELECT query_id, h.doc_id, rank, CAST(s.pos AS BIGINT) AS pos FROM h JOIN docume
 def q_summary_index(spark, d):
     docs = t(spark, d, "documents")
     summ = with_hash_embedding(docs.select(F.col("doc_id").alias("item_id"), H.lead_sentence("text").alias("summary")), "summary", "cv", DIM).drop("summary")
-    hits = H.knn(_bench_vectors(spark, d), summ, 2, "dot").select("query_id", F.col("item_id").alias("doc_id"), "rank")
+    hits = H.knn(_bench_vectors(spark, d).drop("question"), summ, 2, "dot").select("query_id", F.col("item_id").alias("doc_id"), "rank")
     chunks = chunk_fixed(docs.select("doc_id", "text"), "text", 1000).select("doc_id", "pos")
     return hits.join(chunks, "doc_id").select("query_id", "doc_id", F.col("rank").cast("bigint").alias("rank"), F.col("pos").cast("bigint").alias("pos"))
 

@@ -12,9 +12,25 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 _TIME_COLUMNS = {"events": ["ts"], "orders": ["o_orderdate"], "lineitem": ["l_shipdate"]}
 
 
+# tables whose rows carry whole texts: per-row work (regex, tokenising, UDFs) dominates
+_TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+
+    A single-row-group file is one scan task; per-row text work would then run on one core.
+    On real inputs (many files / row groups) the scan is already wide and this is a no-op.
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, zoned: bool = False) -> DataFrame:
     """Read one table. ``zoned=True`` casts NTZ time columns to TIMESTAMP (needed by watermarks)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in _TEXT_TABLES:
+        df = spread(df)
     if zoned:
         for c in _TIME_COLUMNS.get(name, []):
             df = df.withColumn(c, F.col(c).cast("timestamp"))

@@ -82,7 +82,7 @@ def _qc(spark, sf):
 
 def test_mmr_first_pick_is_nearest_and_no_repeats(spark, sf):
     q, c = _qc(spark, sf)
-    cand = H.knn(q, c, 10, "dot")
+    cand = H.attach_vectors(H.knn(q, c, 10, "dot"), q, c)
     m = H.mmr(cand, 4, 0.5).collect()
     first = {r.query_id: r.item_id for r in m if r.rank == 1}
     best = {r.query_id: r.item_id for r in cand.filter(F.col("rank") == 1).collect()}
