@@ -143,11 +143,15 @@ def random_crop(ids: Column, n: int, seed: int, key: Column) -> tuple[Column, Co
     return start, F.slice(ids, (start + 1).cast("int"), n)
 
 
+def _field(name: str):
+    return lambda r: r[name]
+
+
 def collate(df: DataFrame, order: list[str], n: int, cols: list[str], drop_last: bool = False) -> DataFrame:
     """Rows to batches of n (column lists), by dense index div n."""
     ix = with_index(df, order, "_i").withColumn("batch", F.floor(F.col("_i") / n))
     b = ix.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("_i", *cols))).alias("_rows"))
-    b = b.select("batch", *[F.transform("_rows", lambda r, c=c: r[c]).alias(c) for c in cols])
+    b = b.select("batch", *[F.transform("_rows", _field(c)).alias(c) for c in cols])
     if drop_last:
         b = b.filter(F.size(cols[0]) == n)
     return b

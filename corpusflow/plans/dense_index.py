@@ -6,7 +6,8 @@ Plan (two passes):
      so a lost executor recomputes nothing inconsistent;
   3. one tiny aggregate per partition (row count, or sum of a length column);
   4. cumulative offsets over that table (one row per partition) broadcast back;
-  5. index = partition offset + position inside the partition.
+  5. index = partition offset + position inside the partition (running sums inside a partition
+     come from a sequential pass over the already-ordered partition: no extra shuffle).
 
 Optional ``within``: the index restarts for each value of those columns (index
 counted inside each split).  A hot value just spans many range partitions, so a
@@ -36,6 +37,42 @@ def _sorted_checkpoint(df: DataFrame, keys: list, partitions: int | None) -> Dat
                      mono.bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))
 
 
+def _local_offsets(ck: DataFrame, within: list[str], weighted: bool) -> DataFrame:
+    """Exclusive running count / weight sum of each row inside its partition (and split), in partition order.
+
+    Per-partition sequential logic over data that is already in order: an Arrow ``mapInPandas``
+    pass, which keeps the partitioning (no shuffle), carrying the running totals across batches.
+    """
+    import pandas as pd
+
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType(ck.schema.fields + [StructField("_local", LongType(), False)])
+
+    def run(batches):
+        run_tot: dict = {}
+        for pdf in batches:
+            w = pdf["_w"].fillna(0).astype("int64") if weighted else pd.Series(1, index=pdf.index, dtype="int64")
+            keys = [pdf[c] for c in within] if within else None
+            if keys is None:
+                base = run_tot.get((), 0)
+                cs = w.cumsum()
+                pdf["_local"] = (base + cs - w).astype("int64")
+                run_tot[()] = base + int(w.sum())
+            else:
+                g = pd.DataFrame({f"k{i}": k for i, k in enumerate(keys)})
+                gk = list(g.columns)
+                cs = w.groupby([g[c] for c in gk], dropna=False).cumsum()
+                tuples = list(g.itertuples(index=False, name=None))
+                base = pd.Series([run_tot.get(t, 0) for t in tuples], index=pdf.index, dtype="int64")
+                pdf["_local"] = (base + cs - w).astype("int64")
+                for t, tot in zip(tuples, (base + cs).tolist()):
+                    run_tot[t] = tot
+            yield pdf
+
+    return ck.mapInPandas(run, schema)
+
+
 def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
                within: Sequence[str] = (), weight: Column | str | None = None,
                partitions: int | None = None) -> DataFrame:
@@ -54,16 +91,11 @@ def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
     counts = ck.groupBy(*grp).agg(F.sum(wcol).alias("_cnt"))
     wo = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*grp, F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).cast("bigint").alias("_poff"))
-    # running sum inside a partition: rows of one partition are already in order
-    wl = Window.partitionBy(*grp).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
-    local = F.coalesce(F.sum(wcol).over(wl), F.lit(0)).cast("bigint")
-    if weight is None:
-        # position among rows of the same split inside this partition
-        if within:
-            local = (F.row_number().over(Window.partitionBy(*grp).orderBy("_pos")) - 1).cast("bigint")
-        else:
-            local = F.col("_pos").cast("bigint")
-    out = ck.withColumn("_local", local).join(F.broadcast(offsets), grp)
+    if weight is None and not within:
+        local = ck.withColumn("_local", F.col("_pos").cast("bigint"))
+    else:
+        local = _local_offsets(ck, within, weight is not None)
+    out = local.join(F.broadcast(offsets), grp)
     out = out.withColumn(name, F.col("_poff") + F.col("_local"))
     if weight is not None:
         out = out.withColumn(f"{name}_end", F.col(name) + F.col("_w").cast("bigint")).drop("_w")

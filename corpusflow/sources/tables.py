@@ -22,8 +22,12 @@ def spread(df: DataFrame) -> DataFrame:
     A single-row-group file is one scan task; per-row text work would then run on one core.
     On real inputs (many files / row groups) the scan is already wide and this is a no-op.
     """
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # sessions without a local SparkContext (e.g. Connect): leave the scan as is
+        return df
+    return df.repartition(n) if parts < n else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, zoned: bool = False) -> DataFrame:
