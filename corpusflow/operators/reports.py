@@ -86,11 +86,15 @@ def stock_questions(prices: DataFrame, ticker: str, ts: str, price: str, order:
 
 
 def failure_candidates(failures: DataFrame, machine: str, ts: str) -> DataFrame:
-    """Per machine: failure count, mean gap between failures, last failure, expected next failure."""
+    """Per machine: failure count, mean gap between consecutive failures, last failure, expected next failure.
+
+    The consecutive gaps telescope (their sum is last - first), so the mean gap is
+    (max - min) / (n - 1): a plain partial aggregate, with no per-machine sort, so a machine
+    holding a third of all rows is still reduced map-side.
+    """
     e = failures.select(machine, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
-    w = Window.partitionBy(machine).orderBy("_us")
-    g = e.withColumn("gap", F.col("_us") - F.lag("_us").over(w))
-    agg = g.groupBy(machine).agg(F.count(F.lit(1)).alias("n_failures"), F.avg("gap").alias("_gap"), F.max("_us").alias("_last"))
-    return agg.select(machine, "n_failures", (F.col("_gap") / 3.6e9).alias("avg_gap_hours"),
+    agg = e.groupBy(machine).agg(F.count(F.lit(1)).alias("n_failures"), F.min("_us").alias("_first"), F.max("_us").alias("_last"))
+    gap = F.when(F.col("n_failures") > 1, (F.col("_last") - F.col("_first")) / (F.col("n_failures") - 1))
+    return agg.select(machine, "n_failures", (gap / 3.6e9).alias("avg_gap_hours"),
                       (F.col("_last") / 1e6).alias("last_failure_epoch"),
-                      ((F.col("_last") + F.col("_gap")) / 1e6).alias("next_failure_epoch"))
+                      ((F.col("_last") + gap) / 1e6).alias("next_failure_epoch"))

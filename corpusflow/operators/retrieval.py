@@ -58,7 +58,8 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "dot", qid:
         for c, v in where.items():
             corpus = corpus.filter(F.col(c) == v)
     scored = score_pairs(queries, corpus, metric, qid=qid)
-    order = F.col("score").asc() if _ascending(metric) else F.col("score").desc()
+    # scores are ranked at 9 decimals so float summation noise cannot reorder exact ties; ids break ties
+    order = F.round("score", 9).asc() if _ascending(metric) else F.round("score", 9).desc()
     w = Window.partitionBy(qid).orderBy(order, F.col(cid))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -69,7 +70,8 @@ def knn_post(queries: DataFrame, corpus: DataFrame, k: int, fetch_k: int, where:
     hits = knn(queries, corpus, fetch_k, metric, qid, cid)
     for c, v in where.items():
         hits = hits.filter(F.col(c) == v)
-    order = F.col("score").asc() if _ascending(metric) else F.col("score").desc()
+    # scores are ranked at 9 decimals so float summation noise cannot reorder exact ties; ids break ties
+    order = F.round("score", 9).asc() if _ascending(metric) else F.round("score", 9).desc()
     w = Window.partitionBy(qid).orderBy(order, F.col(cid))
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -140,7 +142,7 @@ def ann(queries: DataFrame, corpus: DataFrame, k: int, planes: DataFrame, qid: s
     cb = lsh_buckets(corpus, "cv", planes, cid)
     cand = qb.join(cb, ["tbl", "bucket"]).select(qid, cid).distinct()
     scored = (cand.join(queries, qid).join(corpus, cid).withColumn("score", dot("qv", "cv")))
-    w = Window.partitionBy(qid).orderBy(F.col("score").desc(), F.col(cid))
+    w = Window.partitionBy(qid).orderBy(F.round("score", 9).desc(), F.col(cid))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

@@ -73,7 +73,7 @@ def q_ip(spark, d):
 def _knn_sql(score, order, k, where="TRUE"):
     return f"""WITH {QC}, s AS (SELECT query_id, item_id, label, {score} AS score FROM q, c WHERE {where})
 SELECT query_id, item_id, rank, round(score, 5) AS score FROM
- (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score {order}, item_id) AS rank FROM s) WHERE rank <= {k}"""
+ (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) {order}, item_id) AS rank FROM s) WHERE rank <= {k}"""
 
 
 def _knn_out(df):
@@ -106,9 +106,9 @@ def q_pre(spark, d):
 
 @register("knn_with_postfilter", G, sql=f"""
 WITH {QC}, s AS (SELECT query_id, item_id, label, list_dot_product(qv, cv) AS score FROM q, c),
-f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS r0 FROM s) WHERE r0 <= 20 AND label = 3)
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS r0 FROM s) WHERE r0 <= 20 AND label = 3)
 SELECT query_id, item_id, rank, round(score, 5) AS score FROM
- (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM f) WHERE rank <= 5
+ (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM f) WHERE rank <= 5
 """)
 def q_post(spark, d):
     q, c = _qc(spark, d)
@@ -120,7 +120,7 @@ WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE
 s AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id,
              list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS cosine FROM q a, q b WHERE a.vec_id <> b.vec_id)
 SELECT query_id, item_id, rank, round(cosine, 5) AS cosine FROM
- (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, item_id) AS rank FROM s) WHERE rank <= 3
+ (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 3
 """)
 def q_cosine(spark, d):
     # nearest labelled neighbours by cosine (top 3 per item) instead of the full matrix
@@ -131,7 +131,7 @@ def q_cosine(spark, d):
     hits = hits.filter(F.col("query_id") != F.col("item_id"))
     from pyspark.sql import Window
 
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "item_id")
+    w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "item_id")
     hits = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 3)
     return hits.select("query_id", "item_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 5).alias("cosine"))
 
@@ -145,7 +145,7 @@ def q_mmr(spark, d):
 
 @register("knn_field_projection", G, sql=f"""
 WITH {QC}, s AS (SELECT query_id, item_id, label, list_dot_product(qv, cv) AS score FROM q, c)
-SELECT query_id, item_id, label FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM s) WHERE rank <= 3
+SELECT query_id, item_id, label FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 3
 """)
 def q_fields(spark, d):
     q, c = _qc(spark, d)
@@ -156,7 +156,7 @@ def q_fields(spark, d):
 @register("cross_modal_search", G, sql=f"""
 WITH {QC}, s AS (SELECT query_id, item_id, ['text', 'image', 'audio'][label % 3 + 1] AS media_type, list_dot_product(qv, cv) AS score FROM q, c)
 SELECT query_id, item_id, media_type, round(score, 5) AS score FROM
- (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM s) WHERE rank <= 4
+ (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 4
 """)
 def q_modal(spark, d):
     q, c = _qc(spark, d)
@@ -173,7 +173,7 @@ def q_ann(spark, d):
 
 @register("rerank_top_n", G, sql=f"""
 WITH {QC}, s AS (SELECT query_id, item_id, list_dot_product(qv, cv) AS score FROM q, c),
-h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM s) WHERE rank <= 10),
+h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 10),
 r AS (SELECT *, (item_id * 7) % 10 AS relevance FROM h)
 SELECT query_id, item_id, rank, rerank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC, rank) AS rerank FROM r)
 WHERE rerank <= 3
@@ -213,7 +213,7 @@ def _bench_vectors(spark, d):
 
 _QA_SQL = f"""{_emb_sql('dv', 'documents', 'doc_id', 'text')}, {_emb_sql('bv', 'benchmark', 'item_id', 'text')},
 s AS (SELECT bv.item_id AS query_id, dv.doc_id AS item_id, list_dot_product(bv.v, dv.v) AS score FROM bv, dv),
-h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item_id) AS rank FROM s) WHERE rank <= 5)"""
+h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 5)"""
 
 
 @register("retrieval_qa_table", G, sql=f"""
@@ -245,7 +245,7 @@ def q_rag_prompt(spark, d):
 WITH su AS (SELECT doc_id, regexp_extract(text, '^[^.!?]*[.!?]?', 0) AS summary FROM documents),
 {_emb_sql('sv', 'su', 'doc_id', 'summary')}, {_emb_sql('bv', 'benchmark', 'item_id', 'text')},
 s AS (SELECT bv.item_id AS query_id, sv.doc_id, list_dot_product(bv.v, sv.v) AS score FROM bv, sv),
-h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s) WHERE rank <= 2)
+h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s) WHERE rank <= 2)
 SELECT query_id, h.doc_id, rank, CAST(s.pos AS BIGINT) AS pos FROM h JOIN documents d ON d.doc_id = h.doc_id,
   LATERAL (SELECT unnest(range(0, (length(d.text) + 999) // 1000)) AS pos) s
 """)
@@ -286,7 +286,7 @@ def _web_hits(spark, d):
                    "query", "url", "chunk")
     cv = with_hash_embedding(cv, "chunk", "cv", DIM)
     hits = H.knn(qv, cv, 10_000, "dot").filter(F.col("query") == F.col("query_id"))
-    w2 = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("item_id"))
+    w2 = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("item_id"))
     return hits.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= 8)
 
 
