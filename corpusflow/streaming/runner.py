@@ -18,27 +18,34 @@ from corpusflow.sources.tables import table
 DEFAULT_TIMEOUT_S = 600
 
 
+def _order_mtimes(spark: SparkSession, folder: str) -> None:
+    """Give the data files of ``folder`` increasing modification times in name order (Hadoop FS API)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((st.getPath().toString() for st in fs.listStatus(path) if st.getPath().getName().endswith(".parquet")))
+    base = int(__import__("time").time() * 1000) - 10_000 * (len(files) + 1)
+    for i, f in enumerate(files):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
+
+
 def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files: int = 4, zoned: bool = True,
                 flush_rows: DataFrame | None = None) -> DataFrame:
     """Copy ``name`` into ``files`` time-ordered parquet files and open it as a stream (one file per trigger).
 
-    Files are written one after another so their modification times follow the order (the file
-    source replays files by modification time).  ``flush_rows`` (rows far in the future) are written
-    last, twice, so the watermark passes every real window and the final windows are emitted.
+    The file source replays files by modification time, so the copies get increasing times in
+    file-name (= range) order.  ``flush_rows`` (rows far in the future) come last, in two files, so
+    the watermark passes every real window and the final windows are emitted.
     """
-    import time
-
     df = table(spark, sf_dir, name, zoned)
     src = scratch_path(spark, f"stream-src-{name}")
-    ranged = df.repartitionByRange(files, order).withColumn("_f", F.spark_partition_id())
-    ck = ranged.checkpoint(eager=True)
-    for i in range(files):
-        ck.filter(F.col("_f") == i).drop("_f").coalesce(1).write.mode("append").parquet(src)
-        time.sleep(1.05)
+    parts = df.repartitionByRange(files, order).sortWithinPartitions(order)
     if flush_rows is not None:
-        for _ in range(2):
-            flush_rows.select(*df.columns).coalesce(1).write.mode("append").parquet(src)
-            time.sleep(1.05)
+        tail = flush_rows.select(*df.columns)
+        parts = parts.unionByName(tail.withColumn("_k", F.lit(0))
+                                  .unionByName(tail.withColumn("_k", F.lit(1))).repartitionByRange(2, "_k").drop("_k"))
+    parts.write.mode("overwrite").parquet(src)
+    _order_mtimes(spark, src)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
