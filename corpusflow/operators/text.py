@@ -57,7 +57,7 @@ def extract_links(df: DataFrame, html: str, key: str, prefix: str = "/url?q=", e
     ex = df.select(key, F.posexplode(hrefs).alias("pos", "href"))
     ex = ex.filter(F.col("href").startswith(prefix) & ~F.col("href").contains(exclude))
     link = F.substring_index(F.substring(F.col("href"), len(prefix) + 1, 1 << 30), "&sa=", 1)
-    return ex.select(key, "pos", link.alias("link")).groupBy(key, "link").agg(F.min("pos").alias("first_pos"))
+    return ex.select(key, "pos", link.alias("link")).groupBy(key, "link").agg(F.min("pos").cast("bigint").alias("first_pos"))
 
 
 def extract_tag(c: Column | str, tag: str, all_: bool = False) -> Column:
@@ -75,7 +75,7 @@ def parse_choices(df: DataFrame, col: str, n_choices: int, key: str) -> DataFram
     ex = ex.filter(F.size(parts) == 2)
     doc = F.trim(F.element_at(F.split(parts[0], ":", -1), -1)).try_cast("int")
     rel = F.trim(F.element_at(F.split(parts[1], ":", -1), -1)).try_cast("double")
-    return ex.select(key, "line_no", doc.alias("doc"), rel.alias("relevance")).filter(F.col("doc") <= n_choices)
+    return ex.select(key, F.col("line_no").cast("bigint").alias("line_no"), doc.alias("doc"), rel.alias("relevance")).filter(F.col("doc") <= n_choices)
 
 
 def parse_verdict(df: DataFrame, col: str, key: str) -> DataFrame:

@@ -54,7 +54,7 @@ FROM p, LATERAL (SELECT unnest(range(0, (length(text) + 999) // 1000)) AS pos) W
 """)
 def q_meta(spark, d):
     c = C.chunk_fixed(_pages(spark, d), "text", 1000)
-    return c.select("doc_id", "source", "page", "lang", F.col("pos").cast("bigint").alias("pos"), F.length("chunk").alias("n_chars"))
+    return c.select("doc_id", "source", "page", "lang", F.col("pos").cast("bigint").alias("pos"), F.length("chunk").cast("bigint").alias("n_chars"))
 
 
 @register("chunk_counts", G, sql="""

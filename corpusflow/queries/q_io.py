@@ -117,7 +117,7 @@ SELECT page_id, CASE WHEN regexp_matches(url, '\\.html?([?#].*)?$') THEN 'text/h
 def q_media(spark, d):
     p = t(spark, d, "pages")
     # the binaryFile reader gives (path, content); pages carry the same shape as url + html bytes
-    return p.select("page_id", A.media_type(F.col("url")).alias("media_type"), F.length(F.regexp_replace(F.base64(F.encode("html", "UTF-8")), "[\r\n]", "")).alias("b64_len"))
+    return p.select("page_id", A.media_type(F.col("url")).alias("media_type"), F.length(F.regexp_replace(F.base64(F.encode("html", "UTF-8")), "[\r\n]", "")).cast("bigint").alias("b64_len"))
 
 
 @register("load_document_collections", "A")

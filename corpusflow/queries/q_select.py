@@ -31,7 +31,7 @@ def q_filter_label(spark, d):
 
 @register("filter_text_length", G, sql="SELECT doc_id, length(text) AS n FROM documents WHERE length(text) > 200 AND length(text) <= 1000")
 def q_filter_len(spark, d):
-    return S.filter_length(t(spark, d, "documents"), "text", 200, 1000).select("doc_id", F.length("text").alias("n"))
+    return S.filter_length(t(spark, d, "documents"), "text", 200, 1000).select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
 @register("filter_token_length", G, sql=f"""
@@ -39,7 +39,7 @@ SELECT doc_id, len({sql_tokens('text')}) AS n_tokens FROM documents WHERE len({s
 """)
 def q_filter_tokens(spark, d):
     docs = t(spark, d, "documents").select("doc_id", tokens("text").alias("ids"))
-    return S.filter_tokens(docs, ["ids"], 512).select("doc_id", F.size("ids").alias("n_tokens"))
+    return S.filter_tokens(docs, ["ids"], 512).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"))
 
 
 @register("filter_pair_chars", G, sql=f"""

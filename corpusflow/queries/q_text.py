@@ -208,6 +208,6 @@ SELECT page_id, query, text_len, row_number() OVER (PARTITION BY query ORDER BY
 """)
 def q_hits(spark, d):
     p = t(spark, d, "pages").select("page_id", F.regexp_extract("url", "/([a-z][a-z])/", 1).alias("query"),
-                                    F.length(F.coalesce(F.array_join(X.paragraph_texts("html"), "\n"), F.lit(""))).alias("text_len"))
+                                    F.length(F.coalesce(F.array_join(X.paragraph_texts("html"), "\n"), F.lit(""))).cast("bigint").alias("text_len"))
     # rank inside each query through the range-partitioned index: a hot query spans many tasks
     return with_index(p, [F.col("text_len").desc(), F.col("page_id")], "rank", within=["query"]).select("page_id", "query", "text_len", "rank")

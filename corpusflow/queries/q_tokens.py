@@ -46,7 +46,7 @@ def ids_sql(x):
 @register("tokenize", G, sql=f"WITH {VOC_SQL}, {tok_sql()} SELECT doc_id, {ids_sql('ids')} AS input_ids, len(ids) AS mask_sum FROM tk")
 def q_tokenize(spark, d):
     x = _tok(spark, d)
-    return x.select("doc_id", _ids_str("input_ids").alias("input_ids"), F.size("attention_mask").alias("mask_sum"))
+    return x.select("doc_id", _ids_str("input_ids").alias("input_ids"), F.size("attention_mask").cast("bigint").alias("mask_sum"))
 
 
 @register("build_vocabulary", G, sql=f"WITH {VOC_SQL} SELECT token, id, n AS count FROM voc")
@@ -127,7 +127,7 @@ def _pack_sql(n, ids_expr="ids", batch=None):
 off AS (SELECT doc_id, batch, ids, coalesce(sum(len(ids)) OVER (PARTITION BY batch ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS o FROM bt),
 g AS (SELECT batch, o + generate_subscripts(ids, 1) - 1 AS g, unnest(ids) AS id FROM off),
 tot AS (SELECT batch, sum(len(ids)) AS n FROM bt GROUP BY batch)
-SELECT g.batch, g // {n} AS chunk, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY g) AS input_ids FROM g JOIN tot USING (batch)
+SELECT CAST(g.batch AS BIGINT) AS batch, CAST(g // {n} AS BIGINT) AS chunk, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY g) AS input_ids FROM g JOIN tot USING (batch)
 WHERE g // {n} < tot.n // {n} GROUP BY g.batch, g // {n}"""
 
 
@@ -227,7 +227,7 @@ def q_tok_pair(spark, d):
     from corpusflow.operators.select import filter_tokens
 
     x = filter_tokens(_pairs_tok(spark, d), ["ids_j", "ids_k"], 512, inclusive=True)
-    return x.select("conv_id", F.size("ids_j").alias("n_j"), F.size("ids_k").alias("n_k"))
+    return x.select("conv_id", F.size("ids_j").cast("bigint").alias("n_j"), F.size("ids_k").cast("bigint").alias("n_k"))
 
 
 @register("pad_pair_batch", G, sql=f"""
@@ -241,6 +241,6 @@ def q_pad_pairs(spark, d):
     from corpusflow.plans.dense_index import with_index
 
     x = with_index(_pairs_tok(spark, d), ["conv_id"], "_i").withColumn("batch", F.floor(F.col("_i") / 4).cast("bigint"))
-    x = x.select("conv_id", "batch", F.size("ids_j").alias("n_j"), F.size("ids_k").alias("n_k"))
+    x = x.select("conv_id", "batch", F.size("ids_j").cast("bigint").alias("n_j"), F.size("ids_k").cast("bigint").alias("n_k"))
     # a batch holds 4 pairs: the window is bounded by construction
     return x.withColumn("padded_len", F.max(F.greatest("n_j", "n_k")).over(Window.partitionBy("batch")))

@@ -29,7 +29,7 @@ FROM conversations WHERE role = 'user'
 def q_prev_questions(spark, d):
     u = t(spark, d, "conversations").filter(F.col("role") == "user")
     p = W.previous_rows(u, "conv_id", "turn", "text")
-    return p.select("conv_id", "turn", F.array_join("previous", " | ").alias("previous"), F.size("previous").alias("n_previous"))
+    return p.select("conv_id", "turn", F.array_join("previous", " | ").alias("previous"), F.size("previous").cast("bigint").alias("n_previous"))
 
 
 @register("last_user_message", "K", sql="""
