@@ -7,7 +7,7 @@ Plan (two passes):
   3. one tiny aggregate per partition (row count, or sum of a length column);
   4. cumulative offsets over that table (one row per partition) broadcast back;
   5. index = partition offset + position inside the partition (running sums inside a partition
-     come from a sequential pass over the already-ordered partition: no extra shuffle).
+     come from an ordered Arrow pass over each partition: no extra shuffle).
 
 Optional ``within``: the index restarts for each value of those columns (index
 counted inside each split).  A hot value just spans many range partitions, so a
@@ -40,37 +40,41 @@ def _sorted_checkpoint(df: DataFrame, keys: list, partitions: int | None) -> Dat
 def _local_offsets(ck: DataFrame, within: list[str], weighted: bool) -> DataFrame:
     """Exclusive running count / weight sum of each row inside its partition (and split), in partition order.
 
-    Per-partition sequential logic over data that is already in order: an Arrow ``mapInPandas``
-    pass, which keeps the partitioning (no shuffle), carrying the running totals across batches.
+    Per-partition sequential logic over data that is already in order: an Arrow ``mapInArrow``
+    pass, which keeps the partitioning (no shuffle) and leaves the other columns untouched
+    (only the weight and split columns are read; running totals carry across batches).
     """
-    import pandas as pd
-
     from pyspark.sql.types import LongType, StructField, StructType
 
     schema = StructType(ck.schema.fields + [StructField("_local", LongType(), False)])
 
     def run(batches):
+        import numpy as np
+        import pandas as pd
+        import pyarrow as pa
+
         run_tot: dict = {}
-        for pdf in batches:
-            w = pdf["_w"].fillna(0).astype("int64") if weighted else pd.Series(1, index=pdf.index, dtype="int64")
-            keys = [pdf[c] for c in within] if within else None
-            if keys is None:
+        for rb in batches:
+            n = rb.num_rows
+            w = (np.nan_to_num(rb.column("_w").to_numpy(zero_copy_only=False).astype("float64")).astype("int64")
+                 if weighted else np.ones(n, dtype="int64"))
+            if not within:
                 base = run_tot.get((), 0)
-                cs = w.cumsum()
-                pdf["_local"] = (base + cs - w).astype("int64")
+                cs = np.cumsum(w)
+                local = base + cs - w
                 run_tot[()] = base + int(w.sum())
             else:
-                g = pd.DataFrame({f"k{i}": k for i, k in enumerate(keys)})
-                gk = list(g.columns)
-                cs = w.groupby([g[c] for c in gk], dropna=False).cumsum()
-                tuples = list(g.itertuples(index=False, name=None))
-                base = pd.Series([run_tot.get(t, 0) for t in tuples], index=pdf.index, dtype="int64")
-                pdf["_local"] = (base + cs - w).astype("int64")
+                keys = pd.DataFrame({c: rb.column(c).to_pandas() for c in within})
+                tuples = list(keys.itertuples(index=False, name=None))
+                cs = pd.Series(w).groupby([keys[c] for c in within], dropna=False).cumsum().to_numpy()
+                base = np.array([run_tot.get(t, 0) for t in tuples], dtype="int64")
+                local = base + cs - w
                 for t, tot in zip(tuples, (base + cs).tolist()):
                     run_tot[t] = tot
-            yield pdf
+            yield pa.RecordBatch.from_arrays(list(rb.columns) + [pa.array(local, type=pa.int64())],
+                                             names=list(rb.schema.names) + ["_local"])
 
-    return ck.mapInPandas(run, schema)
+    return ck.mapInArrow(run, schema)
 
 
 def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
