@@ -64,6 +64,13 @@ def ngrams(toks: Column, n: int) -> Column:
     return F.transform(F.filter(z, lambda e: e[f"t{n - 1}"].isNotNull()), lambda e: F.concat_ws(" ", *[e[f"t{k}"] for k in range(n)]))
 
 
+def ngram_keys(toks: Column, n: int) -> Column:
+    """64-bit keys of the n-grams (xxhash64 of the n tokens): grouping on longs, no n-gram strings built."""
+    shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))) for k in range(n)]
+    z = F.arrays_zip(*[s.alias(f"t{k}") for k, s in enumerate(shifted)])
+    return F.transform(F.filter(z, lambda e: e[f"t{n - 1}"].isNotNull()), lambda e: F.xxhash64(*[e[f"t{k}"] for k in range(n)]))
+
+
 def _tagger(n: int, side: str):
     return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("s"), g.alias("g"))
 
@@ -71,16 +78,16 @@ def _tagger(n: int, side: str):
 def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
     """Per row ROUGE-n precision / recall / F1 for every n in ``ns`` from multiset n-gram overlap.
 
-    Tokens are computed once; the n-grams of both sides and all n are exploded in one pass, tagged
-    with their side, and counted per (row, n, gram); overlap = sum of the smaller count.  A marker
+    Tokens are computed once; the n-grams of both sides and all n are exploded in one pass as 64-bit
+    keys, tagged with their side, and counted per (row, n, gram); overlap = sum of the smaller count.  A marker
     element per (row, n) keeps rows without n-grams.  No per-row quadratic work, no cross product.
     """
     toks = df.select(key, rouge_tokens(pred).alias("_pt"), rouge_tokens(ref).alias("_rt"))
     parts = []
     for n in ns:
         for side, col in (("p", "_pt"), ("r", "_rt")):
-            parts.append(F.transform(ngrams(F.col(col), n), _tagger(n, side)))
-        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit("x").alias("s"), F.lit(None).cast("string").alias("g"))))
+            parts.append(F.transform(ngram_keys(F.col(col), n), _tagger(n, side)))
+        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit("x").alias("s"), F.lit(None).cast("bigint").alias("g"))))
     ex = toks.select(key, F.explode(F.concat(*parts)).alias("e")).select(key, "e.n", "e.s", "e.g")
     per_gram = ex.groupBy(key, "n", "g").agg(F.count(F.when(F.col("s") == "p", 1)).alias("cp"), F.count(F.when(F.col("s") == "r", 1)).alias("cr"))
     per_row = per_gram.groupBy(key, "n").agg(F.sum(F.least("cp", "cr")).alias("ov"), F.sum("cp").alias("np"), F.sum("cr").alias("nr"))
