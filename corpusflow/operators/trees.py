@@ -35,13 +35,23 @@ def from_linear(conv: DataFrame, preprompt: str = "") -> DataFrame:
 def append(tree: DataFrame, new: DataFrame) -> DataFrame:
     """Add messages under a parent: ancestors = parent's ancestors + parent; the parent's children get the id.
 
-    ``new``: (conv_id, id, role, text, parent_id).  Rows whose parent is missing come back with an error.
+    ``new``: (conv_id, id, role, text, parent_id).  A message with no parent becomes the root of an
+    empty conversation.  Errors come back as rows: missing parent, parent required (conversation not
+    empty), id already present.
     """
     par = tree.select("conv_id", F.col("id").alias("parent_id"), F.col("ancestors").alias("_pa"))
-    j = new.join(par, ["conv_id", "parent_id"], "left")
-    added = j.select("conv_id", "id", "role", "text", F.concat(F.coalesce("_pa", _empty()), F.array("parent_id")).alias("ancestors"),
-                     _empty().alias("children"), F.when(F.col("_pa").isNull(), F.lit("parent not found")).alias("error"))
-    kids = (added.filter(F.col("error").isNull()).join(new.select("conv_id", "id", "parent_id"), ["conv_id", "id"])
+    have = tree.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
+    ids = tree.select("conv_id", "id", F.lit(True).alias("_dup"))
+    j = (new.join(par, ["conv_id", "parent_id"], "left").join(have, "conv_id", "left")
+         .join(ids, ["conv_id", "id"], "left"))
+    err = (F.when(F.col("_dup"), F.lit("message already exists"))
+           .when(F.col("parent_id").isNull() & (F.coalesce("_n", F.lit(0)) > 0), F.lit("parent id required"))
+           .when(F.col("parent_id").isNotNull() & F.col("_pa").isNull(), F.lit("parent not found")))
+    anc = F.when(F.col("parent_id").isNull(), _empty()).otherwise(F.concat(F.coalesce("_pa", _empty()), F.array("parent_id")))
+    added = j.select("conv_id", "id", "role", "text", F.when(err.isNull(), anc).alias("ancestors"),
+                     _empty().alias("children"), err.alias("error"))
+    ok = added.filter(F.col("error").isNull()).select("conv_id", "id").join(new.select("conv_id", "id", "parent_id"), ["conv_id", "id"])
+    kids = (ok.filter(F.col("parent_id").isNotNull())
             .groupBy("conv_id", F.col("parent_id").alias("id")).agg(F.array_sort(F.collect_list("id")).alias("_new")))
     updated = (tree.join(kids, ["conv_id", "id"], "left")
                .withColumn("children", F.concat("children", F.coalesce("_new", _empty()))).drop("_new")
@@ -59,14 +69,36 @@ def add_sibling(tree: DataFrame, new: DataFrame) -> DataFrame:
     return j.select("conv_id", "id", F.when(err.isNull(), F.col("_sa")).alias("ancestors"), err.alias("error"))
 
 
+def add_sibling_tree(tree: DataFrame, new: DataFrame) -> DataFrame:
+    """Add alternatives next to ``sibling_id`` and link them under the sibling's parent (its last ancestor).
+
+    ``new``: (conv_id, id, role, text, sibling_id).  Same ancestors as the sibling, since
+    ancestors(sibling) = ancestors(parent) + [parent]; errors as in :func:`add_sibling`.
+    """
+    checked = add_sibling(tree, new.select("conv_id", "id", "sibling_id"))
+    good = (checked.filter(F.col("error").isNull()).select("conv_id", "id", F.element_at("ancestors", -1).alias("parent_id"))
+            .join(new.select("conv_id", "id", "role", "text"), ["conv_id", "id"]))
+    bad = (checked.filter(F.col("error").isNotNull()).join(new.select("conv_id", "id", "role", "text"), ["conv_id", "id"])
+           .select("conv_id", "id", "role", "text", F.lit(None).cast("array<string>").alias("ancestors"), _empty().alias("children"), "error"))
+    return append(tree, good).unionByName(bad)
+
+
 def path(tree: DataFrame, targets: DataFrame, drop_last: bool = False) -> DataFrame:
-    """Root-to-message path of each target (conv_id, id): ids in order; ``drop_last`` gives the retry prompt path."""
+    """Root-to-message path of each target (conv_id, id): ids in order; ``drop_last`` gives the retry prompt path.
+
+    Every ancestor must exist in the tree (checked by an exploded anti-join, not a per-row lookup).
+    """
     t = targets.join(tree.select("conv_id", "id", "ancestors"), ["conv_id", "id"], "left")
+    anc = t.filter(F.col("ancestors").isNotNull()).select("conv_id", F.col("id").alias("_t"), F.explode("ancestors").alias("id"))
+    missing = (anc.join(tree.select("conv_id", "id"), ["conv_id", "id"], "left_anti")
+               .select("conv_id", F.col("_t").alias("id"), F.lit(True).alias("_miss")).distinct())
+    t = t.join(missing, ["conv_id", "id"], "left")
     p = F.concat(F.coalesce("ancestors", _empty()), F.array("id"))
     if drop_last:
         p = F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0)))
-    return t.select("conv_id", F.col("id").alias("target"), F.when(F.col("ancestors").isNotNull(), p).alias("path"),
-                    F.when(F.col("ancestors").isNull(), F.lit("Message not found")).alias("error"))
+    err = (F.when(F.col("ancestors").isNull(), F.lit("Message not found"))
+           .when(F.col("_miss").isNotNull(), F.lit("Ancestor not found")))
+    return t.select("conv_id", F.col("id").alias("target"), F.when(err.isNull(), p).alias("path"), err.alias("error"))
 
 
 def conversation_hash(conv: DataFrame, fields: Sequence[str] = ("role", "id", "text")) -> DataFrame:

@@ -46,3 +46,41 @@ def test_path_and_retry_path(spark):
     assert p["missing"].error == "Message not found"
     rp = {r.target: r.path for r in R.path(tree, t.filter(F.col("id") == "1-3"), drop_last=True).collect()}
     assert rp["1-3"] == ["1-0", "1-1", "1-2"]
+
+
+def test_append_root_duplicate_and_missing_parent(spark):
+    tree = R.from_linear(_linear(spark))
+    new = spark.createDataFrame(
+        [(3, "3-0", "user", "first", None), (1, "1-2", "user", "again", "1-1"), (1, "orphan", "user", "x", None)],
+        "conv_id long, id string, role string, text string, parent_id string")
+    out = {r.id: r for r in R.append(tree, new).collect()}
+    assert out["3-0"].ancestors == [] and out["3-0"].error is None
+    assert out["orphan"].error == "parent id required"
+    assert any(r.id == "1-2" and r.error == "message already exists" for r in R.append(tree, new).collect())
+
+
+def test_sibling_links_under_parent(spark):
+    tree = R.from_linear(_linear(spark))
+    new = spark.createDataFrame([(1, "1-2s", "assistant", "alt", "1-2")], "conv_id long, id string, role string, text string, sibling_id string")
+    out = {r.id: r for r in R.add_sibling_tree(tree, new).collect()}
+    assert out["1-2s"].ancestors == out["1-2"].ancestors == ["1-0", "1-1"]
+    assert out["1-1"].children == ["1-2", "1-2s"]
+
+
+def test_path_reports_missing_ancestor(spark):
+    rows = [(1, "a", [], ["b"]), (1, "b", ["a"], []), (1, "c", ["a", "gone"], [])]
+    tree = spark.createDataFrame(rows, "conv_id long, id string, ancestors array<string>, children array<string>")
+    t = spark.createDataFrame([(1, "b"), (1, "c")], "conv_id long, id string")
+    p = {r.target: r for r in R.path(tree, t).collect()}
+    assert p["b"].path == ["a", "b"] and p["b"].error is None
+    assert p["c"].error == "Ancestor not found" and p["c"].path is None
+
+
+def test_message_id_format(spark):
+    import uuid
+
+    from corpusflow.operators.text import is_message_id
+
+    df = spark.createDataFrame([(str(uuid.uuid4()),), ("1-2-3-4",), ("",)], "id string")
+    got = [r.ok for r in df.select(is_message_id("id").alias("ok")).collect()]
+    assert got == [True, False, False]
