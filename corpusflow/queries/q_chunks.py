@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusflow.operators import chunking as C
@@ -42,9 +41,11 @@ def q_by_sep(spark, d):
 
 
 def _pages(spark, d):
+    from corpusflow.sources.readers import page_numbers
+
     docs = t(spark, d, "documents").select("doc_id", "text", "lang", "source")
-    # page number = rank of the document inside its source file (a file's pages are a bounded group)
-    return docs.withColumn("page", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+    # page number = rank of the document inside its source file (range-partitioned index: skew-safe)
+    return page_numbers(docs, "source", "doc_id").drop("n_pages")
 
 
 @register("chunk_metadata", G, sql="""

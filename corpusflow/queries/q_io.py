@@ -102,10 +102,8 @@ m AS (SELECT source, 2020 + CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGE
 SELECT doc_id, source, CAST(page AS INTEGER) AS page, year FROM p JOIN m USING (source) WHERE from_end > 3
 """)
 def q_pages_meta(spark, d):
-    from pyspark.sql import Window
-
     docs = t(spark, d, "documents").select("doc_id", "source")
-    pages = docs.withColumn("page", F.row_number().over(Window.partitionBy("source").orderBy("doc_id")))
+    pages = A.page_numbers(docs, "source", "doc_id")
     meta = docs.select("source").distinct().withColumn("year", (F.lit(2020) + F.pmod(F.regexp_extract("source", "([0-9]+)", 1).cast("int"), F.lit(4))).cast("int"))
     return A.load_pages(pages, meta, "source", "page").select("doc_id", "source", "page", "year")
 

@@ -6,7 +6,7 @@ Scratch data lives under the session's checkpoint folder (the cluster's shared
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.session import ensure_checkpoint_dir
@@ -68,10 +68,22 @@ def rows_to_documents(df: DataFrame, cols=None) -> DataFrame:
     return df.withColumn("page_content", text)
 
 
+def page_numbers(docs: DataFrame, source: str, order: str, out: str = "page") -> DataFrame:
+    """1-based page number inside each source file, through the range-partitioned index (a file that
+    holds a third of all pages still spans many tasks), plus ``n_pages`` of the file."""
+    from corpusflow.plans.dense_index import with_index
+
+    ix = with_index(docs, [order], "_i", within=[source]).withColumn(out, (F.col("_i") + 1).cast("int")).drop("_i")
+    counts = docs.groupBy(source).agg(F.count(F.lit(1)).alias("n_pages"))
+    return ix.join(counts, source)
+
+
 def load_pages(pages: DataFrame, meta: DataFrame, source: str, page: str, drop_last: int = 3) -> DataFrame:
-    """Attach per-file metadata (join on the file; the metadata table is one row per file) and drop each file's last pages."""
-    w = Window.partitionBy(source).orderBy(F.col(page).desc())
-    x = pages.withColumn("_from_end", F.row_number().over(w)).filter(F.col("_from_end") > drop_last).drop("_from_end")
+    """Attach per-file metadata (join on the file) and drop each file's last ``drop_last`` pages.
+
+    ``pages`` carries ``page`` (1-based) and ``n_pages`` (see :func:`page_numbers`): no per-file sort.
+    """
+    x = pages.filter(F.col(page) <= F.col("n_pages") - drop_last)
     return x.join(meta, source, "left")
 
 
