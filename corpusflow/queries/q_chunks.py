@@ -44,8 +44,9 @@ def _pages(spark, d):
     from corpusflow.sources.readers import page_numbers
 
     docs = t(spark, d, "documents").select("doc_id", "text", "lang", "source")
-    # page number = rank of the document inside its source file (range-partitioned index: skew-safe)
-    return page_numbers(docs, "source", "doc_id").drop("n_pages")
+    # page number = rank of the document inside its source file (range-partitioned index over the ids only)
+    pages = page_numbers(docs.select("doc_id", "source"), "source", "doc_id").select("doc_id", "page")
+    return docs.join(pages, "doc_id")
 
 
 @register("chunk_metadata", G, sql="""
