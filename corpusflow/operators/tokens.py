@@ -42,16 +42,21 @@ def tokenize(df: DataFrame, col: str, vocab: DataFrame, out: str = "input_ids",
     Tokens are exploded with their position, looked up by a broadcast hash join on the
     vocabulary (bounded by its maximum size, checked before the broadcast) and regrouped
     per row in position order.  ``key`` must identify a row (defaults to the first column).
+    A marker element per row keeps rows without tokens.  When the frame holds only the key and
+    the text, the result is the regrouped frame itself (no join back to the input).
     """
     from corpusflow.operators.joins import guard_rows
 
     key = key or df.columns[0]
     v = F.broadcast(guard_rows(vocab.select("token", "id"), 1_000_000, "vocabulary"))
-    ex = df.select(key, F.posexplode(tokens(col)).alias("_p", "token"))
-    looked = ex.join(v, "token", "left").select(key, "_p", F.coalesce("id", F.lit(UNK)).alias("_id"))
+    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("col")))
+    toks = F.concat(marker, F.transform(tokens(col), lambda tk, i: F.struct(i.alias("pos"), tk.alias("col"))))
+    ex = df.select(key, F.inline(toks)).withColumnsRenamed({"pos": "_p", "col": "token"})
+    looked = ex.join(v, "token", "left").select(key, "_p", F.when(F.col("_p") >= 0, F.coalesce("id", F.lit(UNK))).alias("_id"))
     ids = (looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_p", "_id"))).alias("_s"))
-           .select(key, F.transform("_s", lambda x: x["_id"]).alias("_ids")))
-    x = df.join(ids, key, "left").withColumn(out, F.coalesce(F.col("_ids"), F.array().cast("array<int>"))).drop("_ids")
+           .select(key, F.transform(F.filter("_s", lambda x: x["_p"] >= 0), lambda x: x["_id"]).alias(out)))
+    rest = [c for c in df.columns if c not in (key, col)]
+    x = ids if not rest else df.drop(col).join(ids, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
     if add_eos:
         x = x.withColumn(out, F.concat(F.col(out), F.array(F.lit(EOS))))
     return x.withColumn("attention_mask", F.transform(F.col(out), lambda _: F.lit(1)))
