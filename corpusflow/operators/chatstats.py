@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.time import SPANS, period_start
+from corpusflow.functions.time import SPANS, period_start, period_start_any
 
 FACETS = ("userId", "sessionId", "userOrSessionId", "_id")
 STATS_KEYS = ["at", "type", "span", "field", "distinct"]
@@ -25,17 +25,23 @@ def _facet_struct(tag: str, key: Column) -> Column:
 
 def facet_stats(df: DataFrame, ts: str = "created_at", user: str = "user_id", session: str = "session_id",
                 spans: Sequence[str] = SPANS, facets: Sequence[str] = FACETS,
-                type_: str = "message", field: str = "createdAt", min_date: Column | None = None) -> DataFrame:
+                type_: str = "message", field: str = "createdAt", min_date: Column | None = None,
+                span_col: str | None = None) -> DataFrame:
     """Counts per period for each facet: rows (``_id``), distinct users, sessions, user-or-session.
 
     ``userId`` / ``sessionId`` facets skip rows where that id is missing; ``userOrSessionId``
     counts a row with neither id as one group (as a group-by on a null key does).
+    With ``span_col`` each row already names its one span (rows expanded upstream).
     Output: ``at`` (timestamp), ``span``, ``field``, ``type``, ``distinct``, ``count`` (bigint).
     """
-    base = df.select(F.col(ts).cast("timestamp").alias("_ts"), F.col(user).alias("_u"), F.col(session).alias("_s"))
+    extra = [F.col(span_col).alias("_span")] if span_col else []
+    base = df.select(F.col(ts).cast("timestamp").alias("_ts"), F.col(user).alias("_u"), F.col(session).alias("_s"), *extra)
     if min_date is not None:
         base = base.filter(F.col("_ts") >= min_date)
-    per_span = F.array(*[F.struct(F.lit(s).alias("span"), period_start(F.col("_ts"), s).alias("at")) for s in spans])
+    if span_col:
+        per_span = F.array(F.struct(F.col("_span").alias("span"), period_start_any(F.col("_ts"), F.col("_span")).alias("at")))
+    else:
+        per_span = F.array(*[F.struct(F.lit(s).alias("span"), period_start(F.col("_ts"), s).alias("at")) for s in spans])
     choices = {
         "userId": _facet_struct("userId", F.col("_u")),
         "sessionId": _facet_struct("sessionId", F.col("_s")),
@@ -121,12 +127,8 @@ def incremental_stats(messages: DataFrame, stored: DataFrame, spans: Sequence[st
     expanded = base.select("*", F.explode(F.array(*[F.lit(s) for s in spans])).alias("span"))
     kept = (expanded.join(F.broadcast(bounds), "span", "left")
             .filter(F.col("_ts") >= F.coalesce(F.col("_from"), F.lit("1970-01-01 00:00:00").cast("timestamp"))))
-    parts = []
-    for s in spans:
-        parts.append(facet_stats(kept.filter(F.col("span") == s), ts="_ts", spans=[s], type_=type_, field=field))
-    fresh = parts[0]
-    for p in parts[1:]:
-        fresh = fresh.unionByName(p)
+    # one facet pass over all spans: each kept row carries its span
+    fresh = facet_stats(kept, ts="_ts", span_col="span", type_=type_, field=field)
     return merge_stats(stored, fresh)
 
 
