@@ -22,15 +22,14 @@ def q_s_filter(spark, d):
 
 
 @register("stream_rate_limit", G, sql="""
-WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 30) * 30 AS BIGINT) AS s FROM events),
-w AS (SELECT user_id, s AS start FROM e UNION ALL SELECT user_id, s - 30 FROM e)
-SELECT user_id, strftime(to_timestamp(start), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n, count(*) > 1 AS over_limit FROM w GROUP BY user_id, start
+SELECT user_id, event_id, count(*) OVER w AS n, count(*) OVER w > 2 AS over_limit FROM events
+WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '59999999 microseconds' PRECEDING AND CURRENT ROW)
 """)
 def q_s_rate(spark, d):
+    # exact per-event answer: each message is checked against the user's last 60 s (keyed state)
     s = file_stream(spark, d, "events", "ts")
-    out, _ = run_to_sink(Q.rate_windows(s, "user_id", "ts"), mode="update")
-    r = latest_per_key(read_sink(spark, out, "user_id bigint, w struct<start: timestamp, end: timestamp>, n bigint"), ["user_id", "w"])
-    return r.select("user_id", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", (F.col("n") > 1).alias("over_limit"))
+    out, _ = run_to_sink(Q.rate_limit(s, "user_id", "ts", "event_id", 60, 2))
+    return read_sink(spark, out, "user_id bigint, event_id bigint, n bigint, over_limit boolean").drop("_batch")
 
 
 @register("stream_activity", G, sql="SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS at, count(*) AS n FROM events GROUP BY 1")

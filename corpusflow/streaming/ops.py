@@ -111,3 +111,27 @@ def pack_stream(sdf: DataFrame, shard: str, order: Sequence[str], ids: str, n: i
 
     return sdf.groupBy(shard).applyInPandasWithState(
         fn, f"{shard} {key_t}, chunk long, input_ids array<int>", "buf array<int>, done long", "append", GroupStateTimeout.NoTimeout)
+
+
+def rate_limit(sdf: DataFrame, key: str, ts: str, order: str, window_s: int = 60, limit: int = 2) -> DataFrame:
+    """Exact per-event rate: events of the same key in (ts - window, ts], flagged above ``limit``.
+
+    Keyed state holds only the key's event times inside the window (bounded by the rate), pruned on
+    every event; rows of a batch are taken in event-time order.
+    """
+    key_t = sdf.schema[key].dataType.simpleString()
+    span_us = window_s * 1_000_000
+
+    def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        buf = list(state.get[0]) if state.exists else []
+        pdf = pd.concat(list(pdfs)).sort_values(["_us", order])
+        counts = []
+        for t in pdf["_us"]:
+            buf = [x for x in buf if x > t - span_us] + [int(t)]
+            counts.append(len(buf))
+        state.update((buf,))
+        yield pd.DataFrame({key: k[0], order: pdf[order].to_numpy(), "n": counts, "over_limit": [c > limit for c in counts]})
+
+    x = sdf.select(key, order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    return x.groupBy(key).applyInPandasWithState(
+        fn, f"{key} {key_t}, {order} bigint, n long, over_limit boolean", "times array<long>", "append", GroupStateTimeout.NoTimeout)
