@@ -107,3 +107,31 @@ def conversation_hash(conv: DataFrame, fields: Sequence[str] = ("role", "id", "t
     one = F.concat_ws("\u0001", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
     g = ids.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", one.alias("m")))).alias("_m"))
     return g.select("conv_id", F.sha2(F.array_join(F.transform("_m", lambda x: x["m"]), "\u0002"), 256).alias("hash"))
+
+
+# --- legacy conversations: a flat thread without tree links (no root message id)
+
+
+def legacy_append(thread: DataFrame, new: DataFrame) -> DataFrame:
+    """Append to a legacy (linear) thread: only after its last message, without links.
+
+    ``thread``: (conv_id, id, turn, ...); ``new``: (conv_id, id, role, text, parent_id).
+    Returns the new rows with their turn, or an error when the parent is not the last message.
+    """
+    last = thread.groupBy("conv_id").agg(F.max_by("id", "turn").alias("_last"), F.max("turn").alias("_t"))
+    j = new.join(last, "conv_id", "left")
+    err = F.when(F.col("_last").isNotNull() & (F.col("parent_id") != F.col("_last")),
+                 F.lit("This is a legacy conversation, you can only append to the last message"))
+    return j.select("conv_id", "id", "role", "text", (F.coalesce(F.col("_t"), F.lit(-1)) + 1).alias("turn"), err.alias("error"))
+
+
+def legacy_path(thread: DataFrame, targets: DataFrame) -> DataFrame:
+    """Path to a message of a legacy thread: the thread sliced up to and including that message."""
+    t = targets.join(thread.select("conv_id", "id", F.col("turn").alias("_t")), ["conv_id", "id"], "left")
+    upto = (t.filter(F.col("_t").isNotNull())
+            .join(thread.select("conv_id", F.col("id").alias("_m"), "turn"), "conv_id")
+            .filter(F.col("turn") <= F.col("_t"))
+            .groupBy("conv_id", "id").agg(F.array_sort(F.collect_list(F.struct("turn", "_m"))).alias("_p")))
+    return (t.join(upto, ["conv_id", "id"], "left")
+            .select("conv_id", F.col("id").alias("target"), F.transform("_p", lambda x: x["_m"]).alias("path"),
+                    F.when(F.col("_t").isNull(), F.lit("Message not found")).alias("error")))

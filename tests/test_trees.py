@@ -84,3 +84,23 @@ def test_message_id_format(spark):
     df = spark.createDataFrame([(str(uuid.uuid4()),), ("1-2-3-4",), ("",)], "id string")
     got = [r.ok for r in df.select(is_message_id("id").alias("ok")).collect()]
     assert got == [True, False, False]
+
+
+def _legacy(spark):
+    rows = [(5, "a", 0), (5, "b", 1), (5, "c", 2)]
+    return spark.createDataFrame(rows, "conv_id long, id string, turn long")
+
+
+def test_legacy_append_only_after_last(spark):
+    new = spark.createDataFrame([(5, "d", "user", "x", "c"), (5, "e", "user", "y", "a")],
+                                "conv_id long, id string, role string, text string, parent_id string")
+    out = {r.id: r for r in R.legacy_append(_legacy(spark), new).collect()}
+    assert out["d"].error is None and out["d"].turn == 3
+    assert "legacy" in out["e"].error
+
+
+def test_legacy_path_is_a_slice(spark):
+    t = spark.createDataFrame([(5, "b"), (5, "a"), (5, "c"), (5, "zz")], "conv_id long, id string")
+    p = {r.target: r for r in R.legacy_path(_legacy(spark), t).collect()}
+    assert p["b"].path == ["a", "b"] and p["a"].path == ["a"] and p["c"].path == ["a", "b", "c"]
+    assert p["zz"].error == "Message not found"
