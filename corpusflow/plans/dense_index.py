@@ -99,7 +99,9 @@ def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
         local = ck.withColumn("_local", F.col("_pos").cast("bigint"))
     else:
         local = _local_offsets(ck, within, weight is not None)
-    out = local.join(F.broadcast(offsets), grp)
+    # one offset row per partition: bounded by the partition count, so broadcast; with splits it is
+    # (partitions + splits) rows, which grows with the number of splits: the join strategy is left to AQE
+    out = local.join(F.broadcast(offsets) if not within else offsets, grp)
     out = out.withColumn(name, F.col("_poff") + F.col("_local"))
     if weight is not None:
         out = out.withColumn(f"{name}_end", F.col(name) + F.col("_w").cast("bigint")).drop("_w")
