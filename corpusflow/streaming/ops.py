@@ -135,3 +135,28 @@ def rate_limit(sdf: DataFrame, key: str, ts: str, order: str, window_s: int = 60
     x = sdf.select(key, order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
     return x.groupBy(key).applyInPandasWithState(
         fn, f"{key} {key_t}, {order} bigint, n long, over_limit boolean", "times array<long>", "append", GroupStateTimeout.NoTimeout)
+
+
+def apply_cooldown(signals: DataFrame, endpoint: str, start: str, signal: str, out_s: int = 60, in_s: int = 300) -> DataFrame:
+    """Turn raw window signals into scaling actions with cool-downs: after an action, a new scale-out
+    waits ``out_s`` seconds and a new scale-in waits ``in_s`` seconds.
+
+    Sequential per endpoint over its windows (one row per period, so a bounded group) in ``applyInPandas``.
+    """
+    key_t = signals.schema[endpoint].dataType.simpleString()
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(start)
+        last = None
+        actions = []
+        for t, s in zip(pdf[start], pdf[signal]):
+            act = "hold"
+            if s in ("scale_out", "scale_in"):
+                wait = out_s if s == "scale_out" else in_s
+                if last is None or (t - last).total_seconds() >= wait:
+                    act, last = s, t
+            actions.append(act)
+        return pd.DataFrame({endpoint: pdf[endpoint].to_numpy(), start: pdf[start].to_numpy(), "action": actions})
+
+    return signals.select(endpoint, start, signal).groupBy(endpoint).applyInPandas(
+        fn, f"{endpoint} {key_t}, {start} timestamp, action string")
