@@ -56,13 +56,13 @@ def _powers(log2: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
-    """Cut a batch (no copy) into runs of rows whose texts sum to about ``limit`` bytes."""
+def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 20_000):
+    """Cut a batch (no copy) into runs of at most ``rows`` rows whose texts sum to about ``limit`` bytes."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     total, start = np.cumsum(lengths), 0
     while start < batch.num_rows:
         base = total[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(total, base + limit, "right")))
+        stop = min(start + rows, max(start + 1, int(np.searchsorted(total, base + limit, "right"))))
         yield batch.slice(start, stop - start)
         start = stop
 

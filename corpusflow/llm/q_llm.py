@@ -5,21 +5,121 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusflow.llm import perplexity
+from corpusflow.llm import decontaminate, hyperminhash, mixing, perplexity, site_lines, token_store, url_filter
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The small labelled URL table: urls of pages whose number has a label; 1 where its quality is 0."""
+    labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("label"))
+    return _read(spark, sf_dir, "pages").select("page_id", "url").join(labels, "page_id").select("url", "label")
+
+
+def op2_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the rules, else by the regression on host and path n-grams."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, labelled_urls(spark, sf_dir)).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op3_suffix_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents: runs of ten item words, or a whole shorter item."""
+    found = decontaminate.contamination_table(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op4_budget_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source to 150 % of their words; weights 3, 1, 2 in turn."""
+    return mixing.mix_table(_read(spark, sf_dir, "documents"))
+
+
+def op5_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: five-word shingles, Jaccard 0.75 or more."""
+    return hyperminhash.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in shards with a perfect hash index, read back."""
+    return token_store.encode_table(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules and Kneser-Ney perplexity bands over all documents."""
     return perplexity.quality_table(_read(spark, sf_dir, "documents"))
 
 
+def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages without the lines that stand on more than 30 % of their host's pages."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    out = site_lines.drop_site_lines(pages, site_lines.host_of(F.col("url")), site_lines.html_lines(F.col("html")))
+    return out.select("page_id", "host", "n_lines", "n_dropped", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_url_regression": op2_url_regression,
+    "op3_suffix_automaton": op3_suffix_automaton,
+    "op4_budget_fit": op4_budget_fit,
+    "op5_hyperminhash": op5_hyperminhash,
+    "op6_token_store": op6_token_store,
     "op8_perplexity_rules": op8_perplexity_rules,
+    "op10_site_lines": op10_site_lines,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"regexp_extract_all(" + _ASCII_LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP3_SQL = f"""
+WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+ik AS (SELECT item, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
+iw AS (SELECT DISTINCT k, array_to_string(w[p:p + k - 1], ' ') AS win, item
+       FROM (SELECT *, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS p FROM ik)),
+d AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+ks AS (SELECT DISTINCT k FROM iw),
+dw AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS p FROM d, ks WHERE len(w) >= k)),
+m AS (SELECT DISTINCT dw.doc_id, dw.k, dw.p, iw.item FROM dw JOIN iw USING (k, win)),
+hit AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS x FROM m) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
+
+_HOST = _ASCII_LOWER.format(r"CASE WHEN instr(url, '://') > 0 THEN regexp_extract(substr(url, instr(url, '://') + 3), '^[^/?#]*') ELSE '' END")
+
+
+def _sql(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+OP10_SQL = f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, {_HOST} AS host,
+  list_filter(list_transform(string_split_regex(regexp_replace(coalesce(html, ''), {_sql(site_lines.HIDDEN)}, '', 'g'), {_sql(site_lines.BREAKS)}),
+    x -> trim(regexp_replace(regexp_replace(x, {_sql(site_lines.TAG)}, '', 'g'), {_sql(site_lines.SPACES)}, ' ', 'g'))), x -> x <> '') AS lines
+  FROM pages),
+l AS (SELECT r, page_id, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM p),
+c AS (SELECT host, line, count(DISTINCT r) AS n FROM l WHERE host <> '' GROUP BY 1, 2),
+t AS (SELECT host, count(*) AS total FROM p WHERE host <> '' GROUP BY 1),
+bad AS (SELECT host, line FROM c JOIN t USING (host) WHERE n >= {site_lines.MIN_PAGES} AND n > {site_lines.MAX_SHARE} * total),
+s AS (SELECT r, count(*) FILTER (WHERE bad.line IS NOT NULL) AS n_dropped,
+             string_agg(l.line, chr(10) ORDER BY i) FILTER (WHERE bad.line IS NULL) AS text
+      FROM l LEFT JOIN bad ON l.host = bad.host AND l.line = bad.line GROUP BY 1)
+SELECT page_id, p.host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(n_dropped, 0) AS BIGINT) AS n_dropped, coalesce(text, '') AS text
+FROM p LEFT JOIN s USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_site_lines": OP10_SQL,
+    "op3_suffix_automaton": OP3_SQL,
+}
