@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusflow.llm import decontaminate, hyperminhash, mixing, perplexity, site_lines, token_store, url_filter
+from corpusflow.llm import (
+    decontaminate, hyperminhash, license_templates, mixing, perplexity, site_lines, surrogates, token_store, toxicity,
+    url_filter,
+)
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -20,6 +23,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with detected entities replaced by surrogates."""
+    out = surrogates.replace_pii(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "n_entities", "entity_types")
+
+
 def labelled_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The small labelled URL table: urls of pages whose number has a label; 1 where its quality is 0."""
     labels = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("quality") == 0).alias("label"))
@@ -53,11 +62,21 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.encode_table(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_string_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents; trained on labels outside the held-out third."""
+    return toxicity.toxicity_table(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op8_perplexity_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules and Kneser-Ney perplexity bands over all documents."""
     return perplexity.quality_table(_read(spark, sf_dir, "documents"))
 
 
+def op9_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and accepted templates in all documents."""
+    return license_templates.scan(_read(spark, sf_dir, "documents")).drop("places")
+
+
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages without the lines that stand on more than 30 % of their host's pages."""
     pages = _read(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -66,12 +85,15 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_surrogates": op1_surrogates,
     "op2_url_regression": op2_url_regression,
     "op3_suffix_automaton": op3_suffix_automaton,
     "op4_budget_fit": op4_budget_fit,
     "op5_hyperminhash": op5_hyperminhash,
     "op6_token_store": op6_token_store,
+    "op7_string_kernel": op7_string_kernel,
     "op8_perplexity_rules": op8_perplexity_rules,
+    "op9_license_templates": op9_license_templates,
     "op10_site_lines": op10_site_lines,
 }
 
@@ -119,7 +141,45 @@ SELECT page_id, p.host, CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(n_d
 FROM p LEFT JOIN s USING (r)
 """
 
+def _template_regex(parts: list) -> str:
+    """A template over words that each stand between two spaces of their own, as a regular expression."""
+    out = ""
+    for p in parts:
+        if isinstance(p, str):
+            out += f" {p} "
+        elif p[0] == "optional":
+            out += f"(?:{_template_regex(p[1])})?"
+        else:
+            out += f"(?: [^ ]+ ){{{p[1]},{p[2]}}}"
+    return out
+
+
+_METHOD_LABELS = ", ".join(
+    f"CASE WHEN regexp_matches(s, {_sql(_template_regex(license_templates.parse(m)))}) THEN {_sql(label)} END"
+    for label, m in license_templates.TEMPLATES)
+_PHRASE_ROWS = ", ".join(f"({_sql(p.split()[0])}, {_sql(' '.join(p.split()[1:]))}, {len(p.split())}, {_sql(label)})"
+                         for p, label in license_templates.PHRASES)
+
+OP9_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT r, doc_id, w, coalesce(' ' || array_to_string(w, '  ') || ' ', '') AS s FROM d),
+x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+n AS (SELECT r, i, word, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4 FROM x WINDOW o AS (PARTITION BY r ORDER BY i)),
+p(first, rest, k, label) AS (VALUES {_PHRASE_ROWS}),
+b AS (SELECT r, i - 1 AS at, label FROM n JOIN p ON word = first
+      AND rest = CASE k WHEN 2 THEN w2 WHEN 3 THEN w2 || ' ' || w3 ELSE w2 || ' ' || w3 || ' ' || w4 END),
+g AS (SELECT r, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS labels FROM b GROUP BY r),
+m AS (SELECT r, doc_id, w, list_filter([{_METHOD_LABELS}], x -> x IS NOT NULL) AS own FROM s)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(array_to_string(list_sort(labels), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(labels, []), own))), ',') AS labels,
+       CAST(CASE WHEN len(own) > 0 THEN 1 WHEN n_base > 0 THEN 0.5 ELSE 0 END AS DOUBLE) AS score
+FROM m LEFT JOIN g USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_license_templates": OP9_SQL,
     "op10_site_lines": OP10_SQL,
     "op3_suffix_automaton": OP3_SQL,
 }
