@@ -10,13 +10,14 @@ registers, corrected for accidental collisions; then every link is verified on t
 Plan. Documents with equal sets are one node (a node's id is a 64-bit fingerprint of its set), so a
 group of copies costs one row. Nobody lists all pairs of a group:
 
-1. every member of a bucket names the bucket's smallest node; a node verifies only the one it met most
-   often, and the verified links are contracted to labels;
-2. only members of one bucket that still have different labels are paired and verified;
+1. a bucket's centre is the member that meets most others in all its buckets; a node verifies only the
+   centre it met most often, and the verified links are contracted to labels;
+2. members of one bucket with different labels are compared in blocks by bit tables of their sets, an
+   exact bound; pairs that it leaves room for a link become rows and are verified;
 3. the labels are joined over those links.
 
-A group of near copies is one label after step 1, so step 2 sees what banding brought together
-wrongly or what step 1 left over; it leaves out no link between candidates. With the defaults a pair at
+A group of near copies is mostly one label after step 1, and what is left of it mostly falls to the bound
+of step 2, which leaves out no link between candidates. With the defaults a pair at
 Jaccard 0.75 shares no band with probability 2e-5, one at 0.8 with 4e-8. Sets are shuffled only for
 nodes that have a candidate: a bit table of fixed size (a bound whatever the corpus) tells the second
 scan which ones; an exact join follows.
@@ -46,6 +47,9 @@ MANTISSA = 10
 ESTIMATE_SLACK = 0.25  # over 7 standard errors of the estimate from 256 shingles on
 ESTIMATE_LEAST = 256  # smaller sets fill too few registers for an estimate: they are verified at once
 TABLE_BITS = 26
+SET_BITS = 2048  # bits of the table that bounds what two sets have in common
+BLOCK = 256
+LINKS_PER_TASK = 200_000
 SLICE_ROWS = 2000
 
 
@@ -133,6 +137,14 @@ def _lists(values: np.ndarray, sizes: np.ndarray, kind=pa.int64()) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64), type=kind))
 
 
+def set_bits(sh: np.ndarray, sd: np.ndarray, n_docs: int) -> pa.Array:
+    """``SET_BITS`` bits per set, a bit for each shingle's hash, as lists of 64-bit numbers."""
+    table = np.zeros((n_docs, SET_BITS), dtype=np.uint8)
+    table[sd, (sh % np.uint64(SET_BITS)).astype(np.int64)] = 1
+    words = np.packbits(table, axis=1).view(np.uint64)
+    return _lists(words.ravel(), np.full(n_docs, SET_BITS // 64))
+
+
 def signatures(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, n_shingles, node, keys) of (id, text); node and keys are null without a set."""
 
@@ -165,7 +177,7 @@ def _bit_table(nodes: DataFrame) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """(node, n, shingles, regs) of the wanted nodes: a scan that the bit table thins out, then the exact join."""
+    """(node, n, shingles, bits, regs) of the wanted nodes: a scan that the bit table thins out, then the exact join."""
     table = docs.sparkSession.sparkContext.broadcast(_bit_table(nodes))
 
     def run(batches):
@@ -187,10 +199,11 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int, bands: int, rows: int
                 regs = registers(sh[mine], number[sd[mine]], int(take.sum()), bands * rows)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[take].view(np.int64)), pa.array(size[take].astype(np.int64)),
-                     _lists(sh[mine], size[take]), pa.array([r.tobytes() for r in regs], type=pa.binary())],
-                    names=["node", "n", "shingles", "regs"])
+                     _lists(sh[mine], size[take]), set_bits(sh[mine], number[sd[mine]], int(take.sum())),
+                     pa.array([r.tobytes() for r in regs], type=pa.binary())],
+                    names=["node", "n", "shingles", "bits", "regs"])
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, shingles array<long>, regs binary")
+    found = docs.select("text").mapInArrow(run, "node long, n long, shingles array<long>, bits array<long>, regs binary")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -226,18 +239,21 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hooks a node to its smallest neighbour (a forest, as that is smaller), flattens the
     forest by pointer jumping, and maps the links to the roots; about log(n) rounds of log(n) jumps.
+    The number of tasks follows the number of links, so that small graphs don't pay for empty tasks.
     """
     def tidy(df):
-        return (df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-                .distinct().checkpoint())
-
-    links, labels = tidy(links), None
-    while not links.isEmpty():
-        parent = links.groupBy("a").agg(F.min("b").alias("p")).checkpoint()
+        return df.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
+
+    links, labels = tidy(links).checkpoint(), None
+    left = links.count()
+    tasks = 1 + left // LINKS_PER_TASK
+    links = links.coalesce(tasks)
+    while left:
+        parent = links.groupBy("a").agg(F.min("b").alias("p")).coalesce(tasks).checkpoint()
         while True:
             up = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
             jumped = parent.join(up, "p", "left").select(
-                "a", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")).checkpoint()
+                "a", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")).coalesce(tasks).checkpoint()
             parent = jumped.select("a", "p")
             if jumped.filter("moved").isEmpty():
                 break
@@ -247,11 +263,12 @@ def components(links: DataFrame) -> DataFrame:
         else:
             on = root.select(F.col("node").alias("label"), F.col("label").alias("top"))
             labels = labels.join(on, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
-            labels = labels.unionByName(root).checkpoint()
+            labels = labels.unionByName(root).coalesce(tasks).checkpoint()
         for c in ("a", "b"):
             to = parent.select(F.col("a").alias(c), F.col("p").alias("q"))
             links = links.join(to, c, "left").withColumn(c, F.coalesce("q", c)).drop("q")
-        links = tidy(links)
+        links = tidy(links).coalesce(tasks).checkpoint()
+        left = links.count()
     return labels if labels is not None else links.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
@@ -259,33 +276,63 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands:
     """(id, n_shingles, node, label) of (id, text): equal labels are one group; null node and label without a set."""
     ensure_checkpoint_dir(docs.sparkSession)
     sig = signatures(docs, width, bands, rows).checkpoint()
-    one = sig.filter("node is not null").select("node", "n_shingles", "keys").dropDuplicates(["node"])
-    band = one.select("node", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("pivot")).filter("m > 1")
-    member = band.join(shared.select("key", "pivot"), "key").checkpoint()
-    # 1. each member verifies the bucket minimum that it met most often
-    met = member.filter("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("c"))
-    first = (met.groupBy("node").agg(F.max(F.struct("c", -F.col("pivot"), "pivot")).alias("m"))
-             .select(F.col("node").alias("a"), F.col("m.pivot").alias("b")))
+    one = sig.filter("node is not null").select("node", "keys").dropDuplicates(["node"])
+    band = one.select("node", F.explode("keys").alias("key"))
+    shared = band.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # a node's weight: how many it meets in its (at most ``bands``) buckets
+    weight = F.sum("m").over(Window.partitionBy("node"))
+    member = band.join(shared, "key").select("key", "node", weight.alias("w")).checkpoint()
+    # 1. each member verifies one bucket centre, the heaviest node of a bucket: the one that it met most often
+    centre = member.groupBy("key").agg(F.max(F.struct("w", "node")).alias("c")).select("key", F.col("c.node").alias("centre"))
+    met = (member.select("key", "node").join(centre, "key").filter("node <> centre")
+           .groupBy("node", "centre").agg(F.count(F.lit(1)).alias("times")))
+    first = (met.groupBy("node").agg(F.max(F.struct("times", "centre")).alias("m"))
+             .select(F.col("node").alias("a"), F.col("m.centre").alias("b")))
     sets = sets_of(docs, member.select("node").distinct(), width, bands, rows).checkpoint()
     links = verified(first, sets, percent).checkpoint()
     labels = components(links)
     # 2. members of a bucket that do not have one label yet
-    own = F.coalesce("label", "node")
-    lab = member.select("key", "node", "n").join(labels, "node", "left").select("key", "node", "n", own.alias("label"))
-    mixed = lab.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-    lab = lab.join(mixed, "key").checkpoint()
-    a, b = (lab.select("key", *[F.col(c).alias(c + x) for c in ("node", "n", "label")]) for x in "ab")
-    size = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    rest = a.join(b, "key").filter((F.col("labela") < F.col("labelb")) & size).select(
-        F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct()
-    more = verified(rest, sets, percent)
+    lab = member.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = lab.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
+    lab = lab.join(mixed.filter("lo <> hi").select("key", "m"), "key").checkpoint()
+    more = verified(_candidates(lab.join(sets.select("node", "n", "bits"), "node"), percent).distinct(), sets, percent)
     # 3. join the labels over the links found last
     everything = components(links.unionByName(more))
     return (sig.select("id", "n_shingles", "node").join(everything, "node", "left")
             .select("id", "n_shingles", "node", F.coalesce("label", "node").alias("label")))
 
 
+def _candidates(lab: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of one bucket with different labels whose bit tables leave room for a link.
+
+    A bit of one set that the other lacks is a shingle that it lacks, so the common shingles are at most
+    the size less those bits. A bucket is cut into blocks of about ``BLOCK`` members; a pair of blocks is
+    compared as two matrices, and only what passes becomes a row.
+    """
+    number = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK)).alias("part")
+    block = lab.groupBy("key", number).agg(*[F.collect_list(c).alias(c) for c in ("node", "n", "label", "bits")])
+    a, b = (block.select("key", *[F.col(c).alias(c + x) for c in ("part", "node", "n", "label", "bits")]) for x in "ab")
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                side = []
+                for x in "ab":
+                    node, n, label = (batch.column(c + x)[i].values.to_numpy() for c in ("node", "n", "label"))
+                    bits = batch.column("bits" + x)[i].values.flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+                    side.append((node, n, label, np.unpackbits(bits.view(np.uint8), axis=1).astype(np.float32)))
+                (na_, n_a, la, x), (nb_, n_b, lb, y) = side
+                both = (x @ y.T).astype(np.int64)
+                most = np.minimum((n_a - x.sum(1).astype(np.int64))[:, None] + both, (n_b - y.sum(1).astype(np.int64))[None, :] + both)
+                ok = most * 100 >= (n_a[:, None] + n_b[None, :] - most) * percent
+                same = batch.column("parta")[i].as_py() == batch.column("partb")[i].as_py()
+                ok &= la[:, None] < lb[None, :] if same else la[:, None] != lb[None, :]
+                p, q = np.nonzero(ok)
+                yield pa.RecordBatch.from_arrays([pa.array(na_[p]), pa.array(nb_[q])], names=["a", "b"])
+
+    return a.join(b, "key").filter("parta <= partb").mapInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One row per document: its id, ``n_shingles``, ``component_id`` (the group's smallest id) and ``kept``."""
     part = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))

@@ -149,9 +149,9 @@ class TokenAutomaton:
 
     def first_pairs(self) -> set[tuple[str, str]]:
         out, start = set(), self.closed([0])
+        if self.accept in start or any(self.other[s] is not None for s in start):
+            raise ValueError("a template must begin with two mandatory words")
         for a in {w for s in start for w in self.on[s]}:
-            if any(self.other[s] is not None for s in start):
-                raise ValueError("a template must begin with two mandatory words")
             then = self.step(start, a)
             if self.accept in then or any(self.other[s] is not None for s in then):
                 raise ValueError("a template must begin with two mandatory words")

@@ -128,7 +128,7 @@ def _sql(pattern: str) -> str:
 OP10_SQL = f"""
 WITH p AS (SELECT row_number() OVER () AS r, page_id, {_HOST} AS host,
   list_filter(list_transform(string_split_regex(regexp_replace(coalesce(html, ''), {_sql(site_lines.HIDDEN)}, '', 'g'), {_sql(site_lines.BREAKS)}),
-    x -> trim(regexp_replace(regexp_replace(x, {_sql(site_lines.TAG)}, '', 'g'), {_sql(site_lines.SPACES)}, ' ', 'g'))), x -> x <> '') AS lines
+    lambda x: trim(regexp_replace(regexp_replace(x, {_sql(site_lines.TAG)}, '', 'g'), {_sql(site_lines.SPACES)}, ' ', 'g'))), lambda x: x <> '') AS lines
   FROM pages),
 l AS (SELECT r, page_id, host, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM p),
 c AS (SELECT host, line, count(DISTINCT r) AS n FROM l WHERE host <> '' GROUP BY 1, 2),
@@ -166,10 +166,10 @@ s AS (SELECT r, doc_id, w, coalesce(' ' || array_to_string(w, '  ') || ' ', '')
 x AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 n AS (SELECT r, i, word, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4 FROM x WINDOW o AS (PARTITION BY r ORDER BY i)),
 p(first, rest, k, label) AS (VALUES {_PHRASE_ROWS}),
-b AS (SELECT r, i - 1 AS at, label FROM n JOIN p ON word = first
+b AS (SELECT r, i - 1 AS pos, label FROM n JOIN p ON word = first
       AND rest = CASE k WHEN 2 THEN w2 WHEN 3 THEN w2 || ' ' || w3 ELSE w2 || ' ' || w3 || ' ' || w4 END),
-g AS (SELECT r, count(*) AS n_base, min(at) AS first_word, max(at) AS last_word, list(DISTINCT label) AS labels FROM b GROUP BY r),
-m AS (SELECT r, doc_id, w, list_filter([{_METHOD_LABELS}], x -> x IS NOT NULL) AS own FROM s)
+g AS (SELECT r, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list(DISTINCT label) AS labels FROM b GROUP BY r),
+m AS (SELECT r, doc_id, w, list_filter([{_METHOD_LABELS}], lambda x: x IS NOT NULL) AS own FROM s)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(array_to_string(list_sort(labels), ','), '') AS base_labels,

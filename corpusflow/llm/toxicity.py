@@ -6,11 +6,11 @@ three bytes, edge marks included, with gaps of up to two bytes each; every skipp
 weight. So a word with inserted characters still shares most features with the plain one. The kernel is
 the product of two units' (hashed) feature vectors, divided by the norms their lengths give.
 
-Model. From the labelled texts of training rows Spark counts, per word, toxic and other texts. Words that
-stand mostly in toxic texts are positive, others negative examples. ``landmarks`` of both kinds span the
-Nyström space, in which a linear SVM (hinge loss) is fitted; its weights fold back into one vector over
-the hashed features. A logistic link on a text's largest unit margin, the number of units above zero and
-the text's length gives the score.
+Model. From the labelled texts of training rows Spark counts, per word, the groups of toxic and of other
+texts that have it. Words that stand mostly in toxic texts are positive, others negative examples. ``landmarks`` of both kinds span the
+Nyström space, in which a linear SVM (squared hinge) is fitted; clean words with the largest margins join
+the examples and it is fitted again. Its weights fold back into one vector over the hashed features. A logistic link on a text's largest unit margin, the number of units near the SVM's
+margin and the text's length gives the score.
 
 Bounds. At most ``max_texts`` labelled rows (smallest hashes of their ids) train the model, at most
 ``max_words`` words of each kind are fetched. Every text is scored whole, in one scan without a shuffle.
@@ -31,15 +31,21 @@ from pyspark.sql import functions as F
 from corpusflow.llm import arrays as A
 from corpusflow.session import ensure_checkpoint_dir
 
-BITS = 16
+BITS = 15
 DECAY = 0.5
 GAP = 3  # largest step between two bytes of a subsequence
 WINDOW = 32
-LANDMARKS = 128
-MAX_TEXTS = 20_000
+LANDMARKS = 1024
+MINING = 2  # rounds in which the words of clean texts with the largest margins join the negative examples
+MAX_TEXTS = 10_000
 MAX_WORDS = 3000
 THRESHOLD = 0.7
+EVIDENCE = 20.0
+LEAST_BYTES = 3
+FLOOR = -3.0  # least margin, and that of a text without units
+HIT = 0.75  # margin of a unit that counts
 SEED = 7
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 _STEPS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 _NORM2 = np.array([sum(max(0, n - a - b) * w * w for a, b, w in _STEPS) for n in range(WINDOW + 3)])
@@ -116,44 +122,48 @@ def units_of(col: pa.Array):
     return buf, starts, ends, doc
 
 
+def unit_margins(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    """Margin of each unit (of ``WINDOW`` bytes at most); shorter than ``LEAST_BYTES`` it has too few features to judge."""
+    marked, unit, size = _marked(buf, starts, ends)
+    margin = np.zeros(len(starts))
+    for u, f, w in _subsequences(marked, unit):
+        margin += np.bincount(u, weights=weights[f] * w, minlength=len(starts))
+    margin = margin / np.sqrt(np.maximum(_NORM2[size], 1e-9)) + bias
+    return np.where(ends - starts >= LEAST_BYTES, margin, FLOOR)
+
+
 def text_features(col: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
-    """Per text: largest unit margin, log of the number of units with a positive one, log of the number of units."""
+    """Per text: largest unit margin, log of the number of units above ``HIT``, log of the number of units."""
     buf, starts, ends, doc = units_of(col)
     n = len(col)
     out = np.zeros((n, 3))
-    out[:, 0] = -3.0
+    out[:, 0] = FLOOR
     if not len(starts):
         return out
     _, first, which = np.unique(A.span_hashes(buf, starts, ends, lower=True), return_index=True, return_inverse=True)
-    marked, unit, size = _marked(buf, starts[first], ends[first])
-    margin = np.zeros(len(first))
-    for u, f, w in _subsequences(marked, unit):
-        margin += np.bincount(u, weights=weights[f] * w, minlength=len(first))
-    margin = (margin / np.sqrt(np.maximum(_NORM2[size], 1e-9)) + bias)[which]
-    top = np.full(n, -3.0)
-    np.maximum.at(top, doc, np.maximum(margin, -3.0))
+    margin = unit_margins(buf, starts[first], ends[first], weights, bias)[which]
+    top = np.full(n, FLOOR)
+    np.maximum.at(top, doc, np.maximum(margin, FLOOR))
     out[:, 0] = top
-    out[:, 1] = np.log1p(np.bincount(doc[margin > 0], minlength=n))
+    out[:, 1] = np.log1p(np.bincount(doc[margin > HIT], minlength=n))
     out[:, 2] = np.log1p(np.bincount(doc, minlength=n))
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 400, penalty: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Linear SVM by subgradient steps on the whole (bounded) set, averaged over the second half."""
-    w, b, sw, sb = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1]), 0.0
-    weight = weight / weight.sum()
-    for t in range(1, steps + 1):
-        active = weight * y * (y * (x @ w + b) < 1)
-        rate = 1.0 / (penalty * (t + 100))
-        w += rate * (x.T @ active - penalty * w)
-        b += min(rate, 10.0) * 0.1 * active.sum()
-        norm = np.linalg.norm(w) * np.sqrt(penalty)
-        if norm > 1:
-            w /= norm
-        if t > steps // 2:
-            sw += w
-            sb += b
-    return sw / (steps - steps // 2), sb / (steps - steps // 2)
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-5, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Linear SVM (squared hinge) by Newton steps: a ridge solution on the examples inside the margin."""
+    x1 = np.column_stack([x, np.ones(len(x))])
+    ridge = penalty * np.eye(x1.shape[1])
+    ridge[-1, -1] = 1e-9
+    w, active = np.zeros(x1.shape[1]), np.zeros(len(x), dtype=bool)
+    for _ in range(steps):
+        now = y * (x1 @ w) < 1
+        if (now == active).all():
+            break
+        active = now
+        xa, c = x1[active], weight[active]
+        w = np.linalg.solve((xa * c[:, None]).T @ xa + ridge, xa.T @ (c * y[active]))
+    return w[:-1], float(w[-1])
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
@@ -170,42 +180,73 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
     return w
 
 
+def _largest(words: DataFrame, weights: np.ndarray, bias: float, n: int) -> list:
+    """The ``n`` (w, q) with the largest margins."""
+    def run(batches):
+        for batch in batches:
+            buf, offs = A.text_bytes(batch.column("w"))
+            if batch.num_rows:
+                m = unit_margins(buf, offs[:-1], offs[1:], weights, bias)
+                yield pa.RecordBatch.from_arrays([batch.column("w"), batch.column("q"), pa.array(np.round(m, 9))], names=["w", "q", "m"])
+
+    return words.mapInArrow(run, "w string, q long, m double").orderBy(F.desc("m"), "w").limit(n).collect()
+
+
 def fit(train: DataFrame, landmarks: int = LANDMARKS, max_words: int = MAX_WORDS) -> dict:
     """Model from a bounded table (text, toxic): hashed feature weights, bias and the link's weights."""
     ensure_checkpoint_dir(train.sparkSession)
     t = train.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("toxic").cast("int").alias("y"))
-    t = t.filter("y is not null").checkpoint()
+    words = F.filter(F.split(F.translate("text", _UPPER, _UPPER.lower()), r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    t = t.filter("y is not null").withColumn("ws", words).checkpoint()  # the bounded table, its words cut once
     n, pos = t.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     share = pos / n if n else 0.0
     empty = {"weights": np.zeros(1 << BITS), "bias": 0.0, "link": np.zeros(4), "share": share}
     if not n or pos in (0, n):
         return empty
-    word = t.select("y", F.explode(F.array_distinct(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"))).alias("w"))
-    count = word.filter((F.col("w") != "") & (F.octet_length("w") <= WINDOW)).groupBy("w").agg(
-        F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).checkpoint()
+    # a word counts once for each group of texts with one smallest word-pair hash: most copies, near ones too, count once
+    pair = F.transform("ws", lambda w, i: F.xxhash64(w, F.get("ws", i + 1)))
+    t = t.withColumn("group", F.array_min(pair))
+    word = (t.select("y", "group", F.explode(F.array_distinct("ws")).alias("w")).filter(F.octet_length("w").between(LEAST_BYTES, WINDOW)).distinct())
+    count = word.groupBy("w").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q")).checkpoint()
+    groups = t.filter("group IS NOT NULL").select("y", "group").distinct().groupBy("y").count().collect()
+    pos, neg = (sum(r["count"] for r in groups if r["y"] == y) for y in (1, 0))
+    n = pos + neg
     ratio = (F.col("p") + 0.5) / (pos + 1.0) / ((F.col("q") + 0.5) / (n - pos + 1.0))
-    good = (count.filter((F.col("p") >= 2) & (ratio >= 6)).withColumn("s", F.round(F.col("p") * F.log(ratio), 6))
+    # half the likelihood-ratio statistic: past EVIDENCE not one word in a billion gets there by chance
+    good = (count.withColumn("s", F.round(F.col("p") * F.log(ratio), 6)).filter((ratio > 1) & (F.col("s") >= EVIDENCE))
             .orderBy(F.desc("s"), "w").limit(max_words).collect())
-    bad = (count.filter((F.col("q") >= 1) & (ratio <= 2)).withColumn("s", F.xxhash64("w"))
-           .orderBy("s", "w").limit(max_words // 2).collect())
-    bad += (count.filter((F.col("q") >= 1) & (ratio <= 2)).orderBy(F.desc("q"), "w").limit(max_words // 2).collect())
+    clean = count.filter((F.col("q") >= 1) & (ratio <= 2)).select("w", "q")
+    bad = clean.withColumn("s", F.xxhash64("w")).orderBy("s", "w").limit(max_words // 2).collect()
+    bad += clean.orderBy(F.desc("q"), "w").limit(max_words // 2).collect()
     if not good or not bad:
         return empty
-    words = [r["w"].encode() for r in (*good, *bad)]
-    y = np.array([1.0] * len(good) + [-1.0] * len(bad))
-    weight = np.array([float(r["p"]) for r in good] + [np.log1p(float(r["q"])) for r in bad])
-    weight[y > 0] /= weight[y > 0].sum()
-    weight[y < 0] /= weight[y < 0].sum()
     half = landmarks // 2
-    far = np.linspace(len(good), len(words) - 1, min(half, len(bad))).astype(int)
-    marks = vectors([words[i] for i in (*range(min(half, len(good))), *far)])
-    kernel = marks @ marks.T
-    value, vector = np.linalg.eigh(kernel.astype(np.float64))
+    spread = [np.unique(np.linspace(0, len(x) - 1, min(half, len(x))).astype(int)) for x in (good, bad)]
+    marks = vectors([x[i]["w"].encode() for x, at in zip((good, bad), spread) for i in at])
+    value, vector = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
-    z = np.concatenate([vectors(words[i:i + 500]) @ marks.T for i in range(0, len(words), 500)]).astype(np.float64) @ root
-    w, bias = _svm(z, y, weight)
-    weights = (marks.T @ (root @ w).astype(np.float32)).astype(np.float64)
+
+    def mapped(words: list[str]) -> np.ndarray:
+        """Nyström coordinates."""
+        parts = [vectors([w.encode() for w in words[i:i + 250]]) @ marks.T for i in range(0, len(words), 250)]
+        return np.concatenate(parts).astype(np.float64) @ root
+
+    z_good = mapped([r["w"] for r in good])
+    p = np.array([float(r["p"]) for r in good])
+    z_bad, q, taken = mapped([r["w"] for r in bad]), np.array([float(r["q"]) for r in bad]), {r["w"] for r in bad}
+    for left in range(MINING, -1, -1):
+        weight = np.concatenate([np.sqrt(p) / np.sqrt(p).sum(), np.sqrt(q) / np.sqrt(q).sum()])
+        y = np.concatenate([np.ones(len(p)), -np.ones(len(q))])
+        w, bias = _svm(np.concatenate([z_good, z_bad]), y, weight)
+        weights = (marks.T @ (root @ w).astype(np.float32)).astype(np.float64)
+        if left:
+            hard = [r for r in _largest(clean, weights, bias, max_words // 2) if r["w"] not in taken]
+            if not hard:
+                break
+            taken |= {r["w"] for r in hard}
+            z_bad = np.concatenate([z_bad, mapped([r["w"] for r in hard])])
+            q = np.concatenate([q, [float(r["q"]) for r in hard]])
 
     def link_rows(batches):
         for batch in batches:
@@ -214,7 +255,7 @@ def fit(train: DataFrame, landmarks: int = LANDMARKS, max_words: int = MAX_WORDS
                 yield pa.RecordBatch.from_arrays([*(pa.array(f[:, j]) for j in range(3)), rb.column("y")],
                                                  names=["a", "b", "c", "y"])
 
-    got = t.mapInArrow(link_rows, "a double, b double, c double, y int").orderBy("a", "b", "c", "y").toArrow()
+    got = t.select("text", "y").mapInArrow(link_rows, "a double, b double, c double, y int").orderBy("a", "b", "c", "y").toArrow()
     x = np.column_stack([got[c].to_numpy() for c in "abc"])
     return {"weights": weights, "bias": bias, "link": _logistic(x, got["y"].to_numpy().astype(float)), "share": share}
 

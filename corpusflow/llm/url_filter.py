@@ -56,7 +56,7 @@ def features(host: Column, path: Column, n_features: int = N_FEATURES, gram: int
 
 def margin(f: Column, weights: Sequence[float], bias: float) -> Column:
     """Bias and weights of the features; equal for equal features, as they are summed in order."""
-    w = F.lit(list(map(float, weights)))
+    w = F.split(F.lit(",".join(map(repr, map(float, weights)))), ",").cast("array<double>")  # folded to one literal
     total = F.aggregate(f, F.lit(0.0), lambda acc, i: acc + F.element_at(w, i))
     return F.lit(float(bias)) + total / F.sqrt(F.size(f))
 

@@ -23,6 +23,7 @@ def no_docs(odd_docs):
     return odd_docs.filter("false")
 
 
-def rows_of(df):
-    """Rows in a comparable order."""
-    return sorted((json.dumps(r.asDict(True), sort_keys=True, default=str) for r in df.collect()))
+@pytest.fixture(scope="session")
+def rows_of():
+    """Rows of a frame in a comparable order."""
+    return lambda df: sorted(json.dumps(r.asDict(True), sort_keys=True, default=str) for r in df.collect())

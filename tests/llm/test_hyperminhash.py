@@ -8,8 +8,6 @@ import pytest
 
 from corpusflow.llm import hyperminhash as H
 
-from .conftest import rows_of
-
 
 def brute(rows):
     """id -> (set size, smallest id reachable), over all pairs."""
@@ -66,7 +64,7 @@ def test_planted_chains_and_copies(spark):
     _check(spark, rows)
 
 
-def test_odd_rows(spark, odd_docs, no_docs):
+def test_odd_rows(spark, odd_docs, no_docs, rows_of):
     rows = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     got = H.near_duplicates(odd_docs)
     assert sorted(str((r[0], r[1], r[2])) for r in got.collect()) == sorted(map(str, brute(rows)))

@@ -7,8 +7,6 @@ import pytest
 
 from corpusflow.llm import mixing as M
 
-from .conftest import rows_of
-
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -73,7 +71,7 @@ def test_hot_length_is_ranked_in_buckets(spark, monkeypatch):
         assert abs(g.taken.sum() - g.target.iloc[0]) <= 3
 
 
-def test_given_weights_and_odd_rows(spark, odd_docs, no_docs):
+def test_given_weights_and_odd_rows(spark, odd_docs, no_docs, rows_of):
     got = M.mix_table(odd_docs).toPandas()
     texts = odd_docs.select("text").toPandas().text
     assert sorted(got["size"]) == sorted(len(WORD.findall(t or "")) for t in texts)

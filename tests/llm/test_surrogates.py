@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from corpusflow.llm import surrogates as S
 
-from .conftest import rows_of
-
 TEXTS = {
     1: "Mail anna.b@mail3.example.com or ANNA.B@MAIL3.EXAMPLE.COM, call +1 (716) 555-8176, host 10.20.30.40.",
     2: "again anna.b@mail3.example.com from 10.20.30.40 and 10.20.30.41, version 1.2.3",
@@ -86,7 +84,7 @@ def test_corpus_is_consistent(spark, sf):
     assert len(set((k[0], v) for k, v in back.items())) == len(back)
 
 
-def test_native_plan_and_odd_rows(spark, odd_docs, no_docs):
+def test_native_plan_and_odd_rows(spark, odd_docs, no_docs, rows_of):
     out = S.replace_pii(odd_docs)
     assert rows_of(out.drop("n_entities", "entity_types")) == rows_of(odd_docs)
     assert out.filter("n_entities <> 0").count() == 0 and S.replace_pii(no_docs).count() == 0

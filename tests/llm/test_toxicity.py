@@ -42,8 +42,8 @@ def test_text_margins_match_unit_vectors():
              [b"z" * 32] * 5 + [b"z" * 20]]
     got = X.text_features(pa.array(texts), w, 0.1)
     for g, us in zip(got, units):
-        m = [X.vectors([u])[0] @ w + 0.1 for u in us]
-        assert g[0] == pytest.approx(max([max(x, -3.0) for x in m], default=-3.0), abs=1e-3)
+        m = [X.vectors([u])[0] @ w + 0.1 for u in us if len(u) >= X.LEAST_BYTES]
+        assert g[0] == pytest.approx(max([max(x, X.FLOOR) for x in m], default=X.FLOOR), abs=1e-3)
         assert g[2] == pytest.approx(np.log1p(len(us)), abs=0.2)
 
 
@@ -57,7 +57,8 @@ def test_held_out_accuracy(spark, sf):
     x = x[x.held_out]
     pos, neg = x[x.toxic == 1].score.to_numpy(), x[x.toxic == 0].score.to_numpy()
     auc = (pos[:, None] > neg[None, :]).mean() + 0.5 * (pos[:, None] == neg[None, :]).mean()
-    assert auc > 0.9 and (neg >= 0.7).mean() < 0.05
+    # some toxic texts of the fixture hold no insult at all
+    assert auc > 0.85 and (neg >= 0.7).mean() < 0.02 and (pos >= 0.7).mean() > 0.6
 
 
 def test_labels_of_held_out_rows_do_not_matter(spark, sf):
