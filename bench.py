@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from corpusflow.queries.registry import load_all  # noqa: E402
 from corpusflow.session import build_session  # noqa: E402
+from corpusflow.sources.tables import TEXT_PARTITIONS  # noqa: E402
 
 HEADLINE = [
     "facet_stats", "incremental_stats", "revenue_totals", "many_items_on_one_day", "multi_table_join",
@@ -27,6 +28,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    spark.conf.set(TEXT_PARTITIONS, str(cpus))  # the fixture's text tables are one row group each
     reg = load_all()
     # warm the JVM (code generation, JIT) and the Python workers once, on the smallest tables
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")

@@ -124,6 +124,9 @@ def incremental_stats(messages: DataFrame, stored: DataFrame, spans: Sequence[st
     bounds = (stored.filter((F.col("type") == type_) & (F.col("field") == field))
               .groupBy("span").agg(F.max("at").alias("_from")))
     base = messages.select(F.col("created_at").cast("timestamp").alias("_ts"), "user_id", "session_id")
+    # history before the lowest bound goes before rows are expanded (one scalar; none if a span has no bound)
+    lowest = bounds.agg(F.when(F.count(F.lit(1)) == len(spans), F.min("_from")).alias("low"))
+    base = base.filter(F.col("_ts") >= F.coalesce(lowest.scalar(), F.lit("1970-01-01 00:00:00").cast("timestamp")))
     expanded = base.select("*", F.explode(F.array(*[F.lit(s) for s in spans])).alias("span"))
     kept = (expanded.join(F.broadcast(bounds), "span", "left")
             .filter(F.col("_ts") >= F.coalesce(F.col("_from"), F.lit("1970-01-01 00:00:00").cast("timestamp"))))

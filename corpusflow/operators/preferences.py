@@ -1,5 +1,7 @@
 """Preference and feedback data (group N) and evaluation metrics (group O)."""
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,46 +57,43 @@ def rouge_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(col_(text)), F.lit("[a-z0-9]+"), 0)
 
 
-def ngrams(toks: Column, n: int) -> Column:
-    """Space-joined n-grams, built by zipping n shifted slices (no lambda reads the outer array per element)."""
-    if n == 1:
-        return toks
-    shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))) for k in range(n)]
-    z = F.arrays_zip(*[s.alias(f"t{k}") for k, s in enumerate(shifted)])
-    return F.transform(F.filter(z, lambda e: e[f"t{n - 1}"].isNotNull()), lambda e: F.concat_ws(" ", *[e[f"t{k}"] for k in range(n)]))
-
+def _overlap(pred: list, ref: list, n: int) -> tuple[int, int, int]:
+    """Common n-grams (the smaller count of each), n-grams of the prediction, of the reference."""
+    p, r = (Counter(zip(*[x[k:] for k in range(n)])) for x in (pred, ref))
+    return sum((p & r).values()), sum(p.values()), sum(r.values())
 
-def ngram_keys(toks: Column, n: int) -> Column:
-    """64-bit keys of the n-grams (xxhash64 of the n tokens): grouping on longs, no n-gram strings built."""
-    shifted = [F.slice(toks, k + 1, F.greatest(F.size(toks) - k, F.lit(0))) for k in range(n)]
-    z = F.arrays_zip(*[s.alias(f"t{k}") for k, s in enumerate(shifted)])
-    return F.transform(F.filter(z, lambda e: e[f"t{n - 1}"].isNotNull()), lambda e: F.xxhash64(*[e[f"t{k}"] for k in range(n)]))
 
+def rouge_wide(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
+    """Per row ROUGE-n precision_n / recall_n / f1_n for every n in ``ns`` from multiset n-gram overlap.
 
-def _tagger(n: int, side: str):
-    return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("s"), g.alias("g"))
+    Both sides stand in one row, so the counts are made there, per Arrow batch of token lists: no shuffle.
+    """
+    import pyarrow as pa
 
+    ns = tuple(ns)
+    fields = [f"{x}_{n}" for n in ns for x in ("ov", "np", "nr")]
 
-def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
-    """Per row ROUGE-n precision / recall / F1 for every n in ``ns`` from multiset n-gram overlap.
+    @F.arrow_udf("struct<" + ", ".join(f"{f}: long" for f in fields) + ">")
+    def counts(p: pa.Array, r: pa.Array) -> pa.Array:
+        rows = [[v for n in ns for v in _overlap(x or [], y or [], n)] for x, y in zip(p.to_pylist(), r.to_pylist())]
+        cols = list(zip(*rows)) or [()] * len(fields)
+        return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=fields)
 
-    Tokens are computed once; the n-grams of both sides and all n are exploded in one pass as 64-bit
-    keys, tagged with their side, and counted per (row, n, gram); overlap = sum of the smaller count.  A marker
-    element per (row, n) keeps rows without n-grams.  No per-row quadratic work, no cross product.
-    """
-    toks = df.select(key, rouge_tokens(pred).alias("_pt"), rouge_tokens(ref).alias("_rt"))
-    parts = []
+    x = df.select(key, counts(rouge_tokens(pred), rouge_tokens(ref)).alias("c")).select(key, "c.*")
+    out = []
     for n in ns:
-        for side, col in (("p", "_pt"), ("r", "_rt")):
-            parts.append(F.transform(ngram_keys(F.col(col), n), _tagger(n, side)))
-        parts.append(F.array(F.struct(F.lit(n).alias("n"), F.lit("x").alias("s"), F.lit(None).cast("bigint").alias("g"))))
-    ex = toks.select(key, F.explode(F.concat(*parts)).alias("e")).select(key, "e.n", "e.s", "e.g")
-    per_gram = ex.groupBy(key, "n", "g").agg(F.count(F.when(F.col("s") == "p", 1)).alias("cp"), F.count(F.when(F.col("s") == "r", 1)).alias("cr"))
-    per_row = per_gram.groupBy(key, "n").agg(F.sum(F.least("cp", "cr")).alias("ov"), F.sum("cp").alias("np"), F.sum("cr").alias("nr"))
-    p = F.when(F.col("np") > 0, F.col("ov") / F.col("np")).otherwise(F.lit(0.0))
-    r = F.when(F.col("nr") > 0, F.col("ov") / F.col("nr")).otherwise(F.lit(0.0))
-    f = F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return per_row.select(key, "n", p.alias("precision"), r.alias("recall"), f.alias("f1"))
+        p = F.when(F.col(f"np_{n}") > 0, F.col(f"ov_{n}") / F.col(f"np_{n}")).otherwise(F.lit(0.0))
+        r = F.when(F.col(f"nr_{n}") > 0, F.col(f"ov_{n}") / F.col(f"nr_{n}")).otherwise(F.lit(0.0))
+        f = F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+        out += [p.alias(f"precision_{n}"), r.alias(f"recall_{n}"), f.alias(f"f1_{n}")]
+    return x.select(key, *out)
+
+
+def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
+    """The same with a row per ``n``: (key, n, precision, recall, f1)."""
+    w = rouge_wide(df, key, pred, ref, ns)
+    each = [F.struct(F.lit(n).alias("n"), *[F.col(f"{c}_{n}").alias(c) for c in ("precision", "recall", "f1")]) for n in ns]
+    return w.select(key, F.inline(F.array(*each)))
 
 
 def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
@@ -102,6 +101,64 @@ def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
     return rouge_scores(df, key, pred, ref, (n,)).drop("n")
 
 
+def _lcs_places(a: list, b: list) -> set[int]:
+    """Places in ``a`` of one longest common subsequence with ``b``."""
+    table = [[0] * (len(b) + 1)]
+    for x in a:
+        last = table[-1]
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
+        table.append(row)
+    i, j, out = len(a), len(b), set()
+    while i and j:
+        if a[i - 1] == b[j - 1]:
+            out.add(i - 1)
+            i, j = i - 1, j - 1
+        elif table[i - 1][j] >= table[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return out
+
+
+def union_lcs(pred: list[list], ref: list[list]) -> int:
+    """ROUGE-Lsum hits: per reference sentence the union of its LCS places with every predicted sentence,
+    each token counted at most as often as both sides have it."""
+    left, right = (Counter(t for s in x for t in s) for x in (pred, ref))
+    hits = 0
+    for r in ref:
+        places = set().union(*[_lcs_places(r, p) for p in pred]) if pred else set()
+        for i in sorted(places):
+            if left[r[i]] > 0 and right[r[i]] > 0:
+                hits += 1
+                left[r[i]] -= 1
+                right[r[i]] -= 1
+    return hits
+
+
+def rouge_lsum(df: DataFrame, key: str, pred: str, ref: str) -> DataFrame:
+    """ROUGE-Lsum precision / recall / F1 per row; sentences are the text's lines."""
+    import pandas as pd
+
+    @F.pandas_udf("struct<hits: long, np: long, nr: long>")
+    def hits_udf(p: pd.Series, r: pd.Series) -> pd.DataFrame:
+        rows = []
+        for x, y in zip(p, r):
+            a, b = [list(s) for s in x], [list(s) for s in y]
+            rows.append((union_lcs(a, b), sum(map(len, a)), sum(map(len, b))))
+        return pd.DataFrame(rows, columns=["hits", "np", "nr"])
+
+    def lines(c):
+        return F.transform(F.split(F.coalesce(F.col(c), F.lit("")), "\n", -1), rouge_tokens)
+
+    x = df.select(key, hits_udf(lines(pred), lines(ref)).alias("l"))
+    p = F.when(F.col("l.np") > 0, F.col("l.hits") / F.col("l.np")).otherwise(F.lit(0.0))
+    r = F.when(F.col("l.nr") > 0, F.col("l.hits") / F.col("l.nr")).otherwise(F.lit(0.0))
+    f = F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    return x.select(key, F.col("l.hits").alias("hits"), p.alias("precision"), r.alias("recall"), f.alias("f1"))
+
+
 def lcs_length(a: list, b: list) -> int:
     """Longest common subsequence length, bit-parallel (Hyyro): O(len(a) * len(b) / word) on whole texts."""
     if not a or not b:

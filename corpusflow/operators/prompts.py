@@ -135,10 +135,11 @@ def render_messages(messages: Column, template: Mapping[str, tuple[str, str]]) -
     return F.array_join(F.transform(messages, one), "")
 
 
-def guard_prompt(conversation: Column, role: str = "User", categories: Sequence[str] = GUARD_CATEGORIES) -> Column:
+def guard_prompt(conversation: Column, role: str = "User", categories: Sequence[str] = GUARD_CATEGORIES, policy: str | None = None) -> Column:
+    """Safety prompt; ``policy`` replaces the block of category names by the caller's own text."""
     task = (f"Task: Check if there is unsafe content in '{role}' messages in conversations "
             "according our safety policy with the below categories.")
-    policy = "<BEGIN UNSAFE CONTENT CATEGORIES>\n" + "\n".join(categories) + "\n<END UNSAFE CONTENT CATEGORIES>"
+    policy = "<BEGIN UNSAFE CONTENT CATEGORIES>\n" + (policy or "\n".join(categories)) + "\n<END UNSAFE CONTENT CATEGORIES>"
     fmt = (f"Provide your safety assessment for '{role}' in the above conversation:\n"
            "- First line must read 'safe' or 'unsafe'.\n"
            "- If unsafe, a second line must include a comma-separated list of violated categories.")

@@ -30,28 +30,42 @@ def revenue_extremes(sales: DataFrame) -> DataFrame:
 
 
 def sales_report(sales: DataFrame) -> DataFrame:
-    """Total revenue, best product, best date and revenue per month as (metric, key, value) rows."""
-    tot = revenue_totals(sales)
-    ext = revenue_extremes(sales)
-    rows = (tot.filter(F.col("level") != "product")
-            .select(F.when(F.col("level") == "total", "total_revenue").otherwise("month_revenue").alias("metric"),
-                    F.col("month").alias("key"), F.col("revenue").alias("value")))
-    best = ext.select(F.explode(F.array(
-        F.struct(F.lit("best_product").alias("metric"), F.col("best_product").cast("string").alias("key"), F.col("best_product_revenue").alias("value")),
-        F.struct(F.lit("best_date").alias("metric"), F.col("best_date").alias("key"), F.col("best_date_revenue").alias("value")))).alias("r")).select("r.*")
-    return rows.unionByName(best)
+    """Total revenue, best product, best date and revenue per month as (metric, key, value) rows.
+
+    One grouping-sets pass over the facts gives all four levels; the two best rows come from its
+    (already aggregated) products and days as partial maxima.
+    """
+    s = sales.withColumn("month", F.date_format("date", "yyyy-MM"))
+    g = (s.groupingSets([[], ["product_id"], ["date"], ["month"]], "product_id", "date", "month")
+         .agg(F.sum("revenue").cast("double").alias("revenue"), F.grouping_id().alias("_g")))
+    # grouping_id bits: product 4, date 2, month 1 (1 = rolled up)
+    level = F.when(F.col("_g") == 3, "best_product").when(F.col("_g") == 5, "best_date").when(F.col("_g") == 6, "month_revenue").otherwise("total_revenue")
+    key = F.coalesce(F.col("product_id").cast("string"), F.date_format("date", "yyyy-MM-dd"), F.col("month"))
+    # ties go to the smaller product or the earlier day
+    tie = F.coalesce(-F.col("product_id"), -F.datediff("date", F.lit("1970-01-01")).cast("bigint"), F.lit(0).cast("bigint"))
+    rows = g.select(level.alias("metric"), key.alias("key"), F.round("revenue", 6).alias("value"), "revenue", tie.alias("tie"))
+    rows = rows.withColumn("of", F.when(F.col("metric") == "month_revenue", F.col("key")))
+    return (rows.groupBy("metric", "of").agg(F.max(F.struct("revenue", "tie", "key", "value")).alias("m"))
+            .select("metric", "m.key", "m.value"))
+
+
+def _year(date: str, year: int):
+    """A range on the date, which reaches the scan (a call of year() does not)."""
+    return (F.col(date) >= F.lit(f"{year}-01-01")) & (F.col(date) < F.lit(f"{year + 1}-01-01"))
 
 
 def top_products(line_sales: DataFrame, part: DataFrame, year: int, k: int = 5) -> DataFrame:
     """Top k products by total sales in a year (the limit is the feature: a top-k report)."""
-    y = line_sales.filter(F.year("date") == year).groupBy("product_id").agg(F.sum("sales").cast("double").alias("total_sales"))
-    named = y.join(part.select(F.col("p_partkey").alias("product_id"), "p_name"), "product_id")
-    return named.orderBy(F.desc("total_sales"), "product_id").limit(k)
+    y = line_sales.filter(_year("date", year)).groupBy("product_id").agg(F.sum("sales").cast("double").alias("total_sales"))
+    known = y.join(part.select(F.col("p_partkey").alias("product_id")), "product_id", "left_semi")
+    top = known.orderBy(F.desc("total_sales"), "product_id").limit(k)
+    return (F.broadcast(top).join(part.select(F.col("p_partkey").alias("product_id"), "p_name"), "product_id")  # k rows
+            .orderBy(F.desc("total_sales"), "product_id"))
 
 
 def monthly_average(line_sales: DataFrame, year: int) -> DataFrame:
     """Average sale per month of a year."""
-    return (line_sales.filter(F.year("date") == year)
+    return (line_sales.filter(_year("date", year))
             .groupBy(F.date_format("date", "yyyy-MM").alias("month"))
             .agg((F.sum("sales").cast("double") / F.count(F.lit(1))).alias("avg_sales")))
 
@@ -60,11 +74,12 @@ def many_items_on_one_day(customer, orders, lineitem, part, min_distinct: int =
     """Patients (customers) given more than ``min_distinct`` different medications (parts) on one date."""
     j = (lineitem.select("l_orderkey", "l_partkey")
          .join(orders.select("o_orderkey", "o_custkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
-         .join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey")))
-    return (j.groupBy("c_custkey", "c_name", F.to_date("o_orderdate").alias("date"))
-            .agg(F.countDistinct("p_partkey").alias("n_medications"))
+         .join(part.select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi"))
+    many = (j.groupBy("o_custkey", F.to_date("o_orderdate").alias("date"))
+            .agg(F.countDistinct("l_partkey").alias("n_medications"))
             .filter(F.col("n_medications") > min_distinct))
+    return (many.join(customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+            .select("c_custkey", "c_name", "date", "n_medications"))
 
 
 def stock_questions(prices: DataFrame, ticker: str, ts: str, price: str, order: str) -> DataFrame:

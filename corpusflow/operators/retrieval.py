@@ -1,10 +1,9 @@
 """Exact and approximate vector retrieval (group H).
 
-Plan of an exact search: the query set is small and broadcast (behind a row-count
-guard); every corpus partition scores its rows against all queries with array
-expressions; ``row_number() <= k`` per query is planned as a window group limit, so
-each task keeps only k rows per query before the shuffle.  The corpus is never
-sorted globally and never leaves its partition except for those k rows per task.
+Plan of an exact search: the query set is taken in blocks of bounded size; every corpus
+task multiplies its Arrow batches with the block's matrix and keeps k rows per query.
+The corpus is never sorted globally and never leaves its partition except for those k
+rows per task, which a window merges.
 Metadata filters are plain predicates on the corpus, pushed into the scan.
 """
 
@@ -14,37 +13,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from corpusflow.functions.vectors import dot, sq_l2
+from corpusflow.functions.vectors import dot
 from corpusflow.operators.joins import guard_rows
 
-MAX_QUERIES = 10_000  # query vectors held in one broadcast row
+BLOCK_QUERIES = 2_000  # query vectors in one broadcast block
 
 
-def score_pairs(queries: DataFrame, corpus: DataFrame, metric: str = "dot", qvec: str = "qv", cvec: str = "cv",
-                qid: str = "query_id") -> DataFrame:
-    """Score every corpus row against the query set.
-
-    The query set is folded into one array row (its size is guarded), attached to each
-    corpus row as a broadcast scalar, and scored with array expressions inside the row:
-    the corpus is read once, in place, and never joined with itself or shuffled.
-    """
-    qcols = [c for c in queries.columns if c != qvec]
-    qarr = guard_rows(queries, MAX_QUERIES, "query set").agg(
-        F.collect_list(F.struct(*[F.col(c) for c in qcols], F.col(qvec).alias("_qv"))).alias("_qs"))
-    x = corpus.crossJoin(F.broadcast(qarr))
-    if metric == "dot":
-        fn = lambda q: dot(q["_qv"], cvec)
-    elif metric == "ip_distance":
-        fn = lambda q: F.lit(1.0) - dot(q["_qv"], cvec)
-    elif metric == "l2":
-        fn = lambda q: sq_l2(q["_qv"], cvec)
-    else:
-        raise ValueError(metric)
-    keep = [c for c in corpus.columns if c != cvec]
-    scored = x.select(*keep, F.explode(F.transform("_qs", lambda q: F.struct(*[q[c].alias(c) for c in qcols], fn(q).alias("_s")))).alias("_e"))
-    # query vectors and corpus vectors are dropped once scored: only ids, metadata and the score move on
-    return scored.select(*keep, *[F.col("_e")[c].alias(c) for c in qcols], F.col("_e._s").alias("score"))
+def _query_blocks(queries: DataFrame, size: int):
+    """The query set as lists of rows, ``size`` each (the set is collected a block at a time)."""
+    n = queries.count()
+    blocks = max(1, -(-n // size))
+    for b in range(blocks):
+        part = queries if blocks == 1 else queries.filter(F.pmod(F.xxhash64(*queries.columns), F.lit(blocks)) == b)
+        rows = part.collect()
+        if rows:
+            yield rows
 
 
 def _ascending(metric: str) -> bool:
@@ -52,16 +37,108 @@ def _ascending(metric: str) -> bool:
 
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "dot", qid: str = "query_id", cid: str = "item_id",
-        where: Mapping[str, object] | None = None) -> DataFrame:
-    """Top-k corpus rows per query; ``where`` filters corpus metadata first (pre-filter: k rows whenever k exist)."""
+        where: Mapping[str, object] | None = None, block: int = BLOCK_QUERIES) -> DataFrame:
+    """Top-k corpus rows per query; ``where`` filters corpus metadata first (pre-filter: k rows whenever k exist).
+
+    The queries are taken in blocks of ``block``; a task multiplies each Arrow batch of the corpus with the block's
+    matrix and keeps its k best rows per query, so no row per pair is made, and at most tasks x queries x k rows
+    are shuffled for the merge.
+    """
+    if metric not in ("dot", "ip_distance", "l2"):
+        raise ValueError(metric)
     if where:
         for c, v in where.items():
             corpus = corpus.filter(F.col(c) == v)
-    scored = score_pairs(queries, corpus, metric, qid=qid)
+    if "cv" not in corpus.columns or "qv" not in queries.columns:
+        raise ValueError("queries need a column qv, the corpus a column cv")
+    keep = [c for c in corpus.columns if c != "cv"]
+    qcols = [c for c in queries.columns if c != "qv"]
+    up = _ascending(metric)
+    schema = StructType([*[corpus.schema[c] for c in keep], StructField("_q", LongType()), StructField("score", DoubleType())])
+    found = None
+    for rows in _query_blocks(queries, block):
+        shared = corpus.sparkSession.sparkContext.broadcast([list(r["qv"]) for r in rows])  # a block: bounded
+
+        def best(batches, shared=shared):
+            return _task_top_k(batches, shared.value, keep, metric, up, cid, k)
+
+        names = corpus.sparkSession.createDataFrame([(i, *[r[c] for c in qcols]) for i, r in enumerate(rows)],
+                                                    StructType([StructField("_q", LongType()), *[queries.schema[c] for c in qcols]]))
+        part = corpus.select(*keep, "cv").mapInArrow(best, schema).join(F.broadcast(names), "_q").drop("_q")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = corpus.sparkSession.createDataFrame([], StructType([*schema.fields[:-2], *[queries.schema[c] for c in qcols], schema.fields[-1]]))
     # scores are ranked at 9 decimals so float summation noise cannot reorder exact ties; ids break ties
-    order = F.round("score", 9).asc() if _ascending(metric) else F.round("score", 9).desc()
+    order = F.round("score", 9).asc() if up else F.round("score", 9).desc()
     w = Window.partitionBy(qid).orderBy(order, F.col(cid))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return (found.select(*keep, *qcols, "score").withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+
+
+def _task_top_k(batches, queries: list, keep: list[str], metric: str, up: bool, cid: str, k: int):
+    """Arrow batches of (keep, cv) -> the k best rows per query of this task, with ``_q`` and ``score``."""
+    import numpy as np
+    import pyarrow as pa
+
+    q = np.array(queries, dtype=np.float64)
+    kept = None
+    for batch in batches:
+        vec = batch.column("cv")
+        c = np.array(vec.to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1)
+        if not len(c):
+            continue
+        score = q @ c.T
+        if metric == "ip_distance":
+            score = 1.0 - score
+        elif metric == "l2":
+            score = np.maximum((q * q).sum(1)[:, None] - 2 * score + (c * c).sum(1)[None, :], 0.0)
+        order = np.round(score if up else -score, 9)
+        # rows within the k best of this batch, ties included
+        cut = np.partition(order, min(k, order.shape[1]) - 1, axis=1)[:, min(k, order.shape[1]) - 1]
+        qi, ci = np.nonzero(order <= cut[:, None])
+        part = pa.table([*[batch.column(n).take(pa.array(ci)) for n in keep], pa.array(qi), pa.array(score[qi, ci])], names=[*keep, "_q", "score"])
+        part = part.append_column("_o", pa.array(order[qi, ci]))
+        kept = part if kept is None else pa.concat_tables([kept, part])
+        kept = kept.sort_by([("_q", "ascending"), ("_o", "ascending"), (cid, "ascending")])
+        number = kept["_q"].to_numpy()
+        first = np.searchsorted(number, number)
+        kept = kept.filter(pa.array(np.arange(len(number)) - first < k))
+    if kept is not None:
+        yield from kept.drop_columns(["_o"]).to_batches()
+
+
+def product_summary(queries: DataFrame, corpus: DataFrame, qid: str = "query_id", block: int = BLOCK_QUERIES) -> DataFrame:
+    """(qid, n_positive, max_dot) over the product of the query set and the corpus: per-task partial results, then merged."""
+    found = None
+    for rows in _query_blocks(queries, block):
+        shared = corpus.sparkSession.sparkContext.broadcast([list(r["qv"]) for r in rows])  # a block: bounded
+
+        def partial(batches, shared=shared):
+            import numpy as np
+            import pyarrow as pa
+
+            q = np.array(shared.value, dtype=np.float64)
+            n, top = np.zeros(len(q), dtype=np.int64), np.full(len(q), -np.inf)
+            for batch in batches:
+                if batch.num_rows:
+                    s = q @ np.array(batch.column("cv").to_pylist(), dtype=np.float64).reshape(batch.num_rows, -1).T
+                    n, top = n + (s > 0).sum(1), np.maximum(top, s.max(1))
+            seen = np.flatnonzero(np.isfinite(top))
+            yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n[seen]), pa.array(top[seen])], names=["_q", "n", "top"])
+
+        names = corpus.sparkSession.createDataFrame([(i, r[qid]) for i, r in enumerate(rows)],
+                                                    StructType([StructField("_q", LongType()), queries.schema[qid]]))
+        part = corpus.select("cv").mapInArrow(partial, "_q long, n long, top double").join(F.broadcast(names), "_q").drop("_q")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = corpus.sparkSession.createDataFrame([], StructType([queries.schema[qid], StructField("n", LongType()), StructField("top", DoubleType())]))
+    return found.groupBy(qid).agg(F.sum("n").alias("n_positive"), F.max("top").alias("max_dot"))
+
+
+def knn_within(queries: DataFrame, corpus: DataFrame, on: str, k: int, qid: str = "query_id", cid: str = "item_id") -> DataFrame:
+    """Top-k by dot product among the corpus rows that have the query's value of ``on`` (an equi-join on it)."""
+    j = corpus.join(queries, on).withColumn("score", dot("qv", "cv")).drop("qv", "cv")
+    w = Window.partitionBy(qid).orderBy(F.round("score", 9).desc(), F.col(cid))
+    return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def knn_post(queries: DataFrame, corpus: DataFrame, k: int, fetch_k: int, where: Mapping[str, object], metric: str = "dot",

@@ -2,7 +2,7 @@
 
 Default tokenizer: the regex word/punctuation split of ``functions.text.tokens`` and a
 frequency-ranked vocabulary.  The vocabulary has a fixed maximum size, so it is the
-one thing broadcast (as a single map row); token ids are looked up inside each row.
+one thing sent to every task; token ids are looked up inside each Arrow batch.
 Model tokenizers plug in as an iterator ``pandas_udf`` (model loaded once per worker).
 
 Packing never orders the corpus in one window: document token offsets come from the
@@ -30,33 +30,37 @@ def build_vocab(df: DataFrame, col: str, max_size: int) -> DataFrame:
     return top.withColumn("id", (F.row_number().over(w) + FIRST_ID - 1).cast("int"))
 
 
-def vocab_map(vocab: DataFrame) -> DataFrame:
-    """One row holding ``vmap``: token -> id (bounded by the vocabulary size)."""
-    return vocab.agg(F.map_from_entries(F.collect_list(F.struct("token", "id"))).alias("vmap"))
+def token_ids(vocab: DataFrame, fallback: int = UNK):
+    """Arrow function from token lists to id lists.
 
+    The vocabulary has the fixed size of its ``max_size`` parameter: it is collected and sent to each task once;
+    a whole batch of tokens is then looked up in one hash table, without a shuffle.
+    """
+    import pyarrow as pa
+
+    known = vocab.select("token", "id").toArrow()
+    shared = vocab.sparkSession.sparkContext.broadcast((known["token"].combine_chunks(), known["id"].combine_chunks()))
+
+    @F.arrow_udf("array<int>")
+    def ids(tokens: pa.Array) -> pa.Array:
+        import pyarrow.compute as pc
+
+        words, numbers = shared.value
+        flat = tokens.flatten()
+        found = pc.fill_null(numbers.take(pc.index_in(flat, value_set=words)), fallback).cast(pa.int32())
+        sizes = pc.fill_null(pc.list_value_length(tokens), 0)
+        offsets = pa.concat_arrays([pa.array([0], pa.int64()), pc.cumulative_sum(sizes.cast(pa.int64()))]).cast(pa.int32())
+        return pa.ListArray.from_arrays(offsets, found)
 
-def tokenize(df: DataFrame, col: str, vocab: DataFrame, out: str = "input_ids", add_eos: bool = False,
-             key: str | None = None) -> DataFrame:
-    """``input_ids`` and ``attention_mask`` from the default tokenizer and a vocabulary.
+    return ids
 
-    Tokens are exploded with their position, looked up by a broadcast hash join on the
-    vocabulary (bounded by its maximum size, checked before the broadcast) and regrouped
-    per row in position order.  ``key`` must identify a row (defaults to the first column).
-    A marker element per row keeps rows without tokens.  When the frame holds only the key and
-    the text, the result is the regrouped frame itself (no join back to the input).
+
+def tokenize(df: DataFrame, col: str, vocab: DataFrame, out: str = "input_ids", add_eos: bool = False) -> DataFrame:
+    """``input_ids`` and ``attention_mask`` from the default tokenizer and a vocabulary (the text column is dropped).
+
+    Tokens are cut in the JVM and looked up per Arrow batch; rows stay where they are.
     """
-    from corpusflow.operators.joins import guard_rows
-
-    key = key or df.columns[0]
-    v = F.broadcast(guard_rows(vocab.select("token", "id"), 1_000_000, "vocabulary"))
-    marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("col")))
-    toks = F.concat(marker, F.transform(tokens(col), lambda tk, i: F.struct(i.alias("pos"), tk.alias("col"))))
-    ex = df.select(key, F.inline(toks)).withColumnsRenamed({"pos": "_p", "col": "token"})
-    looked = ex.join(v, "token", "left").select(key, "_p", F.when(F.col("_p") >= 0, F.coalesce("id", F.lit(UNK))).alias("_id"))
-    ids = (looked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_p", "_id"))).alias("_s"))
-           .select(key, F.transform(F.filter("_s", lambda x: x["_p"] >= 0), lambda x: x["_id"]).alias(out)))
-    rest = [c for c in df.columns if c not in (key, col)]
-    x = ids if not rest else df.drop(col).join(ids, key, "left").withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>")))
+    x = df.withColumn(out, token_ids(vocab)(tokens(col))).drop(col)
     if add_eos:
         x = x.withColumn(out, F.concat(F.col(out), F.array(F.lit(EOS))))
     return x.withColumn("attention_mask", F.transform(F.col(out), lambda _: F.lit(1)))
@@ -76,10 +80,11 @@ def tokenize_with(df: DataFrame, col: str, fn: Callable, out: str = "input_ids")
     return df.withColumn(out, run(F.col(col)))
 
 
-def pad(ids: Column | str, n: int, pad_id: int = PAD) -> Column:
+def pad(ids: Column | str, n: int | Column, pad_id: int = PAD) -> Column:
     """Truncate to n and right-pad with ``pad_id``."""
-    c = F.slice(col_(ids), 1, n)
-    return F.concat(c, F.array_repeat(F.lit(pad_id), F.greatest(F.lit(n) - F.size(c), F.lit(0))))
+    n = F.lit(n) if isinstance(n, int) else n
+    c = F.slice(col_(ids), F.lit(1), n)
+    return F.concat(c, F.array_repeat(F.lit(pad_id), F.greatest(n - F.size(c), F.lit(0))))
 
 
 def pad_mask(ids: Column | str, n: int) -> Column:

@@ -101,12 +101,12 @@ def path(tree: DataFrame, targets: DataFrame, drop_last: bool = False) -> DataFr
     return t.select("conv_id", F.col("id").alias("target"), F.when(err.isNull(), p).alias("path"), err.alias("error"))
 
 
-def conversation_hash(conv: DataFrame, fields: Sequence[str] = ("role", "id", "text")) -> DataFrame:
-    """SHA-256 over the ordered immutable part of each conversation, in an explicit concat form."""
-    ids = conv.withColumn("id", F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")))
-    one = F.concat_ws("\u0001", *[F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields])
-    g = ids.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", one.alias("m")))).alias("_m"))
-    return g.select("conv_id", F.sha2(F.array_join(F.transform("_m", lambda x: x["m"]), "\u0002"), 256).alias("hash"))
+def conversation_hash(conv: DataFrame) -> DataFrame:
+    """SHA-256 of the JSON of each conversation's immutable part: from, id, content, webSearchId (left out if missing)."""
+    mid = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    one = F.struct(F.col("role").alias("from"), mid.alias("id"), F.col("text").alias("content"), F.col("web_search_id").alias("webSearchId"))
+    g = conv.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", one.alias("m")))).alias("_m"))
+    return g.select("conv_id", F.sha2(F.to_json(F.transform("_m", lambda x: x["m"])).cast("binary"), 256).alias("hash"))
 
 
 # --- legacy conversations: a flat thread without tree links (no root message id)
@@ -116,13 +116,17 @@ def legacy_append(thread: DataFrame, new: DataFrame) -> DataFrame:
     """Append to a legacy (linear) thread: only after its last message, without links.
 
     ``thread``: (conv_id, id, turn, ...); ``new``: (conv_id, id, role, text, parent_id).
-    Returns the new rows with their turn, or an error when the parent is not the last message.
+    Returns the new rows with their turn, or an error when the parent is not the last message (a missing
+    parent is not, unless the thread is empty).  Appends of a thread are taken one after another, by id:
+    the first valid one is accepted and is the last message from then on, so its turn is taken.
     """
     last = thread.groupBy("conv_id").agg(F.max_by("id", "turn").alias("_last"), F.max("turn").alias("_t"))
-    j = new.join(last, "conv_id", "left")
-    err = F.when(F.col("_last").isNotNull() & (F.col("parent_id") != F.col("_last")),
-                 F.lit("This is a legacy conversation, you can only append to the last message"))
-    return j.select("conv_id", "id", "role", "text", (F.coalesce(F.col("_t"), F.lit(-1)) + 1).alias("turn"), err.alias("error"))
+    j = new.join(last, "conv_id", "left").withColumn(
+        "_ok", F.when(F.col("_last").isNull(), F.col("parent_id").isNull()).otherwise(F.col("parent_id").eqNullSafe(F.col("_last"))))
+    first = F.row_number().over(Window.partitionBy("conv_id", "_ok").orderBy("id")) == 1
+    ok = F.col("_ok") & first
+    err = F.when(~ok, F.lit("This is a legacy conversation, you can only append to the last message"))  # fixed value
+    return j.select("conv_id", "id", "role", "text", F.when(ok, F.coalesce(F.col("_t"), F.lit(-1)) + 1).alias("turn"), err.alias("error"))
 
 
 def legacy_path(thread: DataFrame, targets: DataFrame) -> DataFrame:

@@ -50,27 +50,29 @@ def _local_offsets(ck: DataFrame, within: list[str], weighted: bool) -> DataFram
 
     def run(batches):
         import numpy as np
-        import pandas as pd
         import pyarrow as pa
 
-        run_tot: dict = {}
+        carry, total = None, 0  # rows come sorted by split: only the last split's total goes on
         for rb in batches:
             n = rb.num_rows
             w = (np.nan_to_num(rb.column("_w").to_numpy(zero_copy_only=False).astype("float64")).astype("int64")
                  if weighted else np.ones(n, dtype="int64"))
-            if not within:
-                base = run_tot.get((), 0)
-                cs = np.cumsum(w)
-                local = base + cs - w
-                run_tot[()] = base + int(w.sum())
-            else:
-                keys = pd.DataFrame({c: rb.column(c).to_pandas() for c in within})
-                tuples = list(keys.itertuples(index=False, name=None))
-                cs = pd.Series(w).groupby([keys[c] for c in within], dropna=False).cumsum().to_numpy()
-                base = np.array([run_tot.get(t, 0) for t in tuples], dtype="int64")
-                local = base + cs - w
-                for t, tot in zip(tuples, (base + cs).tolist()):
-                    run_tot[t] = tot
+            if not n:
+                continue
+            # first rows of the runs of equal splits
+            new = np.zeros(n, dtype=bool)
+            for c in within:
+                code = rb.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+                new[1:] |= code[1:] != code[:-1]
+            first = [rb.column(c)[0].as_py() for c in within]
+            if first != carry:
+                total = 0
+            starts = np.flatnonzero(np.concatenate(([True], new[1:])))
+            before = np.cumsum(w) - w
+            local = before - np.repeat(before[starts], np.diff(np.append(starts, n)))
+            local[:starts[1] if len(starts) > 1 else n] += total
+            carry = [rb.column(c)[n - 1].as_py() for c in within]
+            total = int(local[-1] + w[-1])
             yield pa.RecordBatch.from_arrays(list(rb.columns) + [pa.array(local, type=pa.int64())],
                                              names=list(rb.schema.names) + ["_local"])
 

@@ -13,10 +13,10 @@ G = "G"
 
 @register("chunk_fixed", G, sql="""
 SELECT doc_id, CAST(pos AS BIGINT) AS pos, substr(text, CAST(pos * 1000 + 1 AS BIGINT), 1000) AS chunk FROM documents,
-  LATERAL (SELECT unnest(range(0, (length(text) + 999) // 1000)) AS pos) WHERE length(text) > 0 AND pos < 100
+  LATERAL (SELECT unnest(range(0, (length(text) + 999) // 1000)) AS pos) WHERE length(text) > 0
 """)
 def q_fixed(spark, d):
-    c = C.chunk_fixed(t(spark, d, "documents").select("doc_id", "text"), "text", 1000, max_chunks=100)
+    c = C.chunk_fixed(t(spark, d, "documents").select("doc_id", "text"), "text", 1000)
     return c.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "chunk")
 
 

@@ -1,11 +1,15 @@
 """Groups A and B: sources and sinks.  Round trips write derived data under the shared scratch folder."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from corpusflow.operators.select import three_way_split
 from corpusflow.queries.common import r6, t
 from corpusflow.queries.registry import register
+from corpusflow.queries.sqlparts_text import tokens as sql_tokens
 from corpusflow.sources import readers as A
+from corpusflow.sources.derived import settings
 from corpusflow.sources import writers as B
 
 SPLIT_SQL = """s AS (SELECT doc_id, lang, CASE WHEN u < 0.9 THEN 'train' WHEN u < 0.95 THEN 'validation' ELSE 'test' END AS split
@@ -51,28 +55,33 @@ def q_jsonl(spark, d):
     return A.read_jsonl(spark, path, CONV_SCHEMA)
 
 
-@register("read_pretokenized_jsonl", "A")
+@register("read_pretokenized_jsonl", "A", sql=f"""
+SELECT array_to_string(list_transform(tk, lambda x: CAST(length(x) AS VARCHAR)), ' ') AS input_ids, CAST(len(tk) AS BIGINT) AS mask_sum
+FROM (SELECT {sql_tokens('text')} AS tk FROM documents)
+""")
 def q_pretok(spark, d):
     from corpusflow.functions.text import tokens
 
     path = A.scratch_path(spark, "tokens")
     docs = t(spark, d, "documents").select(F.transform(tokens("text"), lambda x: F.length(x)).alias("input_ids"))
     B.write_jsonl(docs.withColumn("attention_mask", F.transform("input_ids", lambda _: F.lit(1))), path)
-    return A.read_tokens(spark, [path])
+    back = A.read_tokens(spark, [path])
+    mask = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x)
+    return back.select(F.array_join(F.transform("input_ids", lambda x: x.cast("string")), " ").alias("input_ids"), mask.cast("bigint").alias("mask_sum"))
 
 
 @register("read_nested_json_doc", "A", sql="""
-SELECT conv_id, turn, text FROM conversations WHERE role = 'system' ORDER BY conv_id, turn LIMIT 50
+SELECT conv_id, turn, text FROM conversations WHERE role = 'system'
 """)
 def q_nested(spark, d):
     c = t(spark, d, "conversations")
-    # one nested document: data[] = threads, each with paragraphs[] = turns
+    # a nested document per thread: data[] = its thread, with paragraphs[] = turns
     doc = (c.groupBy("conv_id").agg(F.collect_list(F.struct("turn", "role", "text")).alias("paragraphs"))
-           .agg(F.collect_list(F.struct("conv_id", "paragraphs")).alias("data")))
+           .select(F.array(F.struct("conv_id", "paragraphs")).alias("data")))
     path = A.scratch_path(spark, "nested")
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    doc.write.mode("overwrite").json(path)
     back = spark.read.schema("data array<struct<conv_id: bigint, paragraphs: array<struct<turn: bigint, role: string, text: string>>>>").json(path)
-    flat = A.flatten_nested(back, "data", "paragraphs", F.col("role") == "system", 50, ["conv_id", "turn"])
+    flat = A.flatten_nested(back, "data", "paragraphs", F.col("role") == "system")
     return flat.select("conv_id", "turn", "text")
 
 
@@ -81,11 +90,23 @@ def q_json_norm(spark, d):
     return A.json_normalize(t(spark, d, "events").select("event_id", "props"), "props", "k int")
 
 
-@register("read_whole_text", "A")
-def q_whole_text(spark, d):
+FILE_DOCS = 100  # documents in one written file: the number of files follows the table
+
+
+def _text_files(spark, d, table, key, text):
+    """Texts of a table written as files of ``FILE_DOCS`` rows each, below one folder per file."""
     path = A.scratch_path(spark, "texts")
-    t(spark, d, "documents").select("lang", "text").write.mode("overwrite").partitionBy("lang").text(path)
-    return A.read_documents(spark, path + "/*/*").select(F.regexp_extract("path", "lang=([a-z]+)", 1).alias("lang"), F.length("text").alias("n_chars"))
+    rows = t(spark, d, table).select(F.floor(F.col(key) / FILE_DOCS).cast("bigint").alias("part"), F.col(text).alias("value"))
+    rows.repartition("part").write.mode("overwrite").partitionBy("part").text(path)
+    return path + "/*/*.txt"
+
+
+@register("read_whole_text", "A", sql=f"""
+SELECT CAST(doc_id // {FILE_DOCS} AS BIGINT) AS part, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars FROM documents GROUP BY 1
+""")
+def q_whole_text(spark, d):
+    files = A.read_documents(spark, _text_files(spark, d, "documents", "doc_id", "text"))
+    return files.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint").alias("part"), F.length("text").cast("bigint").alias("n_chars"))
 
 
 @register("csv_rows_to_documents", "A", sql="""
@@ -108,24 +129,53 @@ def q_pages_meta(spark, d):
     return A.load_pages(pages, meta, "source", "page").select("doc_id", "source", "page", "year")
 
 
-@register("read_binary_media", "A", sql="""
-SELECT page_id, CASE WHEN regexp_matches(url, '\\.html?([?#].*)?$') THEN 'text/html' ELSE 'application/octet-stream' END AS media_type,
-       length(to_base64(encode(html))) AS b64_len FROM pages
+@register("read_binary_media", "A", sql=f"""
+SELECT CAST(page_id // {FILE_DOCS} AS BIGINT) AS part, 'text/plain' AS media_type,
+       CAST((sum(octet_length(encode(html)) + 1) + 2) // 3 * 4 AS BIGINT) AS b64_len FROM pages GROUP BY 1
 """)
 def q_media(spark, d):
-    p = t(spark, d, "pages")
-    # the binaryFile reader gives (path, content); pages carry the same shape as url + html bytes
-    return p.select("page_id", A.media_type(F.col("url")).alias("media_type"), F.length(F.regexp_replace(F.base64(F.encode("html", "UTF-8")), "[\r\n]", "")).cast("bigint").alias("b64_len"))
-
-
-@register("load_document_collections", "A")
+    files = A.read_media(spark, _text_files(spark, d, "pages", "page_id", "html"))
+    b64 = F.length(F.regexp_replace("content_b64", "[\r\n]", "")).cast("bigint")
+    return files.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("bigint").alias("part"), "media_type", b64.alias("b64_len"))
+
+
+@register("load_document_collections", "A", sql="""
+SELECT 'conversations' AS collection, count(DISTINCT conv_id) AS n, count(*) AS items FROM conversations
+UNION ALL SELECT 'sharedConversations', count(DISTINCT conv_id), count(*) FROM conversations WHERE conv_id % 5 = 0
+UNION ALL SELECT 'conversationStats', count(DISTINCT CAST(ts AS DATE)), count(*) FROM events
+UNION ALL SELECT 'assistants', count(*), count(*) FROM supplier
+UNION ALL SELECT 'reports', count(*), count(*) FROM labels WHERE toxic = 1
+UNION ALL SELECT 'abortedGenerations', count(*), count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'settings', count(*), count(*) FROM customer
+UNION ALL SELECT 'users', count(*), count(*) FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+UNION ALL SELECT 'sessions', count(DISTINCT json_extract_string(props, '$.k')), count(*) FROM events WHERE json_extract_string(props, '$.k') IS NOT NULL
+UNION ALL SELECT 'messageEvents', count(*), count(*) FROM events
+UNION ALL SELECT 'files', count(*), count(*) FROM pages
+""")
 def q_collections(spark, d):
-    c = t(spark, d, "conversations")
-    conv = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("role").alias("from"), F.col("text").alias("content")))).alias("messages"))
+    c, e, cust = (t(spark, d, n) for n in ("conversations", "events", "customer"))
+
+    def threads(x):
+        m = F.struct("turn", F.col("role").alias("from"), F.col("text").alias("content"))
+        return x.groupBy("conv_id").agg(F.array_sort(F.collect_list(m)).alias("messages")).withColumn("items", F.size("messages"))
+
+    k = F.get_json_object("props", "$.k")
+    shapes = {
+        "conversations": threads(c), "sharedConversations": threads(c.filter("conv_id % 5 = 0")),
+        "conversationStats": e.groupBy(F.to_date("ts").alias("at")).agg(F.count(F.lit(1)).alias("items")),
+        "assistants": t(spark, d, "supplier"), "reports": t(spark, d, "labels").filter("toxic = 1"),
+        "abortedGenerations": e.filter("event_type = 'error'"), "settings": settings(cust), "users": cust.filter("c_mktsegment <> 'HOUSEHOLD'"),
+        "sessions": e.filter(k.isNotNull()).groupBy(k.alias("session_id")).agg(F.count(F.lit(1)).alias("items")),
+        "messageEvents": e, "files": t(spark, d, "pages"),
+    }
     path = A.scratch_path(spark, "collections")
-    conv.write.mode("overwrite").parquet(path + "/conversations")
-    back = spark.read.parquet(path + "/conversations")
-    return back.select("conv_id", F.size("messages").alias("n_messages"))
+    for name, df in shapes.items():
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+    back = A.load_collections(spark, path)
+    counts = [df.agg(F.lit(name).alias("collection"), F.count(F.lit(1)).alias("n"),
+                     (F.coalesce(F.sum("items"), F.lit(0)).cast("bigint") if "items" in df.columns else F.count(F.lit(1))).alias("items"))
+              for name, df in back.items()]
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 @register("shard_by_rank", "A", sql="""
@@ -136,10 +186,10 @@ def q_shard(spark, d):
     return A.shard_by_rank(t(spark, d, "documents").select("doc_id"), ["doc_id"], 4, 1)
 
 
-@register("write_jsonl", "B", sql="SELECT doc_id, 'Summarize: ' || substr(text, 1, 200) AS prompt, lang AS completion FROM documents")
+@register("write_jsonl", "B", sql="SELECT doc_id, 'Summarize: ' || text AS prompt, lang AS completion FROM documents")
 def q_write_jsonl(spark, d):
     path = A.scratch_path(spark, "prompts")
-    df = t(spark, d, "documents").select("doc_id", F.concat(F.lit("Summarize: "), F.substring("text", 1, 200)).alias("prompt"), F.col("lang").alias("completion"))
+    df = t(spark, d, "documents").select("doc_id", F.concat(F.lit("Summarize: "), "text").alias("prompt"), F.col("lang").alias("completion"))
     B.write_jsonl(df, path)
     return A.read_jsonl(spark, path, "doc_id bigint, prompt string, completion string")
 
@@ -172,23 +222,23 @@ def q_export(spark, d):
                        F.size(F.filter("messages", lambda m: m["score"].isNotNull())).cast("bigint").alias("n_scored"))
 
 
-@register("bulk_upsert_vectors", "B")
+@register("bulk_upsert_vectors", "B", sql="SELECT vec_id FROM embeddings")
 def q_upsert(spark, d):
     path = A.scratch_path(spark, "upsert")
     e = t(spark, d, "embeddings").select("vec_id", "embedding")
 
-    def writer(rows, root=path):
-        # stub external index: one parquet object per batch keyed by its first id, so a rerun overwrites it
+    def writer(name, rows, root=path):
+        # stub external index: one parquet object per named batch, so a rerun overwrites it
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         filesystem, base = fs.FileSystem.from_uri(root)
         filesystem.create_dir(base, recursive=True)
-        pq.write_table(pa.Table.from_pylist(rows), f"{base}/batch-{rows[0]['vec_id']}.parquet", filesystem=filesystem)
+        pq.write_table(pa.Table.from_pylist(rows), f"{base}/batch-{name}.parquet", filesystem=filesystem)
 
     B.bulk_upsert(e, "vec_id", writer, batch=200)
-    B.bulk_upsert(e, "vec_id", writer, batch=200)
+    B.bulk_upsert(e.repartition(3), "vec_id", writer, batch=200)  # a rerun with other tasks replaces the same batches
     return spark.read.parquet(path).select("vec_id")
 
 

@@ -109,15 +109,13 @@ s AS (SELECT q.vec_id AS query_id, list_dot_product(q.v, c.v) AS dot FROM q, c)
 SELECT query_id, count(*) FILTER (WHERE dot > 0) AS n_positive, round(max(dot), 5) AS max_dot FROM s GROUP BY query_id
 """)
 def q_cross_join(spark, d):
-    # the product is scored inside each corpus row against the bounded, broadcast query set
-    # and reduced per query: no pair list is materialised
-    from corpusflow.operators.retrieval import score_pairs
+    # the product is scored in blocks and reduced inside each task: no pair list is materialised
+    from corpusflow.operators.retrieval import product_summary
 
     e = t(spark, d, "embeddings")
     q = e.filter(F.col("vec_id") < 10).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
     c = e.filter(F.col("vec_id") >= 10).select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"))
-    s = score_pairs(q, c, "dot")
-    return s.groupBy("query_id").agg(F.count(F.when(F.col("score") > 0, 1)).alias("n_positive"), F.round(F.max("score"), 5).alias("max_dot"))
+    return product_summary(q, c).withColumn("max_dot", F.round("max_dot", 5))
 
 
 @register("multi_table_join", G, sql="""

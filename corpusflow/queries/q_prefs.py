@@ -12,7 +12,7 @@ from corpusflow.queries.common import r6, t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts import PAIRS
 from corpusflow.queries.sqlparts_text import words as swords
-from corpusflow.sources.derived import preference_pairs
+from corpusflow.sources.derived import preference_pairs, qa_pairs
 
 N, O = "N", "O"
 
@@ -31,19 +31,21 @@ RANKED_SQL = """ranked AS (SELECT conv_id, turn, text, row_number() OVER (PARTIT
 @register("parse_human_answers", N, sql="""
 WITH a AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM conversations WHERE role = 'assistant'),
 q AS (SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY conv_id)
-SELECT a.conv_id, q.prompt, CAST(r - 1 AS INTEGER) AS pos, text AS response, CAST(r AS INTEGER) AS ranking FROM a JOIN q USING (conv_id) WHERE r <= 2
+SELECT a.conv_id, q.prompt, CAST(r - 1 AS INTEGER) AS pos, text AS response, CAST(r AS INTEGER) AS ranking FROM a JOIN q USING (conv_id)
 """)
 def q_parse_answers(spark, d):
     c = t(spark, d, "conversations")
     q = c.filter(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("prompt"))
     a = (c.filter(F.col("role") == "assistant").groupBy("conv_id")
-         .agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), 1, 2).alias("responses")))
+         .agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("responses")))
     # labelling-tool output rendered as JSON (both key styles occur), then parsed back
-    answer = F.create_map(F.lit("response_1_ranking"), F.lit(1), F.lit("ranking_2"), F.lit(2))
+    answer = F.map_from_entries(F.transform("responses", lambda x, i: F.struct(
+        F.when(i % 2 == 0, F.concat(F.lit("response_"), (i + 1).cast("string"), F.lit("_ranking")))
+        .otherwise(F.concat(F.lit("ranking_"), (i + 1).cast("string"))), i + 1)))
     doc = F.to_json(F.struct(F.struct(F.struct(F.col("prompt"), F.col("responses")).alias("taskObject")).alias("inputContent"),
                              F.array(F.struct(answer.alias("answerContent"))).alias("humanAnswers")))
     js = q.join(a, "conv_id").select("conv_id", doc.alias("json"))
-    return P.parse_rankings(js, "json", "conv_id").filter(F.col("pos") < 2)
+    return P.parse_rankings(js, "json", "conv_id")
 
 
 @register("ranking_to_reward", N, sql=f"WITH {RANKED_SQL} SELECT conv_id, turn, abs(ranking - n) AS reward FROM ranked")
@@ -109,19 +111,16 @@ def q_logits(spark, d):
 
 
 @register("answer_match_reward", N, sql=f"""
-WITH q AS (SELECT conv_id, list({swords('text')}[1]) AS expected FROM conversations WHERE role = 'user' GROUP BY conv_id),
-r AS (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
-SELECT conv_id, round(list_avg(list_transform(expected, lambda e: CASE WHEN contains(response, e) THEN 1.0 ELSE 0.0 END)), 6) AS reward
-FROM q JOIN r USING (conv_id)
+WITH q AS (SELECT conv_id, turn, {swords('text')}[1] AS expected FROM conversations WHERE role = 'user'),
+r AS (SELECT conv_id, turn - 1 AS turn, text AS response FROM conversations WHERE role = 'assistant')
+SELECT conv_id, round(avg(CASE WHEN contains(response, expected) THEN 1.0 ELSE 0.0 END), 6) AS reward
+FROM q JOIN r USING (conv_id, turn) GROUP BY conv_id
 """)
 def q_answer_match(spark, d):
-    c = t(spark, d, "conversations")
-    q = c.filter(F.col("role") == "user").groupBy("conv_id").agg(F.collect_list(words("text")[0]).alias("expected"))
-    r = (c.filter(F.col("role") == "assistant").groupBy("conv_id")
-         .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]), " ").alias("response")))
-    j = q.join(r, "conv_id")
-    hits = F.transform("expected", lambda e: F.when(F.col("response").contains(e), 1.0).otherwise(0.0))
-    return j.select("conv_id", r6(F.aggregate(hits, F.lit(0.0), lambda a, b: a + b) / F.size(hits)).alias("reward"))
+    # each expected answer (the question's first word) against the answer to that question
+    pairs = qa_pairs(t(spark, d, "conversations"))
+    hit = F.when(F.col("answer").contains(words("question")[0]), 1.0).otherwise(0.0)
+    return pairs.groupBy("conv_id").agg(r6(F.avg(hit)).alias("reward"))
 
 
 @register("compressibility_reward", N, sql="""
@@ -167,11 +166,9 @@ FROM r1_f JOIN r2_f USING (doc_id)
 """)
 def q_rouge_n(spark, d):
     o = _outputs(spark, d)
-    sc = P.rouge_scores(o, "doc_id", "pred_a", "ref", (1, 2))
-    r1 = sc.filter(F.col("n") == 1).drop("n")
-    r2 = sc.filter(F.col("n") == 2).select("doc_id", F.col("f1").alias("f2"))
-    return r1.join(r2, "doc_id").select("doc_id", r6("precision").alias("rouge1_precision"), r6("recall").alias("rouge1_recall"),
-                                        r6("f1").alias("rouge1_f1"), r6("f2").alias("rouge2_f1"))
+    return P.rouge_wide(o, "doc_id", "pred_a", "ref").select(
+        "doc_id", r6("precision_1").alias("rouge1_precision"), r6("recall_1").alias("rouge1_recall"),
+        r6("f1_1").alias("rouge1_f1"), r6("f1_2").alias("rouge2_f1"))
 
 
 @register("rouge_l", O)
@@ -180,6 +177,14 @@ def q_rouge_l(spark, d):
     return P.rouge_l(o, "doc_id", "pred_a", "ref").select("doc_id", "lcs", r6("f1").alias("rougeL_f1"))
 
 
+@register("rouge_lsum", O)
+def q_rouge_lsum(spark, d):
+    # conversations: each answer against its question, turn by turn (texts of a few lines)
+    p = qa_pairs(t(spark, d, "conversations")).withColumn("id", F.concat_ws("-", "conv_id", "turn"))
+    s = P.rouge_lsum(p, "id", "answer", "question")
+    return s.select("id", "hits", r6("f1").alias("rougeLsum_f1"))
+
+
 def _model_scores(spark, d):
     o = _outputs(spark, d)
     a = P.rouge_n(o, "doc_id", "pred_a", "ref", 1).select("doc_id", F.lit("model_a").alias("model"), F.col("f1").alias("rouge1"))
@@ -239,15 +244,14 @@ def q_pair_loss(spark, d):
 
 
 @register("toxicity_evaluate", O, sql="""
-WITH s AS (SELECT doc_id FROM documents ORDER BY md5('8|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)
-SELECT count(*) AS n, round(avg(toxic), 6) AS mean_toxicity, round(stddev_pop(toxic), 6) AS std_toxicity FROM s JOIN labels USING (doc_id)
+WITH s AS (SELECT doc_id, toxic FROM documents JOIN labels USING (doc_id) ORDER BY md5('8|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)
+SELECT count(*) AS n, round(avg(toxic), 6) AS mean_toxicity, round(stddev_pop(toxic), 6) AS std_toxicity FROM s
 """)
 def q_toxicity(spark, d):
     from corpusflow.operators.select import shuffle_take
 
-    sample = shuffle_take(t(spark, d, "documents").select("doc_id"), "doc_id", 100, 8)
-    j = sample.join(t(spark, d, "labels"), "doc_id")
-    return j.agg(F.count(F.lit(1)).alias("n"), r6(F.avg("toxic")).alias("mean_toxicity"), r6(F.stddev_pop("toxic")).alias("std_toxicity"))
+    scored = t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels").select("doc_id", "toxic"), "doc_id")
+    return shuffle_take(scored, "doc_id", 100, 8).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("toxic")).alias("mean_toxicity"), r6(F.stddev_pop("toxic")).alias("std_toxicity"))
 
 
 @register("before_after_table", O, sql=f"""

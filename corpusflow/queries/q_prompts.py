@@ -265,7 +265,9 @@ WITH n AS (SELECT DISTINCT p_name AS noun FROM part)
 SELECT noun, list_extract([{', '.join(repr(a) for a in ACTIVITIES)}], CAST(('0x' || substr(md5('21|' || noun), 1, 8)) AS BIGINT) % {len(ACTIVITIES)} + 1) AS activity,
   CASE WHEN lower(noun[1]) IN ('a', 'e', 'i', 'o', 'u') THEN 'an' ELSE 'a' END || ' ' || noun || ' ' ||
   list_extract([{', '.join(repr(a) for a in ACTIVITIES)}], CAST(('0x' || substr(md5('21|' || noun), 1, 8)) AS BIGINT) % {len(ACTIVITIES)} + 1) AS prompt,
-  list_extract([{', '.join(repr(w) for w in NUMBER_WORDS)}], CAST(('0x' || substr(md5('22|' || noun), 1, 8)) AS BIGINT) % 10 + 1) || ' ' || noun AS counting_prompt
+  list_extract([{', '.join(repr(w) for w in NUMBER_WORDS)}], CAST(('0x' || substr(md5('22|' || noun), 1, 8)) AS BIGINT) % 10 + 1) || ' ' || noun AS counting_prompt,
+  'How many ' || noun || ' are there in this image?|What animal is in this image?' AS questions,
+  list_extract([{', '.join(repr(w) for w in NUMBER_WORDS)}], CAST(('0x' || substr(md5('22|' || noun), 1, 8)) AS BIGINT) % 10 + 1) || '|' || noun AS answers
 FROM n
 """)
 def q_grammar(spark, d):
@@ -278,4 +280,6 @@ def q_grammar(spark, d):
     act = F.element_at(acts, (F.pmod(seeded_int(21, F.col("noun")), F.lit(len(ACTIVITIES))) + 1).cast("int"))
     num = F.element_at(nums, (F.pmod(seeded_int(22, F.col("noun")), F.lit(10)) + 1).cast("int"))
     return nouns.select("noun", act.alias("activity"), F.concat_ws(" ", P.article(F.col("noun")), "noun", act).alias("prompt"),
-                        F.concat_ws(" ", num, "noun").alias("counting_prompt"))
+                        F.concat_ws(" ", num, "noun").alias("counting_prompt"),
+                        F.concat(F.lit("How many "), "noun", F.lit(" are there in this image?|What animal is in this image?")).alias("questions"),
+                        F.concat_ws("|", num, "noun").alias("answers"))

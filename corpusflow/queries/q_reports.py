@@ -16,7 +16,7 @@ YEAR = 1998
 
 def _line_sales(spark, d):
     li = t(spark, d, "lineitem")
-    return li.select(F.to_date("l_shipdate").alias("date"), F.col("l_partkey").alias("product_id"),
+    return li.select(F.col("l_shipdate").alias("date"), F.col("l_partkey").alias("product_id"),
                      (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(38,6)").alias("sales"))
 
 

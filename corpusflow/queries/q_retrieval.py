@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.vectors import norm, vec_str, with_hash_embedding, with_normalized
@@ -9,11 +12,14 @@ from corpusflow.operators import retrieval as H
 from corpusflow.operators.chunking import chunk_fixed
 from corpusflow.operators.text import extract_tag, html_paragraphs
 from corpusflow.queries.common import t
+from corpusflow.queries.q_text import H1_SQL, PARAGRAPHS_SQL, TITLE_SQL
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts_text import tokens as sql_tokens
 
 G = "H"
 DIM = 32
+ANN_BUCKET = 200
+ANN_TABLES = 12
 MEDIA = ["text", "image", "audio"]
 RAG_TEMPLATE = ("Use the following pieces of context to answer the question at the end.\n\n{context}\n\n"
                 "Question: {question}\nHelpful Answer:")
@@ -63,11 +69,14 @@ def q_normalize(spark, d):
 
 @register("inner_product_distance", G, sql=f"""
 WITH {QC}
-SELECT query_id, item_id, round(1 - list_dot_product(qv, cv), 5) AS distance FROM q, c
+SELECT query_id, item_id, round(score, 5) AS distance FROM
+ (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9), item_id) AS rank FROM
+   (SELECT query_id, item_id, 1 - list_dot_product(qv, cv) AS score FROM q, c)) WHERE rank <= 20
 """)
 def q_ip(spark, d):
     q, c = _qc(spark, d)
-    return H.score_pairs(q, c, "ip_distance").select("query_id", "item_id", F.round("score", 5).alias("distance"))
+    # the 20 smallest distances of each query, not a row per pair
+    return H.knn(q, c, 20, "ip_distance").select("query_id", "item_id", F.round("score", 5).alias("distance"))
 
 
 def _knn_sql(score, order, k, where="TRUE"):
@@ -116,21 +125,21 @@ def q_post(spark, d):
 
 
 @register("cosine_similarity_matrix", G, sql="""
-WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 10),
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT a.vec_id AS query_id, b.vec_id AS item_id,
-             list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS cosine FROM q a, q b WHERE a.vec_id <> b.vec_id)
+             list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS cosine
+      FROM v a, v b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
 SELECT query_id, item_id, rank, round(cosine, 5) AS cosine FROM
  (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 9) DESC, item_id) AS rank FROM s) WHERE rank <= 3
 """)
 def q_cosine(spark, d):
-    # nearest labelled neighbours by cosine (top 3 per item) instead of the full matrix
-    e = t(spark, d, "embeddings").filter(F.col("vec_id") < 10)
-    q = with_normalized(e.select(F.col("vec_id").alias("query_id"), "embedding"), "embedding", "qv").drop("embedding")
+    # rows of the matrix for the query set (ids divisible by 20) against all items, top 3 of each
+    e = t(spark, d, "embeddings")
+    asked = e.filter(F.col("vec_id") % 20 == 0)
+    q = with_normalized(asked.select(F.col("vec_id").alias("query_id"), "embedding"), "embedding", "qv").drop("embedding")
     c = with_normalized(e.select(F.col("vec_id").alias("item_id"), "embedding"), "embedding", "cv").drop("embedding")
-    hits = H.knn(q, c.withColumn("_self", F.col("item_id")), 4, "dot")
+    hits = H.knn(q, c, 4, "dot")
     hits = hits.filter(F.col("query_id") != F.col("item_id"))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), "item_id")
     hits = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 3)
     return hits.select("query_id", "item_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 5).alias("cosine"))
@@ -167,8 +176,12 @@ def q_modal(spark, d):
 @register("approx_knn", G)
 def q_ann(spark, d):
     q, c = _qc(spark, d)
-    planes = H.hyperplanes(spark, 64, 4, 6, seed=11)
-    return H.ann(q, c, 5, planes).select("query_id", "item_id", "rank", F.round("score", 5).alias("score"))
+    # buckets of about ANN_BUCKET rows: the number of planes follows the corpus
+    n_planes = max(2, round(math.log2(max(1, c.count()) / ANN_BUCKET)))
+    hits = H.ann(q, c, 5, H.hyperplanes(spark, 64, n_planes, ANN_TABLES, seed=11))
+    share = H.recall(hits, H.knn(q, c, 5, "dot")).select(F.round("recall", 6).alias("recall"))
+    return (hits.select("query_id", "item_id", "rank", F.round("score", 5).alias("score"))
+            .crossJoin(F.broadcast(share)))  # one row
 
 
 @register("rerank_top_n", G, sql=f"""
@@ -203,7 +216,7 @@ def _doc_vectors(spark, d):
 
 def _with_text(spark, d, hits):
     docs = t(spark, d, "documents").select(F.col("doc_id").alias("item_id"), "text")
-    return hits.select("query_id", "item_id", "rank").join(docs, "item_id")
+    return hits.drop("score").join(docs, "item_id")
 
 
 def _bench_vectors(spark, d):
@@ -224,11 +237,12 @@ FROM h JOIN documents d ON d.doc_id = h.item_id JOIN benchmark b ON b.item_id =
 """)
 def q_rqa(spark, d):
     bench = _bench_vectors(spark, d)
-    hits = _with_text(spark, d, H.knn(bench.drop("question"), _doc_vectors(spark, d), 5, "dot"))
-    p = H.stuff_prompt(hits, "query_id", "rank", "text", RAG_TEMPLATE)
-    src = hits.groupBy("query_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "item_id"))), lambda x: x["item_id"].cast("string")), ",").alias("sources"))
-    qs = bench.select("query_id", "question")
-    return p.join(src, "query_id").join(qs, "query_id").select("query_id", "sources", F.replace("prompt", F.lit("{question}"), F.col("question")).alias("prompt"))
+    hits = _with_text(spark, d, H.knn(bench, _doc_vectors(spark, d), 5, "dot"))
+    # one group per question: its k hits in rank order give the sources and the prompt
+    g = hits.groupBy("query_id", "question").agg(F.array_sort(F.collect_list(F.struct("rank", "item_id", "text"))).alias("h"))
+    context = F.array_join(F.transform("h", lambda x: x["text"]), "\n\n")
+    prompt = F.replace(F.replace(F.lit(RAG_TEMPLATE), F.lit("{context}"), context), F.lit("{question}"), F.col("question"))
+    return g.select("query_id", F.array_join(F.transform("h", lambda x: x["item_id"].cast("string")), ",").alias("sources"), prompt.alias("prompt"))
 
 
 @register("rag_prompt", "D", sql=f"""
@@ -273,8 +287,6 @@ def q_map_reduce(spark, d):
 
 def _web_hits(spark, d):
     """Pages per query (language path), first 10 pages, 100 chunks per page, first 5 pages, top 8 chunks."""
-    from pyspark.sql import Window
-
     p = t(spark, d, "pages").select("page_id", "url", "html", F.regexp_extract("url", "/([a-z][a-z])/", 1).alias("query"))
     w = Window.partitionBy("query").orderBy("page_id")
     p = p.withColumn("page_rank", F.row_number().over(w)).filter(F.col("page_rank") <= 10)
@@ -285,24 +297,45 @@ def _web_hits(spark, d):
     cv = ch.select(F.concat_ws("#", F.col("page_id").cast("string"), F.lpad(F.col("pos").cast("string"), 4, "0")).alias("item_id"),
                    "query", "url", "chunk")
     cv = with_hash_embedding(cv, "chunk", "cv", DIM)
-    hits = H.knn(qv, cv, 10_000, "dot").filter(F.col("query") == F.col("query_id"))
-    w2 = Window.partitionBy("query_id").orderBy(F.round("score", 9).desc(), F.col("item_id"))
-    return hits.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= 8)
+    return H.knn_within(qv.withColumn("query", F.col("query_id")), cv, "query", 8)
+
 
+_WEB_SQL = f"""p AS (SELECT page_id, url, html, regexp_extract(url, '/([a-z][a-z])/', 1) AS query,
+       row_number() OVER (PARTITION BY regexp_extract(url, '/([a-z][a-z])/', 1) ORDER BY page_id) AS page_rank FROM pages),
+qt AS (SELECT query, {H1_SQL} AS qtext FROM p WHERE page_rank = 1),
+tx AS (SELECT query, page_id, url, coalesce({PARAGRAPHS_SQL}, '') AS text FROM p WHERE page_rank <= 5),
+ch AS (SELECT query, url, CAST(page_id AS VARCHAR) || '#' || lpad(CAST(pos AS VARCHAR), 4, '0') AS item_id, substr(text, CAST(pos * 512 + 1 AS BIGINT), 512) AS chunk
+       FROM tx, LATERAL (SELECT unnest(range(0, least((length(text) + 511) // 512, 100))) AS pos)),
+{_emb_sql('qe', 'qt', 'query', 'qtext')}, {_emb_sql('ce', 'ch', 'item_id', 'chunk')},
+h AS (SELECT * FROM (SELECT ch.query, url, chunk, row_number() OVER (PARTITION BY ch.query ORDER BY round(list_dot_product(qe.v, ce.v), 9) DESC, item_id) AS rank
+      FROM ch JOIN ce USING (item_id) JOIN qe ON qe.query = ch.query) WHERE rank <= 8)"""
 
-@register("retrieval_cutoffs_pipeline", G)
+
+@register("retrieval_cutoffs_pipeline", G, sql=f"""
+WITH {_WEB_SQL} SELECT query, string_agg(chunk, chr(10) || chr(10) ORDER BY rank) AS context FROM h GROUP BY query
+""")
 def q_web_retrieve(spark, d):
     hits = _web_hits(spark, d)
     return H.stuff_prompt(hits, "query_id", "rank", "chunk", "{context}").select(F.col("query_id").alias("query"), F.col("prompt").alias("context"))
 
 
-@register("context_sources_dedupe", G)
+@register("context_sources_dedupe", G, sql=f"""
+WITH {_WEB_SQL}, s AS (SELECT query, url, min(rank) AS best_rank FROM h GROUP BY query, url)
+SELECT query, url, best_rank, row_number() OVER (PARTITION BY query ORDER BY best_rank) AS place FROM s
+""")
 def q_sources(spark, d):
     hits = _web_hits(spark, d)
-    return hits.groupBy("query_id", "url").agg(F.min("rank").alias("best_rank")).withColumnRenamed("query_id", "query")
+    best = hits.groupBy("query_id", "url").agg(F.min("rank").cast("bigint").alias("best_rank")).withColumnRenamed("query_id", "query")
+    # at most 8 sources per query, numbered in rank order
+    place = F.row_number().over(Window.partitionBy("query").orderBy("best_rank")).cast("bigint")
+    return best.withColumn("place", place)
 
 
-@register("embed_pair", G)
+@register("embed_pair", G, sql=f"""
+WITH pt AS (SELECT page_id, array_to_string(list_filter([coalesce({TITLE_SQL}, ''), coalesce({PARAGRAPHS_SQL}, '')], lambda x: x IS NOT NULL), ' ') AS joined FROM pages),
+{_emb_sql('e', 'pt', 'page_id', 'joined')}
+SELECT page_id, {_vec_sql('v')} AS embedding FROM e
+""")
 def q_embed_pair(spark, d):
     p = t(spark, d, "pages")
     # one vector for caption plus image bytes: the default embedder reads the caption and the decoded page text

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from corpusflow.operators import chatstats as cs
 from corpusflow.operators.reports import revenue_extremes, revenue_totals
+from corpusflow.plans.dense_index import with_index
 from corpusflow.queries.common import day, r6, t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts import CHAT, SALES, facets_sql, period
@@ -180,15 +183,25 @@ def q_revenue_extremes(spark, d):
     return revenue_extremes(sales(t(spark, d, "lineitem"), t(spark, d, "part")))
 
 
+PERCENTILES = (25, 50, 75, 90)
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("feature_distribution", G, sql="\nUNION ALL\n".join(
     f"SELECT '{c}' AS feature, count({c}) AS n, round(min({c}), 6) AS min, round(max({c}), 6) AS max, "
-    f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std FROM lineitem" for c in _NUM))
+    f"round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    + ", ".join(f"(SELECT round({c}, 6) FROM (SELECT {c}, row_number() OVER (ORDER BY {c}) - 1 AS i, count(*) OVER () AS n FROM lineitem "
+                f"WHERE {c} IS NOT NULL) WHERE i = (n - 1) * {p} // 100) AS p{p}" for p in PERCENTILES)
+    + " FROM lineitem" for c in _NUM))
 def q_feature_distribution(spark, d):
     li = t(spark, d, "lineitem").select(*_NUM)
-    long = li.unpivot([], _NUM, "feature", "v")
-    return (long.groupBy("feature")
-            .agg(F.count("v").alias("n"), r6(F.min("v")).alias("min"), r6(F.max("v")).alias("max"),
-                 r6(F.avg("v")).alias("mean"), r6(F.stddev_samp("v")).alias("std")))
+    long = li.unpivot([], _NUM, "feature", "v").filter("v IS NOT NULL")
+    stats = (long.groupBy("feature")
+             .agg(F.count("v").alias("n"), r6(F.min("v")).alias("min"), r6(F.max("v")).alias("max"),
+                  r6(F.avg("v")).alias("mean"), r6(F.stddev_samp("v")).alias("std")))
+    # exact percentiles: the rows at those places of a range-partitioned index (equal values may stand for one another)
+    placed = with_index(long, ["v"], "i", within=["feature"]).join(stats.select("feature", "n"), "feature")
+    at = [F.floor((F.col("n") - 1) * p / 100) for p in PERCENTILES]
+    ranks = placed.filter(reduce(lambda a, b: a | b, [F.col("i") == x for x in at]))
+    found = ranks.groupBy("feature").agg(*[r6(F.max(F.when(F.col("i") == x, F.col("v")))).alias(f"p{p}") for p, x in zip(PERCENTILES, at)])
+    return stats.join(found, "feature")

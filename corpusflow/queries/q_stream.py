@@ -1,16 +1,20 @@
 """Group Q: streams run to completion (availableNow, file source) and read back; compared with the batch answer."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from corpusflow.operators.chatstats import merge_stats
 from corpusflow.functions.text import tokens
 from corpusflow.queries.common import day, r6, t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts_text import tokens as stok
 from corpusflow.sources.readers import scratch_path
 from corpusflow.streaming import ops as Q
-from corpusflow.streaming.runner import file_stream, latest_per_key, read_sink, run_to_sink
+from corpusflow.streaming.runner import file_count, file_stream, latest_per_key, read_sink, run_to_sink
 
 G = "Q"
+PACK_SHARDS = 8
 KEYWORDS = ["License", "license", "password", "@"]
 
 
@@ -22,22 +26,34 @@ def q_s_filter(spark, d):
 
 
 @register("stream_rate_limit", G, sql="""
-SELECT user_id, event_id, count(*) OVER w AS n, count(*) OVER w > 2 AS over_limit FROM events
-WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '59999999 microseconds' PRECEDING AND CURRENT ROW)
+SELECT user_id, event_id, greatest(count(*) OVER u, count(*) OVER i) AS n, greatest(count(*) OVER u, count(*) OVER i) > 2 AS over_limit FROM events
+WINDOW u AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '59999999 microseconds' PRECEDING AND CURRENT ROW),
+       i AS (PARTITION BY json_extract_string(props, '$.k') ORDER BY ts RANGE BETWEEN INTERVAL '59999999 microseconds' PRECEDING AND CURRENT ROW)
 """)
 def q_s_rate(spark, d):
-    # exact per-event answer: each message is checked against the user's last 60 s (keyed state)
+    # exact per-event answer: each message against the last 60 s of its user and of its address (props.k); the larger counts
     s = file_stream(spark, d, "events", "ts")
-    out, _ = run_to_sink(Q.rate_limit(s, "user_id", "ts", "event_id", 60, 2))
-    return read_sink(spark, out, "user_id bigint, event_id bigint, n bigint, over_limit boolean").drop("_batch")
+    who = F.array(F.concat(F.lit("u"), F.col("user_id").cast("string")), F.concat(F.lit("i"), F.get_json_object("props", "$.k")))
+    out, _ = run_to_sink(Q.rate_limit(s.select("ts", "event_id", F.explode(who).alias("who")), "who", "ts", "event_id", 60, 2))
+    seen = read_sink(spark, out, "who string, event_id bigint, n bigint, over_limit boolean")
+    user = F.max(F.when(F.substring("who", 1, 1) == "u", F.expr("substring(who, 2)"))).cast("bigint")
+    return seen.groupBy("event_id").agg(user.alias("user_id"), F.max("n").alias("n")).withColumn("over_limit", F.col("n") > 2)
 
 
-@register("stream_activity", G, sql="SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS at, count(*) AS n FROM events GROUP BY 1")
+@register("stream_activity", G, sql="\nUNION ALL\n".join(
+    f"SELECT '{s}' AS span, strftime(date_trunc('{s}', ts), '%Y-%m-%d') AS at, count(*) AS n FROM events GROUP BY 2" for s in ("day", "week", "month")))
 def q_s_activity(spark, d):
     s = file_stream(spark, d, "events", "ts")
     out, _ = run_to_sink(Q.tumbling_counts(s, "ts"), mode="update")
     r = latest_per_key(read_sink(spark, out, "w struct<start: timestamp, end: timestamp>, n bigint"), ["w"])
-    return r.select(day("w.start").alias("at"), "n")
+    days = r.select(F.col("w.start").alias("start"), "n")
+    # weeks and months follow from the (few) days
+    spans = [days.select(F.lit(s).alias("span"), day(F.date_trunc(s, F.col("start"))).alias("at"), "n") for s in ("day", "week", "month")]
+    fresh = reduce(lambda a, b: a.unionByName(b), spans).groupBy("span", "at").agg(F.sum("n").alias("n"))
+    # into the stored table, here the days known before the stream ran: the stream's rows replace them
+    early = t(spark, d, "events").filter(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz"))
+    stored = early.groupBy(F.lit("day").alias("span"), day("ts").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    return merge_stats(stored, fresh, ["span", "at"])
 
 
 @register("stream_distinct_actors", G, sql="SELECT strftime(ts, '%Y-%m-%d') AS day, count(DISTINCT user_id) AS users FROM events GROUP BY 1")
@@ -97,7 +113,7 @@ def q_s_assembly(spark, d):
     toks = c.select(mid.alias("message_id"), F.posexplode(F.split("text", " ", -1)).alias("seq", "token"), F.lit("token").alias("kind"))
     status = c.select(mid.alias("message_id"), F.lit(-1).alias("seq"), F.lit("started").alias("token"), F.lit("status").alias("kind"))
     src = scratch_path(spark, "stream-src-updates")
-    toks.unionByName(status).repartition(4).write.mode("overwrite").parquet(src)
+    toks.unionByName(status).repartition(file_count(spark, f"{d.rstrip('/')}/conversations.parquet")).write.mode("overwrite").parquet(src)
     sdf = spark.readStream.schema("message_id string, seq int, token string, kind string").option("maxFilesPerTrigger", 1).parquet(src)
     out, _ = run_to_sink(Q.assemble(sdf, "message_id", "seq", "token", "kind"), mode="update")
     r = latest_per_key(read_sink(spark, out, "message_id string, tokens array<struct<seq: int, token: string>>, n_status bigint"), ["message_id"])
@@ -105,14 +121,19 @@ def q_s_assembly(spark, d):
     return r.select("message_id", text.alias("text"), F.col("n_status").cast("int").alias("n_status"))
 
 
-@register("stream_packing", G)
+@register("stream_packing", G, sql=f"""
+WITH s AS (SELECT lang || '/' || CAST(doc_id % {PACK_SHARDS} AS VARCHAR) AS shard, sum(len({stok('text')}) + 1) // 256 AS k FROM documents GROUP BY 1)
+SELECT shard, CAST(chunk AS BIGINT) AS chunk, CAST(256 AS INTEGER) AS n FROM s, LATERAL (SELECT unnest(range(CAST(k AS BIGINT))) AS chunk)
+""")
 def q_s_pack(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", "lang", F.transform(tokens("text"), lambda x: F.length(x)).alias("ids"))
+    # a language is spread over shards, each with a buffer of its own
+    shard = F.concat_ws("/", "lang", (F.col("doc_id") % PACK_SHARDS).cast("string"))
+    docs = t(spark, d, "documents").select("doc_id", shard.alias("shard"), F.transform(tokens("text"), lambda x: F.length(x)).alias("ids"))
     src = scratch_path(spark, "stream-src-docs")
-    docs.repartitionByRange(4, "doc_id").write.mode("overwrite").parquet(src)
+    docs.repartitionByRange(file_count(spark, f"{d.rstrip('/')}/documents.parquet"), "doc_id").write.mode("overwrite").parquet(src)
     sdf = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    out, _ = run_to_sink(Q.pack_stream(sdf, "lang", ["doc_id"], "ids", 256))
-    return read_sink(spark, out, "lang string, chunk bigint, input_ids array<int>").select("lang", "chunk", F.size("input_ids").alias("n"))
+    out, _ = run_to_sink(Q.pack_stream(sdf, "shard", ["doc_id"], "ids", 256, eos=2))
+    return read_sink(spark, out, "shard string, chunk bigint, input_ids array<int>").select("shard", "chunk", F.size("input_ids").alias("n"))
 
 
 @register("stream_prompt_advantage", G, sql="""
@@ -160,13 +181,16 @@ def q_s_new(spark, d):
     ev = t(spark, d, "events")
     stored = ev.filter(F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")).select("user_id", "event_type").distinct()
     target = scratch_path(spark, "stored-items")
-    stored.write.mode("overwrite").parquet(target)
+    stored.withColumn("from_batch", F.lit(-1).cast("bigint")).write.mode("overwrite").parquet(f"{target}/stored")
     s = file_stream(spark, d, "events", "ts").select("user_id", "event_type")
 
     def insert_new(batch, batch_id):
-        # items already stored (by earlier batches too) are skipped; duplicates inside the batch collapse
-        have = spark.read.parquet(target)
-        return batch.dropDuplicates(["user_id", "event_type"]).join(have, ["user_id", "event_type"], "left_anti")
+        # items already stored, by earlier batches too, are skipped; duplicates inside the batch collapse.  The new
+        # ones join the store under their batch id, so a retried batch replaces its own
+        have = spark.read.parquet(f"{target}/*").filter(F.col("from_batch") != batch_id)
+        new = batch.dropDuplicates(["user_id", "event_type"]).join(have, ["user_id", "event_type"], "left_anti")
+        new.withColumn("from_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{target}/items-{batch_id}")
+        return spark.read.parquet(f"{target}/items-{batch_id}").drop("from_batch")
 
     out, _ = run_to_sink(s, per_batch=insert_new)
-    return read_sink(spark, out, "user_id bigint, event_type string").drop("_batch").distinct()
+    return read_sink(spark, out, "user_id bigint, event_type string").drop("_batch")

@@ -26,6 +26,14 @@ p AS (SELECT page_id, url, list_transform(regexp_extract_all(h, '(?is)<p\\b[^>]*
         lambda x: {_decode_sql("regexp_replace(x, '<[^>]*>', '', 'g')")}) AS ps FROM c)"""
 
 
+_PS_SQL = f"""list_transform(regexp_extract_all(regexp_replace(html, '{X.DROP_BLOCKS}', '', 'g'), '(?is)<p\\b[^>]*>(.*?)</p>', 1),
+        lambda x: {_decode_sql("regexp_replace(x, '<[^>]*>', '', 'g')")})"""
+#: SQL over a column html: last first-level heading, last title, paragraph text (null without one)
+H1_SQL = "coalesce(regexp_extract_all(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)[-1], '')"
+TITLE_SQL = "regexp_extract_all(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)[-1]"
+PARAGRAPHS_SQL = f"CASE WHEN len({_PS_SQL}) > 0 THEN regexp_replace(array_to_string({_PS_SQL}, ' '), ' {{2}}|\\r\\n|\\n|\\r', '', 'g') END"
+
+
 @register("extract_paragraph_text", G, sql=f"""
 WITH {PARAS_SQL}
 SELECT page_id, CASE WHEN len(ps) > 0 THEN regexp_replace(array_to_string(ps, ' '), ' {{2}}|\\r\\n|\\n|\\r', '', 'g') END AS text,

@@ -22,7 +22,7 @@ def _vocab(spark, d):
 
 def _tok(spark, d, df=None, col="text"):
     df = df if df is not None else t(spark, d, "documents").select("doc_id", "text")
-    return T.tokenize(df, col, _vocab(spark, d), key="doc_id")
+    return T.tokenize(df, col, _vocab(spark, d))
 
 
 def _ids_str(c):
@@ -82,7 +82,7 @@ def q_prompt_label(spark, d):
            .select("doc_id", F.concat(F.lit("text : "), "text", F.lit(" Label : ")).alias("p"),
                    F.when(F.col("quality") == 1, "good").otherwise("bad").alias("l")))
     voc = _vocab(spark, d)
-    x = T.tokenize(T.tokenize(src, "p", voc, "pid", key="doc_id"), "l", voc, "lid", key="doc_id")
+    x = T.tokenize(T.tokenize(src, "p", voc, "pid"), "l", voc, "lid")
     ids, mask, labels = T.supervised_pair(F.col("pid"), F.col("lid"), 64)
     return x.select("doc_id", _ids_str(ids).alias("input_ids"), _ids_str(mask).alias("attention_mask"), _ids_str(labels).alias("labels"))
 
@@ -211,7 +211,7 @@ def _pairs_tok(spark, d):
     p = p.select("conv_id", F.concat(F.lit("Question: "), "question", F.lit("\n\nAnswer: "), "response_j").alias("tj"),
                  F.concat(F.lit("Question: "), "question", F.lit("\n\nAnswer: "), "response_k").alias("tk"))
     voc = _vocab(spark, d)
-    return T.tokenize(T.tokenize(p, "tj", voc, "ids_j", key="conv_id"), "tk", voc, "ids_k", key="conv_id")
+    return T.tokenize(T.tokenize(p, "tj", voc, "ids_j"), "tk", voc, "ids_k")
 
 
 PAIR_TOK_SQL = f"""src AS (SELECT conv_id, 'Question: ' || question || chr(10) || chr(10) || 'Answer: ' || response_j AS tj,
@@ -232,8 +232,11 @@ def q_tok_pair(spark, d):
 
 @register("pad_pair_batch", G, sql=f"""
 WITH {VOC_SQL}, {PAIRS}, {PAIR_TOK_SQL},
-b AS (SELECT conv_id, len(xj.ids) AS n_j, len(xk.ids) AS n_k, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS batch FROM xj JOIN xk USING (conv_id))
-SELECT conv_id, batch, n_j, n_k, max(greatest(n_j, n_k)) OVER (PARTITION BY batch) AS padded_len FROM b
+b AS (SELECT conv_id, len(xj.ids) AS n_j, len(xk.ids) AS n_k, (row_number() OVER (ORDER BY conv_id) - 1) // 4 AS batch FROM xj JOIN xk USING (conv_id)),
+p AS (SELECT conv_id, batch, n_j, n_k, max(greatest(n_j, n_k)) OVER (PARTITION BY batch) AS padded_len FROM b),
+a AS (SELECT p.*, list_concat(xj.ids, list_transform(range(padded_len - n_j), lambda i: 0)) AS j, list_concat(xk.ids, list_transform(range(padded_len - n_k), lambda i: 0)) AS k
+      FROM p JOIN xj USING (conv_id) JOIN xk USING (conv_id))
+SELECT conv_id, batch, n_j, n_k, padded_len, {ids_sql('j')} AS input_ids_j, {ids_sql('k')} AS input_ids_k FROM a
 """)
 def q_pad_pairs(spark, d):
     from pyspark.sql import Window
@@ -241,6 +244,8 @@ def q_pad_pairs(spark, d):
     from corpusflow.plans.dense_index import with_index
 
     x = with_index(_pairs_tok(spark, d), ["conv_id"], "_i").withColumn("batch", F.floor(F.col("_i") / 4).cast("bigint"))
-    x = x.select("conv_id", "batch", F.size("ids_j").cast("bigint").alias("n_j"), F.size("ids_k").cast("bigint").alias("n_k"))
+    x = x.select("conv_id", "batch", "ids_j", "ids_k", F.size("ids_j").cast("bigint").alias("n_j"), F.size("ids_k").cast("bigint").alias("n_k"))
     # a batch holds 4 pairs: the window is bounded by construction
-    return x.withColumn("padded_len", F.max(F.greatest("n_j", "n_k")).over(Window.partitionBy("batch")))
+    x = x.withColumn("padded_len", F.max(F.greatest("n_j", "n_k")).over(Window.partitionBy("batch")))
+    return x.select("conv_id", "batch", "n_j", "n_k", "padded_len",
+                    *[_ids_str(T.pad(f"ids_{s}", F.col("padded_len").cast("int"))).alias(f"input_ids_{s}") for s in "jk"])

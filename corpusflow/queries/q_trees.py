@@ -86,8 +86,11 @@ def q_retry(spark, d):
 
 
 @register("conversation_hash", G, sql="""
-SELECT conv_id, sha256(string_agg(role || chr(1) || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) || chr(1) || text, chr(2) ORDER BY turn)) AS hash
+SELECT conv_id, sha256('[' || string_agg('{"from":' || CAST(to_json(role) AS VARCHAR) || ',"id":"' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)
+  || '","content":' || CAST(to_json(text) AS VARCHAR) || CASE WHEN turn % 3 = 1 THEN ',"webSearchId":"w' || CAST(turn AS VARCHAR) || '"' ELSE '' END || '}', ',' ORDER BY turn) || ']') AS hash
 FROM conversations GROUP BY conv_id
 """)
 def q_hash(spark, d):
-    return R.conversation_hash(t(spark, d, "conversations"))
+    # every third turn came with a web search
+    search = F.when(F.col("turn") % 3 == 1, F.concat(F.lit("w"), F.col("turn").cast("string")))
+    return R.conversation_hash(t(spark, d, "conversations").withColumn("web_search_id", search))

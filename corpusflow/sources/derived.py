@@ -14,7 +14,7 @@ Fixed choices (kept identical in the DuckDB oracles):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -70,8 +70,9 @@ def preference_pairs(conversations: DataFrame) -> DataFrame:
     """
     c = conversations
     q = c.filter(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("question"))
-    a = (c.filter(F.col("role") == "assistant").groupBy("conv_id")
-         .agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("_a"))
-         .filter(F.size("_a") >= 2)
-         .select("conv_id", F.col("_a")[0]["text"].alias("response_j"), F.col("_a")[1]["text"].alias("response_k")))
+    two = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))
+    a = c.filter(F.col("role") == "assistant").withColumn("_r", two).filter("_r <= 2")
+    a = (a.groupBy("conv_id").agg(F.max(F.when(F.col("_r") == 1, F.col("text"))).alias("response_j"),
+                                  F.max(F.when(F.col("_r") == 2, F.col("text"))).alias("response_k"), F.count(F.lit(1)).alias("_n"))
+         .filter("_n = 2").drop("_n"))
     return q.join(a, "conv_id")

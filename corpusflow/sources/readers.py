@@ -24,9 +24,9 @@ def read_parquet_splits(spark: SparkSession, root: str, splits=None) -> DataFram
     return df
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Header CSV; quoted fields may hold newlines (dialogues)."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, multiline: bool = False) -> DataFrame:
+    """Header CSV.  ``multiline`` for quoted fields with newlines (dialogues): then a file is one task."""
+    return spark.read.schema(schema).option("header", True).option("multiLine", multiline).option("escape", '"').csv(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -56,6 +56,16 @@ def json_normalize(df: DataFrame, col: str, schema: str, prefix: str = "") -> Da
     return j.select(*[c for c in df.columns if c != col], *[F.col(f"_j.{f}").alias(prefix + f) for f in fields])
 
 
+#: fixed values: the chat store's collections
+COLLECTIONS = ("conversations", "conversationStats", "assistants", "reports", "sharedConversations", "abortedGenerations",
+               "settings", "users", "sessions", "messageEvents", "files")
+
+
+def load_collections(spark: SparkSession, root: str, names=COLLECTIONS) -> dict[str, DataFrame]:
+    """The store's collections, a Parquet folder each below ``root``."""
+    return {n: spark.read.parquet(f"{root}/{n}") for n in names}
+
+
 def read_documents(spark: SparkSession, glob: str) -> DataFrame:
     """Whole text files, one row each, with their path."""
     return spark.read.text(glob, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))

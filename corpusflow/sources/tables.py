@@ -16,18 +16,17 @@ _TIME_COLUMNS = {"events": ["ts"], "orders": ["o_orderdate"], "lineitem": ["l_sh
 _TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 
+TEXT_PARTITIONS = "corpusflow.textPartitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has cores.
+    """Round-robin a text table over ``corpusflow.textPartitions`` tasks, if the session sets that.
 
-    A single-row-group file is one scan task; per-row text work would then run on one core.
-    On real inputs (many files / row groups) the scan is already wide and this is a no-op.
+    Unset by default: real inputs have many files and row groups. The fixture's tables are one row
+    group each, that is one scan task, so the bench sets it to its number of cores.
     """
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # sessions without a local SparkContext (e.g. Connect): leave the scan as is
-        return df
-    return df.repartition(n) if parts < n else df
+    n = int(df.sparkSession.conf.get(TEXT_PARTITIONS, "0"))
+    return df.repartition(n) if n > 0 else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, zoned: bool = False) -> DataFrame:

@@ -2,9 +2,11 @@
 
 Event time comes with a watermark (10 minutes by default, longer where a period must stay open);
 late rows beyond it are dropped by Spark and counted in the query progress.  Keyed state uses
-``applyInPandasWithState`` with event-time timeouts, so state is bounded by the watermark.
+``applyInPandasWithState``: the rate limit frees idle keys by event-time timers; the rolling advantage and
+packing keep a bounded buffer per key for as long as the stream runs.
 """
 
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -92,8 +94,11 @@ def rolling_advantage(sdf: DataFrame, prompt: str, order: Sequence[str], reward:
         fn, f"{prompt} {key_t}, {ord_cols[-1]} {last_t}, advantage double", "buf array<double>", "append", GroupStateTimeout.NoTimeout)
 
 
-def pack_stream(sdf: DataFrame, shard: str, order: Sequence[str], ids: str, n: int) -> DataFrame:
-    """Endless documents to chunks of n tokens: one buffer per shard, full chunks out, remainder kept in state."""
+def pack_stream(sdf: DataFrame, shard: str, order: Sequence[str], ids: str, n: int, eos: int | None = None, wrap: bool = True) -> DataFrame:
+    """Endless documents to chunks of n tokens: one buffer per shard, full chunks out, remainder kept in state.
+
+    ``eos`` ends each document.  Without ``wrap`` the rest of a document that fills a chunk is dropped.  A shard's state is less than a chunk; spread a hot key over several shards.
+    """
     key_t = sdf.schema[shard].dataType.simpleString()
     ord_cols = list(order)
 
@@ -103,38 +108,50 @@ def pack_stream(sdf: DataFrame, shard: str, order: Sequence[str], ids: str, n: i
         chunks = []
         for arr in pdf[ids]:
             buf.extend(int(x) for x in arr)
-            while len(buf) >= n:
+            if eos is not None:
+                buf.append(eos)
+            if not wrap and len(buf) >= n:
                 chunks.append(buf[:n])
-                buf = buf[n:]
-        state.update((buf, done + len(chunks)))
+                buf = []
+        full = len(buf) // n * n
+        chunks += [buf[i:i + n] for i in range(0, full, n)]
+        state.update((buf[full:], done + len(chunks)))
         yield pd.DataFrame({shard: [key[0]] * len(chunks), "chunk": list(range(done, done + len(chunks))), "input_ids": chunks})
 
     return sdf.groupBy(shard).applyInPandasWithState(
         fn, f"{shard} {key_t}, chunk long, input_ids array<int>", "buf array<int>, done long", "append", GroupStateTimeout.NoTimeout)
 
 
-def rate_limit(sdf: DataFrame, key: str, ts: str, order: str, window_s: int = 60, limit: int = 2) -> DataFrame:
+def rate_limit(sdf: DataFrame, key: str, ts: str, order: str, window_s: int = 60, limit: int = 2,
+               watermark: str = WATERMARK) -> DataFrame:
     """Exact per-event rate: events of the same key in (ts - window, ts], flagged above ``limit``.
 
-    Keyed state holds only the key's event times inside the window (bounded by the rate), pruned on
-    every event; rows of a batch are taken in event-time order.
+    Keyed state holds only the key's event times inside the window (bounded by the rate): old ones leave at
+    the front of a queue, and an event-time timer drops a key once the watermark has passed its window.
+    Rows of a batch are taken in event-time order.
     """
     key_t = sdf.schema[key].dataType.simpleString()
     span_us = window_s * 1_000_000
 
     def fn(k, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        buf = list(state.get[0]) if state.exists else []
+        if state.hasTimedOut:
+            state.remove()
+            return
+        buf = deque(state.get[0] if state.exists else ())
         pdf = pd.concat(list(pdfs)).sort_values(["_us", order])
         counts = []
         for t in pdf["_us"]:
-            buf = [x for x in buf if x > t - span_us] + [int(t)]
+            buf.append(int(t))
+            while buf[0] <= t - span_us:
+                buf.popleft()
             counts.append(len(buf))
-        state.update((buf,))
+        state.update((list(buf),))
+        state.setTimeoutTimestamp(max((buf[-1] + span_us) // 1000, state.getCurrentWatermarkMs()) + 1)
         yield pd.DataFrame({key: k[0], order: pdf[order].to_numpy(), "n": counts, "over_limit": [c > limit for c in counts]})
 
-    x = sdf.select(key, order, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
+    x = sdf.withWatermark(ts, watermark).select(key, order, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
     return x.groupBy(key).applyInPandasWithState(
-        fn, f"{key} {key_t}, {order} bigint, n long, over_limit boolean", "times array<long>", "append", GroupStateTimeout.NoTimeout)
+        fn, f"{key} {key_t}, {order} bigint, n long, over_limit boolean", "times array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def apply_cooldown(signals: DataFrame, endpoint: str, start: str, signal: str, out_s: int = 60, in_s: int = 300) -> DataFrame:

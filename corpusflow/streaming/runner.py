@@ -1,7 +1,7 @@
 """Running streams to completion: file sources, idempotent per-batch sinks, read-back of the latest state.
 
-Sources: a fixture table copied into several time-ordered parquet files under the shared
-scratch folder, read as a file stream one file per trigger (so state crosses batches).
+Sources: a fixture table copied into time-ordered parquet files under the shared scratch folder (their
+number follows the table's size), read as a file stream one file per trigger (so state crosses batches).
 Sinks: ``foreachBatch`` writes each micro-batch to ``<path>/batch=<id>`` with overwrite, so a
 retried batch replaces its own output (exactly-once at the sink).  Update-mode aggregates are
 read back as the latest row per key.
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from corpusflow.sources.readers import scratch_path
 from corpusflow.sources.tables import table
 
-DEFAULT_TIMEOUT_S = 600
+FILE_BYTES = 32 << 20
+LEAST_FILES = 4  # so that state crosses batches on small tables, too
 
 
 def _order_mtimes(spark: SparkSession, folder: str) -> None:
@@ -29,9 +30,16 @@ def _order_mtimes(spark: SparkSession, folder: str) -> None:
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
 
 
-def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files: int = 4, zoned: bool = True,
+def file_count(spark: SparkSession, path: str) -> int:
+    """Files for a copy of the data at ``path``: one per ``FILE_BYTES``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return max(LEAST_FILES, -(-size // FILE_BYTES))
+
+
+def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files: int | None = None, zoned: bool = True,
                 flush_rows: DataFrame | None = None) -> DataFrame:
-    """Copy ``name`` into ``files`` time-ordered parquet files and open it as a stream (one file per trigger).
+    """Copy ``name`` into time-ordered parquet files and open it as a stream (one file per trigger).
 
     The file source replays files by modification time, so the copies get increasing times in
     file-name (= range) order.  ``flush_rows`` (rows far in the future) come last, in two files, so
@@ -39,6 +47,7 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files:
     """
     df = table(spark, sf_dir, name, zoned)
     src = scratch_path(spark, f"stream-src-{name}")
+    files = files or file_count(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     parts = df.repartitionByRange(files, order).sortWithinPartitions(order)
     if flush_rows is not None:
         tail = flush_rows.select(*df.columns)
@@ -49,15 +58,17 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files:
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
-def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int = DEFAULT_TIMEOUT_S,
+def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int | None = None,
                 per_batch: Callable[[DataFrame, int], DataFrame] | None = None) -> tuple[str, object]:
     """Run with ``availableNow``; every batch (optionally transformed by ``per_batch``) is written under its batch id.
 
-    Returns (sink path, last progress).  Raises if the query failed or did not finish in time.
+    Returns (sink path, last progress).  Raises if the query failed or, with ``timeout_s``, did not finish in time.
     """
     spark = sdf.sparkSession
     out = scratch_path(spark, "stream-out")
     ckpt = scratch_path(spark, "stream-ckpt")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = per_batch(batch, batch_id) if per_batch else batch
@@ -65,8 +76,9 @@ def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int = DEFAULT_T
 
     q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
-    finished = q.awaitTermination(timeout_s)
-    if not finished:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if q.exception() is not None:
@@ -75,13 +87,14 @@ def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int = DEFAULT_T
 
 
 def read_sink(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All rows written by a stream (an empty frame of ``schema`` when no batch produced rows)."""
-    import os  # noqa: F401  (path may be remote: probe with Spark, not the local filesystem)
-
-    try:
-        return spark.read.parquet(path).drop("batch")
-    except Exception:
+    """All rows written by a stream; an empty frame of ``schema`` when it had no batch.  A missing sink is an error."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        raise FileNotFoundError(path)
+    if len(fs.listStatus(folder)) == 0:
         return spark.createDataFrame([], schema + ", _batch bigint")
+    return spark.read.parquet(path).drop("batch")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -22,7 +22,11 @@ def test_matches_oracle(spark, sf, duck, name):
     assert s_rows == d_rows
 
 
+#: against brute force or invariants in test_invariants.py
+CHECKED_ELSEWHERE = {"mmr_search", "approx_knn", "rouge_l", "rouge_lsum", "chunk_recursive", "chunk_by_separator"}
+
+
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_runs(spark, sf, name):
-    df = REG[name].fn(spark, sf)
-    assert df.count() >= 0
+    assert name in CHECKED_ELSEWHERE  # SQL can't state it: its result has a test of its own
+    assert REG[name].fn(spark, sf).count() > 0

@@ -28,13 +28,30 @@ def test_knn_limits_each_query_before_the_shuffle(spark, sf):
     plan = _formatted(REG["dot_product_search"].fn(spark, sf))
     tree = plan.split("\n\n")[0]
     lines = [ln.strip(" +-:") for ln in tree.splitlines()]
-    # bottom-up: a partial WindowGroupLimit sits below the first Exchange above the scoring Generate
+    # bottom-up: tasks keep their k best in the scoring pass itself, and no pair is generated
     order = [ln.split(" (")[0] for ln in lines]
-    gen = max(i for i, n in enumerate(order) if n.startswith("Generate"))
-    above = order[:gen][::-1]
-    assert "WindowGroupLimit" in above
-    assert above.index("WindowGroupLimit") < above.index("Exchange")
-    assert "SortMergeJoin" not in plan
+    scored = max(i for i, n in enumerate(order) if n.startswith("MapInArrow"))
+    assert "Exchange" in order[:scored] and not any(n.startswith("Exchange") for n in order[scored:])
+    assert "Generate" not in plan and "SortMergeJoin" not in plan
+
+
+def test_tokenise_and_rouge_do_not_shuffle(spark, sf):
+    for name in ("tokenize", "pad_or_truncate", "prompt_label_pair", "rouge_n"):
+        plan = REG[name].fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
+        exchanges = plan.count("Exchange hashpartitioning")
+        assert exchanges <= (2 if name == "prompt_label_pair" else 0), (name, plan)  # its join of documents and labels
+        assert "Generate" not in plan
+
+
+def test_year_reaches_the_scan(spark, sf):
+    for name in ("top5_products_by_sales", "monthly_average_sales"):
+        p = _formatted(REG[name].fn(spark, sf))
+        assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+
+
+def test_report_reads_the_facts_once(spark, sf):
+    p = REG["sales_report"].fn(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("l_shipdate") and p.count("Relation [") == 2  # lineitem and part
 
 
 def test_scan_reads_only_needed_columns(spark, sf):

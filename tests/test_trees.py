@@ -96,7 +96,16 @@ def test_legacy_append_only_after_last(spark):
                                 "conv_id long, id string, role string, text string, parent_id string")
     out = {r.id: r for r in R.legacy_append(_legacy(spark), new).collect()}
     assert out["d"].error is None and out["d"].turn == 3
-    assert "legacy" in out["e"].error
+    assert "legacy" in out["e"].error and out["e"].turn is None
+
+
+def test_legacy_append_needs_its_parent_and_takes_one(spark):
+    new = spark.createDataFrame([(5, "d", "user", "x", None), (5, "e", "user", "y", "c"), (5, "f", "user", "z", "c"), (6, "g", "user", "w", None)],
+                                "conv_id long, id string, role string, text string, parent_id string")
+    out = {r.id: r for r in R.legacy_append(_legacy(spark), new).collect()}
+    assert "legacy" in out["d"].error  # no parent on a thread with messages
+    assert out["e"].error is None and out["e"].turn == 3 and "legacy" in out["f"].error
+    assert out["g"].error is None and out["g"].turn == 0  # an empty thread
 
 
 def test_legacy_path_is_a_slice(spark):
