@@ -4,7 +4,7 @@ Method. Documents are counted by source and exact length. A source's target is m
 copies of it and a remaining budget of less than its size. Of each length, longest first, the share of
 documents that the budget asks for is taken (what a length can't take is carried to the next), up to
 ``DP_WORDS`` words below the budget; a bounded-knapsack dynamic program over the lengths that are left
-then finds the largest sum not above the rest. Of each length the documents with the smallest seeded
+then finds the sum nearest to the rest. Of each length the documents with the smallest seeded
 hashes are taken.
 
 Plan. One scan makes a narrow table (id, source, size, hash). A source's histogram has a row per
@@ -93,17 +93,22 @@ def fit_lengths(size: np.ndarray, count: np.ndarray, target: float) -> tuple[int
         take.append(k)
     rest -= sum(a * b for a, b in zip(length, take))
     # bounded knapsack over bits: bit s of sums says whether s words can be had; lengths in binary bundles
-    mask, sums, steps = (1 << (rest + 1)) - 1, 1, []
+    top = rest + min([n for n, c, k in zip(length, have, take) if n and c > k], default=0)
+    mask, sums, steps = (1 << (top + 1)) - 1, 1, []
     for i, n in enumerate(length):
         spare, bundle = have[i] - take[i], 1
         while spare and n and not sums >> rest & 1:
             k = min(bundle, spare)
-            if k * n <= rest:
+            if k * n <= top:
                 steps.append((i, k, sums))
                 sums |= sums << (k * n) & mask
             spare -= k
             bundle *= 2
-    best = sums.bit_length() - 1
+    # the nearest sum: the largest up to the rest, unless one above it is nearer
+    best = (sums & ((1 << (rest + 1)) - 1)).bit_length() - 1
+    above = sums >> (rest + 1)
+    if above and (above & -above).bit_length() < rest - best:
+        best = rest + (above & -above).bit_length()
     for i, k, before in reversed(steps):
         if not before >> best & 1:
             take[i] += k

@@ -47,7 +47,8 @@ def test_fit_is_the_best_subset_sum():
         rest = round(target - base * total)
         sums = {int((size * np.array(k)).sum()) for k in itertools.product(*[range(c + 1) for c in count])}
         assert base == int(target // total) and (extra <= count).all() and (extra >= 0).all()
-        assert int((size * extra).sum()) == max(s for s in sums if s <= rest)
+        top = rest + int(size.min())
+        assert abs(int((size * extra).sum()) - rest) == min(abs(s - rest) for s in sums if s <= top)
 
 
 def test_large_budget_is_met():
