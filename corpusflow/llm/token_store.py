@@ -13,8 +13,9 @@ shards are in global order and a key with very many rows spans partitions; texts
 encoded and packed in the same task. The rows that are read back carry offsets inside their shard;
 prefix sums over one number per shard make them global.
 
-Encoding. A cut before a space that follows a non-space never falls inside a token of a byte-level BPE
-with the usual pre-tokenizer, so each distinct piece between such cuts is encoded once per task.
+Encoding. A cut before a space that follows a non-space, or before a stop that follows a letter, never
+falls inside a token of a byte-level BPE with the usual pre-tokenizer, so each distinct piece between such
+cuts is encoded once per task.
 
 Defined cases: a null text is empty and gives the end id alone; an empty table gives an empty store; a
 null key comes first; repeated rows are all written. Extra columns are ignored.
@@ -38,8 +39,12 @@ from corpusflow.sources.readers import scratch_path
 END_ID = 2
 SHARD_TOKENS = 2_000_000
 MEMO_PIECES = 2_000_000
+JOINED_BYTES = 1 << 16
 GAMMA = 2.0
 _SPACE = ~A.NOT_SPACE
+_STOP, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_STOP[[ord(c) for c in ",.;:!?"]] = True
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _PRINT = 0xA0761D6478BD642F
 _MASK = (1 << 64) - 1
 
@@ -63,42 +68,35 @@ class Encoder:
         self.at = self.n = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
-    def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row, and the number of ids of each."""
-        out, sizes = [], np.zeros(len(pieces), dtype=np.int64)
-        # pieces of one word are encoded in one go and cut again by the bytes that ids stand for
-        plain = [len(p) > 1 and p[0] == 0x20 and not _SPACE[p[1]] and not _SPACE[p[-1]] for p in pieces]
-        groups, held = [[]], 0
-        for i, p in enumerate(pieces):
-            if plain[i]:
-                groups[-1].append(i)
-                held += len(p)
-                if held > 1 << 16:
-                    groups.append([])
-                    held = 0
-        single = [[i] for i, p in enumerate(plain) if not p]
-        groups = [g for g in groups if g] + single
-        ids_of: list = [None] * len(pieces)
-        for k in range(0, len(groups), 256):
-            some = groups[k:k + 256]
-            got = self.tokenizer.encode_batch_fast([b"".join([pieces[i] for i in g]).decode() for g in some],
-                                                   add_special_tokens=False)
-            for g, e in zip(some, got):
-                ids = np.array(e.ids, dtype=np.uint32)
-                if len(g) == 1:
-                    ids_of[g[0]] = ids
-                    continue
-                ends = np.cumsum([len(pieces[i]) for i in g])
-                done = np.cumsum(self.id_bytes[ids])
-                cut = np.searchsorted(done, ends)
-                if cut[-1] >= len(done) or (done[cut] != ends).any():
-                    raise ValueError("this tokenizer does not keep pieces apart at spaces")
-                for i, part in zip(g, np.split(ids, cut[:-1] + 1)):
-                    ids_of[i] = part
-        for i, ids in enumerate(ids_of):
-            sizes[i] = len(ids)
-            out.append(ids)
-        return (np.concatenate(out) if out else np.zeros(0, dtype=np.uint32)), sizes
+    def _encode(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the pieces, and where the ids of each begin and how many they are."""
+        size = ends - starts
+        at, n = np.zeros(len(size), dtype=np.int64), np.zeros(len(size), dtype=np.int64)
+        # pieces that begin with a space and end without one are encoded in one go, and their ids told apart by
+        # the bytes that ids stand for
+        plain = (size > 1) & (buf[starts] == 0x20) & ~_SPACE[buf[np.minimum(starts + 1, len(buf) - 1)]] & ~_SPACE[buf[ends - 1]]
+        p, out = np.flatnonzero(plain), []
+        if len(p):
+            stop = np.cumsum(size[p])
+            raw = buf[np.arange(int(stop[-1])) + np.repeat(starts[p] - (stop - size[p]), size[p])].tobytes()
+            cuts = np.append(stop[np.flatnonzero(np.diff(stop // JOINED_BYTES))], stop[-1]).tolist()
+            texts = [raw[a:b].decode() for a, b in zip([0, *cuts], cuts)]
+            out = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            done = np.cumsum(self.id_bytes[np.concatenate(out)])
+            last = np.searchsorted(done, stop)
+            if last[-1] != len(done) - 1 or (done[last] != stop).any():
+                raise ValueError("this tokenizer does not keep pieces apart at spaces")
+            n[p] = np.diff(last, prepend=-1)
+            at[p] = last + 1 - n[p]
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            base = sum(map(len, out))
+            texts = [buf[a:b].tobytes().decode() for a, b in zip(starts[rest].tolist(), ends[rest].tolist())]
+            single = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            n[rest] = [len(x) for x in single]
+            at[rest] = base + np.cumsum(n[rest]) - n[rest]
+            out += single
+        return np.concatenate(out), at, n
 
     def column(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (no end ids) and the number of ids of each text."""
@@ -107,7 +105,7 @@ class Encoder:
         if not len(buf):
             return np.zeros(0, dtype=np.uint32), np.zeros(n_docs, dtype=np.int64)
         cut = np.zeros(len(buf), dtype=bool)
-        cut[1:] = (buf[1:] == 0x20) & ~_SPACE[buf[:-1]]
+        cut[1:] = (buf[1:] == 0x20) & ~_SPACE[buf[:-1]] | _STOP[buf[1:]] & _LETTER[buf[:-1]]
         cut[offs[:-1][offs[:-1] < offs[1:]]] = True
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(buf))
@@ -120,10 +118,8 @@ class Encoder:
         inside = slot < len(self.known)
         new[inside] = self.known[slot[inside]] != h[inside]
         if new.any():
-            raw = buf.tobytes()
-            f = first[new]
-            ids, sizes = self._encode([raw[a:b] for a, b in zip(starts[f].tolist(), ends[f].tolist())])
-            place = len(self.flat) + np.cumsum(sizes) - sizes
+            ids, place, sizes = self._encode(buf, starts[first[new]], ends[first[new]])
+            place += len(self.flat)
             self.flat = np.concatenate([self.flat, ids])
             self.known = np.insert(self.known, slot[new], h[new])
             self.at = np.insert(self.at, slot[new], place)
