@@ -52,13 +52,14 @@ _NAME = r"\p{Lu}[\p{L}'’-]{1,30}(?![\p{L}])"
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
-SECRET = r"(?<=\b(?:password|passwd|secret|token|api_key) ?[=:] ?\"?)[^\s\"=:,;]{6,}"
-PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)"
+# the cheap look at one or two characters comes first in each part, as every place of a text is tried
+SECRET = r"(?<=[=:\"]|[=:] )(?<=\b(?:password|passwd|secret|token|api_key) ?[=:] ?\"?)[^\s\"=:,;]{6,}"
+PHONE = r"(?=\+)(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-IPV4 = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
-CARD = r"(?<![\d.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d-])"
-SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+IPV4 = rf"(?=\d)(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
+CARD = r"(?=\d)(?<![\d.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d-])"
+SSN = r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PERSON = rf"(?=\p{{Lu}})(?<![\p{{L}}])(?:(?<={_TITLE} ){_NAME}|(?<={_TITLE} \p{{Lu}}[\p{{L}}'’-]{{1,30}} ){_NAME}|{_GIVEN}(?= {_NAME})|(?<={_GIVEN} ){_NAME})"
 PATTERN = "|".join((EMAIL, ACCESS_KEY, SECRET, PHONE, IBAN, IPV4, CARD, SSN, PERSON))
 
@@ -205,8 +206,8 @@ def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFram
     own = [c for c in docs.columns if c.lower() not in ("n_entities", "entity_types")]
     names = {c: A.fresh(own, c) for c in ("_h",)}
     h = names["_h"]
-    seen = detect(docs.select(*own), text)
-    some = seen.filter(F.size("_ents") > 0).withColumn(h, F.sha2(F.col(text).cast("string").cast("binary"), 256))
+    base, has = docs.select(*own), F.coalesce(F.rlike(F.col(text).cast("string"), F.lit(PATTERN)), F.lit(False))
+    some = detect(base.filter(has), text).withColumn(h, F.sha2(F.col(text).cast("string").cast("binary"), 256))
     # one row for each distinct text with entities: narrow, and reread below
     each = some.select(F.col(h).alias("h"), "_ents").dropDuplicates(["h"]).checkpoint()
     mention = each.select("h", F.posexplode("_ents").alias("i", "e")).select("h", "i", "e.*")
@@ -220,5 +221,5 @@ def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFram
     changed = joined.withColumn(text, F.array_join(parts, ""))
     count = F.size("_ents").cast("long").alias("n_entities")
     types = F.array_join(F.array_sort(F.array_distinct(F.col("_ents.kind"))), ",").alias("entity_types")
-    plain = seen.filter(F.size("_ents") == 0)
-    return changed.select(*own, count, types).unionByName(plain.select(*own, count, types))
+    plain = base.filter(~has).select(*own, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_types"))
+    return changed.select(*own, count, types).unionByName(plain)
