@@ -7,7 +7,8 @@ keeps its text) are dropped from all pages of that host.
 Plan. Lines go into the shuffle as 64-bit hashes, once per page and summed per task first, so a hot
 host or line costs a few rows per task. A host's dropped lines are at most (its mean distinct lines per
 page) / ``max_share``, so they are held in one array per host, which the pages meet by an equi-join on
-the host; a skewed host is split by AQE. Lines are then dropped inside the row.
+host and salt, so a host with a third of all pages is spread over ``SALTS`` tasks. Lines are then dropped
+inside the row.
 
 Defined cases: null or empty text has no lines; pages without a host keep all lines; a line that a page
 repeats counts once for the page; repeated rows are pages of their own; an empty table gives no rows.
@@ -18,9 +19,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 MAX_SHARE = 0.3
 MIN_PAGES = 3
+SALTS = 64
 
 #: markup without text, and the tags at which a line ends
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
@@ -58,9 +61,14 @@ def boilerplate(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
 def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: float = MAX_SHARE,
                     min_pages: int = MIN_PAGES) -> DataFrame:
     """Every input column, and ``host``, ``n_lines``, ``n_dropped`` and ``text`` (the lines that stay)."""
-    own = [c for c in pages.columns if c.lower() not in ("host", "lines", "bad", "n_lines", "n_dropped", "text")]
+    own = [c for c in pages.columns if c.lower() not in ("host", "lines", "bad", "salt", "stay", "n_lines", "n_dropped", "text")]
     part = pages.select(*own, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
-    out = part.join(boilerplate(part.select("host", "lines"), max_share, min_pages), "host", "left")
+    # pages of a hot host go to SALTS tasks; a host's (bounded) array goes to each of them
+    plain = [c for c in own if not isinstance(part.schema[c].dataType, MapType)]
+    part = part.withColumn("salt", F.pmod(F.xxhash64(*plain, "lines"), F.lit(SALTS)))
+    bad = boilerplate(part.select("host", "lines"), max_share, min_pages)
+    bad = bad.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    out = part.join(bad, ["host", "salt"], "left")
     bad = F.coalesce("bad", F.array().cast("array<bigint>"))
     stay = F.filter("lines", lambda x: ~F.array_contains(bad, F.xxhash64(x)))
     return (out.withColumn("stay", stay)
