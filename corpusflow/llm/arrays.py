@@ -7,13 +7,11 @@ memory follows the longest document, not the batch.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: words ``[^\x20\x09-\x0D]+``
 NOT_SPACE = np.ones(256, dtype=bool)
@@ -45,15 +43,19 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _BYTE_LOWER = _BYTE[LOWER]
 
 
-@functools.cache
-def _powers(log2: int) -> tuple[np.ndarray, np.ndarray]:
-    n = 1 << log2
-    out = []
-    for base in (_BASE, _BASE_INV):
-        p = np.full(n, base, dtype=np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First ``n`` powers of the base and of its inverse; one pair of tables is kept, for the largest ``n`` so far."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = 1 << max(16, (n - 1).bit_length())
+        _POWERS.clear()
+        for base in (_BASE, _BASE_INV):
+            p = np.full(size, base, dtype=np.uint64)
+            p[0] = 1
+            _POWERS.append(np.multiply.accumulate(p))
+    return _POWERS[0], _POWERS[1]
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 20_000):
@@ -99,7 +101,7 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     n = len(buf)
     if not n or not len(starts):
         return mix(np.zeros(len(starts), dtype=np.uint64))
-    power, inverse = _powers(max(16, int(n).bit_length()))
+    power, inverse = _powers(n)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((_BYTE_LOWER if lower else _BYTE)[buf] * power[:n], out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))

@@ -38,7 +38,7 @@ from corpusflow.sources.readers import scratch_path
 
 END_ID = 2
 SHARD_TOKENS = 2_000_000
-MEMO_PIECES = 2_000_000
+MEMO_PIECES = 1_000_000
 JOINED_BYTES = 1 << 16
 GAMMA = 2.0
 _SPACE = ~A.NOT_SPACE
