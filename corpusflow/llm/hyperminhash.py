@@ -1,9 +1,10 @@
 """MinHash near-duplicates with HyperMinHash registers, banding and verification on full shingle sets.
 
-Method. A document's shingles (distinct ``width``-word windows, lower-cased) are hashed to 64 bits and
-dealt over ``bands * rows`` buckets. Per bucket the smallest value is kept compressed, as its
-leading-zero count and ``MANTISSA`` bits after the leading one (a register of 16 bits). An empty
-register borrows from the next full one. ``rows`` registers make a band key; documents with an equal
+Method. A document's shingles (distinct ``width``-word windows, lower-cased) are hashed to 64 bits.
+Each of ``bands * rows`` registers has a hash function of its own over all shingles; the smallest value is
+kept compressed, as its leading-zero count and ``MANTISSA`` bits after the leading one (16 bits).
+So registers are independent however few shingles a set has (dealing the shingles over the registers
+would leave most of them empty in small sets). ``rows`` registers make a band key; documents with an equal
 band key are candidates. Candidates with large sets must also pass the Jaccard estimate from their
 registers, corrected for accidental collisions; then every link is verified on the full sets.
 
@@ -18,7 +19,7 @@ group of copies costs one row. Nobody lists all pairs of a group:
 
 A group of near copies is mostly one label after step 1, and what is left of it mostly falls to the bound
 of step 2, which leaves out no link between candidates. With the defaults a pair at
-Jaccard 0.75 shares no band with probability 2e-5, one at 0.8 with 4e-8. Sets are shuffled only for
+Jaccard 0.75 shares no band with probability 2e-5, one at 0.8 with 4e-8, for sets of any size. Sets are shuffled only for
 nodes that have a candidate: a bit table of fixed size (a bound whatever the corpus) tells the second
 scan which ones; an exact join follows.
 
@@ -44,8 +45,8 @@ PERCENT = 75
 BANDS = 56
 ROWS = 6
 MANTISSA = 10
-ESTIMATE_SLACK = 0.25  # over 7 standard errors of the estimate from 256 shingles on
-ESTIMATE_LEAST = 256  # smaller sets fill too few registers for an estimate: they are verified at once
+ESTIMATE_SLACK = 0.25  # over 7 standard errors of the estimate
+ESTIMATE_LEAST = 256  # smaller sets are verified at once
 TABLE_BITS = 26
 SET_BITS = 2048  # bits of the table that bounds what two sets have in common
 BLOCK = 256
@@ -53,15 +54,6 @@ LINKS_PER_TASK = 200_000
 SLICE_ROWS = 2000
 
 
-def _empty_free(least: np.ndarray) -> np.ndarray:
-    """Fill each empty register of a document from the next full one, going round."""
-    m = least.shape[1]
-    at = np.where(least != np.uint64(2**64 - 1), np.arange(m), 2 * m)
-    twice = np.concatenate([at, at + m], axis=1)
-    following = np.minimum.accumulate(twice[:, ::-1], axis=1)[:, ::-1][:, :m]
-    return np.take_along_axis(least, np.where(following < 2 * m, following, 0) % m, axis=1)
-
-
 def compress(value: np.ndarray) -> np.ndarray:
     """Leading-zero count (6 bits) and the ``MANTISSA`` bits behind the leading one."""
     v = value.copy()
@@ -110,11 +102,15 @@ def nodes_of(sh: np.ndarray, sd: np.ndarray, n_docs: int) -> tuple[np.ndarray, n
 
 
 def registers(sh: np.ndarray, sd: np.ndarray, n_docs: int, m: int) -> np.ndarray:
-    """Compressed registers, documents x m."""
-    bucket = ((sh >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-    least = np.full(n_docs * m, 2**64 - 1, dtype=np.uint64)
-    np.minimum.at(least, sd * m + bucket.astype(np.int64), A.mix(sh ^ np.uint64(0x5851F42D4C957F2D)))
-    return compress(_empty_free(least.reshape(n_docs, m)))
+    """Compressed registers, documents x m, of shingles in document order: the least value under each of m hash functions."""
+    least = np.full((m, n_docs), 2**64 - 1, dtype=np.uint64)
+    first = np.flatnonzero(np.diff(sd, prepend=-1))
+    if len(first):
+        docs, x = sd[first], A.mix(sh ^ np.uint64(0x5851F42D4C957F2D))
+        seeds = A.mix(np.arange(1, 2 * m + 1, dtype=np.uint64)).reshape(2, m)
+        for j, (flip, factor) in enumerate(zip(seeds[0], seeds[1] | np.uint64(1))):
+            least[j, docs] = np.minimum.reduceat((x ^ flip) * factor, first)
+    return compress(np.ascontiguousarray(least.T))
 
 
 def band_keys(regs: np.ndarray, bands: int, rows: int) -> np.ndarray:

@@ -90,6 +90,18 @@ def test_registers_and_estimate():
         assert H.jaccard_estimate(*regs)[0] == pytest.approx(j, abs=0.12)
 
 
+@pytest.mark.parametrize("common, total", [(3, 4), (6, 8), (15, 20), (30, 40), (41, 51), (75, 100)])
+def test_small_sets_share_a_band(common, total):
+    rng, n, own = np.random.default_rng(total), 500, (total - common) // 2
+    x = rng.integers(0, 2**63, (n, total)).astype(np.uint64) * np.uint64(2)
+    sides = x[:, :common + own], np.concatenate([x[:, :common], x[:, common + own:]], axis=1)
+    a, b = (H.band_keys(H.registers(s.ravel(), np.repeat(np.arange(n), s.shape[1]), n, 336), H.BANDS, H.ROWS) for s in sides)
+    same = (a == b).sum(axis=1)
+    assert same.min() > 0
+    assert same.mean() == pytest.approx(H.BANDS * (common / total) ** H.ROWS, rel=0.1)
+    assert same.std() < 4  # as of independent bands
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(200)] + [(500, 700), (700, 600)]
     got = dict((r["node"], r["label"]) for r in H.components(spark.createDataFrame(edges, "a long, b long")).collect())
