@@ -5,7 +5,8 @@ phone numbers, IBANs, IPv4 addresses, card numbers, social security numbers, and
 title or as a known given name before a further name.
 
 Surrogate. ``sha256(key | type | entity | attempt)`` drives the replacement: digits become digits,
-letters letters of the same case and script (Latin, Greek, Cyrillic, Han, kana, Hangul), other characters stay. Fixed parts
+letters letters of the same case and script (Latin, Greek, Cyrillic, Han, kana, Hangul, Hebrew, Arabic, Thai,
+Devanagari; letters, marks and digits of other scripts become Latin letters), other characters stay. Fixed parts
 stay too: an address' last domain label, a phone's country code, ``AKIA``, an IBAN's country. IPv4 parts
 stay in range and a card that passes the Luhn check gets one that passes. Names are built from syllables of
 their script; given names end as names of their gender (from the title, else from the list).
@@ -13,14 +14,16 @@ their script; given names end as names of their gender (from the title, else fro
 Coreference and distinctness. Equal entities (e-mail addresses and names: in any case) get equal
 surrogates everywhere, as these depend on nothing else. All distinct entities of the corpus are checked: where two
 of a type would share a surrogate, or a surrogate is itself an entity of the corpus, all but the first
-take the next attempt, until none clashes. The check joins and aggregates distinct entities, so a hot
+take the next attempt, until none clashes. From attempt ``WIDEN`` on secrets and addresses grow longer, so
+that short ones don't run out of surrogates; an error says so if a fixed format has none left. The check joins and aggregates distinct entities, so a hot
 entity costs a row per task.
 
 Plan. Detection and replacement are built-in functions. Documents without entities are passed on as
 they are; of the others only (text hash, entities) move, and their texts meet the surrogates in a join
 on the text's hash.
 
-Defined cases: null text stays null, empty text empty, both with no entities; repeated rows get equal
+Defined cases: a secret that is one repeated character other than a letter, mark or digit (``******``) is a mask and
+stays; one of several such characters becomes Latin letters; null text stays null, empty text empty, both with no entities; repeated rows get equal
 texts; an empty table gives no rows. Extra columns are kept; columns named ``n_entities`` or
 ``entity_types`` are replaced.
 """
@@ -35,6 +38,7 @@ from corpusflow.session import ensure_checkpoint_dir
 
 KEY = "corpusflow"
 MAX_ATTEMPTS = 64
+WIDEN = 8  # attempts by the entity's own form only
 
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Sra", "Señora", "Mme", "Madame", "Госпожа")
 MALE_TITLES = ("Mr", "Sir", "Herr", "Sr", "Señor", "Monsieur", "Господин")
@@ -105,15 +109,19 @@ def _hex(i) -> Column:
 
 
 _RANGES = ((0x61, 26), (0x41, 26), (0x30, 10), (0xE0, 23), (0xC0, 23), (0x430, 32), (0x410, 32), (0x3B1, 17), (0x391, 17),
-           (0x4E00, 20000), (0x3041, 83), (0x30A1, 83), (0xAC00, 11000))  # first code point and number of characters
+           (0x4E00, 20000), (0x3041, 83), (0x30A1, 83), (0xAC00, 11000), (0x5D0, 27), (0x621, 26), (0x641, 10), (0xE01, 46),
+           (0x905, 53), (0x93E, 15))  # first code point and number of characters
+
+_CHARACTER = r"[\p{L}\p{M}\p{N}]"
+_MASK = r"^([^\p{L}\p{M}\p{N}])\1*$"
 
 
 def _mapped(s: Column, offset: int = 0) -> Column:
-    """Each letter or digit of ``s`` replaced by one of the same range."""
+    """Each letter or digit of ``s`` replaced by one of the same range; outside the ranges by a Latin letter."""
 
     def one(c, i):
         code, r = F.ascii(c), _hex(i + offset)
-        out = c
+        out = F.when(F.rlike(c, F.lit(_CHARACTER)), _char(F.lit(0x61) + r % 26)).otherwise(c)
         for first, n in reversed(_RANGES):
             to = F.when(code.between(first, first + n - 1), _char(F.lit(first) + r % n))
             out = F.coalesce(to, out)
@@ -122,6 +130,11 @@ def _mapped(s: Column, offset: int = 0) -> Column:
     return F.array_join(F.transform(F.split(s, ""), one), "")
 
 
+def _letters(s: Column, offset: int = 0) -> Column:
+    """A Latin letter for each character of ``s``, of whatever kind."""
+    return F.array_join(F.transform(F.split(s, ""), lambda c, i: _char(F.lit(0x61) + _hex(i + offset) % 26)), "")
+
+
 def _char(code: Column) -> Column:
     """The character of a code point (``char`` stops at 255)."""
     two = F.unhex(F.lpad(F.conv(code.cast("string"), 10, 16), 4, "0"))
@@ -152,7 +165,9 @@ def _name(kind: Column, norm: Column, attempt: Column) -> Column:
 
 def surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
     """Replacement of an entity; reads the digest column ``_d``."""
-    email = F.concat(_mapped(F.regexp_extract(norm, r"^(.*)\.[^.]*$", 1)), F.regexp_extract(norm, r"\.[^.]*$", 0))
+    more = F.repeat(F.lit("x"), F.greatest(attempt - (WIDEN - 1), F.lit(0)))  # one longer at each attempt
+    longer = F.when(attempt >= WIDEN, _letters(more, 1000)).otherwise("")
+    email = F.concat(longer, _mapped(F.regexp_extract(norm, r"^(.*)\.[^.]*$", 1)), F.regexp_extract(norm, r"\.[^.]*$", 0))
     phone = F.concat(F.regexp_extract(norm, r"^\+\d{1,3}(?=[ .(-])|^\+\d", 0),
                      _mapped(F.regexp_replace(norm, r"^\+\d{1,3}(?=[ .(-])|^\+\d", "")))
     ip = F.array_join(F.transform(F.split(norm, r"\."), lambda x, i: (_hex(i) % 254 + 1).cast("string")), ".")
@@ -163,7 +178,8 @@ def surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
     card = F.when(_luhn(digits) % 10 == 0, F.concat(stem, last)).otherwise(drawn)
     key = F.concat(F.lit("AKIA"), _mapped(F.regexp_replace(norm, "^AKIA", "")))
     iban = F.concat(F.substring(norm, 1, 2), _mapped(F.regexp_replace(norm, r"^..", "")))
-    return (F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "card", card)
+    secret = F.when((attempt >= WIDEN) | ~F.rlike(norm, F.lit(_CHARACTER)), _letters(F.concat(norm, more))).otherwise(_mapped(norm))
+    return (F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "card", card)
             .when(kind == "access_key", key).when(kind == "iban", iban)
             .when(kind.isin("given_f", "given_m", "surname"), _name(kind, norm, attempt)).otherwise(_mapped(norm)))
 
@@ -175,17 +191,18 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         d = F.sha2(F.concat_ws("|", F.lit(key), "kind", "norm", F.lit(str(n))).cast("binary"), 256)
         return df.withColumn("_d", d).withColumn("sur", surrogate(F.col("kind"), F.col("norm"), F.lit(n))).drop("_d")
 
-    todo, done = entities, None
+    mask = (F.col("kind") == "secret") & F.rlike("norm", F.lit(_MASK))  # tells nothing, and stays
+    todo, done = entities.filter(~mask), entities.filter(mask).select("kind", "norm", F.col("norm").alias("sur"))
     real = entities.select("kind", F.col("norm").alias("sur")).distinct()
     for n in range(MAX_ATTEMPTS):
         drawn = with_surrogate(todo, n)
         first = F.row_number().over(Window.partitionBy("kind", "sur").orderBy("norm")) == 1
-        taken = real if done is None else real.unionByName(done.select("kind", "sur"))
+        taken = real.unionByName(done.select("kind", "sur"))
         drawn = (drawn.withColumn("first", first)
                  .join(taken.withColumn("clash", F.lit(True)).distinct(), ["kind", "sur"], "left").checkpoint())
         ok = F.col("first") & F.col("clash").isNull()
         got = drawn.filter(ok).select("kind", "norm", "sur")
-        done = got if done is None else done.unionByName(got)
+        done = done.unionByName(got)
         todo = drawn.filter(~ok).select("kind", "norm")
         if todo.isEmpty():
             return done

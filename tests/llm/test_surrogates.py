@@ -93,3 +93,17 @@ def test_native_plan_and_odd_rows(spark, odd_docs, no_docs, rows_of):
     assert len(got) == 3 and len({r["text"] for r in got}) == 1 and {r["n_entities"] for r in got} == {1}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_secrets_of_any_characters_end(spark):
+    texts = ["password: ******", "token=......", "password: !@#$%^", "secret=รหัสผ่านลับ", "secret=כניסהסודי", "secret=كلمةسرية",
+             "secret=गुप्तशब्द", "secret=գաղտնիբառ", "api_key: 🔑🔒🔑🔒🔑🔒", *(f"token=.....{i}" for i in range(10)),
+             *(f"mail {a}@{b}.com" for a in "0123456789" for b in "0123456789")]
+    rows = S.replace_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {texts[r["doc_id"]]: r["text"] for r in rows}
+    assert len(rows) == len(texts) and all(r["n_entities"] == 1 for r in rows)
+    assert [got[t] for t in texts[:2]] == texts[:2]  # masks
+    assert not set(texts[2:]) & set(got[t] for t in texts[2:]) and len(set(got.values())) == len(texts)
+    for t in texts[2:9]:
+        before, after = (x.split("=")[-1].split(": ")[-1] for x in (t, got[t]))
+        assert sum(a == b for a, b in zip(before, after)) <= 2  # some are equal by chance
