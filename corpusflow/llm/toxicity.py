@@ -7,7 +7,9 @@ weight. So a word with inserted characters still shares most features with the p
 the product of two units' (hashed) feature vectors, divided by the norms their lengths give.
 
 Model. From the labelled texts of training rows Spark counts, per word, the groups of toxic and of other
-texts that have it. Words that stand mostly in toxic texts are positive, others negative examples. ``landmarks`` of both kinds span the
+texts that have it. Words that stand mostly in toxic texts are positive, others negative examples. If
+no word has ``EVIDENCE`` (few toxic texts, or copies of few), every word that leans to toxic texts is positive and
+weighs by its evidence; else only words with ``EVIDENCE`` are. ``landmarks`` of both kinds span the
 Nyström space, in which a linear SVM (squared hinge) is fitted; clean words with the largest margins join
 the examples and it is fitted again. Its weights fold back into one vector over the hashed features. A logistic link on a text's largest unit margin, the number of units near the SVM's
 margin and the text's length gives the score.
@@ -213,8 +215,10 @@ def fit(train: DataFrame, landmarks: int = LANDMARKS, max_words: int = MAX_WORDS
     n = pos + neg
     ratio = (F.col("p") + 0.5) / (pos + 1.0) / ((F.col("q") + 0.5) / (n - pos + 1.0))
     # half the likelihood-ratio statistic: past EVIDENCE not one word in a billion gets there by chance
-    good = (count.withColumn("s", F.round(F.col("p") * F.log(ratio), 6)).filter((ratio > 1) & (F.col("s") >= EVIDENCE))
+    good = (count.withColumn("s", F.round(F.col("p") * F.log(ratio), 6))
+            .filter((F.col("p") >= 1) & (ratio > 1) & ((F.col("s") >= EVIDENCE) | (ratio > 2)))
             .orderBy(F.desc("s"), "w").limit(max_words).collect())
+    good = [r for r in good if r["s"] >= EVIDENCE] or good
     clean = count.filter((F.col("q") >= 1) & (ratio <= 2)).select("w", "q")
     bad = clean.withColumn("s", F.xxhash64("w")).orderBy("s", "w").limit(max_words // 2).collect()
     bad += clean.orderBy(F.desc("q"), "w").limit(max_words // 2).collect()
@@ -233,7 +237,7 @@ def fit(train: DataFrame, landmarks: int = LANDMARKS, max_words: int = MAX_WORDS
         return np.concatenate(parts).astype(np.float64) @ root
 
     z_good = mapped([r["w"] for r in good])
-    p = np.array([float(r["p"]) for r in good])
+    p = np.array([r["p"] * min(1.0, r["s"] / EVIDENCE) ** 4 for r in good])  # its root is the weight
     z_bad, q, taken = mapped([r["w"] for r in bad]), np.array([float(r["q"]) for r in bad]), {r["w"] for r in bad}
     for left in range(MINING, -1, -1):
         weight = np.concatenate([np.sqrt(p) / np.sqrt(p).sum(), np.sqrt(q) / np.sqrt(q).sum()])

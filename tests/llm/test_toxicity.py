@@ -75,3 +75,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert X.toxicity_table(no_docs, labels).count() == 0
     none = X.toxicity_table(odd_docs, labels.filter("false")).collect()
     assert {r["score"] for r in none} == {0.0} and {r["predicted"] for r in none} == {0}
+
+
+def test_few_toxic_groups_train_a_model(spark):
+    rng = np.random.default_rng(3)
+    words = [f"{a}{b}{c}" for a in ("lor", "mag", "tem", "sun", "vel") for b in ("i", "o", "ea") for c in ("dan", "pur", "nis", "ter")]
+
+    def text(extra=""):
+        return " ".join([*rng.choice(words, 20), extra, *rng.choice(words, 20)])
+
+    copied = text("grubwozzle")
+    rows = [(text(), 0) for _ in range(300)] + [(copied, 1)] * 60 + [(text("snarkvik"), 1) for _ in range(3)]
+    model = X.fit(spark.createDataFrame(rows, "text string, toxic int"))
+    tests = [(i, text(w)) for i, w in enumerate(["grubwozzle", "snarkvik"] * 5 + [""] * 30)]
+    got = {r["doc_id"]: r["score"] for r in X.score(spark.createDataFrame(tests, "doc_id long, text string"), model).collect()}
+    assert min(got[i] for i in range(10)) > max(got[i] for i in range(10, 40))
