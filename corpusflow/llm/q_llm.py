@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.llm import (
-    decontaminate, hyperminhash, license_templates, mixing, perplexity, site_lines, surrogates, token_store, toxicity,
-    url_filter,
+    decontaminate, hyperminhash, lexical_search, license_templates, mixing, perplexity, segment_bpe, site_lines, surrogates,
+    token_store, toxicity, url_filter, vector_codes,
 )
+from corpusflow.sources.readers import scratch_path
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -84,6 +85,29 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "n_lines", "n_dropped", "text")
 
 
+def op11_segment_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids by segment-tree BPE, and decoded again."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = segment_bpe.encode(docs, tokenizer_path("word_bpe_49k.json"), decoded="decoded")
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_term_at_a_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    return lexical_search.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_hilbert_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings as four one-byte codes, with the error per vector and label."""
+    coded, books = vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+    path = scratch_path(spark, "vector-codes")
+    coded.write.parquet(path)
+    out = vector_codes.with_label_error(spark.read.parquet(path), "label")
+    return out.select("vec_id", "code", "error", "label_error", F.lit(vector_codes.codebook_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_surrogates": op1_surrogates,
     "op2_url_regression": op2_url_regression,
@@ -95,6 +119,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_perplexity_rules": op8_perplexity_rules,
     "op9_license_templates": op9_license_templates,
     "op10_site_lines": op10_site_lines,
+    "op11_segment_bpe": op11_segment_bpe,
+    "op12_term_at_a_time": op12_term_at_a_time,
+    "op13_hilbert_codes": op13_hilbert_codes,
 }
 
 _ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -178,7 +205,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BI
 FROM m LEFT JOIN g USING (r)
 """
 
+_TERMS = r"regexp_extract_all(" + _ASCII_LOWER + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format("coalesce(text, '')")} AS w FROM documents),
+s AS (SELECT CAST(count(*) AS BIGINT) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+m AS (SELECT r, doc_id, 50 + (50 * CAST(len(w) AS BIGINT) * big_n) // big_l AS m FROM d, s WHERE len(w) > 0),
+i AS (SELECT q, item_id, unnest(list_distinct(w)) AS term
+      FROM (SELECT row_number() OVER () AS q, item_id, {_TERMS.format("coalesce(text, '')")} AS w FROM benchmark)),
+p AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM i) GROUP BY 1, 2),
+t AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, s GROUP BY 1),
+c AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS score
+      FROM i JOIN t USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM c WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM k WHERE rank <= 50
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op12_term_at_a_time": OP12_SQL,
     "op9_license_templates": OP9_SQL,
     "op10_site_lines": OP10_SQL,
     "op3_suffix_automaton": OP3_SQL,
