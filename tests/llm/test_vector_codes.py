@@ -81,7 +81,7 @@ def test_hilbert_neighbours_are_neighbours(width):
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     good = [(i, [i / 7, -i / 3, 0.5, 1.0, 2.0 * (i % 3), 0.0], "ab"[i % 2]) for i in range(12)]
-    odd = [(3, good[3][1], "a"), (None, good[5][1], None), (20, None, "a"), (21, [nan] * 6, "a"), (22, [1.0, inf, 0.0, 0.0, 0.0, 0.0], "a"),
+    odd = [(3, good[3][1], "b"), (None, good[5][1], None), (20, None, "a"), (21, [nan] * 6, "a"), (22, [1.0, inf, 0.0, 0.0, 0.0, 0.0], "a"),
            (23, [1.0, None, 0.0, 0.0, 0.0, 0.0], "a"), (24, [1.0], "b"), (25, [], "b"), (26, [1e30, -1e30, 0.0, 0.0, 0.0, 0.0], None)]
     df = spark.createDataFrame(good + odd, "vec_id long, embedding array<double>, label string").repartition(3)
     out, books = V.compress(df, entries=5)
