@@ -96,25 +96,27 @@ def map_files(df: DataFrame, key: str, content: str, fn: Callable[[bytes], str])
 def vector_means(df: DataFrame, by: str, vec: str) -> DataFrame:
     """(by, n, mean): a user aggregate in two steps, so that a hot group is no one task's.
 
-    Each Arrow batch gives one partial sum per group (vectors added with NumPy); Spark adds the partial sums.
+    Rows without a vector don't count. Each Arrow batch gives one partial sum per group (vectors added with NumPy); Spark adds the partial sums.
     """
     import numpy as np
     import pyarrow as pa
 
+    from corpusflow.operators.retrieval import matrix
+
     kind = df.schema[by].dataType.simpleString()
 
     def partial(batches):
         for b in batches:
             keys = b.column(by).dictionary_encode()
             code = keys.indices.fill_null(len(keys.dictionary)).to_numpy(zero_copy_only=False)
-            rows = b.column(vec).to_pylist()
+            rows = matrix(b.column(vec)) if b.num_rows else ()
             for c in np.unique(code):
-                part = np.array([rows[i] for i in np.flatnonzero(code == c)], dtype=np.float64)
+                part = rows[code == c]
                 key = keys.dictionary[int(c)].as_py() if c < len(keys.dictionary) else None
                 yield pa.RecordBatch.from_arrays([pa.array([key], type=b.column(by).type), pa.array([len(part)]),
                                                   pa.array([part.sum(axis=0)], type=pa.list_(pa.float64()))], names=[by, "n", "s"])
 
-    sums = df.select(by, vec).mapInArrow(partial, f"{by} {kind}, n long, s array<double>")
+    sums = df.filter(F.col(vec).isNotNull()).select(by, vec).mapInArrow(partial, f"{by} {kind}, n long, s array<double>")
     each = sums.select(by, "n", F.posexplode("s").alias("i", "x")).groupBy(by, "i").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
     # as many rows per group as a vector has numbers
     return (each.groupBy(by).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", "x"))).alias("v"))

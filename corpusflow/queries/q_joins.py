@@ -103,8 +103,8 @@ def q_self_join_pairs(spark, d):
 
 
 @register("cross_join_product", G, sql="""
-WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id < 10),
-c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 10),
+WITH q AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 20 = 0),
+c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT q.vec_id AS query_id, list_dot_product(q.v, c.v) AS dot FROM q, c)
 SELECT query_id, count(*) FILTER (WHERE dot > 0) AS n_positive, round(max(dot), 5) AS max_dot FROM s GROUP BY query_id
 """)
@@ -113,8 +113,8 @@ def q_cross_join(spark, d):
     from corpusflow.operators.retrieval import product_summary
 
     e = t(spark, d, "embeddings")
-    q = e.filter(F.col("vec_id") < 10).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
-    c = e.filter(F.col("vec_id") >= 10).select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"))
+    q = e.filter(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+    c = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"))
     return product_summary(q, c).withColumn("max_dot", F.round("max_dot", 5))
 
 

@@ -1,13 +1,15 @@
-"""Group H (and K1, D13): embeddings and retrieval over the ``embeddings`` table (vec_id < 10 are queries)."""
+"""Group H (and K1, D13): embeddings and retrieval over the ``embeddings`` table.
 
-from __future__ import annotations
+Queries are the rows whose vec_id is divisible by 20, against all rows (a query's own row among them).
+"""
 
-import math
+from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusflow.functions.vectors import norm, vec_str, with_hash_embedding, with_normalized
+from corpusflow.operators import ivf
 from corpusflow.operators import retrieval as H
 from corpusflow.operators.chunking import chunk_fixed
 from corpusflow.operators.text import extract_tag, html_paragraphs
@@ -18,8 +20,6 @@ from corpusflow.queries.sqlparts_text import tokens as sql_tokens
 
 G = "H"
 DIM = 32
-ANN_BUCKET = 200
-ANN_TABLES = 12
 MEDIA = ["text", "image", "audio"]
 RAG_TEMPLATE = ("Use the following pieces of context to answer the question at the end.\n\n{context}\n\n"
                 "Question: {question}\nHelpful Answer:")
@@ -27,13 +27,13 @@ RAG_TEMPLATE = ("Use the following pieces of context to answer the question at t
 
 def _qc(spark, d):
     e = t(spark, d, "embeddings")
-    q = e.filter(F.col("vec_id") < 10).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
-    c = e.filter(F.col("vec_id") >= 10).select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"), "label")
+    q = e.filter(F.col("vec_id") % 20 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("qv"))
+    c = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("cv"), "label")
     return q, c
 
 
-QC = """q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 10),
-c AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS cv, label FROM embeddings WHERE vec_id >= 10)"""
+QC = """q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id % 20 = 0),
+c AS (SELECT vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS cv, label FROM embeddings)"""
 L2 = "list_sum(list_transform(range(len(qv)), lambda i: (qv[i + 1] - cv[i + 1]) * (qv[i + 1] - cv[i + 1])))"
 
 
@@ -176,12 +176,10 @@ def q_modal(spark, d):
 @register("approx_knn", G)
 def q_ann(spark, d):
     q, c = _qc(spark, d)
-    # buckets of about ANN_BUCKET rows: the number of planes follows the corpus
-    n_planes = max(2, round(math.log2(max(1, c.count()) / ANN_BUCKET)))
-    hits = H.ann(q, c, 5, H.hyperplanes(spark, 64, n_planes, ANN_TABLES, seed=11))
-    share = H.recall(hits, H.knn(q, c, 5, "dot")).select(F.round("recall", 6).alias("recall"))
-    return (hits.select("query_id", "item_id", "rank", F.round("score", 5).alias("score"))
-            .crossJoin(F.broadcast(share)))  # one row
+    index = ivf.build(c)
+    hits, recall = ivf.search(q, index, 5)
+    return hits.select("query_id", "item_id", F.col("rank").cast("bigint").alias("rank"), F.round("score", 5).alias("score"),
+                       F.lit(round(recall, 6)).alias("recall"))
 
 
 @register("rerank_top_n", G, sql=f"""
