@@ -8,6 +8,8 @@ separator list is per-text logic that SQL cannot state, so it runs in an Arrow-b
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -39,52 +41,48 @@ def chunk_summary(chunks: DataFrame, source: str, doc: str) -> DataFrame:
     return chunks.groupBy(source).agg(F.countDistinct(doc).alias("pages"), F.count(F.lit(1)).alias("chunks"))
 
 
-def _split_recursive(text: str, size: int, overlap: int, seps: Sequence[str]) -> list[str]:
-    """Split on the first separator that occurs, recurse into long pieces, merge back up to size with overlap."""
-    sep = seps[-1]
-    rest: Sequence[str] = []
-    for i, s in enumerate(seps):
-        if s == "" or s in text:
-            sep, rest = s, seps[i + 1:]
+def cut_spans(text: str, size: int, seps: Sequence[str]) -> list[tuple[int, int]]:
+    """Spans of the text between separators: a span longer than ``size`` is cut at each separator in turn
+    until it fits; the empty separator cuts between any two characters."""
+    spans = [(0, len(text))]
+    for sep in seps:
+        finer: list[tuple[int, int]] = []
+        for start, end in spans:
+            if end - start <= size:
+                finer.append((start, end))
+            elif sep == "":
+                finer.extend((i, i + 1) for i in range(start, end))
+            else:
+                edges = [m.start() for m in re.finditer(re.escape(sep), text[start:end])]
+                starts = [start, *(start + e + len(sep) for e in edges)]
+                finer.extend(zip(starts, [*(start + e for e in edges), end]))
+        spans = [(a, b) for a, b in finer if b > a]
+    return spans
+
+
+def chunk_spans(text: str, size: int, overlap: int, seps: Sequence[str]) -> list[tuple[int, int]]:
+    """Chunks as spans of the text: as many cut spans in a row as ``size`` holds (one that no separator could
+    shorten stands alone), the next chunk starting at the earliest span within ``overlap`` of this one's end
+    that leaves room for a new span."""
+    if not 0 <= overlap < size:
+        raise ValueError("overlap must be less than the chunk size")
+    spans = cut_spans(text, size, seps)
+    starts, ends = [a for a, _ in spans], [b for _, b in spans]
+    out, first = [], 0
+    while first < len(spans):
+        last = max(first, bisect_right(ends, starts[first] + size) - 1)
+        out.append((starts[first], ends[last]))
+        if last + 1 == len(spans):
             break
-    pieces = list(text) if sep == "" else text.split(sep)
-    out: list[str] = []
-    good: list[str] = []
-    for p in pieces:
-        if len(p) < size:
-            good.append(p)
-            continue
-        if good:
-            out.extend(_merge(good, sep, size, overlap))
-            good = []
-        if rest:
-            out.extend(_split_recursive(p, size, overlap, rest))
-        else:
-            out.append(p)
-    if good:
-        out.extend(_merge(good, sep, size, overlap))
+        room = max(ends[last] - overlap, ends[last + 1] - size)
+        first = min(max(first + 1, bisect_left(starts, room)), last + 1)
     return out
 
 
-def _merge(pieces: list[str], sep: str, size: int, overlap: int) -> list[str]:
-    docs: list[str] = []
-    cur: list[str] = []
-    total = 0
-    for p in pieces:
-        add = len(p) + (len(sep) if cur else 0)
-        if total + add > size and cur:
-            doc = sep.join(cur).strip()
-            if doc:
-                docs.append(doc)
-            while cur and (total > overlap or (total + len(p) + (len(sep) if cur else 0) > size and total > 0)):
-                total -= len(cur[0]) + (len(sep) if len(cur) > 1 else 0)
-                cur.pop(0)
-        cur.append(p)
-        total += len(p) + (len(sep) if len(cur) > 1 else 0)
-    doc = sep.join(cur).strip()
-    if doc:
-        docs.append(doc)
-    return docs
+def chunk_text(text: str, size: int, overlap: int, seps: Sequence[str]) -> list[str]:
+    """The chunks without white space at their ends; blank ones go."""
+    chunks = (text[a:b].strip() for a, b in chunk_spans(text, size, overlap, seps))
+    return [c for c in chunks if c]
 
 
 def chunk_recursive(df: DataFrame, key: str, col: str, size: int, overlap: int,
@@ -100,7 +98,7 @@ def chunk_recursive(df: DataFrame, key: str, col: str, size: int, overlap: int,
             for k, text in zip(pdf[key], pdf[col]):
                 if text is None:
                     continue
-                for i, c in enumerate(_split_recursive(text, size, overlap, seps)):
+                for i, c in enumerate(chunk_text(text, size, overlap, seps)):
                     keys.append(k)
                     poss.append(i)
                     chunks.append(c)

@@ -147,6 +147,144 @@ def pack(df: DataFrame, order: list[str], col: str, n: int, within: list[str] =
     return chunks.withColumn("labels", F.col("input_ids"))
 
 
+def fill_table(lengths, n: int):
+    """What a run of documents does to a buffer, for each fill it may start with.
+
+    A document that brings the buffer to ``n`` tokens gives a chunk and empties it, its rest is dropped.
+    Returns, for every fill in [0, n), the fill after the run and the number of chunks.
+    """
+    import numpy as np
+
+    ends = np.cumsum(lengths)
+    m = len(ends)
+    # run from an empty buffer before document i: after the document that fills it, an empty one again
+    fill, chunks = np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, dtype=np.int64)
+    before = ends - lengths
+    filler = np.searchsorted(ends, before + n)  # first document at which the buffer is full
+    for i in range(m - 1, -1, -1):
+        if filler[i] < m:
+            fill[i], chunks[i] = fill[filler[i] + 1], chunks[filler[i] + 1] + 1
+        else:
+            fill[i] = ends[-1] - before[i]
+    start = np.arange(n)
+    first = np.searchsorted(ends, n - start)
+    full = first < m
+    nxt = np.minimum(first + 1, m)
+    return (np.where(full, fill[nxt], start + (ends[-1] if m else 0)), np.where(full, chunks[nxt] + 1, 0))
+
+
+_FILLS = "part long, fill array<long>, chunks array<long>"
+
+
+def _scan_fills(rows: list, fill: int = 0, chunk: int = 0) -> list[tuple[int, int, int]]:
+    """Fill and chunk number at the start of each part, given the parts' tables in order."""
+    out = []
+    for part, fills, chunks in rows:
+        out.append((part, fill, chunk))
+        fill, chunk = int(fills[fill]), chunk + int(chunks[fill])
+    return out
+
+
+def _fill_starts(tables: DataFrame, group: int = 64) -> DataFrame:
+    """(part, fill, chunk) at the start of each part: a prefix over the parts' tables, in groups.
+
+    Tables of a group compose to the group's table, level by level, until few are left; then each group's start
+    gives its members' starts.  No task or driver sees more than ``group`` tables.
+    """
+    import pandas as pd
+
+    spark = tables.sparkSession
+    rows = tables.orderBy("part").limit(group + 1).collect()
+    if len(rows) <= group:
+        return spark.createDataFrame(_scan_fills([tuple(r) for r in rows]), "part long, fill long, chunk long")
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+
+        pdf = pdf.sort_values("part")
+        n = len(pdf["fill"].iloc[0])
+        fill, chunks = np.arange(n), np.zeros(n, dtype=np.int64)
+        for f, c in zip(pdf["fill"], pdf["chunks"]):
+            chunks = chunks + np.asarray(c)[fill]
+            fill = np.asarray(f)[fill]
+        return pd.DataFrame({"part": [int(pdf["g"].iloc[0])], "fill": [fill.tolist()], "chunks": [chunks.tolist()]})
+
+    grouped = tables.withColumn("g", F.floor(F.col("part") / group))
+    upper = _fill_starts(grouped.groupBy("g").applyInPandas(compose, _FILLS), group)
+    starts = upper.select(F.col("part").alias("g"), F.col("fill").alias("f0"), F.col("chunk").alias("c0"))
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("part")
+        rows = list(zip(pdf["part"], pdf["fill"], pdf["chunks"]))
+        return pd.DataFrame(_scan_fills(rows, int(pdf["f0"].iloc[0]), int(pdf["c0"].iloc[0])), columns=["part", "fill", "chunk"])
+
+    return grouped.join(starts, "g").groupBy("g").applyInPandas(spread, "part long, fill long, chunk long")
+
+
+def pack_dropping(df: DataFrame, order: list[str], col: str, n: int, partitions: int | None = None, group: int = 64) -> DataFrame:
+    """Chunks of n tokens where the rest of the document that fills a chunk is dropped, as is an unfilled last chunk.
+
+    Where a chunk starts depends on all documents before it, but only through the buffer's fill.  So each range
+    partition states what it does to every fill (:func:`fill_table`), a prefix over these tables gives the fill
+    at which each partition starts, and a second pass over the lengths places every document.
+    ``order`` must be unique; null lists count as empty.
+    """
+    import numpy as np
+    import pyarrow as pa
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from corpusflow.plans.dense_index import sorted_checkpoint
+
+    x = df.select(*order, F.coalesce(F.col(col), F.array().cast(df.schema[col].dataType)).alias("_ids"))
+    ck = sorted_checkpoint(x.withColumn("_w", F.size("_ids").cast("long")), [F.col(c) for c in order], partitions).drop("_pos")
+
+    def table(batches):
+        parts, lengths = [], []
+        for b in batches:
+            if b.num_rows:
+                parts.append(b.column("_part")[0].as_py())
+                lengths.append(b.column("_w").to_numpy())
+        if parts:
+            fill, chunks = fill_table(np.concatenate(lengths), n)
+            yield pa.RecordBatch.from_pylist([{"part": parts[0], "fill": fill.tolist(), "chunks": chunks.tolist()}],
+                                             schema=pa.schema([("part", pa.int64()), ("fill", pa.list_(pa.int64())), ("chunks", pa.list_(pa.int64()))]))
+
+    starts = _fill_starts(ck.select("_part", "_w").mapInArrow(table, _FILLS).checkpoint(), group)
+    first = starts.select(F.col("part").cast(ck.schema["_part"].dataType).alias("_part"), F.col("fill").alias("_f"), F.col("chunk").alias("_c"))
+    placed = ck.join(F.broadcast(first), "_part")  # a row per partition
+    names = [*order, "_ids", "_w", "_f", "_c"]
+    schema = StructType([*[placed.schema[c] for c in [*order, "_ids"]], StructField("chunk", LongType()), StructField("_at", LongType())])
+
+    def place(batches):
+        fill = chunk = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if fill is None:
+                fill, chunk = b.column("_f")[0].as_py(), b.column("_c")[0].as_py()
+            at, into = [], []
+            for w in b.column("_w").to_pylist():
+                at.append(fill)
+                into.append(chunk)
+                fill += w
+                if fill >= n:
+                    fill, chunk = 0, chunk + 1
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in [*order, "_ids"]], pa.array(into, type=pa.int64()),
+                                              pa.array(at, type=pa.int64())], names=schema.names)
+
+    docs = placed.select(*names).mapInArrow(place, schema)
+    pieces = docs.select("chunk", "_at", *order, F.slice("_ids", F.lit(1), (F.lit(n) - F.col("_at")).cast("int")).alias("_p")).filter(F.size("_p") > 0)
+    chunks = pieces.groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("_at", *order, "_p"))).alias("_rows"))
+    out = chunks.select("chunk", F.flatten(F.transform("_rows", lambda r: r["_p"])).alias("input_ids")).filter(F.size("input_ids") == n)
+    return out.withColumn("labels", F.col("input_ids"))
+
+
+def pack_eos(df: DataFrame, order: list[str], col: str, n: int, eos: int = EOS, wrap: bool = True) -> DataFrame:
+    """End every document with ``eos`` and cut chunks of n; without ``wrap`` a chunk's overhang is dropped."""
+    x = df.withColumn(col, F.concat(col, F.array(F.lit(eos))))
+    return pack(x, order, col, n) if wrap else pack_dropping(x, order, col, n)
+
+
 def random_crop(ids: Column, n: int, seed: int, key: Column) -> tuple[Column, Column]:
     """Over-long sequence: start drawn from [0, size - n) by a seeded hash; ids cut to n from there."""
     start = F.when(F.size(ids) > n, F.pmod(seeded_int(seed, key), F.size(ids) - n)).otherwise(F.lit(0))

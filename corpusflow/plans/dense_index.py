@@ -26,7 +26,7 @@ from corpusflow.session import ensure_checkpoint_dir
 _POS_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits, row position in the lower 33
 
 
-def _sorted_checkpoint(df: DataFrame, keys: list, partitions: int | None) -> DataFrame:
+def sorted_checkpoint(df: DataFrame, keys: list, partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -90,7 +90,7 @@ def with_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx",
     within = list(within)
     keys = [F.col(c) for c in within] + [F.col(c) if isinstance(c, str) else c for c in order]
     base = df if weight is None else df.withColumn("_w", F.col(weight) if isinstance(weight, str) else weight)
-    ck = _sorted_checkpoint(base, keys, partitions)
+    ck = sorted_checkpoint(base, keys, partitions)
     wcol = F.lit(1).cast("bigint") if weight is None else F.col("_w").cast("bigint")
     # per partition and split: count / weight sum; tiny (partitions x splits rows)
     grp = ["_part", *within]

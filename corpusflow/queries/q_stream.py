@@ -11,7 +11,8 @@ from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts_text import tokens as stok
 from corpusflow.sources.readers import scratch_path
 from corpusflow.streaming import ops as Q
-from corpusflow.streaming.runner import file_count, file_stream, latest_per_key, read_sink, run_to_sink
+from corpusflow.streaming import stateful as S
+from corpusflow.streaming.runner import epoch_stream, file_count, file_stream, latest_per_key, read_sink, run_to_sink, stream_of
 
 G = "Q"
 PACK_SHARDS = 8
@@ -64,61 +65,74 @@ def q_s_distinct(spark, d):
     return firsts.groupBy("day").agg(F.count(F.lit(1)).alias("users"))
 
 
-SESSION_SQL = """WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                 OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL '{gap}' THEN 1 ELSE 0 END AS brk FROM events {where}),
-g AS (SELECT user_id, ts, sum(brk) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM e)
-SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS session_start, strftime(max(ts) + INTERVAL '{gap}', '%Y-%m-%d %H:%M:%S.%f') AS session_end, count(*) AS n
-FROM g GROUP BY user_id, sid"""
+LOGIN = "signup"
+_US = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def _flush(spark, d):
-    """Marker rows one year after the last event (user -1): they move the watermark past every session."""
+def _flush(spark, d, *kinds):
+    """Marker rows one year after the last event (session -1), one per event type: they move the watermark past everything."""
     ev = t(spark, d, "events", zoned=True)
     return (ev.agg(F.max("ts").alias("m"), F.max("event_id").alias("i"))
             .select((F.col("i") + 1).alias("event_id"), (F.col("m") + F.expr("INTERVAL 365 DAYS")).alias("ts"),
-                    F.lit(-1).cast("bigint").alias("user_id"), F.lit("error").alias("event_type"), F.lit(0.0).alias("value"),
-                    F.lit("{}").alias("props")))
+                    F.lit(-1).cast("bigint").alias("user_id"), F.explode(F.array(*[F.lit(k) for k in kinds])).alias("event_type"),
+                    F.lit(0.0).alias("value"), F.lit('{"k": -1}').alias("props")))
 
 
-def _sessions(spark, d, gap, where=None):
-    s = file_stream(spark, d, "events", "ts", flush_rows=_flush(spark, d))
-    if where is not None:
-        s = s.filter(where)
-    # session windows close only when the watermark passes them: append mode, final rows only
-    out, _ = run_to_sink(Q.sessions(s, "user_id", "ts", gap), mode="append")
-    r = read_sink(spark, out, "user_id bigint, s struct<start: timestamp, end: timestamp>, n bigint").filter(F.col("user_id") >= 0)
-    fmt = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    return r.select("user_id", F.date_format("s.start", fmt).alias("session_start"), F.date_format("s.end", fmt).alias("session_end"), "n")
-
-
-@register("stream_session_expiry", G, sql=SESSION_SQL.format(gap="30 minutes", where=""))
+@register("stream_session_expiry", G, sql=f"""
+WITH s AS (SELECT json_extract_string(props, '$.k') AS session_id, user_id, ts, lead(ts) OVER (PARTITION BY json_extract_string(props, '$.k') ORDER BY ts, user_id) AS nxt
+           FROM events WHERE event_type = '{LOGIN}')
+SELECT session_id, user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS login,
+       strftime(least(coalesce(nxt, ts + INTERVAL 14 DAYS), ts + INTERVAL 14 DAYS), '%Y-%m-%d %H:%M:%S.%f') AS removed_at,
+       CASE WHEN nxt < ts + INTERVAL 14 DAYS THEN 'replaced' ELSE 'expired' END AS reason
+FROM s
+""")
 def q_s_sessions(spark, d):
-    return _sessions(spark, d, "30 minutes")
+    s = file_stream(spark, d, "events", "ts", flush_rows=_flush(spark, d, LOGIN)).filter(F.col("event_type") == LOGIN)
+    s = s.select(F.get_json_object("props", "$.k").alias("session_id"), "user_id", "ts")
+    out, _ = run_to_sink(S.session_expiry(s, "session_id", "user_id", "ts"), stateful=True)
+    r = read_sink(spark, out, "session_id string, user_id bigint, login timestamp, removed_at timestamp, reason string").filter(F.col("user_id") >= 0)
+    return r.select("session_id", "user_id", F.date_format("login", _US).alias("login"), F.date_format("removed_at", _US).alias("removed_at"), "reason")
+
+
+@register("stream_abort_ttl", G, sql="""
+WITH e AS (SELECT json_extract_string(props, '$.k') AS conversation, event_id, event_type, ts FROM events)
+SELECT g.conversation, g.event_id, strftime(max(f.ts), '%Y-%m-%d %H:%M:%S.%f') AS aborted_at
+FROM e g LEFT JOIN e f ON f.event_type = 'error' AND f.conversation = g.conversation AND f.ts <= g.ts AND f.ts > g.ts - INTERVAL 30 SECONDS
+WHERE g.event_type <> 'error' GROUP BY 1, 2
+""")
+def q_s_abort(spark, d):
+    # flags are the error events, every other event asks whether its conversation has an active one
+    s = file_stream(spark, d, "events", "ts", flush_rows=_flush(spark, d, "error", "view"))
+    s = s.withColumn("conversation", F.get_json_object("props", "$.k"))
+    asked, flags = s.filter(F.col("event_type") != "error"), s.filter(F.col("event_type") == "error")
+    out, _ = run_to_sink(S.active_aborts(asked, flags, "conversation", "event_id", "ts"))
+    r = read_sink(spark, out, "conversation string, event_id bigint, aborted_at timestamp").filter(F.col("conversation") != "-1")
+    return r.select("conversation", "event_id", F.date_format("aborted_at", _US).alias("aborted_at"))
 
 
-@register("stream_abort_ttl", G, sql=SESSION_SQL.format(gap="30 seconds", where="WHERE event_type = 'error'"))
-def q_s_abort(spark, d):
-    # an abort flag lives 30 s; flags of one conversation chain while they overlap: the active spans
-    return _sessions(spark, d, "30 seconds", F.col("event_type") == "error")
+def _chain_time(c):
+    """The fixture's conversations have no time: one second per conversation."""
+    return F.timestamp_seconds(F.col(c) + 1_704_067_200)
 
 
 @register("stream_message_assembly", G, sql="""
 SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS message_id,
-       array_to_string(list_filter(string_split(text, ' '), lambda w: w <> ''), ' ') AS text, 1 AS n_status
+       array_to_string(list_filter(string_split(text, ' '), lambda w: w <> ''), ' ') AS text, 1 AS n_status, TRUE AS complete
 FROM conversations WHERE role = 'assistant'
 """)
 def q_s_assembly(spark, d):
     c = t(spark, d, "conversations").filter(F.col("role") == "assistant")
-    mid = F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    toks = c.select(mid.alias("message_id"), F.posexplode(F.split("text", " ", -1)).alias("seq", "token"), F.lit("token").alias("kind"))
-    status = c.select(mid.alias("message_id"), F.lit(-1).alias("seq"), F.lit("started").alias("token"), F.lit("status").alias("kind"))
-    src = scratch_path(spark, "stream-src-updates")
-    toks.unionByName(status).repartition(file_count(spark, f"{d.rstrip('/')}/conversations.parquet")).write.mode("overwrite").parquet(src)
-    sdf = spark.readStream.schema("message_id string, seq int, token string, kind string").option("maxFilesPerTrigger", 1).parquet(src)
-    out, _ = run_to_sink(Q.assemble(sdf, "message_id", "seq", "token", "kind"), mode="update")
-    r = latest_per_key(read_sink(spark, out, "message_id string, tokens array<struct<seq: int, token: string>>, n_status bigint"), ["message_id"])
-    text = F.array_join(F.transform(F.array_sort(F.filter("tokens", lambda x: x.isNotNull())), lambda x: x["token"]), " ")
-    return r.select("message_id", text.alias("text"), F.col("n_status").cast("int").alias("n_status"))
+    base = c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"), "conv_id",
+                    _chain_time("conv_id").alias("ts"), F.split("text", " ", -1).alias("words"))
+    toks = base.select("message_id", "conv_id", "ts", F.posexplode("words").alias("seq", "token"), F.lit("token").alias("kind"))
+    started = base.select("message_id", "conv_id", "ts", F.lit(-1).alias("seq"), F.lit("started").alias("token"), F.lit("status").alias("kind"))
+    ended = base.select("message_id", "conv_id", "ts", F.size("words").alias("seq"), F.lit("").alias("token"), F.lit("end").alias("kind"))
+    rows = toks.unionByName(started).unionByName(ended)
+    # updates of a message arrive in several files, out of order, up to 40 seconds late
+    rows = rows.withColumn("arrives", F.col("conv_id") + F.pmod(F.xxhash64("message_id", "seq"), F.lit(40))).drop("conv_id")
+    s = stream_of(rows, "updates", "arrives", file_count(spark, f"{d.rstrip('/')}/conversations.parquet"))
+    out, _ = run_to_sink(S.assemble(s, "message_id", "ts"), stateful=True)
+    return read_sink(spark, out, "message_id string, text string, n_status int, complete boolean").drop("_batch")
 
 
 @register("stream_packing", G, sql=f"""
@@ -136,15 +150,26 @@ def q_s_pack(spark, d):
     return read_sink(spark, out, "shard string, chunk bigint, input_ids array<int>").select("shard", "chunk", F.size("input_ids").alias("n"))
 
 
-@register("stream_prompt_advantage", G, sql="""
-SELECT event_type AS prompt, event_id, round((value - avg(value) OVER w) / (stddev_pop(value) OVER w + 1e-6), 6) AS advantage FROM events
-WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 15 PRECEDING AND CURRENT ROW)
+BUFFER, MIN_COUNT = 16, 16
+
+
+@register("stream_prompt_advantage", G, sql=f"""
+WITH r AS (SELECT event_type AS prompt, strftime(date_trunc('week', ts), '%Y-%m-%d') AS epoch, event_id, value AS reward FROM events),
+e AS (SELECT DISTINCT prompt, epoch FROM r),
+b AS (SELECT e.prompt, e.epoch, r.reward, row_number() OVER (PARTITION BY e.prompt, e.epoch ORDER BY r.epoch DESC, r.event_id DESC) AS back
+      FROM e JOIN r ON r.prompt = e.prompt AND r.epoch <= e.epoch),
+s AS (SELECT prompt, epoch, count(*) AS n, avg(reward) AS m, stddev_pop(reward) AS sd FROM b WHERE back <= {BUFFER} GROUP BY 1, 2),
+w AS (SELECT epoch, avg(reward) AS bm, stddev_pop(reward) AS bsd FROM r GROUP BY 1)
+SELECT prompt, epoch, event_id, round((reward - CASE WHEN n < {MIN_COUNT} THEN bm ELSE m END) / (CASE WHEN n < {MIN_COUNT} THEN bsd ELSE sd END + 1e-6), 6) AS advantage
+FROM r JOIN s USING (prompt, epoch) JOIN w USING (epoch)
 """)
 def q_s_adv(spark, d):
-    s = file_stream(spark, d, "events", "ts").select(F.col("event_type").alias("prompt"), "ts", "event_id", "value")
-    out, _ = run_to_sink(Q.rolling_advantage(s, "prompt", ["ts", "event_id"], "value", 16))
-    r = read_sink(spark, out, "prompt string, event_id bigint, advantage double")
-    return r.select("prompt", "event_id", r6("advantage").alias("advantage"))
+    ev = t(spark, d, "events", zoned=True)
+    rewards = ev.select(F.col("event_type").alias("prompt"), "event_id", F.col("value").alias("reward"), day(F.date_trunc("week", F.col("ts"))).alias("epoch"))
+    run = S.batch_advantages(scratch_path(spark, "reward-buffers"), "prompt", "event_id", "reward", BUFFER, MIN_COUNT)
+    out, _ = run_to_sink(epoch_stream(rewards, "rewards", "epoch"), per_batch=run)
+    r = read_sink(spark, out, "prompt string, event_id bigint, epoch string, advantage double")
+    return r.select("prompt", F.col("epoch").cast("string").alias("epoch"), "event_id", r6("advantage").alias("advantage"))
 
 
 @register("stream_token_counters", G, sql=f"""
@@ -152,25 +177,37 @@ SELECT conv_id, CASE role WHEN 'user' THEN 'prompt' WHEN 'assistant' THEN 'gener
        CAST(sum(len({stok('text')})) AS BIGINT) AS tokens FROM conversations GROUP BY 1, 2
 """)
 def q_s_tokens(spark, d):
-    s = file_stream(spark, d, "conversations", "conv_id", zoned=False)
-    kind = F.when(F.col("role") == "user", "prompt").when(F.col("role") == "assistant", "generation").otherwise("embedding")
-    s = s.select("conv_id", kind.alias("kind"), F.size(tokens("text")).alias("n"))
-    out, _ = run_to_sink(Q.token_counters(s, "conv_id", "kind", "n"), mode="update")
-    r = latest_per_key(read_sink(spark, out, "conv_id bigint, kind string, tokens bigint"), ["conv_id", "kind"])
+    c = t(spark, d, "conversations")
+    last = c.agg((F.max("conv_id") + 86_400).alias("conv_id")).select(
+        "conv_id", F.lit(0).cast("bigint").alias("turn"), F.lit("marker").alias("role"), F.lit("").alias("text"))
+    s = file_stream(spark, d, "conversations", "conv_id", zoned=False, flush_rows=last)
+    kind = F.when(F.col("role") == "user", "prompt").when(F.col("role") == "assistant", "generation").when(F.col("role") == "marker", "marker").otherwise("embedding")
+    s = s.select("conv_id", kind.alias("kind"), F.size(tokens("text")).alias("n"), _chain_time("conv_id").alias("ts"))
+    out, _ = run_to_sink(Q.token_counters(s, "conv_id", "kind", "n", "ts"))
+    r = read_sink(spark, out, "conv_id bigint, kind string, tokens bigint").filter(F.col("kind") != "marker")
     return r.select("conv_id", "kind", F.col("tokens").cast("bigint").alias("tokens"))
 
 
 @register("stream_scale_signal", G, sql="""
-SELECT event_type AS endpoint, strftime(time_bucket(INTERVAL '5 minutes', ts), '%Y-%m-%d %H:%M:%S') AS window_start, round(avg(value), 6) AS avg_util,
-       CASE WHEN avg(value) > 50 THEN 'scale_out' WHEN avg(value) < 25 THEN 'scale_in' ELSE 'hold' END AS signal FROM events GROUP BY 1, 2
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT event_type AS endpoint, time_bucket(INTERVAL '1 minute', ts) AS t, round(avg(value), 6) AS avg_util,
+         CASE WHEN avg(value) > 50 THEN 'scale_out' WHEN avg(value) < 25 THEN 'scale_in' ELSE 'hold' END AS signal,
+         row_number() OVER (PARTITION BY event_type ORDER BY time_bucket(INTERVAL '1 minute', ts)) AS i FROM events GROUP BY 1, 2),
+a(endpoint, i, last, action) AS (
+  SELECT DISTINCT endpoint, CAST(0 AS BIGINT), TIMESTAMP '1970-01-01 00:00:00', 'hold' FROM w
+  UNION ALL
+  SELECT w.endpoint, w.i, CASE WHEN ok THEN t ELSE last END, CASE WHEN ok THEN signal ELSE 'hold' END
+  FROM (SELECT w.*, a.last, CASE signal WHEN 'scale_out' THEN t >= last + INTERVAL 60 SECONDS WHEN 'scale_in' THEN t >= last + INTERVAL 300 SECONDS ELSE FALSE END AS ok
+        FROM a JOIN w ON w.endpoint = a.endpoint AND w.i = a.i + 1) w)
+SELECT endpoint, strftime(t, '%Y-%m-%d %H:%M:%S') AS window_start, avg_util, signal, action FROM w JOIN a USING (endpoint, i)
 """)
 def q_s_scale(spark, d):
-    s = file_stream(spark, d, "events", "ts")
-    out, _ = run_to_sink(Q.scale_signal(s, "event_type", "ts", "value", 50.0), mode="update")
-    r = latest_per_key(read_sink(spark, out, "event_type string, w struct<start: timestamp, end: timestamp>, avg_util double, signal string"),
-                       ["event_type", "w"])
-    return r.select(F.col("event_type").alias("endpoint"), F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    r6("avg_util").alias("avg_util"), "signal")
+    # two stateful steps in one stream: closed windows, then actions with waits of 60 and 300 seconds
+    s = file_stream(spark, d, "events", "ts", flush_rows=_flush(spark, d, "marker"))
+    out, _ = run_to_sink(S.scale_actions(Q.scale_signal(s, "event_type", "ts", "value", 50.0, "1 minute"), "event_type"), stateful=True)
+    r = read_sink(spark, out, "event_type string, window_start timestamp, avg_util double, signal string, action string").filter(F.col("event_type") != "marker")
+    return r.select(F.col("event_type").alias("endpoint"), F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                    r6("avg_util").alias("avg_util"), "signal", "action")
 
 
 @register("stream_new_only", G, sql="""

@@ -151,8 +151,20 @@ def q_pack_batch(spark, d):
 
 @register("pack_tokens_eos", G, sql=f"WITH {VOC_SQL}, {tok_sql()}, {_pack_sql(256, 'list_concat(ids, [2])')}")
 def q_pack_eos(spark, d):
-    x = _tok(spark, d).withColumn("input_ids", F.concat("input_ids", F.array(F.lit(T.EOS))))
-    return _pack_out(T.pack(x, ["doc_id"], "input_ids", 256), within=False)
+    return _pack_out(T.pack_eos(_tok(spark, d), ["doc_id"], "input_ids", 256), within=False)
+
+
+@register("pack_tokens_eos_dropping", G, sql=f"""
+WITH RECURSIVE {VOC_SQL}, {tok_sql()},
+b AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id) AS i, list_concat(ids, [2]) AS ids, len(ids) + 1 AS n FROM tk),
+r(i, pos, chunk) AS (SELECT CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) UNION ALL
+  SELECT r.i + 1, CASE WHEN pos + n >= 256 THEN 0 ELSE pos + n END, chunk + CASE WHEN pos + n >= 256 THEN 1 ELSE 0 END FROM r JOIN b ON b.i = r.i)
+SELECT CAST(0 AS BIGINT) AS batch, chunk, string_agg(array_to_string(ids[1:256 - pos], ' '), ' ' ORDER BY r.i) AS input_ids
+FROM r JOIN b ON b.i = r.i GROUP BY chunk HAVING sum(least(n, 256 - pos)) = 256
+""")
+def q_pack_eos_dropping(spark, d):
+    # wrap=False: what the document that fills a chunk has left is dropped
+    return _pack_out(T.pack_eos(_tok(spark, d), ["doc_id"], "input_ids", 256, wrap=False), within=False)
 
 
 @register("random_crop", G, sql=f"""

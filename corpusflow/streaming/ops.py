@@ -2,8 +2,8 @@
 
 Event time comes with a watermark (10 minutes by default, longer where a period must stay open);
 late rows beyond it are dropped by Spark and counted in the query progress.  Keyed state uses
-``applyInPandasWithState``: the rate limit frees idle keys by event-time timers; the rolling advantage and
-packing keep a bounded buffer per key for as long as the stream runs.
+``applyInPandasWithState``: the rate limit frees idle keys by event-time timers; packing keeps a bounded buffer
+per key for as long as the stream runs.  Operators with lists and several timers per key are in ``stateful``.
 """
 
 from collections import deque
@@ -49,16 +49,10 @@ def sessions(sdf: DataFrame, key: str, ts: str, gap: str, watermark: str = WATER
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def assemble(sdf: DataFrame, message: str, seq: str, token: str, kind: str) -> DataFrame:
-    """Token updates per message (update mode): tokens and status updates kept apart; empty tokens dropped."""
-    t = sdf.filter((F.col(kind) != "token") | (F.length(token) > 0))
-    return (t.groupBy(message)
-            .agg(F.collect_list(F.when(F.col(kind) == "token", F.struct(seq, token))).alias("tokens"),
-                 F.count(F.when(F.col(kind) == "status", 1)).alias("n_status")))
-
-
-def token_counters(sdf: DataFrame, chain: str, kind: str, n: str) -> DataFrame:
-    return sdf.groupBy(chain, kind).agg(F.sum(n).alias("tokens"))
+def token_counters(sdf: DataFrame, chain: str, kind: str, n: str, ts: str, watermark: str = WATERMARK) -> DataFrame:
+    """Tokens per chain and kind; ``ts`` is the chain's time, so a chain's counts come out, and leave the state,
+    once the watermark has passed it (append mode)."""
+    return sdf.withWatermark(ts, watermark).groupBy(ts, chain, kind).agg(F.sum(n).alias("tokens"))
 
 
 def scale_signal(sdf: DataFrame, endpoint: str, ts: str, util: str, target: float, period: str = "5 minutes") -> DataFrame:
@@ -68,32 +62,6 @@ def scale_signal(sdf: DataFrame, endpoint: str, ts: str, util: str, target: floa
     return a.withColumn("signal", sig)
 
 
-def rolling_advantage(sdf: DataFrame, prompt: str, order: Sequence[str], reward: str, buffer: int = 16, eps: float = 1e-6) -> DataFrame:
-    """Per prompt, (reward - mean) / (std + eps) over the last ``buffer`` rewards (this one included).
-
-    State per prompt = its last ``buffer`` rewards (bounded); rows of a batch are taken in order.
-    """
-    key_t = sdf.schema[prompt].dataType.simpleString()
-    ord_cols = list(order)
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
-        buf = list(state.get[0]) if state.exists else []
-        pdf = pd.concat(list(pdfs)).sort_values(ord_cols)
-        adv = []
-        for r in pdf[reward]:
-            buf = (buf + [float(r)])[-buffer:]
-            a = np.asarray(buf)
-            adv.append((r - a.mean()) / (a.std() + eps))
-        state.update((buf,))
-        yield pd.DataFrame({prompt: key[0], ord_cols[-1]: pdf[ord_cols[-1]].to_numpy(), "advantage": adv})
-
-    last_t = sdf.schema[ord_cols[-1]].dataType.simpleString()
-    return sdf.groupBy(prompt).applyInPandasWithState(
-        fn, f"{prompt} {key_t}, {ord_cols[-1]} {last_t}, advantage double", "buf array<double>", "append", GroupStateTimeout.NoTimeout)
-
-
 def pack_stream(sdf: DataFrame, shard: str, order: Sequence[str], ids: str, n: int, eos: int | None = None, wrap: bool = True) -> DataFrame:
     """Endless documents to chunks of n tokens: one buffer per shard, full chunks out, remainder kept in state.
 
@@ -152,28 +120,3 @@ def rate_limit(sdf: DataFrame, key: str, ts: str, order: str, window_s: int = 60
     x = sdf.withWatermark(ts, watermark).select(key, order, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("_us"))
     return x.groupBy(key).applyInPandasWithState(
         fn, f"{key} {key_t}, {order} bigint, n long, over_limit boolean", "times array<long>", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def apply_cooldown(signals: DataFrame, endpoint: str, start: str, signal: str, out_s: int = 60, in_s: int = 300) -> DataFrame:
-    """Turn raw window signals into scaling actions with cool-downs: after an action, a new scale-out
-    waits ``out_s`` seconds and a new scale-in waits ``in_s`` seconds.
-
-    Sequential per endpoint over its windows (one row per period, so a bounded group) in ``applyInPandas``.
-    """
-    key_t = signals.schema[endpoint].dataType.simpleString()
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(start)
-        last = None
-        actions = []
-        for t, s in zip(pdf[start], pdf[signal]):
-            act = "hold"
-            if s in ("scale_out", "scale_in"):
-                wait = out_s if s == "scale_out" else in_s
-                if last is None or (t - last).total_seconds() >= wait:
-                    act, last = s, t
-            actions.append(act)
-        return pd.DataFrame({endpoint: pdf[endpoint].to_numpy(), start: pdf[start].to_numpy(), "action": actions})
-
-    return signals.select(endpoint, start, signal).groupBy(endpoint).applyInPandas(
-        fn, f"{endpoint} {key_t}, {start} timestamp, action string")

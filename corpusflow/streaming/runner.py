@@ -20,13 +20,17 @@ LEAST_FILES = 4  # so that state crosses batches on small tables, too
 
 
 def _order_mtimes(spark: SparkSession, folder: str) -> None:
-    """Give the data files of ``folder`` increasing modification times in name order (Hadoop FS API)."""
+    """Give the data files below ``folder`` increasing modification times in name order (Hadoop FS API)."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = sorted((st.getPath().toString() for st in fs.listStatus(path) if st.getPath().getName().endswith(".parquet")))
+    files, found = [], fs.listFiles(path, True)
+    while found.hasNext():
+        name = found.next().getPath().toString()
+        if name.endswith(".parquet"):
+            files.append(name)
     base = int(__import__("time").time() * 1000) - 10_000 * (len(files) + 1)
-    for i, f in enumerate(files):
+    for i, f in enumerate(sorted(files)):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + 10_000 * i, -1)
 
 
@@ -37,17 +41,15 @@ def file_count(spark: SparkSession, path: str) -> int:
     return max(LEAST_FILES, -(-size // FILE_BYTES))
 
 
-def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files: int | None = None, zoned: bool = True,
-                flush_rows: DataFrame | None = None) -> DataFrame:
-    """Copy ``name`` into time-ordered parquet files and open it as a stream (one file per trigger).
+def stream_of(df: DataFrame, name: str, order: str, files: int, flush_rows: DataFrame | None = None) -> DataFrame:
+    """Write ``df`` as ``files`` parquet files in ``order`` and open them as a stream (one file per trigger).
 
     The file source replays files by modification time, so the copies get increasing times in
     file-name (= range) order.  ``flush_rows`` (rows far in the future) come last, in two files, so
     the watermark passes every real window and the final windows are emitted.
     """
-    df = table(spark, sf_dir, name, zoned)
+    spark = df.sparkSession
     src = scratch_path(spark, f"stream-src-{name}")
-    files = files or file_count(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     parts = df.repartitionByRange(files, order).sortWithinPartitions(order)
     if flush_rows is not None:
         tail = flush_rows.select(*df.columns)
@@ -58,15 +60,38 @@ def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files:
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
 
 
+def file_stream(spark: SparkSession, sf_dir: str, name: str, order: str, files: int | None = None, zoned: bool = True,
+                flush_rows: DataFrame | None = None) -> DataFrame:
+    """A fixture table as a stream, see :func:`stream_of`."""
+    files = files or file_count(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return stream_of(table(spark, sf_dir, name, zoned), name, order, files, flush_rows)
+
+
+def epoch_stream(df: DataFrame, name: str, epoch: str) -> DataFrame:
+    """A stream of one micro-batch per value of ``epoch``, in its order."""
+    spark = df.sparkSession
+    src = scratch_path(spark, f"stream-src-{name}")
+    df.repartition(epoch).write.mode("overwrite").partitionBy(epoch).parquet(src)
+    _order_mtimes(spark, src)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+
+
+#: fixed value: Spark's store for keyed state with lists and timers
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int | None = None,
-                per_batch: Callable[[DataFrame, int], DataFrame] | None = None) -> tuple[str, object]:
+                per_batch: Callable[[DataFrame, int], DataFrame] | None = None, stateful: bool = False,
+                out: str | None = None, ckpt: str | None = None) -> tuple[str, object]:
     """Run with ``availableNow``; every batch (optionally transformed by ``per_batch``) is written under its batch id.
 
-    Returns (sink path, last progress).  Raises if the query failed or, with ``timeout_s``, did not finish in time.
+    ``stateful`` streams keep their state in RocksDB.  With the ``out`` and ``ckpt`` of an earlier run the stream goes
+    on where that ended.  Returns (sink path, last progress).  Raises if the query failed or, with ``timeout_s``, did not finish in time.
     """
     spark = sdf.sparkSession
-    out = scratch_path(spark, "stream-out")
-    ckpt = scratch_path(spark, "stream-ckpt")
+    out = out or scratch_path(spark, "stream-out")
+    ckpt = ckpt or scratch_path(spark, "stream-ckpt")
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
 
@@ -74,8 +99,14 @@ def run_to_sink(sdf: DataFrame, mode: str = "append", timeout_s: int | None = No
         b = per_batch(batch, batch_id) if per_batch else batch
         b.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
+    before = spark.conf.get(STATE_STORE)
+    if stateful:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set(STATE_STORE, before)
     if timeout_s is None:
         q.awaitTermination()
     elif not q.awaitTermination(timeout_s):

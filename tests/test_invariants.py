@@ -33,10 +33,31 @@ def test_bit_parallel_lcs_equals_dp(a, b):
 @given(st.text(alphabet="ab \n.", max_size=300), st.integers(5, 60))
 def test_recursive_chunks_bounded_and_substrings(text, size):
     overlap = size // 5
-    chunks = C._split_recursive(text, size, overlap, ["\n\n", "\n", " ", ""])
-    for c in chunks:
+    seps = ["\n\n", "\n", " ", ""]
+    for c in C.chunk_text(text, size, overlap, seps):
         assert len(c) <= size
         assert c in text
+    spans = C.chunk_spans(text, size, overlap, seps)
+    # every visible character is in a chunk; chunks go forward, and share no more than the overlap
+    inside = {i for a, b in spans for i in range(a, b)}
+    assert all(i in inside for i, x in enumerate(text) if not x.isspace())
+    for (a, b), (c, d) in zip(spans, spans[1:]):
+        assert a < c and b < d and b - c <= overlap
+    # a chunk ends only where the next span would not fit
+    cuts = C.cut_spans(text, size, seps)
+    for (a, b), _ in zip(spans, spans[1:]):
+        after = next(e for _, e in cuts if e > b)
+        assert after - a > size
+
+
+def test_chunks_by_hand():
+    seps = ["\n\n", "\n", " ", ""]
+    assert C.chunk_text("one two three four", 9, 0, seps) == ["one two", "three", "four"]
+    assert C.chunk_text("one two three four", 9, 4, seps) == ["one two", "two three", "four"]
+    assert C.chunk_text("aa bb\n\ncc dd", 7, 0, seps) == ["aa bb", "cc dd"]
+    assert C.chunk_text("abcdefgh", 3, 1, seps) == ["abc", "cde", "efg", "gh"]
+    assert C.chunk_text("a;bbbbbb;c", 4, 0, [";"]) == ["a", "bbbbbb", "c"]
+    assert C.chunk_text(" \n ", 2, 0, seps) == [] == C.chunk_text("", 5, 1, seps)
 
 
 def test_recursive_chunking_on_documents(spark, sf):
