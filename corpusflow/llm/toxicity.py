@@ -93,21 +93,18 @@ def units_of(col: pa.Array):
     """Bytes, starts, ends and document numbers of all units of a column of texts."""
     buf, offs = A.text_bytes(col)
     starts, ends, doc = A.runs(A.NOT_SPACE[buf], offs)
-    # runs of three or more one-letter words, without the spaces between them, stand behind the text
-    letter = (ends - starts == 1)
+    # runs of three or more one-letter words of a document, without the spaces between them, stand behind the text
     more_buf, more_s, more_e, more_d = [], [], [], []
-    if letter.any():
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], (letter).view(np.int8), [0]))))
-        for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-            for lo in range(a, b, WINDOW):
-                run = np.arange(lo, min(b, lo + WINDOW))
-                run = run[doc[run] == doc[run[0]]]
-                if len(run) >= 3:
-                    at = len(buf) + sum(map(len, more_buf))
-                    more_buf.append(buf[starts[run]])
-                    more_s.append(at)
-                    more_e.append(at + len(run))
-                    more_d.append(doc[run[0]])
+    letter = np.flatnonzero(ends - starts == 1)
+    step = WINDOW // 2  # windows overlap by half
+    for run in np.split(letter, np.flatnonzero((np.diff(letter) != 1) | (np.diff(doc[letter]) != 0)) + 1):
+        for lo in range(0, max(1, len(run) - step), step) if len(run) >= 3 else ():
+            part = run[lo:lo + WINDOW]
+            at = len(buf) + sum(map(len, more_buf))
+            more_buf.append(buf[starts[part]])
+            more_s.append(at)
+            more_e.append(at + len(part))
+            more_d.append(doc[part[0]])
     long = np.flatnonzero(ends - starts > WINDOW)
     if len(long):
         for i in long.tolist():

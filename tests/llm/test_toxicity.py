@@ -47,6 +47,20 @@ def test_text_margins_match_unit_vectors():
         assert g[2] == pytest.approx(np.log1p(len(us)), abs=0.2)
 
 
+def test_a_text_does_not_depend_on_its_neighbours():
+    w = np.random.default_rng(1).normal(size=1 << X.BITS)
+    texts = ["a", "x i d i o t y", "b c", "Idiot you a", " ".join("abcdefgh" * 12), "x", "i d", None, "q w e r"]
+    alone = np.concatenate([X.text_features(pa.array([t], pa.string()), w, 0.1) for t in texts])
+    assert np.allclose(X.text_features(pa.array(texts), w, 0.1), alone)
+    assert np.allclose(X.text_features(pa.array(texts[::-1]), w, 0.1), alone[::-1])
+
+
+def test_spelled_words_are_whole_in_some_window():
+    for lead in range(40):
+        buf, starts, ends, _ = X.units_of(pa.array([" ".join("z" * lead + "idiot" + "z" * 40)]))
+        assert any(b"idiot" in buf[a:b].tobytes() for a, b in zip(starts, ends))
+
+
 def test_held_out_accuracy(spark, sf):
     big = sf.replace("0.001", "0.01")
     got = q_llm.op7_string_kernel(spark, big).toPandas()
