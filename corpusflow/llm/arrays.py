@@ -7,6 +7,9 @@ memory follows the longest document, not the batch.
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -58,6 +61,28 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+def release() -> None:
+    """Give back what a task's arrays leave in a Python worker, which Spark keeps for later tasks and stages."""
+    _POWERS.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: its allocator decides
+        pass
+
+
+def released(run):
+    """``run`` over a task's batches, then :func:`release`."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES, rows: int = 20_000):
     """Cut a batch (no copy) into runs of at most ``rows`` rows whose texts sum to about ``limit`` bytes."""
     lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
@@ -131,6 +156,59 @@ def hash_words(words: list[str]) -> np.ndarray:
     return span_hashes(buf, offs[:-1], offs[1:])
 
 
+class HashTable:
+    """Rows by 64-bit hash: open addressing over arrays, looked up and extended for whole columns of hashes."""
+
+    def __init__(self, room: int):
+        self.size = 1 << max(10, (2 * room).bit_length())
+        self.keys = np.zeros(self.size, dtype=np.uint64)
+        self.rows = np.zeros(self.size, dtype=np.int32)
+        self.n = 0
+
+    def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes without 0 (which marks a free place), and where each of them starts to look."""
+        h = np.where(h == 0, np.uint64(1), h)
+        return h, (h >> np.uint64(20)).astype(np.int64) & (self.size - 1)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Row of each hash, -1 where it is not there."""
+        h, at = self._places(h)
+        out = np.full(len(h), -1, dtype=np.int64)
+        left = np.arange(len(h))
+        while len(left):
+            key = self.keys[at[left]]
+            hit = key == h[left]
+            out[left[hit]] = self.rows[at[left[hit]]]
+            left = left[~hit & (key != 0)]
+            at[left] = (at[left] + 1) & (self.size - 1)
+        return out
+
+    def add(self, h: np.ndarray) -> np.ndarray:
+        """Rows for distinct hashes that are not there yet: the next numbers in turn."""
+        if 2 * (self.n + len(h)) > self.size:
+            old, rows = self.keys[self.keys != 0], self.rows[self.keys != 0]
+            self.size = 1 << (2 * (self.n + len(h))).bit_length()
+            self.keys, self.rows = np.zeros(self.size, dtype=np.uint64), np.zeros(self.size, dtype=np.int32)
+            self._put(old, rows)
+        new = np.arange(self.n, self.n + len(h))
+        self._put(h, new)
+        self.n += len(h)
+        return new
+
+    def _put(self, h: np.ndarray, rows: np.ndarray) -> None:
+        h, at = self._places(h)
+        left = np.arange(len(h))
+        while len(left):
+            free = left[self.keys[at[left]] == 0]
+            self.keys[at[free]] = h[free]  # of several for one place the last stays
+            won = free[self.keys[at[free]] == h[free]]
+            self.rows[at[won]] = rows[won]
+            lost = np.ones(len(h), dtype=bool)
+            lost[won] = False
+            left = left[lost[left]]
+            at[left] = (at[left] + 1) & (self.size - 1)
+
+
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
     """Mask over ``n`` items of those inside any window ``[start, start + width)``."""
     d = np.zeros(n + 1, dtype=np.int64)

@@ -232,7 +232,7 @@ def find_spans(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
                     own = [rb.column(f.name) for f in fields]
                     yield pa.RecordBatch.from_arrays([*own, *new], names=schema.names)
 
-        return table.mapInArrow(run, schema)
+        return table.mapInArrow(A.released(run), schema)
 
     out, later = docs, False
     for block, last in item_blocks(items, item_id, item_text, block_words):
@@ -288,4 +288,4 @@ def _cut(found: DataFrame, names: list[str], text: str, spans: str) -> DataFrame
                 new = pa.array(out, type=new.type)
             yield pa.RecordBatch.from_arrays([new if n == t else rb.column(n) for n in names], names=names)
 
-    return found.select(*names, spans).mapInArrow(run, StructType(fields))
+    return found.select(*names, spans).mapInArrow(A.released(run), StructType(fields))

@@ -157,7 +157,7 @@ def signatures(docs: DataFrame, width: int = WIDTH, bands: int = BANDS, rows: in
                      _lists(keys[full].ravel(), np.where(full, bands, 0))], names=["id", "n_shingles", "node", "keys"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, node long, keys array<long>")
+    return docs.mapInArrow(A.released(run), f"id {kind}, n_shingles long, node long, keys array<long>")
 
 
 def _bit_table(nodes: DataFrame) -> np.ndarray:
@@ -199,7 +199,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int, bands: int, rows: int
                      pa.array([r.tobytes() for r in regs], type=pa.binary())],
                     names=["node", "n", "shingles", "bits", "regs"])
 
-    found = docs.select("text").mapInArrow(run, "node long, n long, shingles array<long>, bits array<long>, regs binary")
+    found = docs.select("text").mapInArrow(A.released(run), "node long, n long, shingles array<long>, bits array<long>, regs binary")
     return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
 
 
@@ -369,4 +369,4 @@ def with_node(docs: DataFrame, name: str, text: str = "text", width: int = WIDTH
                 yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(node.view(np.int64), mask=size == 0)],
                                                  names=[*rb.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    return docs.mapInArrow(A.released(run), StructType([*docs.schema.fields, StructField(name, LongType())]))

@@ -107,7 +107,7 @@ def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             yield out()
 
     part = docs.select(F.col(t).cast("string").alias(t))
-    return part.mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+    return part.mapInArrow(A.released(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(counts: DataFrame, slots: int = SLOTS) -> dict:
@@ -232,7 +232,7 @@ def measure(docs: DataFrame, model: dict, text: str = "text", prefix: str = "")
                 new += [pa.array(failed), pa.array(np.round(-mean, 3), mask=symbols == 0)]
                 yield pa.RecordBatch.from_arrays([*rb.columns, *new], names=[*rb.schema.names, *cols])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(A.released(run), schema)
 
 
 def bands(measured: DataFrame, lang: str = "lang", k: float = BAND, text_hash: str = "text_hash") -> DataFrame:

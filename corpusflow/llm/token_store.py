@@ -64,7 +64,7 @@ class Encoder:
         self._clear()
 
     def _clear(self):
-        self.known = np.zeros(0, dtype=np.uint64)
+        self.known = A.HashTable(1 << 16)
         self.at = self.n = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
 
@@ -110,22 +110,18 @@ class Encoder:
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(buf))
         doc = np.searchsorted(offs, starts, "right") - 1
-        h, first, which = np.unique(A.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > MEMO_PIECES:
+        h = A.span_hashes(buf, starts, ends)
+        if self.known.n > MEMO_PIECES:
             self._clear()
-        slot = np.searchsorted(self.known, h)
-        new = np.ones(len(h), dtype=bool)
-        inside = slot < len(self.known)
-        new[inside] = self.known[slot[inside]] != h[inside]
-        if new.any():
-            ids, place, sizes = self._encode(buf, starts[first[new]], ends[first[new]])
-            place += len(self.flat)
+        slot = self.known.find(h)
+        new = np.flatnonzero(slot < 0)
+        if len(new):
+            own, first, which = np.unique(h[new], return_index=True, return_inverse=True)
+            first = new[first]
+            ids, place, sizes = self._encode(buf, starts[first], ends[first])
+            self.at, self.n = np.concatenate([self.at, place + len(self.flat)]), np.concatenate([self.n, sizes])
             self.flat = np.concatenate([self.flat, ids])
-            self.known = np.insert(self.known, slot[new], h[new])
-            self.at = np.insert(self.at, slot[new], place)
-            self.n = np.insert(self.n, slot[new], sizes)
-            slot = np.searchsorted(self.known, h)
-        slot = slot[which]
+            slot[new] = self.known.add(own)[which]
         n, at = self.n[slot], self.at[slot]
         before = np.cumsum(n) - n
         ids = self.flat[np.arange(int(n.sum())) + np.repeat(at - before, n)]
@@ -266,7 +262,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_i
         if keys_:
             yield shard()
 
-    ranged.mapInArrow(run, _schema(kind)).write.option("compression", "zstd").parquet(path)
+    ranged.mapInArrow(A.released(run), _schema(kind)).write.option("compression", "zstd").parquet(path)
 
 
 def read_documents(store: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -294,7 +290,7 @@ def read_documents(store: DataFrame, id_col: str = "doc_id") -> DataFrame:
                     [pa.array(np.full(m, row["part"]), pa.int32()), pa.array(np.full(m, row["seq"]), pa.int32()),
                      pa.array(row["keys"], type=key_type), pa.array(off), pa.array(n), pa.array(crc, pa.int64())], names=names)
 
-    found = store.mapInArrow(run, f"part int, seq int, id {kind}, off long, n_tokens long, ids_crc32 long")
+    found = store.mapInArrow(A.released(run), f"part int, seq int, id {kind}, off long, n_tokens long, ids_crc32 long")
     base = with_index(store.select("part", "seq", F.col("n_tokens").alias("all")), ["part", "seq"], "base", weight="all")
     return found.join(base.select("part", "seq", "base"), ["part", "seq"]).select(
         F.col("id").alias(id_col), (F.col("base") + F.col("off")).alias("start"), "n_tokens", "ids_crc32")
@@ -323,7 +319,7 @@ def fetch(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(ids, type=key_type), pa.array(got, pa.list_(pa.int64()))],
                                                  names=[id_col, "ids"])
 
-    return store.join(hit, ["part", "seq"]).mapInArrow(run, f"{id_col} {kind}, ids array<long>")
+    return store.join(hit, ["part", "seq"]).mapInArrow(A.released(run), f"{id_col} {kind}, ids array<long>")
 
 
 def encode_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", path: str | None = None,

@@ -38,3 +38,15 @@ def test_windows_and_cover():
     assert w[0] == w[2] != w[1]
     assert A.covered(np.array([0, 3]), 2, 6).tolist() == [True, True, False, True, True, False]
     assert A.fresh(["A", "_a"], "a") == "__a"
+
+
+def test_hash_table_finds_what_was_added():
+    rng = np.random.default_rng(0)
+    table, want = A.HashTable(4), {}
+    for _ in range(30):
+        h = rng.integers(0, 3000, 200).astype(np.uint64) << np.uint64(40)  # many share a place
+        rows = table.find(h)
+        assert rows.tolist() == [want.get(int(x), -1) for x in h]
+        new = np.unique(h[rows < 0])
+        want |= dict(zip(new.tolist(), table.add(new).tolist()))
+    assert sorted(want.values()) == list(range(table.n))
