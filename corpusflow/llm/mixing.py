@@ -38,6 +38,8 @@ MOST_TIMES = 2
 SEED = 20
 DP_WORDS = 20_000
 BUCKET_ROWS = 50_000
+#: rules (a row per source and length) up to which they are broadcast
+BROADCAST_RULES = 1_000_000
 
 
 def sized(docs: DataFrame, id_col: str, text: str, source: str, seed: int = SEED) -> DataFrame:
@@ -171,14 +173,51 @@ def mix_table(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     return got.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def cuts(got: DataFrame) -> DataFrame:
+    """One row per (source, size): what :func:`copies` gives its documents, as a rule on their hashes.
+
+    Documents before the place (``cut_bucket``, ``cut_h``) come ``base`` + 1 times, those behind it ``base`` times. Of the
+    ``m`` at the place itself ``ties`` come once more: more than one only where rows share id and text.
+    """
+    key = ["source", "size"]
+    counts = got.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), F.min("copies").alias("base"), F.max("copies").alias("top"))
+    counts = counts.withColumn("buckets", F.ceil(F.col("c") / BUCKET_ROWS).cast("long"))
+    by = counts.select(F.col("source").alias("of"), F.col("size").alias("len"), "base", "top", "buckets")
+    x = got.join(by, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("len")) & (F.col("top") > F.col("base")))
+    x = x.withColumn("place", F.struct(F.pmod("h", "buckets").alias("b"), "h"))
+    each = x.groupBy(*key, "place").agg(F.count(F.lit(1)).alias("m"), F.sum((F.col("copies") > F.col("base")).cast("long")).alias("ties"))
+    last = each.filter(F.col("ties") > 0).groupBy(*key).agg(F.max(F.struct("place", "m", "ties")).alias("cut"))
+    last = last.select(F.col("source").alias("of"), F.col("size").alias("len"), "cut")
+    return (counts.join(last, F.col("source").eqNullSafe(F.col("of")) & (F.col("size") == F.col("len")), "left")
+            .select(*key, "base", "buckets", F.col("cut.place.b").alias("cut_bucket"), F.col("cut.place.h").alias("cut_h"),
+                    F.col("cut.m").alias("m"), F.col("cut.ties").alias("ties")))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", seed: int = SEED, **how) -> DataFrame:
-    """The mixed documents: each as often as the plan takes it, with the input's columns."""
+    """The mixed documents: each as often as the plan takes it, with the input's columns.
+
+    No text is shuffled: the plan is a rule per (source, length), looked up in the scan. Only rows that
+    share id and text at such a rule's very border are numbered, in as many tasks as there are partitions.
+    """
     names = docs.columns
-    key, times, turn = (A.fresh(names, c) for c in ("_h", "_times", "_turn"))
-    got = plan_mix(docs, id_col, text, source, seed=seed, **how)
-    per = got.groupBy("h").agg(F.sort_array(F.collect_list("copies"), False).alias(times)).withColumnRenamed("h", key)
-    h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text).cast("string"))
-    # rows with equal id and text share a hash: each of them gets one entry of the list
-    rows = docs.withColumn(key, h).join(per, key).withColumn(turn, F.row_number().over(Window.partitionBy(key).orderBy(key)))
-    n = F.element_at(times, F.col(turn)).cast("int")
-    return rows.select(*names, F.explode(F.array_repeat(F.lit(0), n)).alias(turn)).select(*names)
+    rule = cuts(plan_mix(docs, id_col, text, source, seed=seed, **how).checkpoint()).checkpoint()
+    new = {c: A.fresh(names, "_" + c) for c in ("source", "size", "base", "buckets", "cut_bucket", "cut_h", "m", "ties", "h", "row", "turn")}
+    rule = rule.withColumnsRenamed({c: new[c] for c in rule.columns})
+    if rule.count() <= BROADCAST_RULES:
+        rule = F.broadcast(rule)
+    t = F.col(text).cast("string")
+    size = F.coalesce(F.regexp_count(t, F.lit(WORD)), F.lit(0)).cast("long")
+    x = docs.withColumn(new["h"], F.xxhash64(F.lit(seed), F.col(id_col), t)).join(
+        rule, F.col(source).eqNullSafe(F.col(new["source"])) & (size == F.col(new["size"])))
+    h, bucket = F.col(new["h"]), F.pmod(new["h"], new["buckets"])
+    before = (bucket < F.col(new["cut_bucket"])) | ((bucket == F.col(new["cut_bucket"])) & (h < F.col(new["cut_h"])))
+    at_cut = F.coalesce(h == F.col(new["cut_h"]), F.lit(False))
+    shared = at_cut & (F.col(new["ties"]) < F.col(new["m"]))
+    more = F.coalesce(before, F.lit(False)) | at_cut
+    n = F.col(new["base"]) + more.cast("long")
+    out = x.filter(~shared).withColumn(new["row"], n)
+    if not rule.filter(F.col(new["ties"]) < F.col(new["m"])).isEmpty():
+        tied = x.filter(shared).withColumn(new["row"], F.monotonically_increasing_id())
+        tied = with_index(tied, [F.xxhash64(*names), new["row"]], new["turn"], within=[new["h"]])
+        out = out.unionByName(tied.withColumn(new["row"], F.col(new["base"]) + (F.col(new["turn"]) < F.col(new["ties"])).cast("long")).drop(new["turn"]))
+    return out.select(*names, F.explode(F.array_repeat(F.lit(0), F.col(new["row"]).cast("int"))).alias(new["row"])).select(*names)

@@ -86,3 +86,24 @@ def test_given_weights_and_odd_rows(spark, odd_docs, no_docs, rows_of):
     weights = spark.createDataFrame([("s0", 1.0)], "source string, weight double")
     only = M.mix_table(odd_docs, weights=weights).toPandas()
     assert (only[only.target == 0].taken == 0).all() and only.taken.sum() > 0
+
+
+def test_mix_follows_the_plan_row_by_row(spark, monkeypatch):
+    """Copies of each row as planned, with lengths ranked in buckets and equal rows at a rule's border."""
+    monkeypatch.setattr(M, "BUCKET_ROWS", 8)
+    rows = [(i, f"w{i} b c", "x") for i in range(100)] + [(7, "same row here", "y")] * 90 + [(1000 + i, "a " * (i + 1), "y") for i in range(9)]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, source string, k long").repartition(6)
+    plan = {}
+    for r in M.plan_mix(docs).collect():
+        plan.setdefault(r.id, []).append(r.copies)
+    got = {}
+    for r in M.mix(docs).collect():
+        got.setdefault(r.doc_id, {}).setdefault(r.k, 0)
+        got[r.doc_id][r.k] += 1
+    for i, copies in plan.items():
+        assert sorted(c for c in copies if c) == sorted(got.get(i, {}).values())
+    assert len(set(plan[7])) == 2  # the border runs through equal rows
+    mixed = M.mix(docs)
+    assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, M.mix(docs.repartition(3)).collect()))
+    plan_text = M.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan_text

@@ -29,4 +29,4 @@ def test_run_is_the_stages_in_turn(spark, sf, tmp_path):
 def test_registered():
     queries, sql = __spark_entry__.queries(), __spark_entry__.oracle_sql()
     assert set(q_llm.QUERIES) | {"pipeline"} <= set(queries) and set(q_llm.ORACLE_SQL) <= set(sql)
-    assert sorted(int(k[2:].split("_")[0]) for k in q_llm.QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in q_llm.QUERIES) == list(range(1, 14))
