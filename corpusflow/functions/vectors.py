@@ -1,9 +1,11 @@
 """Vector math as array expressions (JVM side, no Python), and a hashing-trick embedder."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusflow.functions.text import col_, tokens
+from corpusflow.functions.text import TOKEN_PATTERN, col_, tokens
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -59,6 +61,49 @@ def with_hash_embedding(df: DataFrame, text: Column | str, out: str, dim: int =
     return df.withColumn(out, _bucket_vectors(dim)(tokens(F.lower(col_(text)))))
 
 
+def hash_model(dim: int = 32):
+    """Model maker of the default embedder for :func:`embed_with`; the texts of a row's columns are read as one."""
+
+    def make():
+        import hashlib
+
+        import numpy as np
+        import regex
+
+        token, seen = regex.compile(TOKEN_PATTERN), {}
+
+        def predict(*columns):
+            out = np.zeros((len(columns[0]), dim))
+            for i, texts in enumerate(zip(*columns)):
+                for t in token.findall(" ".join(texts).lower()):
+                    if t not in seen:
+                        if len(seen) > 200_000:
+                            seen.clear()
+                        seen[t] = int(hashlib.md5(t.encode("utf-8")).hexdigest()[:8], 16) % dim
+                    out[i, seen[t]] += 1.0
+            n = np.sqrt((out * out).sum(axis=1, keepdims=True))
+            return out / np.where(n > 0, n, 1.0)
+
+        return predict
+
+    return make
+
+
+def embed_with(df: DataFrame, columns: Sequence[str], out: str, make_model, prefix: str = "", batch: int = 64) -> DataFrame:
+    """``out`` = the model's vector of one or several text columns of a row.
+
+    ``make_model()`` is called once per Python worker and gives a function of as many arrays as there are columns (a
+    batch each) to an n x dim array.  ``prefix`` stands before the first column's text, as models ask for that tell
+    queries from passages; null texts are empty.
+    """
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import ArrayType, DoubleType
+
+    run = predict_batch_udf(make_model, return_type=ArrayType(DoubleType()), batch_size=batch)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return df.withColumn(out, run(F.concat(F.lit(prefix), texts[0]), *texts[1:]))
+
+
 def with_normalized(df: DataFrame, vec: str, out: str) -> DataFrame:
     """``out`` = ``vec`` scaled to unit length (zero vector stays zero); the norm is computed once per row."""
     n = df.withColumn("_hn", norm(vec))

@@ -10,6 +10,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# fixed values: the chat store's error texts
+NO_SIBLING = "The sibling message doesn't exist"
+ROOT_SIBLING = "The sibling message is the root message, therefore we can't add a sibling"
+
+
 def _empty():
     return F.array().cast("array<string>")
 
@@ -32,40 +37,88 @@ def from_linear(conv: DataFrame, preprompt: str = "") -> DataFrame:
             .drop("_next"))
 
 
+def _chained(start: DataFrame) -> DataFrame:
+    """Ancestors of new messages whose parents are new, too, by pointer jumping.
+
+    ``start``: (conv_id, id, ptr, chain, error).  A message without ``ptr`` is settled: ``chain`` holds its ancestors, or
+    ``error`` says why it has none.  Otherwise ``chain`` holds the ancestors from ``ptr`` on.  Each round a message takes over
+    its pointer's chain and pointer, so a chain of n messages settles in about log2(n) rounds.  A chain longer than its
+    conversation's new messages runs in a circle; those messages, and any under a refused one, have no parent.
+    """
+    cur = start.join(start.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n")), "conv_id").checkpoint()
+    while not cur.filter(F.col("ptr").isNotNull()).isEmpty():
+        up = cur.select("conv_id", F.col("id").alias("ptr"), F.col("ptr").alias("_up"), F.col("chain").alias("_uc"), F.col("error").alias("_ue"))
+        j = cur.filter(F.col("ptr").isNotNull()).join(up, ["conv_id", "ptr"], "left")
+        lost = F.col("_ue").isNotNull() | (F.size("chain") > F.col("_n"))
+        moved = j.select("conv_id", "id", F.when(~lost, F.col("_up")).alias("ptr"), F.when(~lost, F.concat("_uc", "chain")).alias("chain"),
+                         F.when(lost, F.lit("parent not found")).alias("error"), "_n")
+        cur = cur.filter(F.col("ptr").isNull()).unionByName(moved).checkpoint()
+    return cur.select("conv_id", "id", F.col("chain").alias("ancestors"), "error")
+
+
 def append(tree: DataFrame, new: DataFrame) -> DataFrame:
     """Add messages under a parent: ancestors = parent's ancestors + parent; the parent's children get the id.
 
-    ``new``: (conv_id, id, role, text, parent_id).  A message with no parent becomes the root of an
-    empty conversation.  Errors come back as rows: missing parent, parent required (conversation not
-    empty), id already present.
+    ``new``: (conv_id, id, role, text, parent_id).  A parent may be in the tree or among the new messages.  A message with
+    no parent becomes the root of an empty conversation.  Errors come back as rows: missing parent (or one that was
+    itself refused), parent required (conversation not empty, or another new root comes first by id), id already present
+    (of equal new ids the first by parent is taken).
     """
     par = tree.select("conv_id", F.col("id").alias("parent_id"), F.col("ancestors").alias("_pa"))
     have = tree.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
     ids = tree.select("conv_id", "id", F.lit(True).alias("_dup"))
-    j = (new.join(par, ["conv_id", "parent_id"], "left").join(have, "conv_id", "left")
-         .join(ids, ["conv_id", "id"], "left"))
-    err = (F.when(F.col("_dup"), F.lit("message already exists"))
-           .when(F.col("parent_id").isNull() & (F.coalesce("_n", F.lit(0)) > 0), F.lit("parent id required"))
-           .when(F.col("parent_id").isNotNull() & F.col("_pa").isNull(), F.lit("parent not found")))
-    anc = F.when(F.col("parent_id").isNull(), _empty()).otherwise(F.concat(F.coalesce("_pa", _empty()), F.array("parent_id")))
-    added = j.select("conv_id", "id", "role", "text", F.when(err.isNull(), anc).alias("ancestors"),
-                     _empty().alias("children"), err.alias("error"))
-    ok = added.filter(F.col("error").isNull()).select("conv_id", "id").join(new.select("conv_id", "id", "parent_id"), ["conv_id", "id"])
-    kids = (ok.filter(F.col("parent_id").isNotNull())
-            .groupBy("conv_id", F.col("parent_id").alias("id")).agg(F.array_sort(F.collect_list("id")).alias("_new")))
-    updated = (tree.join(kids, ["conv_id", "id"], "left")
-               .withColumn("children", F.concat("children", F.coalesce("_new", _empty()))).drop("_new")
-               .withColumn("error", F.lit(None).cast("string")))
-    return updated.select("conv_id", "id", "role", "text", "ancestors", "children", "error").unionByName(
-        added.select("conv_id", "id", "role", "text", "ancestors", "children", "error"))
+    again = F.row_number().over(Window.partitionBy("conv_id", "id").orderBy("parent_id")) > 1
+    root = F.row_number().over(Window.partitionBy("conv_id", F.col("parent_id").isNull()).orderBy("_again", "id"))
+    j = (new.withColumn("_again", again).withColumn("_root", root)
+         .join(par, ["conv_id", "parent_id"], "left").join(have, "conv_id", "left").join(ids, ["conv_id", "id"], "left"))
+    err = (F.when(F.col("_dup") | F.col("_again"), F.lit("message already exists"))
+           .when(F.col("parent_id").isNull() & ((F.coalesce("_n", F.lit(0)) > 0) | (F.col("_root") > 1)), F.lit("parent id required")))
+    j = j.withColumn("error", err).drop("_n", "_dup", "_again", "_root").checkpoint()
+    taken = j.filter(F.col("error").isNull())
+    batch = taken.select("conv_id", F.col("id").alias("parent_id"), F.lit(True).alias("_here"))
+    k = taken.join(batch, ["conv_id", "parent_id"], "left")
+    in_tree = F.col("parent_id").isNull() | F.col("_pa").isNotNull()
+    start = k.select("conv_id", "id", F.when(~in_tree & F.col("_here"), F.col("parent_id")).alias("ptr"),
+                     F.when(F.col("parent_id").isNull(), _empty()).when(F.col("_pa").isNotNull(), F.concat("_pa", F.array("parent_id")))
+                     .when(F.col("_here"), F.array("parent_id")).alias("chain"),
+                     F.when(~in_tree & F.col("_here").isNull(), F.lit("parent not found")).alias("error"))
+    found = _chained(start)
+    ok = found.filter(F.col("error").isNull() & (F.size("ancestors") > 0)).select("conv_id", "id", F.element_at("ancestors", -1).alias("_p"))
+    kids = ok.groupBy("conv_id", F.col("_p").alias("id")).agg(F.array_sort(F.collect_list("id")).alias("_new"))
+    refused = j.filter(F.col("error").isNotNull()).select("conv_id", "id", "role", "text", F.lit(None).cast("array<string>").alias("ancestors"), "error")
+    added = taken.select("conv_id", "id", "role", "text").join(found, ["conv_id", "id"])
+    old = tree.select("conv_id", "id", "role", "text", "ancestors", "children", F.lit(None).cast("string").alias("error"))
+    rows = old.unionByName(added.withColumn("children", _empty())).join(kids, ["conv_id", "id"], "left")
+    rows = rows.withColumn("children", F.concat("children", F.coalesce("_new", _empty()))).drop("_new")
+    return rows.select("conv_id", "id", "role", "text", "ancestors", "children", "error").unionByName(
+        refused.withColumn("children", _empty()))
+
+
+def retry(tree: DataFrame, targets: DataFrame) -> DataFrame:
+    """Where a retried answer goes and what its prompt is: (conv_id, target, write_to, path, error).
+
+    ``targets``: (conv_id, id, new_prompt).  A user message with a new prompt is edited: a sibling ``<id>-edit`` holds
+    the prompt, the answer goes under it, the path ends with it.  An assistant message is answered again beside
+    the old answer: the path ends before it.  Roots have no siblings, and a user message needs a new prompt.
+    """
+    t = targets.join(tree.select("conv_id", "id", "role", "ancestors"), ["conv_id", "id"], "left")
+    edit = F.col("role") == "user"
+    err = (F.when(F.col("ancestors").isNull(), F.lit("Message not found"))
+           .when(~F.col("role").isin("user", "assistant") | (edit & (F.coalesce(F.length("new_prompt"), F.lit(0)) == 0)), F.lit("nothing to retry"))
+           .when(F.size("ancestors") == 0, F.lit(ROOT_SIBLING)))
+    edited = F.concat("id", F.lit("-edit"))
+    goes = F.when(edit, F.concat(edited, F.lit("-answer"))).otherwise(F.concat("id", F.lit("-retry")))
+    path_ = F.when(edit, F.concat("ancestors", F.array(edited))).otherwise(F.col("ancestors"))
+    return t.select("conv_id", F.col("id").alias("target"), F.when(err.isNull(), goes).alias("write_to"), F.when(err.isNull(), path_).alias("path"),
+                    err.alias("error"))
 
 
 def add_sibling(tree: DataFrame, new: DataFrame) -> DataFrame:
     """New alternative next to ``sibling_id``: same ancestors; errors for a missing or root sibling."""
     sib = tree.select("conv_id", F.col("id").alias("sibling_id"), F.col("ancestors").alias("_sa"))
     j = new.join(sib, ["conv_id", "sibling_id"], "left")
-    err = (F.when(F.col("_sa").isNull(), F.lit("The sibling message doesn't exist"))
-           .when(F.size("_sa") == 0, F.lit("The sibling message is the root message, therefore we can't add a sibling")))
+    err = (F.when(F.col("_sa").isNull(), F.lit(NO_SIBLING))
+           .when(F.size("_sa") == 0, F.lit(ROOT_SIBLING)))
     return j.select("conv_id", "id", F.when(err.isNull(), F.col("_sa")).alias("ancestors"), err.alias("error"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corpusflow.functions.vectors import norm, vec_str, with_hash_embedding, with_normalized
+from corpusflow.functions.vectors import embed_with, hash_model, norm, vec_str, with_hash_embedding, with_normalized
 from corpusflow.operators import ivf
 from corpusflow.operators import retrieval as H
 from corpusflow.operators.chunking import chunk_fixed
@@ -20,6 +20,8 @@ from corpusflow.queries.sqlparts_text import tokens as sql_tokens
 
 G = "H"
 DIM = 32
+#: what stands before a text that is stored, for models that tell it from a query
+PASSAGE = "passage: "
 MEDIA = ["text", "image", "audio"]
 RAG_TEMPLATE = ("Use the following pieces of context to answer the question at the end.\n\n{context}\n\n"
                 "Question: {question}\nHelpful Answer:")
@@ -49,11 +51,12 @@ def _vec_sql(v):
 
 
 @register("embed_documents", G, sql=f"""
-WITH {_emb_sql('e', 'documents', 'doc_id', 'text')}
+WITH pt AS (SELECT doc_id, '{PASSAGE}' || coalesce(text, '') AS text FROM documents),
+{_emb_sql('e', 'pt', 'doc_id', 'text')}
 SELECT doc_id, {_vec_sql('v')} AS embedding FROM e
 """)
 def q_embed(spark, d):
-    e = with_hash_embedding(t(spark, d, "documents").select("doc_id", "text"), "text", "v", DIM)
+    e = embed_with(t(spark, d, "documents").select("doc_id", "text"), ["text"], "v", hash_model(DIM), prefix=PASSAGE)
     return e.select("doc_id", vec_str("v").alias("embedding"))
 
 
@@ -336,7 +339,7 @@ SELECT page_id, {_vec_sql('v')} AS embedding FROM e
 """)
 def q_embed_pair(spark, d):
     p = t(spark, d, "pages")
-    # one vector for caption plus image bytes: the default embedder reads the caption and the decoded page text
-    both = F.concat_ws(" ", F.coalesce(extract_tag("html", "title"), F.lit("")), F.coalesce(html_paragraphs("html"), F.lit("")))
-    e = with_hash_embedding(p.select("page_id", both.alias("both")), "both", "v", DIM)
+    # one vector for two columns, caption and content: the model gets both
+    both = p.select("page_id", extract_tag("html", "title").alias("caption"), html_paragraphs("html").alias("content"))
+    e = embed_with(both, ["caption", "content"], "v", hash_model(DIM))
     return e.select("page_id", vec_str("v").alias("embedding"))

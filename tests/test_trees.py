@@ -113,3 +113,40 @@ def test_legacy_path_is_a_slice(spark):
     p = {r.target: r for r in R.legacy_path(_legacy(spark), t).collect()}
     assert p["b"].path == ["a", "b"] and p["a"].path == ["a"] and p["c"].path == ["a", "b", "c"]
     assert p["zz"].error == "Message not found"
+
+
+NEW = "conv_id long, id string, role string, text string, parent_id string"
+
+
+def test_append_settles_chains_inside_a_batch(spark):
+    tree = R.from_linear(_linear(spark))
+    ids = [f"n{i:02d}" for i in range(20)]
+    chain = [(1, i, "user", "x", p) for i, p in zip(ids, ["1-3", *ids])]
+    loop = [(1, "p", "user", "x", "q"), (1, "q", "user", "x", "p"), (1, "under", "user", "x", "q")]
+    lost = [(1, "l1", "user", "x", "nope"), (1, "l2", "user", "x", "l1"), (1, "1-2", "user", "x", "1-1"), (1, "l3", "user", "x", "l2")]
+    fresh = [(9, "r", "system", "x", None), (9, "s", "user", "x", "r"), (9, "t", "user", "x", "s"), (9, "r2", "user", "x", None), (9, "u", "user", "x", "r2")]
+    out = R.append(tree, spark.createDataFrame(chain[::-1] + loop + lost + fresh, NEW)).collect()
+    got = {r.id: r for r in out if not (r.id == "1-2" and r.error)}
+    for k, i in enumerate(ids):
+        assert got[i].ancestors == ["1-0", "1-1", "1-2", "1-3", *ids[:k]] and got[i].children == ids[k + 1:k + 2] and got[i].error is None
+    assert got["1-3"].children == ["n00"]
+    assert {i: got[i].error for i in ("p", "q", "under", "l1", "l2", "l3")} == dict.fromkeys(("p", "q", "under", "l1", "l2", "l3"), "parent not found")
+    assert got["t"].ancestors == ["r", "s"] and got["r"].children == ["s"]
+    assert got["r2"].error == "parent id required" and got["u"].error == "parent not found"
+    assert [r.error for r in out if r.id == "1-2" and r.error] == ["message already exists"]
+    assert len(out) == 7 + 20 + 3 + 4 + 5
+
+
+def test_append_takes_one_of_equal_new_ids(spark):
+    new = spark.createDataFrame([(1, "d", "user", "x", "1-0"), (1, "d", "user", "y", "1-1"), (1, "e", "user", "z", "d")], NEW)
+    out = [r for r in R.append(R.from_linear(_linear(spark)), new).collect() if r.id in "de"]
+    assert sorted((r.id, r.text, r.error) for r in out) == [("d", "x", None), ("d", "y", "message already exists"), ("e", "z", None)]
+
+
+def test_retry_of_answers_and_edited_messages(spark):
+    tree = R.from_linear(_linear(spark))
+    t = spark.createDataFrame([(1, "1-2", None), (1, "1-3", "new"), (1, "1-1", ""), (1, "1-0", "new"), (2, "gone", "x")], "conv_id long, id string, new_prompt string")
+    got = {r.target: (r.write_to, r.path, r.error) for r in R.retry(tree, t).collect()}
+    assert got["1-2"] == ("1-2-retry", ["1-0", "1-1"], None)
+    assert got["1-3"] == ("1-3-edit-answer", ["1-0", "1-1", "1-2", "1-3-edit"], None)
+    assert got["1-1"][2] == got["1-0"][2] == "nothing to retry" and got["gone"] == (None, None, "Message not found")
