@@ -96,10 +96,24 @@ def embed_with(df: DataFrame, columns: Sequence[str], out: str, make_model, pref
     batch each) to an n x dim array.  ``prefix`` stands before the first column's text, as models ask for that tell
     queries from passages; null texts are empty.
     """
+    import inspect
+
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, DoubleType
 
-    run = predict_batch_udf(make_model, return_type=ArrayType(DoubleType()), batch_size=batch)
+    n = len(columns)
+
+    def make():
+        model = make_model()
+
+        def predict(*arrays):
+            return model(*arrays)
+
+        # Spark hands over columns by the number of parameters that it sees
+        predict.__signature__ = inspect.Signature([inspect.Parameter(f"c{i}", inspect.Parameter.POSITIONAL_ONLY) for i in range(n)])
+        return predict
+
+    run = predict_batch_udf(make, return_type=ArrayType(DoubleType()), batch_size=batch)
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
     return df.withColumn(out, run(F.concat(F.lit(prefix), texts[0]), *texts[1:]))
 
