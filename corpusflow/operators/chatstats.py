@@ -9,6 +9,7 @@ the number of spans and facets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,6 +115,35 @@ def merge_stats(target: DataFrame, updates: DataFrame, keys: Sequence[str] = STA
     return j.select(*keys, *[F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in vals])
 
 
+def touched(target: DataFrame, part: str, periods: list) -> DataFrame:
+    """Rows of the given periods: a filter on the partition column, so that other folders are not listed or read."""
+    some = F.col(part).isin([p for p in periods if p is not None])
+    return target.filter(some | F.col(part).isNull() if None in periods else some)
+
+
+def merge_into(path: str, updates: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
+    """Upsert into the Parquet table at ``path``, partitioned by the period column ``part`` (one of its key's parts).
+
+    Only the periods that ``updates`` has are read, merged and written, by dynamic partition overwrite; all other history stays
+    as it is.  Null keys are equal to each other.  The merged rows are checkpointed before the write, so a rerun after a failure gives the same
+    table.  A period that the table doesn't have is added; without a table at ``path`` the updates are the table.
+    Returns the whole table.
+    """
+    spark = updates.sparkSession
+    keys = list(dict.fromkeys([part, *keys]))
+    periods = [r[0] for r in updates.select(part).distinct().collect()]  # periods of one run, not rows
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    exists = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    new = updates
+    if exists:
+        old = touched(spark.read.schema(updates.schema).parquet(path), part, periods)
+        mine = updates.select(*[F.col(k).alias(f"_u_{k}") for k in keys])
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys])
+        new = updates.unionByName(old.join(mine, same, "left_anti")).checkpoint()
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    return spark.read.schema(updates.schema).parquet(path)
+
+
 def incremental_stats(messages: DataFrame, stored: DataFrame, spans: Sequence[str] = SPANS,
                       type_: str = "message", field: str = "createdAt") -> DataFrame:
     """Recompute facets from the latest stored period on (``>=``: the last bucket is redone), then merge.

@@ -12,6 +12,7 @@ from corpusflow.plans.dense_index import with_index
 from corpusflow.queries.common import day, r6, t
 from corpusflow.queries.registry import register
 from corpusflow.queries.sqlparts import CHAT, SALES, facets_sql, period
+from corpusflow.sources.readers import scratch_path
 from corpusflow.sources.derived import chat_log, sales
 
 G = "J"
@@ -83,9 +84,13 @@ FROM old FULL OUTER JOIN new ON old.at = new.at
 def q_merge_stats_table(spark, d):
     chat = chat_log(t(spark, d, "events"))
     dayc = lambda df: df.groupBy(day(F.date_trunc("day", "created_at")).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    week = day(F.date_trunc("week", F.col("at").cast("timestamp"))).alias("week")
     old = dayc(chat.filter(F.col("created_at") < F.lit("2024-01-20 00:00:00").cast("timestamp")))
-    new = dayc(chat.filter(F.col("created_at") >= F.lit("2024-01-10 00:00:00").cast("timestamp"))).withColumn("updated", F.lit(True))
-    merged = cs.merge_stats(old.withColumn("updated", F.lit(False)), new, keys=["at"])
+    new = dayc(chat.filter(F.col("created_at") >= F.lit("2024-01-10 00:00:00").cast("timestamp")))
+    # the stored table is partitioned by week: weeks without news are neither read nor written
+    path = scratch_path(spark, "stats")
+    cs.merge_into(path, old.select("at", "n", F.lit(False).alias("updated"), week), ["at"], "week")
+    merged = cs.merge_into(path, new.select("at", "n", F.lit(True).alias("updated"), week), ["at"], "week")
     return merged.select("at", "n", "updated")
 
 
