@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from corpusflow.llm import arrays as A
+
 MAX_SHARE = 0.3
 MIN_PAGES = 3
 SALTS = 64
@@ -61,17 +63,19 @@ def boilerplate(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
 def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: float = MAX_SHARE,
                     min_pages: int = MIN_PAGES) -> DataFrame:
     """Every input column, and ``host``, ``n_lines``, ``n_dropped`` and ``text`` (the lines that stay)."""
-    own = [c for c in pages.columns if c.lower() not in ("host", "lines", "bad", "salt", "stay", "n_lines", "n_dropped", "text")]
-    part = pages.select(*own, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(lines, F.array().cast("array<string>")).alias("lines"))
+    own = [c for c in pages.columns if c.lower() not in ("host", "n_lines", "n_dropped", "text")]
+    at, all_, kept = (A.fresh(own, c) for c in ("salt", "lines", "stay"))
+    known = A.fresh(own, "bad")
+    part = pages.select(*own, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(lines, F.array().cast("array<string>")).alias(all_))
     # pages of a hot host go to SALTS tasks; a host's (bounded) array goes to each of them
     plain = [c for c in own if not isinstance(part.schema[c].dataType, MapType)]
-    part = part.withColumn("salt", F.pmod(F.xxhash64(*plain, "lines"), F.lit(SALTS)))
-    bad = boilerplate(part.select("host", "lines"), max_share, min_pages)
-    bad = bad.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
-    out = part.join(bad, ["host", "salt"], "left")
-    bad = F.coalesce("bad", F.array().cast("array<bigint>"))
-    stay = F.filter("lines", lambda x: ~F.array_contains(bad, F.xxhash64(x)))
-    return (out.withColumn("stay", stay)
-            .select(*own, "host", F.size("lines").cast("long").alias("n_lines"),
-                    (F.size("lines") - F.size("stay")).cast("long").alias("n_dropped"),
-                    F.array_join("stay", "\n").alias("text")))
+    part = part.withColumn(at, F.pmod(F.xxhash64(*plain, all_), F.lit(SALTS)))
+    bad = boilerplate(part.select("host", F.col(all_).alias("lines")), max_share, min_pages).withColumnRenamed("bad", known)
+    bad = bad.withColumn(at, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    out = part.join(bad, ["host", at], "left")
+    bad = F.coalesce(known, F.array().cast("array<bigint>"))
+    stay = F.filter(all_, lambda x: ~F.array_contains(bad, F.xxhash64(x)))
+    return (out.withColumn(kept, stay)
+            .select(*own, "host", F.size(all_).cast("long").alias("n_lines"),
+                    (F.size(all_) - F.size(kept)).cast("long").alias("n_dropped"),
+                    F.array_join(kept, "\n").alias("text")))

@@ -33,7 +33,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusflow.llm import arrays as A
 from corpusflow.session import ensure_checkpoint_dir
 
 KEY = "corpusflow"
@@ -221,9 +220,11 @@ def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFram
     """Every input column with ``text`` replaced, and ``n_entities`` and ``entity_types`` (sorted, distinct)."""
     ensure_checkpoint_dir(docs.sparkSession)
     own = [c for c in docs.columns if c.lower() not in ("n_entities", "entity_types")]
-    names = {c: A.fresh(own, c) for c in ("_h",)}
-    h = names["_h"]
-    base, has = docs.select(*own), F.coalesce(F.rlike(F.col(text).cast("string"), F.lit(PATTERN)), F.lit(False))
+    # numbered inside, so that no name of the input meets one of the work columns
+    inner, h = {c: f"c{i}" for i, c in enumerate(own)}, "_h"
+    text = inner[text]
+    base = docs.select(*[F.col(c).alias(i) for c, i in inner.items()])
+    back, has = [F.col(i).alias(c) for c, i in inner.items()], F.coalesce(F.rlike(F.col(text).cast("string"), F.lit(PATTERN)), F.lit(False))
     some = detect(base.filter(has), text).withColumn(h, F.sha2(F.col(text).cast("string").cast("binary"), 256))
     # one row for each distinct text with entities: narrow, and reread below
     each = some.select(F.col(h).alias("h"), "_ents").dropDuplicates(["h"]).checkpoint()
@@ -238,5 +239,5 @@ def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFram
     changed = joined.withColumn(text, F.array_join(parts, ""))
     count = F.size("_ents").cast("long").alias("n_entities")
     types = F.array_join(F.array_sort(F.array_distinct(F.col("_ents.kind"))), ",").alias("entity_types")
-    plain = base.filter(~has).select(*own, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_types"))
-    return changed.select(*own, count, types).unionByName(plain)
+    plain = base.filter(~has).select(*back, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_types"))
+    return changed.select(*back, count, types).unionByName(plain)

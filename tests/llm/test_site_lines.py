@@ -32,3 +32,11 @@ def test_shares_and_odd_rows(spark):
     high = {r["page_id"]: r["text"] for r in S.drop_site_lines(pages, F.col("site"), lines, max_share=0.8).collect()}
     assert high[3] == "body 3\nrare"
     assert S.drop_site_lines(pages.filter("false"), F.col("site"), lines).count() == 0
+
+
+def test_names_of_work_columns_survive(spark):
+    rows = [(i, "a.com", f"menu\nbody {i}", "l", "b", "s", "t") for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, site string, body string, lines string, bad string, salt string, Stay string")
+    got = S.drop_site_lines(pages, F.col("site"), F.split("body", "\n"))
+    assert got.columns == [*pages.columns, "host", "n_lines", "n_dropped", "text"]
+    assert all((r["lines"], r["bad"], r["salt"], r["Stay"], r["text"]) == ("l", "b", "s", "t", f"body {r['page_id']}") for r in got.collect())

@@ -107,3 +107,13 @@ def test_secrets_of_any_characters_end(spark):
     for t in texts[2:9]:
         before, after = (x.split("=")[-1].split(": ")[-1] for x in (t, got[t]))
         assert sum(a == b for a, b in zip(before, after)) <= 2  # some are equal by chance
+
+
+def test_names_of_work_columns_survive(spark):
+    from corpusflow.llm import surrogates
+
+    df = spark.createDataFrame([("mail a.b@example.com now", 1, "x", "y", "z", "w"), ("nothing", 2, "x", "y", "z", "w")],
+                               "text string, h int, _ents string, _found string, _pieces string, _subs string")
+    got = surrogates.replace_pii(df).orderBy("h").collect()
+    assert [(r["_ents"], r["_found"], r["_pieces"], r["_subs"]) for r in got] == [("x", "y", "z", "w")] * 2
+    assert got[0].n_entities == 1 and "a.b@example.com" not in got[0].text and got[1].text == "nothing"
