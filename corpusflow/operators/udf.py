@@ -52,6 +52,20 @@ def batch_score(df: DataFrame, col: str, fn: Callable[[pd.Series], list] = lexic
     return df.withColumn(out, score(F.col(col)))
 
 
+def evaluate_toxicity(df: DataFrame, key: str, col: str, fn: Callable[[pd.Series], list] = lexicon_scores, label: str = "hate",
+                      n: int | None = None, seed: int = 8) -> DataFrame:
+    """(n, mean, std) of a scorer's ``label`` score over the texts, or over exactly ``n`` of them drawn by key and seed.
+
+    Rows that the scorer gives no such label (a null or empty answer) count in no statistic.
+    """
+    from corpusflow.operators.select import shuffle_take
+
+    rows = df.select(key, col)
+    scored = batch_score(rows if n is None else shuffle_take(rows, key, n, seed), col, fn, "_scores")
+    score = F.get(F.filter("_scores", lambda s: s["label"] == label), F.lit(0))["score"]
+    return scored.select(score.alias("_s")).agg(F.count("_s").alias("n"), F.avg("_s").alias("mean"), F.stddev_pop("_s").alias("std"))
+
+
 def echo_model(prompt: str) -> str:
     """Default generator: echoes the last line of the prompt."""
     return prompt.rstrip().split("\n")[-1]

@@ -11,6 +11,7 @@ from corpusflow.queries.sqlparts_text import tokens as sql_tokens
 from corpusflow.sources import readers as A
 from corpusflow.sources.derived import settings
 from corpusflow.sources import writers as B
+from corpusflow.sources.upsert import bulk_upsert
 
 SPLIT_SQL = """s AS (SELECT doc_id, lang, CASE WHEN u < 0.9 THEN 'train' WHEN u < 0.95 THEN 'validation' ELSE 'test' END AS split
            FROM (SELECT doc_id, lang, CAST(('0x' || substr(md5('7|' || CAST(doc_id AS VARCHAR)), 1, 8)) AS BIGINT) / 4294967296.0 AS u FROM documents))"""
@@ -222,24 +223,14 @@ def q_export(spark, d):
                        F.size(F.filter("messages", lambda m: m["score"].isNotNull())).cast("bigint").alias("n_scored"))
 
 
-@register("bulk_upsert_vectors", "B", sql="SELECT vec_id FROM embeddings")
+@register("bulk_upsert_vectors", "B", sql="SELECT vec_id, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS s FROM embeddings")
 def q_upsert(spark, d):
     path = A.scratch_path(spark, "upsert")
     e = t(spark, d, "embeddings").select("vec_id", "embedding")
-
-    def writer(name, rows, root=path):
-        # stub external index: one parquet object per named batch, so a rerun overwrites it
-        import pyarrow as pa
-        import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        filesystem, base = fs.FileSystem.from_uri(root)
-        filesystem.create_dir(base, recursive=True)
-        pq.write_table(pa.Table.from_pylist(rows), f"{base}/batch-{name}.parquet", filesystem=filesystem)
-
-    B.bulk_upsert(e, "vec_id", writer, batch=200)
-    B.bulk_upsert(e.repartition(3), "vec_id", writer, batch=200)  # a rerun with other tasks replaces the same batches
-    return spark.read.parquet(path).select("vec_id")
+    bulk_upsert(e, "vec_id", path)
+    bulk_upsert(e.repartition(3), "vec_id", path)  # a rerun with other tasks replaces the same rows
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
+    return spark.read.parquet(path).select("vec_id", F.round(total, 4).alias("s"))
 
 
 @register("save_load_vector_index", "B", sql="SELECT label AS bucket, count(*) AS n, round(sum(list_sum(CAST(embedding AS DOUBLE[]))), 4) AS s FROM embeddings GROUP BY label")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import words
 from corpusflow.operators import preferences as P
+from corpusflow.operators import udf as U
 from corpusflow.operators.joins import adjacent_pairs, attach_scalar
 from corpusflow.queries.common import r6, t
 from corpusflow.queries.registry import register
@@ -243,15 +244,18 @@ def q_pair_loss(spark, d):
     return lab.agg(r6(F.avg(P.softplus_neg((F.col("quality") - F.col("toxic")).cast("double")))).alias("loss"))
 
 
-@register("toxicity_evaluate", O, sql="""
-WITH s AS (SELECT doc_id, toxic FROM documents JOIN labels USING (doc_id) ORDER BY md5('8|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100)
-SELECT count(*) AS n, round(avg(toxic), 6) AS mean_toxicity, round(stddev_pop(toxic), 6) AS std_toxicity FROM s
+@register("toxicity_evaluate", O, sql=f"""
+WITH w AS (SELECT doc_id, {swords('lower(text)')} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) > 0 THEN CAST(len(list_filter(w, lambda x: list_contains({U.LEXICON!r}, trim(x, '.,!?;:')))) AS DOUBLE) / len(w)
+             ELSE 0.0 END AS toxicity FROM w),
+x AS (SELECT 'all' AS part, toxicity FROM s
+      UNION ALL (SELECT 'sample', toxicity FROM s ORDER BY md5('8|' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 100))
+SELECT part, count(*) AS n, round(avg(toxicity), 9) AS mean_toxicity, round(stddev_pop(toxicity), 9) AS std_toxicity FROM x GROUP BY part
 """)
 def q_toxicity(spark, d):
-    from corpusflow.operators.select import shuffle_take
-
-    scored = t(spark, d, "documents").select("doc_id").join(t(spark, d, "labels").select("doc_id", "toxic"), "doc_id")
-    return shuffle_take(scored, "doc_id", 100, 8).agg(F.count(F.lit(1)).alias("n"), r6(F.avg("toxic")).alias("mean_toxicity"), r6(F.stddev_pop("toxic")).alias("std_toxicity"))
+    docs = t(spark, d, "documents")
+    both = [U.evaluate_toxicity(docs, "doc_id", "text", n=n).withColumn("part", F.lit(part)) for part, n in (("all", None), ("sample", 100))]
+    return both[0].unionByName(both[1]).select("part", "n", F.round("mean", 9).alias("mean_toxicity"), F.round("std", 9).alias("std_toxicity"))
 
 
 @register("before_after_table", O, sql=f"""

@@ -1,7 +1,5 @@
 """Sinks (group B).  Every writer is idempotent: rerunning a job replaces, never duplicates."""
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,32 +20,6 @@ def save_index(df: DataFrame, path: str, bucket: str) -> None:
     df.write.mode("overwrite").partitionBy(bucket).parquet(path)
 
 
-def bulk_upsert(df: DataFrame, key: str, writer: Callable[[str, list], None], batch: int = 200, buckets: int = 64) -> None:
-    """Send rows to an external index in batches, ``writer(name, rows)``.
-
-    Rows are de-duplicated by key and dealt into ``buckets`` by the key's hash, in key order; a batch is named by
-    its bucket and number, so a rerun replaces the same batches whatever the number of tasks.
-    """
-    rows = (df.dropDuplicates([key]).withColumn("_b", F.pmod(F.xxhash64(key), F.lit(buckets)))
-            .repartition("_b").sortWithinPartitions("_b", key))
-
-    def run(it):
-        bucket, number, buf = None, 0, []
-        for r in it:
-            d = r.asDict(recursive=True)
-            b = d.pop("_b")
-            if buf and (b != bucket or len(buf) >= batch):
-                writer(f"{bucket}-{number}", buf)
-                number, buf = number + 1, []
-            if b != bucket:
-                bucket, number = b, 0
-            buf.append(d)
-        if buf:
-            writer(f"{bucket}-{number}", buf)
-
-    rows.foreachPartition(run)
-
-
 def export_conversations(conv: DataFrame, consented_users: DataFrame) -> DataFrame:
     """Consented conversations with ``messages{from, content, score}``; a 0 score is no vote (null)."""
     nested = (conv.groupBy("conv_id")
