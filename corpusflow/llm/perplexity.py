@@ -4,9 +4,12 @@ Model. Each word is a sequence BEGIN, bytes, END; every byte and END is predicte
 symbols before it (order 4, never over a word's edge). Spark counts the n-grams of *all* documents
 together (a document may mix languages); lower orders use continuation counts; the three discounts
 come from the counts of counts of each order. Probabilities and back-off weights are computed as
-DataFrames and kept as sorted hash arrays: an entry's hash is its n-gram modulo the prime ``slots``.
-That is a proven bound on the model, at most ``slots`` entries per array whatever the corpus, so the
-arrays may be collected and broadcast. N-grams with the same hash share an entry (the larger value).
+DataFrames and kept as sorted arrays of exact keys: an n-gram's bytes are its number, a perfect hash. Orders 1 to 3
+and all contexts have at most 2^24 keys whatever the corpus, so these arrays may be broadcast. Of order 4
+the most frequent n-grams are broadcast, ``limit`` of them at most; the others, if there are any, stay a
+table. A missing n-gram is then backed off in the scan, and the difference for those in the table
+is joined on the n-gram and added per text. As each n-gram there stands for less than a ``limit / 2``-th
+of all symbols, that join has no hot key.
 
 Verdict. A document's perplexity is ``exp(-mean log p)`` over its symbols. Per language, the
 quartiles of log perplexity over the distinct texts that pass the base rules give the band
@@ -32,7 +35,7 @@ from corpusflow.session import ensure_checkpoint_dir
 BEGIN, END = 0x20, 0x0A
 ORDER = 4
 VOCAB = 256
-SLOTS = 3_999_971  # a prime far from a power of two, by whose multiples similar n-grams would differ
+LIMIT = 1 << 22
 BAND = 3.0
 LEAST_SPREAD = 0.02  # below the 0.024 to 0.05 of the fixture's languages
 MIN_WORDS = 50
@@ -110,8 +113,30 @@ def ngram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return part.mapInArrow(A.released(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
 
 
-def kneser_ney(counts: DataFrame, slots: int = SLOTS) -> dict:
-    """Tables of the model from the counts, and then the sorted hash arrays (collected: bounded by ``slots``)."""
+def _arrays(df: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and log values of a table of bounded size."""
+    arr = df.select(F.col(key).alias("x"), F.col(value).cast("float").alias("v")).toArrow()
+    x, v = arr["x"].to_numpy(), arr["v"].to_numpy()
+    order = np.argsort(x)
+    return x[order].astype(np.uint32), _log(v[order])
+
+
+def _log(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p.astype(np.float32), np.float32(1e-12))).astype(np.float32)
+
+
+def _frequent(probs: DataFrame, limit: int) -> int:
+    """Smallest power of two such that at most ``limit`` n-grams are that frequent."""
+    levels = {r["e"]: r["n"] for r in probs.groupBy(F.floor(F.log2(F.col("n") + F.lit(0.5))).alias("e")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, held = max(levels, default=0) + 1, 0
+    while least > 0 and held + levels.get(least - 1, 0) <= limit:
+        least -= 1
+        held += levels.get(least, 0)
+    return 1 << least
+
+
+def kneser_ney(counts: DataFrame, limit: int = LIMIT) -> tuple[dict, DataFrame | None]:
+    """Arrays of the model from the counts, and the table (g, p) of the n-grams of order 4 beyond ``limit``, if any."""
     raw = counts.withColumn("k", F.when(F.shiftright("g", 8) == BEGIN, 2).when(F.shiftright("g", 16) == BEGIN, 3)
                             .otherwise(ORDER))
     types = {ORDER: raw.filter(F.col("k") == ORDER).select("g", "n")}
@@ -119,7 +144,7 @@ def kneser_ney(counts: DataFrame, slots: int = SLOTS) -> dict:
         cont = types[k + 1].groupBy(F.col("g").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("g")).agg(
             F.count(F.lit(1)).alias("n"))
         types[k] = cont if k == 1 else cont.unionByName(raw.filter(F.col("k") == k).select("g", "n"))
-    model, lower = {"slots": slots}, None
+    model, lower = {}, None
     for k in range(1, ORDER + 1):
         c = types[k].agg(*[F.count(F.when(F.col("n") == i, 1)).alias(f"c{i}") for i in range(1, 5)]).first()
         y = c[0] / max(1, c[0] + 2 * c[1])
@@ -130,39 +155,34 @@ def kneser_ney(counts: DataFrame, slots: int = SLOTS) -> dict:
         t = t.join(ctx, "h")
         own = (F.col("n") - F.col("d")) / F.col("total")
         if k == 1:
-            probs = t.select("g", (own + F.col("gamma") / VOCAB).alias("p"))
+            probs = t.select("g", "n", (own + F.col("gamma") / VOCAB).alias("p"))
         else:
             low = lower.select(F.col("g").alias("s"), F.col("p").alias("q"))
             t = t.withColumn("s", F.col("g").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1)))
-            probs = t.join(low, "s").select("g", (own + F.col("gamma") * F.col("q")).alias("p"))
+            probs = t.join(low, "s").select("g", "n", (own + F.col("gamma") * F.col("q")).alias("p"))
         probs = probs.checkpoint()
-        for name, df, key, val in ((f"p{k}", probs, "g", "p"), (f"b{k}", ctx, "h", "gamma")):
-            arr = df.groupBy((F.col(key) % slots).cast("int").alias("x")).agg(
-                F.max(val).cast("float").alias("v")).toArrow()
-            x, v = arr["x"].to_numpy(), arr["v"].to_numpy()
-            order = np.argsort(x)
-            model[name] = (x[order].astype(np.uint32), np.log(np.maximum(v[order], 1e-12)).astype(np.float32))
+        least = _frequent(probs, limit) if k == ORDER else 1
+        model[f"p{k}"] = _arrays(probs.filter(F.col("n") >= least), "g", "p")
+        model[f"b{k}"] = _arrays(ctx, "h", "gamma")
         lower = probs
-    return model
+    return model, lower.filter(F.col("n") < least).select("g", "p") if least > 1 else None
 
 
-def fit(docs: DataFrame, text: str = "text", slots: int = SLOTS) -> dict:
+def fit(docs: DataFrame, text: str = "text", limit: int = LIMIT) -> tuple[dict, DataFrame | None]:
     """Model of all documents."""
     ensure_checkpoint_dir(docs.sparkSession)
-    return kneser_ney(ngram_counts(docs, text).checkpoint(), slots)
+    return kneser_ney(ngram_counts(docs, text).checkpoint(), limit)
 
 
 def log_probs(keys: np.ndarray, model: dict) -> np.ndarray:
     """log p of distinct n-grams: the longest suffix that the model has, times the back-off weights above it."""
-    slots = np.uint32(model["slots"])
     order = np.where(keys >> np.uint32(8) == BEGIN, 2, np.where(keys >> np.uint32(16) == BEGIN, 3, ORDER))
     logp, open_ = np.zeros(len(keys)), np.ones(len(keys), dtype=bool)
 
     def look(name, grams):
         have, val = model[name]
-        x = grams % slots
-        i = np.minimum(np.searchsorted(have, x), max(len(have) - 1, 0))
-        return (have[i] == x, val[i]) if len(have) else (np.zeros(len(x), dtype=bool), np.zeros(len(x)))
+        i = np.minimum(np.searchsorted(have, grams), max(len(have) - 1, 0))
+        return (have[i] == grams, val[i]) if len(have) else (np.zeros(len(grams), dtype=bool), np.zeros(len(grams)))
 
     for k in range(ORDER, 0, -1):
         at = np.flatnonzero(open_ & (order >= k))
@@ -207,13 +227,41 @@ def rule_arrays(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def measure(docs: DataFrame, model: dict, text: str = "text", prefix: str = "") -> DataFrame:
+def _differences(docs: DataFrame, shared, tail: DataFrame, text: str) -> DataFrame:
+    """(h, more): per distinct text's sha256, what the n-grams in ``tail`` add to its sum of log p."""
+    t = text
+    texts = docs.select(F.col(t).cast("string").alias(t)).filter(F.col(t).isNotNull()).withColumn("h", F.sha2(F.col(t).cast("binary"), 256))
+
+    def missing(batches):
+        have = shared.value["p4"][0]
+        for batch in batches:
+            for rb in A.slices(batch, t):
+                g, doc = _grams(*A.text_bytes(rb.column(t)))
+                full = (g >> np.uint32(16) != BEGIN) & (g >> np.uint32(8) != BEGIN)
+                i = np.minimum(np.searchsorted(have, g), max(len(have) - 1, 0))
+                full &= have[i] != g if len(have) else True
+                key, n = np.unique(doc[full].astype(np.int64) << 32 | g[full], return_counts=True)
+                yield pa.RecordBatch.from_arrays([rb.column("h").take(pa.array(key >> 32)), pa.array(key & 0xFFFFFFFF), pa.array(n)],
+                                                 names=["h", "g", "n"])
+
+    def weigh(batches):
+        for b in batches:
+            g, p, n = (b.column(c).to_numpy() for c in ("g", "p", "n"))
+            more = n * (_log(p) - log_probs(g.astype(np.uint32), shared.value))
+            yield pa.RecordBatch.from_arrays([b.column("h"), pa.array(more.astype(np.float64))], names=["h", "more"])
+
+    some = texts.dropDuplicates(["h"]).mapInArrow(A.released(missing), "h string, g long, n long")
+    return some.join(tail, "g").select("h", "g", "n", "p").mapInArrow(A.released(weigh), "h string, more double").groupBy("h").agg(F.sum("more").alias("more"))
+
+
+def measure(docs: DataFrame, model: tuple[dict, DataFrame | None], text: str = "text", prefix: str = "") -> DataFrame:
     """Every input column, and per document the base counts, ``base_failed`` and ``log_ppl``, with ``prefix``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by its number of slots
+    arrays, tail = model
+    shared = docs.sparkSession.sparkContext.broadcast(arrays)  # LIMIT n-grams of order 4, 2^24 keys at most in each other array
     t = text
-    cols = [f"{prefix}{c}" for c in (*MEASURES, "base_failed", "log_ppl")]
+    cols = [f"{prefix}{c}" for c in (*MEASURES, "base_failed", "log_sum", "symbols")]
     schema = StructType([*docs.schema.fields, *(StructField(c, LongType()) for c in cols[:5]),
-                         StructField(cols[5], BooleanType()), StructField(cols[6], DoubleType())])
+                         StructField(cols[5], BooleanType()), StructField(cols[6], DoubleType()), StructField(cols[7], LongType())])
 
     def run(batches):
         m = shared.value
@@ -225,14 +273,21 @@ def measure(docs: DataFrame, model: dict, text: str = "text", prefix: str = "")
                 own = np.unique(g)
                 lp = log_probs(own, m)[np.searchsorted(own, g)]
                 symbols = np.bincount(doc, minlength=rb.num_rows)
-                mean = np.bincount(doc, weights=lp, minlength=rb.num_rows) / np.maximum(symbols, 1)
+                total = np.bincount(doc, weights=lp, minlength=rb.num_rows).astype(np.float64)
                 nw = got["n_words"]
                 failed = (nw < MIN_WORDS) | (100 * got["n_repeat_words"] > MAX_REPEAT_PERCENT * nw)
                 new = [pa.array(got[c].astype(np.int64)) for c in MEASURES]
-                new += [pa.array(failed), pa.array(np.round(-mean, 3), mask=symbols == 0)]
+                new += [pa.array(failed), pa.array(total), pa.array(symbols.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([*rb.columns, *new], names=[*rb.schema.names, *cols])
 
-    return docs.mapInArrow(A.released(run), schema)
+    out, total = docs.mapInArrow(A.released(run), schema), F.col(cols[6])
+    h, more = f"{prefix}h", f"{prefix}more"
+    if tail is not None:
+        add = _differences(docs, shared, tail, t).select(F.col("h").alias(h), F.col("more").alias(more))
+        out = out.join(add, F.sha2(F.col(t).cast("string").cast("binary"), 256) == F.col(h), "left")
+        total = total + F.coalesce(more, F.lit(0.0))
+    log_ppl = F.when(F.col(cols[7]) > 0, F.round(-total / F.col(cols[7]), 3)).alias(f"{prefix}log_ppl")
+    return out.select(*docs.columns, *cols[:6], log_ppl)
 
 
 def bands(measured: DataFrame, lang: str = "lang", k: float = BAND, text_hash: str = "text_hash") -> DataFrame:
@@ -256,17 +311,17 @@ def _judge(measured: DataFrame, limits: DataFrame, lang: str) -> DataFrame:
 
 
 def quality_table(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-                  slots: int = SLOTS, k: float = BAND) -> DataFrame:
+                  limit: int = LIMIT, k: float = BAND) -> DataFrame:
     """One row per document: its id, the base counts, ``base_failed``, ``kept``, ``perplexity``, ``low``, ``high``."""
     part = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"),
                        F.col(lang).cast("string").alias("lang")).withColumn("text_hash", F.xxhash64("text"))
-    measured = measure(part, fit(part, slots=slots)).drop("text").checkpoint()
+    measured = measure(part, fit(part, limit=limit)).drop("text").checkpoint()
     judged = _judge(measured, bands(measured, k=k), "lang")
     return judged.select("doc_id", *MEASURES, "base_failed", "kept", F.exp("log_ppl").alias("perplexity"),
                          F.exp("low").alias("low"), F.exp("high").alias("high"))
 
 
-def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", slots: int = SLOTS,
+def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", limit: int = LIMIT,
                    k: float = BAND) -> DataFrame:
     """The documents that ``quality_table`` keeps, with the input's columns.
 
@@ -275,7 +330,7 @@ def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", slot
     """
     part = docs.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     part = part.withColumn("text_hash", F.xxhash64("text"))
-    model = fit(part, slots=slots)
+    model = fit(part, limit=limit)
     limits = bands(measure(part, model).drop("text").checkpoint(), k=k).collect()  # a row per language
     prefix = "_q_"
     while any(c.lower().startswith(prefix) for c in docs.columns):

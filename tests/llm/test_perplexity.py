@@ -74,12 +74,12 @@ def test_model_and_rules_match_brute_force(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang").limit(60).collect()
     docs = spark.createDataFrame([tuple(r) for r in rows], "doc_id long, text string, lang string")
     brute = Brute([r["text"] for r in rows])
-    got = {r["doc_id"]: r for r in P.quality_table(docs, slots=2_147_483_629).collect()}  # so many that none is shared
-    usual = {r["doc_id"]: r["perplexity"] for r in P.quality_table(docs).collect()}
+    got = {r["doc_id"]: r for r in P.quality_table(docs).collect()}
+    joined = {r["doc_id"]: r for r in P.quality_table(docs, limit=200).collect()}  # most n-grams of order 4 stay a table
     for r in rows:
         g = got[r["doc_id"]]
         if g["perplexity"] is not None:
-            assert math.log(usual[r["doc_id"]]) == pytest.approx(math.log(g["perplexity"]), abs=0.02)
+            assert math.log(joined[r["doc_id"]]["perplexity"]) == pytest.approx(math.log(g["perplexity"]), abs=0.0011)
         assert [g[c] for c in P.MEASURES] == base_rules(r["text"])
         want = brute.log_ppl(r["text"])
         assert (g["perplexity"] is None) == (want is None)
@@ -113,11 +113,23 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert P.quality_table(no_docs).count() == 0 and P.quality_filter(no_docs).count() == 0
 
 
-def test_slots_bound_the_model(spark, sf):
+def test_model_keys_are_exact_and_the_frequent_ones_are_broadcast(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    model = P.fit(docs, slots=101)
-    assert all(len(model[k][0]) <= 101 and (np.diff(model[k][0].astype(int)) > 0).all() for k in model if k != "slots")
-    assert np.isfinite(P.log_probs(np.unique(P._grams(*A.text_bytes(pa.array(["abc def é"])))[0]), model)).all()
+    (whole, none), (part, tail) = P.fit(docs), P.fit(docs, limit=101)
+    assert none is None and all((np.diff(k.astype(int)) > 0).all() for k, _ in whole.values())
+    n = {r["g"]: r["n"] for r in P.ngram_counts(docs).collect()}
+    full = {g for g in n if g >> 8 != P.BEGIN and g >> 16 != P.BEGIN}
+    rest = {r["g"] for r in tail.collect()}
+    assert set(whole["p4"][0].tolist()) == full and 0 < len(part["p4"][0]) <= 101
+    assert rest | set(part["p4"][0].tolist()) == full and max(n[g] for g in rest) < min(n[g] for g in part["p4"][0].tolist())
+    assert all((whole[k][0] == part[k][0]).all() for k in whole if k != "p4")
+    assert np.isfinite(P.log_probs(np.unique(P._grams(*A.text_bytes(pa.array(["abc def é"])))[0]), part)).all()
+
+
+def test_joined_and_broadcast_models_agree_on_odd_rows(spark, odd_docs, no_docs):
+    few, many = (sorted(map(str, P.quality_table(odd_docs, limit=n).drop("perplexity", "low", "high").collect())) for n in (0, P.LIMIT))
+    assert few == many and P.quality_filter(odd_docs, limit=0).columns == odd_docs.columns
+    assert P.quality_filter(odd_docs, limit=0).count() == P.quality_filter(odd_docs).count() and P.quality_table(no_docs, limit=0).count() == 0
 
 
 def test_copies_do_not_close_the_band(spark, sf):
