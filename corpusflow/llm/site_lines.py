@@ -7,8 +7,9 @@ keeps its text) are dropped from all pages of that host.
 Plan. Lines go into the shuffle as 64-bit hashes, once per page and summed per task first, so a hot
 host or line costs a few rows per task. A host's dropped lines are at most (its mean distinct lines per
 page) / ``max_share``, so they are held in one array per host, which the pages meet by an equi-join on
-host and salt, so a host with a third of all pages is spread over ``SALTS`` tasks. Lines are then dropped
-inside the row.
+host and salt. A host has a salt for every ``SALT_PAGES`` of its pages, so what a task reads does not grow
+with a host; only the ``HOT_HOSTS`` largest hosts are looked up for that (a broadcast of as many rows), as any
+other host holds less than that part of all pages. Lines are then dropped inside the row.
 
 Defined cases: null or empty text has no lines; pages without a host keep all lines; a line that a page
 repeats counts once for the page; repeated rows are pages of their own; an empty table gives no rows.
@@ -25,7 +26,8 @@ from corpusflow.llm import arrays as A
 
 MAX_SHARE = 0.3
 MIN_PAGES = 3
-SALTS = 64
+SALT_PAGES = 4096
+HOT_HOSTS = 65_536
 
 #: markup without text, and the tags at which a line ends
 HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
@@ -60,18 +62,28 @@ def boilerplate(pages: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
             .groupBy("host").agg(F.collect_list("line").alias("bad")))
 
 
+def salts_of(pages: DataFrame, salt_pages: int = SALT_PAGES) -> DataFrame:
+    """(host, salts) of hosts with more than ``salt_pages`` pages, the ``HOT_HOSTS`` largest of them at most."""
+    total = pages.filter("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("total")).filter(F.col("total") > salt_pages)
+    return total.orderBy(F.desc("total"), "host").limit(HOT_HOSTS).select("host", F.ceil(F.col("total") / salt_pages).alias("salts"))
+
+
 def drop_site_lines(pages: DataFrame, host: Column, lines: Column, max_share: float = MAX_SHARE,
-                    min_pages: int = MIN_PAGES) -> DataFrame:
+                    min_pages: int = MIN_PAGES, salt_pages: int = SALT_PAGES) -> DataFrame:
     """Every input column, and ``host``, ``n_lines``, ``n_dropped`` and ``text`` (the lines that stay)."""
     own = [c for c in pages.columns if c.lower() not in ("host", "n_lines", "n_dropped", "text")]
     at, all_, kept = (A.fresh(own, c) for c in ("salt", "lines", "stay"))
     known = A.fresh(own, "bad")
     part = pages.select(*own, F.coalesce(host, F.lit("")).alias("host"), F.coalesce(lines, F.array().cast("array<string>")).alias(all_))
-    # pages of a hot host go to SALTS tasks; a host's (bounded) array goes to each of them
     plain = [c for c in own if not isinstance(part.schema[c].dataType, MapType)]
-    part = part.withColumn(at, F.pmod(F.xxhash64(*plain, all_), F.lit(SALTS)))
+    many = A.fresh(own, "salts")
+    hot = F.broadcast(salts_of(part.select("host"), salt_pages).withColumnRenamed("salts", many))  # at most HOT_HOSTS rows
+    n = F.coalesce(F.col(many), F.lit(1).cast("bigint"))
     bad = boilerplate(part.select("host", F.col(all_).alias("lines")), max_share, min_pages).withColumnRenamed("bad", known)
-    bad = bad.withColumn(at, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    bad = bad.join(hot, "host", "left").withColumn(at, F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))).drop(many)
+    # pages without a host meet no lines: their salt is their own hash
+    own_hash = F.xxhash64(*plain, all_)
+    part = part.join(hot, "host", "left").withColumn(at, F.when(F.col("host") == "", own_hash).otherwise(F.pmod(own_hash, n))).drop(many)
     out = part.join(bad, ["host", at], "left")
     bad = F.coalesce(known, F.array().cast("array<bigint>"))
     stay = F.filter(all_, lambda x: ~F.array_contains(bad, F.xxhash64(x)))

@@ -40,3 +40,13 @@ def test_names_of_work_columns_survive(spark):
     got = S.drop_site_lines(pages, F.col("site"), F.split("body", "\n"))
     assert got.columns == [*pages.columns, "host", "n_lines", "n_dropped", "text"]
     assert all((r["lines"], r["bad"], r["salt"], r["Stay"], r["text"]) == ("l", "b", "s", "t", f"body {r['page_id']}") for r in got.collect())
+
+
+def test_salts_follow_the_pages_of_a_host(spark):
+    rows = [(i, "a.com" if i % 3 else "", f"menu\nbody {i}") for i in range(900)] + [(1000 + i, "b.com", f"menu\nb {i}") for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, site string, body string")
+    hot = {r["host"]: r["salts"] for r in S.salts_of(pages.withColumnRenamed("site", "host"), 50).collect()}
+    assert hot == {"a.com": 12}
+    few, many = (S.drop_site_lines(pages, F.col("site"), F.split("body", "\n"), salt_pages=n).orderBy("page_id").collect() for n in (10 ** 9, 50))
+    assert few == many and len(many) == len(rows)
+    assert {r["text"] for r in many if r["host"] == "a.com"} == {f"body {i}" for i in range(900) if i % 3}
