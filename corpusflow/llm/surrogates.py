@@ -15,7 +15,8 @@ Coreference and distinctness. Equal entities (e-mail addresses and names: in any
 surrogates everywhere, as these depend on nothing else. All distinct entities of the corpus are checked: where two
 of a type would share a surrogate, or a surrogate is itself an entity of the corpus, all but the first
 take the next attempt, until none clashes. From attempt ``WIDEN`` on secrets and addresses grow longer, so
-that short ones don't run out of surrogates; an error says so if a fixed format has none left. The check joins and aggregates distinct entities, so a hot
+that short ones don't run out of surrogates. What a fixed format has no surrogate left for after
+``MAX_ATTEMPTS`` gets its type and a keyed digest, which is distinct and stable but not of the format. The check joins and aggregates distinct entities, so a hot
 entity costs a row per task.
 
 Plan. Detection and replacement are built-in functions. Documents without entities are passed on as
@@ -183,7 +184,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
             .when(kind.isin("given_f", "given_m", "surname"), _name(kind, norm, attempt)).otherwise(_mapped(norm)))
 
 
-def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
+def assign(entities: DataFrame, key: str = KEY, attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """(kind, norm, sur) for distinct (kind, norm): surrogates that are distinct within a kind and no entity themselves."""
 
     def with_surrogate(df, n):
@@ -193,7 +194,7 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
     mask = (F.col("kind") == "secret") & F.rlike("norm", F.lit(_MASK))  # tells nothing, and stays
     todo, done = entities.filter(~mask), entities.filter(mask).select("kind", "norm", F.col("norm").alias("sur"))
     real = entities.select("kind", F.col("norm").alias("sur")).distinct()
-    for n in range(MAX_ATTEMPTS):
+    for n in range(attempts):
         drawn = with_surrogate(todo, n)
         first = F.row_number().over(Window.partitionBy("kind", "sur").orderBy("norm")) == 1
         taken = real.unionByName(done.select("kind", "sur"))
@@ -205,14 +206,15 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
         todo = drawn.filter(~ok).select("kind", "norm")
         if todo.isEmpty():
             return done
-    raise RuntimeError(f"entities without a distinct surrogate after {MAX_ATTEMPTS} attempts")
+    digest = F.sha2(F.concat_ws("|", F.lit(key), "kind", "norm").cast("binary"), 256)
+    return done.unionByName(todo.select("kind", "norm", F.concat(F.lit("["), "kind", F.lit(":"), digest, F.lit("]")).alias("sur")))
 
 
 def _cased(entity: Column, sur: Column, kind: Column) -> Column:
     """A surrogate of an entity that is known in any case, written like the mention."""
     upper = entity == F.upper(entity)
     word = F.when(upper & (F.length(entity) > 1), F.upper(sur)).otherwise(F.initcap(sur))
-    return F.when(kind.isin("given_f", "given_m", "surname"), word).when(
+    return F.when(F.startswith(sur, F.lit("[")), sur).when(kind.isin("given_f", "given_m", "surname"), word).when(
         (kind == "email") & upper & (entity != F.lower(entity)), F.upper(sur)).otherwise(sur)
 
 

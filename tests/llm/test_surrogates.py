@@ -117,3 +117,15 @@ def test_names_of_work_columns_survive(spark):
     got = surrogates.replace_pii(df).orderBy("h").collect()
     assert [(r["_ents"], r["_found"], r["_pieces"], r["_subs"]) for r in got] == [("x", "y", "z", "w")] * 2
     assert got[0].n_entities == 1 and "a.b@example.com" not in got[0].text and got[1].text == "nothing"
+
+
+def test_entities_without_a_surrogate_left_are_defined(spark):
+    from corpusflow.llm import surrogates
+
+    names = [("surname", f"name{i}") for i in range(1500)] + [("ssn", f"{i:03d}-11-2222") for i in range(50)]
+    got = surrogates.assign(spark.createDataFrame(names, "kind string, norm string"), attempts=1).collect()
+    assert len(got) == len(names) == len({(r["kind"], r["sur"]) for r in got})
+    left = [r for r in got if r["sur"].startswith("[surname:")]
+    assert 0 < len(left) < 1000 and all(len(r["sur"]) == len("[surname:]") + 64 for r in left)
+    again = surrogates.assign(spark.createDataFrame(names[::-1], "kind string, norm string"), attempts=1).collect()
+    assert set(got) == set(again)
