@@ -93,11 +93,12 @@ def message_level_stats(conversations: DataFrame, min_date: Column | None = None
     """Facets over messages of nested conversation documents.
 
     Documents are first kept when any message is new enough (a whole-document match),
-    then unwound and matched again on each message's own date.
+    then unwound to the messages that are new enough themselves.
     """
     docs = conversations
     if min_date is not None:
-        docs = docs.filter(F.exists("messages", lambda m: m["created_at"] >= min_date))
+        new = F.filter("messages", lambda m: m["created_at"] >= min_date)
+        docs = docs.filter(F.exists("messages", lambda m: m["created_at"] >= min_date)).withColumn("messages", new)
     flat = docs.select(F.inline("messages"))
     return facet_stats(flat, min_date=min_date, type_="message", **kw)
 

@@ -102,20 +102,27 @@ def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
 
 
 def _lcs_places(a: list, b: list) -> set[int]:
-    """Places in ``a`` of one longest common subsequence with ``b``."""
-    table = [[0] * (len(b) + 1)]
+    """Places in ``a`` of one longest common subsequence with ``b``.
+
+    One bit row per element of ``a`` (a zero bit where the length grows along ``b``), so memory is len(a) * len(b) bits;
+    the way back reads lengths off these rows.
+    """
+    masks: dict = {}
+    for j, y in enumerate(b):
+        masks[y] = masks.get(y, 0) | (1 << j)
+    full = (1 << len(b)) - 1
+    rows = [full]
     for x in a:
-        last = table[-1]
-        row = [0]
-        for j, y in enumerate(b):
-            row.append(last[j] + 1 if x == y else max(last[j + 1], row[j]))
-        table.append(row)
+        v = rows[-1]
+        u = v & masks.get(x, 0)
+        rows.append(((v + u) | (v - u)) & full)
     i, j, out = len(a), len(b), set()
-    while i and j:
+    left = len(b) - rows[-1].bit_count()  # length of the best subsequence of a[:i] and b[:j]
+    while left:
         if a[i - 1] == b[j - 1]:
             out.add(i - 1)
-            i, j = i - 1, j - 1
-        elif table[i - 1][j] >= table[i][j - 1]:
+            i, j, left = i - 1, j - 1, left - 1
+        elif j - (rows[i - 1] & ((1 << j) - 1)).bit_count() == left:
             i -= 1
         else:
             j -= 1

@@ -8,6 +8,7 @@ order goes through the range-partitioned dense index instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,3 +75,12 @@ def to_tree(df: DataFrame, conv: str, order: str, id_col: str) -> DataFrame:
     nxt = F.lead(id_col).over(w)
     return (df.withColumn("ancestors", F.collect_list(id_col).over(before))
             .withColumn("children", F.when(nxt.isNull(), F.array().cast("array<string>")).otherwise(F.array(nxt))))
+
+
+def concat_datasets(sets: dict[str, DataFrame], name: str = "dataset") -> DataFrame:
+    """All rows of the named datasets, one scan each and no shuffle; ``name`` tells where a row is from.
+
+    Columns meet by name; one that a dataset lacks is null in its rows.
+    """
+    parts = [df.withColumn(name, F.lit(k)) for k, df in sets.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -15,7 +15,7 @@ from corpusflow.streaming import stateful as S
 from corpusflow.streaming.runner import epoch_stream, file_count, file_stream, latest_per_key, read_sink, run_to_sink, stream_of
 
 G = "Q"
-PACK_SHARDS = 8
+SHARD_DOCS = 50_000  # documents of a buffer
 KEYWORDS = ["License", "license", "password", "@"]
 
 
@@ -136,13 +136,16 @@ def q_s_assembly(spark, d):
 
 
 @register("stream_packing", G, sql=f"""
-WITH s AS (SELECT lang || '/' || CAST(doc_id % {PACK_SHARDS} AS VARCHAR) AS shard, sum(len({stok('text')}) + 1) // 256 AS k FROM documents GROUP BY 1)
+WITH n AS (SELECT greatest(8, CAST(ceil(count(*) / {SHARD_DOCS}.0) AS BIGINT)) AS shards FROM documents),
+s AS (SELECT lang || '/' || CAST(doc_id % shards AS VARCHAR) AS shard, sum(len({stok('text')}) + 1) // 256 AS k FROM documents, n GROUP BY 1)
 SELECT shard, CAST(chunk AS BIGINT) AS chunk, CAST(256 AS INTEGER) AS n FROM s, LATERAL (SELECT unnest(range(CAST(k AS BIGINT))) AS chunk)
 """)
 def q_s_pack(spark, d):
-    # a language is spread over shards, each with a buffer of its own
-    shard = F.concat_ws("/", "lang", (F.col("doc_id") % PACK_SHARDS).cast("string"))
-    docs = t(spark, d, "documents").select("doc_id", shard.alias("shard"), F.transform(tokens("text"), lambda x: F.length(x)).alias("ids"))
+    # a language is spread over shards, each with a buffer of its own; their number follows the table
+    docs = t(spark, d, "documents")
+    shards = max(8, -(-docs.count() // SHARD_DOCS))
+    shard = F.concat_ws("/", "lang", (F.col("doc_id") % shards).cast("string"))
+    docs = docs.select("doc_id", shard.alias("shard"), F.transform(tokens("text"), lambda x: F.length(x)).alias("ids"))
     src = scratch_path(spark, "stream-src-docs")
     docs.repartitionByRange(file_count(spark, f"{d.rstrip('/')}/documents.parquet"), "doc_id").write.mode("overwrite").parquet(src)
     sdf = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)

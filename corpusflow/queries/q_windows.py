@@ -136,15 +136,18 @@ def q_shuffle(spark, d):
 # --- M: set operations
 
 
-@register("concat_datasets", "M", sql="SELECT doc_id, lang FROM documents")
+@register("concat_datasets", "M", sql="""
+SELECT 'documents' AS dataset, CAST(doc_id AS VARCHAR) AS id, lang, CAST(NULL AS VARCHAR) AS role, length(text) AS n_chars FROM documents
+UNION ALL SELECT 'conversations', conv_id || '-' || turn, NULL, role, length(text) FROM conversations
+UNION ALL SELECT 'pages', CAST(page_id AS VARCHAR), NULL, NULL, length(html) FROM pages
+UNION ALL SELECT 'benchmark', CAST(item_id AS VARCHAR), NULL, NULL, length(text) FROM benchmark
+""")
 def q_concat(spark, d):
-    docs = t(spark, d, "documents").select("doc_id", "lang")
-    parts = [docs.filter(F.col("lang") == lg) for lg in ("en", "fr", "de", "es")]
-    rest = docs.filter(~F.col("lang").isin("en", "fr", "de", "es") | F.col("lang").isNull())
-    out = parts[0]
-    for p in parts[1:] + [rest]:
-        out = out.unionByName(p)
-    return out
+    sets = {"documents": t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("id"), "text", "lang"),
+            "conversations": t(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), "text", "role"),
+            "pages": t(spark, d, "pages").select(F.col("page_id").cast("string").alias("id"), F.col("html").alias("text")),
+            "benchmark": t(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), "text")}
+    return W.concat_datasets(sets).select("dataset", "id", "lang", "role", F.length("text").cast("long").alias("n_chars"))
 
 
 @register("union_branches", "M", sql="""
