@@ -7,20 +7,23 @@ counts when it is as long as an item's limit: ``span_words``, or the share ``ite
 item's words if that is less (so an item of fewer words counts as a whole). The states that stand for
 such runs carry the ids of their items.
 
-Plan. A scan of the documents without a shuffle. The items are a stated query set: they are split
-into blocks of about ``block_words`` words; each block's automaton is built on the driver, broadcast
-(its size is bounded by the block) and met by every document in one pass. Words and word pairs that
+Plan. One scan of the documents without a shuffle. The items are a stated query set: they are split
+into blocks of about ``block_words`` words; each block's automaton is built on the driver, one after the
+other, flattened into sorted arrays (some 60 bytes a word of the items) and broadcast. A document's words
+are cut and hashed once and meet the blocks in turn. Words and word pairs that
 no item has end a match, so only stretches of known pairs are streamed; that skips no match.
 
 Defined cases: null or empty text has no words and no hits; items without words match nothing; a
 null item id counts as the empty string; items that share an id count once; without items nothing is
-hit. Extra columns are kept; names that clash with the new columns get no new column of that name, as
+hit; very long texts are read whole, one at a time; repeated rows are judged each, an empty table gives no rows. Extra columns are kept; names that clash with the new columns get no new column of that name, as
 the caller picks ``prefix``.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +37,7 @@ from corpusflow.llm import arrays as A
 SPAN_WORDS = 10
 ITEM_COVERAGE = 1.0
 DROP_SHARE = 0.5
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 200_000
 
 
 def words(col: pa.Array):
@@ -44,43 +47,17 @@ def words(col: pa.Array):
     return buf, offs, starts, ends, doc, A.span_hashes(buf, starts, ends, lower=True)
 
 
-class Automaton:
-    """Generalised suffix automaton over word numbers, with marks on the runs that count."""
+class _Grown:
+    """States, transitions and suffix links while items are added."""
 
-    def __init__(self, items: list[tuple[str, np.ndarray]], span_words: int, item_coverage: float):
-        self.vocab = np.unique(np.concatenate([h for _, h in items])) if items else np.zeros(0, dtype=np.uint64)
+    def __init__(self):
         self.next: list[dict] = [{}]
         self.link, self.len = [-1], [0]
-        marks: dict[int, dict[int, set]] = {}
-        numbered = [(i, np.searchsorted(self.vocab, h).tolist()) for i, h in items if len(h)]
-        for _, seq in numbered:
-            last = 0
-            for c in seq:
-                last = self._extend(last, c)
-        pairs = set()
-        self.least = min((self._limit(s, span_words, item_coverage) for _, s in numbered), default=0)
-        for item, seq in numbered:
-            k, v = self._limit(seq, span_words, item_coverage), 0
-            for n, c in enumerate(seq, 1):
-                v = self.next[v][c]
-                if n >= k:
-                    s = v
-                    while self.len[self.link[s]] >= k:
-                        s = self.link[s]
-                    marks.setdefault(s, {}).setdefault(k, set()).add(item)
-            pairs.update(zip(seq, seq[1:]))
-        size = len(self.vocab)
-        self.pairs = np.unique(np.array([a * size + b for a, b in pairs], dtype=np.int64))
-        self.marks = {s: sorted((k, frozenset(i)) for k, i in m.items()) for s, m in marks.items()}
-        # the nearest marked state above each state on its suffix links
-        self.up = [-1] * len(self.next)
-        for s in sorted(range(1, len(self.next)), key=self.len.__getitem__):
-            p = self.link[s]
-            self.up[s] = p if p in self.marks else self.up[p]
 
-    @staticmethod
-    def _limit(seq, span_words: int, item_coverage: float) -> int:
-        return max(1, min(span_words, math.ceil(item_coverage * len(seq))))
+    def add(self, seq: list[int]) -> None:
+        last = 0
+        for c in seq:
+            last = self._extend(last, c)
 
     def _clone(self, p: int, q: int, c: int) -> int:
         s = len(self.next)
@@ -109,6 +86,53 @@ class Automaton:
             self.link[s] = q if self.len[q] == self.len[p] + 1 else self._clone(p, q, c)
         return s
 
+
+class Automaton:
+    """Generalised suffix automaton over word numbers, with marks on the runs that count, in flat arrays.
+
+    A transition is its state times the number of words plus the word, in ascending order beside its target. The marks
+    of a state are pairs of a least run length and an item; ``up`` leads to the nearest marked state above.
+    """
+
+    def __init__(self, items: list[tuple[str, np.ndarray]], span_words: int, item_coverage: float):
+        self.vocab = np.unique(np.concatenate([h for _, h in items])) if items else np.zeros(0, dtype=np.uint64)
+        self.names = sorted({i for i, _ in items})
+        number = {i: n for n, i in enumerate(self.names)}
+        numbered = [(number[i], np.searchsorted(self.vocab, h).tolist()) for i, h in items if len(h)]
+        self.least = min((self._limit(s, span_words, item_coverage) for _, s in numbered), default=0)
+        grown = _Grown()
+        for _, seq in numbered:
+            grown.add(seq)
+        marks = set()
+        for item, seq in numbered:
+            k, v = self._limit(seq, span_words, item_coverage), 0
+            for n, c in enumerate(seq, 1):
+                v = grown.next[v][c]
+                if n >= k:
+                    s = v
+                    while grown.len[grown.link[s]] >= k:
+                        s = grown.link[s]
+                    marks.add((s, k, item))
+        size, n_states = len(self.vocab), len(grown.next)
+        self.pairs = np.unique(np.fromiter((a * size + b for _, seq in numbered for a, b in zip(seq, seq[1:])), dtype=np.int64))
+        self.link, self.len = array("i", grown.link), array("i", grown.len)
+        key = np.fromiter((s * size + c for s, to in enumerate(grown.next) for c in to), dtype=np.int64)
+        to = np.fromiter((q for to in grown.next for q in to.values()), dtype=np.int32)
+        order = np.argsort(key)
+        self.keys, self.to = array("q", key[order].tobytes()), array("i", to[order].tobytes())
+        rows = sorted(marks)
+        self.mark_k, self.mark_item = array("i", [k for _, k, _ in rows]), array("i", [i for _, _, i in rows])
+        self.mark_at = array("i", np.searchsorted([s for s, _, _ in rows], np.arange(n_states + 1)).astype(np.int32).tobytes())
+        # the nearest marked state above each state on its suffix links
+        self.up = array("i", [-1]) * n_states
+        for s in np.argsort(self.len, kind="stable").tolist()[1:]:
+            p = self.link[s]
+            self.up[s] = p if self.mark_at[p] < self.mark_at[p + 1] else self.up[p]
+
+    @staticmethod
+    def _limit(seq, span_words: int, item_coverage: float) -> int:
+        return max(1, min(span_words, math.ceil(item_coverage * len(seq))))
+
     def stretches(self, h: np.ndarray, doc: np.ndarray):
         """(first word, word numbers) of each stretch that could hold a run that counts."""
         if not len(h) or not self.least:
@@ -128,26 +152,30 @@ class Automaton:
             if b - a >= self.least:
                 yield a, i[a:b].tolist()
 
+    def _after(self, state: int, c: int) -> int:
+        """The state behind a word, or -1."""
+        key = state * len(self.vocab) + c
+        at = bisect_left(self.keys, key)
+        return self.to[at] if at < len(self.keys) and self.keys[at] == key else -1
+
     def stream(self, seq: list[int]):
-        """(word, run length, item ids) for each run that counts and ends at a word; and the longest match."""
-        nxt, link, length, marks, up = self.next, self.link, self.len, self.marks, self.up
+        """(word, run length, item id) for each run that counts and ends at a word; and the longest match."""
+        link, length, up, mark_at = self.link, self.len, self.up, self.mark_at
         v = n = longest = 0
         found = []
         for at, c in enumerate(seq):
-            while v and c not in nxt[v]:
+            q = self._after(v, c)
+            while v and q < 0:
                 v = link[v]
                 n = length[v]
-            if c in nxt[v]:
-                v = nxt[v][c]
-                n += 1
-            else:
-                n = 0
+                q = self._after(v, c)
+            v, n = (q, n + 1) if q >= 0 else (0, 0)
             longest = max(longest, n)
-            s = v if v in marks else up[v]
+            s = v if mark_at[v] < mark_at[v + 1] else up[v]
             while s > 0:
-                for k, ids in marks[s]:
-                    if k <= n:
-                        found.append((at, k, ids))
+                for m in range(mark_at[s], mark_at[s + 1]):
+                    if self.mark_k[m] <= n:
+                        found.append((at, self.mark_k[m], self.names[self.mark_item[m]]))
                 s = up[s]
         return found, longest
 
@@ -176,14 +204,13 @@ def matches(auto: Automaton, doc: np.ndarray, h: np.ndarray) -> dict[int, tuple[
             spans, ids, most = out.get(d, ([], set(), 0))
             off = a - start[d]
             spans += _merged([(off + at - k + 1, off + at + 1) for at, k, _ in found])
-            for _, _, i in found:
-                ids |= i
+            ids.update(i for _, _, i in found)
             out[d] = (_merged(spans), ids, max(most, longest))
     return out
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str, block_words: int):
-    """Lists of (id, word hashes), a block at a time, and whether it is the last; a block has about ``block_words`` words."""
+    """Lists of (id, word hashes), a block at a time; a block has about ``block_words`` words."""
     n_words = F.regexp_count(F.col("text"), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     part = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"),
                         F.lower(F.col(text).cast("string")).alias("low"), F.col(text).cast("string").alias("text"))
@@ -194,7 +221,7 @@ def item_blocks(items: DataFrame, item_id: str, text: str, block_words: int):
         ids = [r["id"] for r in rows]
         _, _, _, _, doc, h = words(pa.array([r["text"] for r in rows], type=pa.string()))
         cut = np.searchsorted(doc, np.arange(len(ids) + 1))
-        yield [(ids[i], h[cut[i]:cut[i + 1]]) for i in range(len(ids))], b == n - 1
+        yield [(ids[i], h[cut[i]:cut[i + 1]]) for i in range(len(ids))]
 
 
 NEW = [StructField("n_words", LongType()), StructField("spans", ArrayType(ArrayType(LongType()))),
@@ -207,39 +234,30 @@ def find_spans(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
     """Every input column (but the text, unless ``keep_text``), then, with ``prefix``, n_words, spans (word from, to),
     items and the longest match."""
     t, names = text, [prefix + f.name for f in NEW]
-    new_fields = [StructField(n, f.dataType) for n, f in zip(names, NEW)]
-
-    def step(table, shared, later: bool, last: bool):
-        fields = [f for f in docs.schema.fields if keep_text or not last or f.name != t]
-        schema = StructType([*fields, *new_fields])
-
-        def run(batches):
-            auto = shared.value
-            for batch in batches:
-                for rb in A.slices(batch, t):
-                    _, _, _, _, doc, h = words(rb.column(t))
-                    found, n = matches(auto, doc, h), rb.num_rows
-                    spans, ids, most = [[]] * n, [[]] * n, [0] * n
-                    old = [rb.column(c).to_pylist() for c in names[1:]] if later else (spans, ids, most)
-                    spans, ids, most = (list(x) for x in old)
-                    for d, (s, i, m) in found.items():
-                        spans[d] = _merged([*map(tuple, spans[d]), *s])
+    fields = [f for f in docs.schema.fields if keep_text or f.name != t]
+    schema = StructType([*fields, *(StructField(n, f.dataType) for n, f in zip(names, NEW))])
+    context = docs.sparkSession.sparkContext
+    # one by one, so that the driver grows one automaton at a time; each is bounded by block_words
+    shared = [context.broadcast(Automaton(block, span_words, item_coverage))
+              for block in item_blocks(items, item_id, item_text, block_words)]
+
+    def run(batches):
+        for batch in batches:
+            for rb in A.slices(batch, t):
+                _, _, _, _, doc, h = words(rb.column(t))
+                n = rb.num_rows
+                spans, ids, most = [[] for _ in range(n)], [[] for _ in range(n)], [0] * n
+                for one in shared:
+                    for d, (s, i, m) in matches(one.value, doc, h).items():
+                        spans[d] = _merged([*spans[d], *s])
                         ids[d] = sorted(i.union(ids[d]))
                         most[d] = max(most[d], m)
-                    new = [pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
-                           pa.array([[list(x) for x in s] for s in spans], type=pa.list_(pa.list_(pa.int64()))),
-                           pa.array(ids, type=pa.list_(pa.string())), pa.array(most, type=pa.int64())]
-                    own = [rb.column(f.name) for f in fields]
-                    yield pa.RecordBatch.from_arrays([*own, *new], names=schema.names)
-
-        return table.mapInArrow(A.released(run), schema)
-
-    out, later = docs, False
-    for block, last in item_blocks(items, item_id, item_text, block_words):
-        auto = Automaton(block, span_words, item_coverage)
-        out = step(out, docs.sparkSession.sparkContext.broadcast(auto), later, last)  # bounded by block_words
-        later = True
-    return out
+                new = [pa.array(np.bincount(doc, minlength=n).astype(np.int64)),
+                       pa.array([[list(x) for x in s] for s in spans], type=pa.list_(pa.list_(pa.int64()))),
+                       pa.array(ids, type=pa.list_(pa.string())), pa.array(most, type=pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(rb.column(f.name) for f in fields), *new], names=schema.names)
+
+    return docs.mapInArrow(A.released(run), schema)
 
 
 def contamination_table(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:

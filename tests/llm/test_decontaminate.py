@@ -86,3 +86,18 @@ def test_item_coverage(spark):
     items = spark.createDataFrame([("i", "a b c d e f g h")], "item_id string, text string")
     found = {r["doc_id"]: r["n_hit"] for r in D.contamination_table(docs, items, item_coverage=0.5).collect()}
     assert found == {1: 5, 2: 0}
+
+
+def test_flat_automaton_is_small_and_blocks_agree():
+    import pickle
+
+    rng = np.random.default_rng(5)
+    items = [(f"i{n}", A.hash_words([f"w{c}" for c in rng.zipf(1.3, 400) % 20_000])) for n in range(250)]
+    auto = D.Automaton(items, 10, 1.0)
+    words_ = sum(len(h) for _, h in items)
+    assert words_ == 100_000 and len(pickle.dumps(auto)) < 100 * words_
+    h = np.concatenate([items[3][1], items[100][1][50:90], A.hash_words(["zzz"]), items[200][1][5:14]])
+    found = D.matches(auto, np.zeros(len(h), dtype=np.int64), h)[0]
+    parts = [D.matches(D.Automaton(items[a:a + 50], 10, 1.0), np.zeros(len(h), dtype=np.int64), h) for a in range(0, 250, 50)]
+    assert found[1] == set().union(*[p[0][1] for p in parts if p]) >= {"i3", "i100"} and "i200" not in found[1]
+    assert found[0] == D._merged([x for p in parts if p for x in p[0][0]])
