@@ -5,20 +5,23 @@ holds the ids of its documents in ascending key order, little-endian, 16 or 32 b
 The index is a minimal perfect hash over the shard's keys: levels of bits, where a key stands at the
 first level at which no other key shares its place; its rank among all set bits is its slot. ``prints``
 has a 16-bit fingerprint per slot, ``offsets`` and ``lengths`` the place of the document's ids.
-``keys`` lists the keys in payload order; a lookup does not read it. A key that occurs more than once
-has an ordinal inside its shard.
+``lo`` and ``hi`` are the shard's least and greatest key; ``keys`` lists all in payload order and no lookup
+reads it. A key that occurs more than once has an ordinal inside its shard.
 
 Plan. Documents are range-partitioned by (key, hash of the text) and sorted inside partitions, so
 shards are in global order and a key with very many rows spans partitions; texts are shuffled once,
 encoded and packed in the same task. The rows that are read back carry offsets inside their shard;
-prefix sums over one number per shard make them global.
+prefix sums over one number per shard make them global. A lookup counts, in one sorted order of wanted keys and
+shard bounds, the shards before each key, joins on the shard's number, and then reads each key's slot.
 
 Encoding. A cut before a space that follows a non-space, or before a stop that follows a letter, never
 falls inside a token of a byte-level BPE with the usual pre-tokenizer, so each distinct piece between such
 cuts is encoded once per task.
 
 Defined cases: a null text is empty and gives the end id alone; an empty table gives an empty store; a
-null key comes first; repeated rows are all written. Extra columns are ignored.
+null key comes first and is found by a null; repeated rows are all written; ties in the key are ordered by the
+text's hash; a very long text is a document of one shard. Extra columns are ignored. A key that the store lacks is
+not found, but for one in 65,536 that share a fingerprint with another.
 """
 
 from __future__ import annotations
@@ -40,6 +43,7 @@ END_ID = 2
 SHARD_TOKENS = 2_000_000
 MEMO_PIECES = 1_000_000
 JOINED_BYTES = 1 << 16
+FETCH_KEYS = 100_000
 GAMMA = 2.0
 _SPACE = ~A.NOT_SPACE
 _STOP, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -198,7 +202,8 @@ def _pack(part: int, seq: int, keys: list, lengths: list, ids: list, width: int)
     levels = build_hash(h)
     size = np.concatenate(lengths) if lengths else np.zeros(0, dtype=np.int64)
     flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
-    row = {"part": part, "seq": seq, "n_docs": len(keys), "n_tokens": len(flat), "width": width, "keys": keys,
+    row = {"part": part, "seq": seq, "n_docs": len(keys), "n_tokens": len(flat), "width": width,
+           "lo": keys[0] if keys else None, "hi": keys[-1] if keys else None, "keys": keys,
            "payload": flat.astype(f"<u{width}").tobytes(), "level_sizes": [len(x) for x in levels],
            "levels": np.packbits(np.concatenate(levels)).tobytes() if levels else b"",
            "prints": np.zeros(len(keys), dtype="<u2").tobytes(), "offsets": b"", "lengths": b""}
@@ -219,7 +224,7 @@ def _pack(part: int, seq: int, keys: list, lengths: list, ids: list, width: int)
 
 
 def _schema(kind: str) -> str:
-    return (f"part int, seq int, n_docs long, n_tokens long, width int, keys array<{kind}>, payload binary, "
+    return (f"part int, seq int, n_docs long, n_tokens long, width int, lo {kind}, hi {kind}, keys array<{kind}>, payload binary, "
             "level_sizes array<int>, levels binary, prints binary, offsets binary, lengths binary")
 
 
@@ -245,7 +250,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_i
         for batch in batches:
             schema = schema or pa.schema([
                 ("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()),
-                ("width", pa.int32()), ("keys", pa.list_(batch.schema.field("id").type)), ("payload", pa.binary()),
+                ("width", pa.int32()), ("lo", batch.schema.field("id").type),
+                ("hi", batch.schema.field("id").type), ("keys", pa.list_(batch.schema.field("id").type)), ("payload", pa.binary()),
                 ("level_sizes", pa.list_(pa.int32())), ("levels", pa.binary()), ("prints", pa.binary()),
                 ("offsets", pa.binary()), ("lengths", pa.binary())])
             for rb in A.slices(batch, "text"):
@@ -296,30 +302,55 @@ def read_documents(store: DataFrame, id_col: str = "doc_id") -> DataFrame:
         F.col("id").alias(id_col), (F.col("base") + F.col("off")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def fetch(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids) of the wanted keys: each shard is opened once for the keys that fall in its key range."""
-    spans = store.select("part", "seq", F.array_min("keys").alias("lo"), F.array_max("keys").alias("hi"))
+def _shards_before(want: DataFrame, bound: DataFrame, inclusive: bool, name: str) -> DataFrame:
+    """The wanted ids with the number of shards whose ``bound`` lies before (``inclusive``: or at) the id."""
+    marks = bound.select(F.col("id"), F.lit(0 if inclusive else 2).alias("turn"), "ord")
+    both = marks.unionByName(want.select("id", F.lit(1).alias("turn"), F.lit(None).cast("long").alias("ord")))
+    order = [F.col("id").asc_nulls_first(), "turn", "ord"]
+    return with_index(both, order, name, weight=(F.col("turn") != 1).cast("long")).filter("turn = 1").select("id", name)
+
+
+def locate(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(part, seq, id) of each distinct wanted key and the shards whose key range holds it; joins by equality only."""
+    spans = with_index(store.select("part", "seq", "lo", "hi"), ["part", "seq"], "ord")
     want = keys.select(F.col(id_col).alias("id")).distinct()
-    hit = want.join(spans, F.col("id").between(F.col("lo"), F.col("hi"))).groupBy("part", "seq").agg(
-        F.collect_list("id").alias("want"))
+    # a key that fills several shards lies in all of them
+    first = _shards_before(want, spans.select(F.col("hi").alias("id"), "ord"), False, "first")
+    after = _shards_before(want, spans.select(F.col("lo").alias("id"), "ord"), True, "after")
+    hit = first.withColumnRenamed("id", "id_").join(after, F.col("id_").eqNullSafe(F.col("id"))).filter("first < after")
+    hit = hit.select("id", F.explode(F.sequence("first", F.col("after") - 1)).alias("ord"))
+    return hit.join(spans.select("part", "seq", "ord"), "ord").select("part", "seq", "id")
+
+
+def fetch(store: DataFrame, keys: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, ids) of the wanted keys, a null among them; a key with several documents gives a row for each.
+
+    Of a shard only the index and the ids of the wanted slots are opened, for at most about ``FETCH_KEYS`` keys at a time.
+    """
+    hit = locate(store, keys, id_col).checkpoint()
+    many = hit.groupBy("part", "seq").agg(F.count(F.lit(1)).alias("n"))
+    want = (hit.join(many, ["part", "seq"]).withColumn("piece", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / FETCH_KEYS)))
+            .groupBy("part", "seq", "piece").agg(F.collect_list(F.struct("id")).alias("want")))
     kind = store.schema["keys"].dataType.elementType.simpleString()
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names if c != "payload"}
+                row["payload"] = batch.column("payload")[i].as_buffer()  # in place
                 shard, ids, got = Shard(row), [], []
-                for k in row["want"]:
+                for k in (w["id"] for w in row["want"]):
                     n = 0
                     while (x := shard.get(k, n)) is not None:
                         ids.append(k)
                         got.append(x.astype(np.int64).tolist())
                         n += 1
-                key_type = batch.schema.field("keys").type.value_type
+                key_type = batch.schema.field("want").type.value_type.field("id").type
                 yield pa.RecordBatch.from_arrays([pa.array(ids, type=key_type), pa.array(got, pa.list_(pa.int64()))],
                                                  names=[id_col, "ids"])
 
-    return store.join(hit, ["part", "seq"]).mapInArrow(A.released(run), f"{id_col} {kind}, ids array<long>")
+    need = store.select("part", "seq", "width", "payload", "level_sizes", "levels", "prints", "offsets", "lengths")
+    return need.join(want, ["part", "seq"]).mapInArrow(A.released(run), f"{id_col} {kind}, ids array<long>")
 
 
 def encode_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", path: str | None = None,

@@ -73,4 +73,25 @@ def test_odd_rows_and_fetch(spark, odd_docs, no_docs, tokenizer, tmp_path):
     found = sorted((r["doc_id"], len(r["ids"])) for r in T.fetch(store, asked).collect())
     sizes = {(i, n) for i, _, n, _ in got}
     assert [i for i, _ in found] == [4, 5, 5] and all(x in sizes for x in found)
+    every = sorted((str(r["doc_id"]), len(r["ids"])) for r in T.fetch(store, odd_docs).collect())
+    assert every == sorted((str(i), n) for i, _, n, _ in got)  # a null key too
+    plan = T.locate(store, odd_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert T.encode_table(no_docs, tokenizer_path()).count() == 0
+
+
+def test_fetch_over_many_shards(spark, tmp_path):
+    # key 50 fills shards of its own; keys between and beyond the stored ones are not there
+    docs = spark.createDataFrame([(i, f"text {i} of some words") for i in range(0, 100, 2)] + [(50, f"again {j} and more") for j in range(40)],
+                                 "doc_id long, text string")
+    path = str(tmp_path / "many")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # a shard ends with a batch
+    try:
+        T.write_store(docs, path, tokenizer_path(), shard_tokens=20)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    store = spark.read.parquet(path)
+    assert store.count() > 15 and store.filter("lo = 50 and hi = 50").count() > 1
+    asked = spark.createDataFrame([(i,) for i in (-5, 0, 1, 50, 51, 98, 99, 500, 0)] + [(None,)], "doc_id long")
+    got = [r["doc_id"] for r in T.fetch(store, asked).collect()]
+    assert sorted(got) == [0, *[50] * 41, 98]
