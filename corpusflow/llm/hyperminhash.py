@@ -14,7 +14,8 @@ group of copies costs one row. Nobody lists all pairs of a group:
 1. a bucket's centre is the member that meets most others in all its buckets; a node verifies only the
    centre it met most often, and the verified links are contracted to labels;
 2. members of one bucket with different labels are compared in blocks by bit tables of their sets, an
-   exact bound; pairs that it leaves room for a link become rows and are verified;
+   exact bound; pairs that it leaves room for a link become rows and are verified. A label with as many members
+   as a block has blocks of its own, which never meet each other, so a large group with a few strays is linear;
 3. the labels are joined over those links.
 
 A group of near copies is mostly one label after step 1, and what is left of it mostly falls to the bound
@@ -25,7 +26,8 @@ scan which ones; an exact join follows.
 
 Defined cases: null or empty text and text without words have no set, are linked with nothing and form
 their own component; repeated rows fall into one node; rows that share an id are still linked by
-their texts; a null id counts after all others. Extra columns are ignored by ``near_duplicates`` and
+their texts; a null id counts after all others; an empty table gives no rows; a very long text is read whole,
+one at a time. Extra columns are ignored by ``near_duplicates`` and
 kept by ``drop_near_duplicates``.
 """
 
@@ -50,6 +52,7 @@ ESTIMATE_LEAST = 256  # smaller sets are verified at once
 TABLE_BITS = 26
 SET_BITS = 2048  # bits of the table that bounds what two sets have in common
 BLOCK = 256
+SPREAD = 64
 LINKS_PER_TASK = 200_000
 SLICE_ROWS = 2000
 
@@ -291,24 +294,53 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands:
     lab = member.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = lab.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
     lab = lab.join(mixed.filter("lo <> hi").select("key", "m"), "key").checkpoint()
-    more = verified(_candidates(lab.join(sets.select("node", "n", "bits"), "node"), percent).distinct(), sets, percent)
+    more = verified(_candidates(lab, sets.select("node", "n", "bits"), percent).distinct(), sets, percent)
     # 3. join the labels over the links found last
     everything = components(links.unionByName(more))
     return (sig.select("id", "n_shingles", "node").join(everything, "node", "left")
             .select("id", "n_shingles", "node", F.coalesce("label", "node").alias("label")))
 
 
-def _candidates(lab: DataFrame, percent: int) -> DataFrame:
+def _blocks(lab: DataFrame, tables: DataFrame) -> DataFrame:
+    """A bucket's members in blocks of about ``BLOCK``: labels of that many members have blocks of their own (``own``
+    is the label), the members of smaller ones share blocks (``own`` is null)."""
+    size = lab.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"))
+    rest = size.groupBy("key").agg(F.sum(F.when(F.col("c") < BLOCK, F.col("c")).otherwise(0)).alias("rest"))
+    large = F.col("c") >= BLOCK
+    number = F.pmod(F.xxhash64("node"), F.ceil(F.when(large, F.col("c")).otherwise(F.col("rest")) / BLOCK))
+    placed = (lab.join(size.join(rest, "key"), ["key", "label"])
+              .select("key", "node", "label", "m", F.when(large, F.col("label")).alias("own"), number.alias("part")))
+    # salts: a bucket is split over tasks, one for every ``SPREAD`` blocks
+    return (placed.join(tables, "node").groupBy("key", "own", "part")
+            .agg(F.max(F.ceil(F.col("m") / (BLOCK * SPREAD))).alias("salts"), *[F.collect_list(c).alias(c) for c in ("node", "n", "label", "bits")]))
+
+
+def block_pairs(block: DataFrame) -> DataFrame:
+    """Pairs of one bucket's blocks that can hold two labels: blocks of small labels with all blocks, and blocks of one
+    label with those of another. Blocks of one label never meet, so a bucket of one label and a few others is linear."""
+    cols = ("own", "part", "node", "n", "label", "bits")
+
+    def left(df):
+        salt = F.pmod(F.xxhash64("own", "part"), F.col("salts"))
+        return df.select("key", salt.alias("salt"), *[F.col(c).alias(c + "a") for c in cols])
+
+    def right(df):
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1))
+        return df.select("key", every.alias("salt"), *[F.col(c).alias(c + "b") for c in cols])
+
+    shared, single = block.filter("own IS NULL"), block.filter("own IS NOT NULL")
+    some = left(block).join(right(shared), ["key", "salt"]).filter("owna IS NOT NULL OR parta <= partb")
+    several = single.groupBy("key").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).filter("lo < hi").select("key")
+    single = single.join(several, "key", "left_semi")
+    return some.unionByName(left(single).join(right(single), ["key", "salt"]).filter("owna < ownb"))
+
+
+def _candidates(lab: DataFrame, tables: DataFrame, percent: int) -> DataFrame:
     """(a, b) of one bucket with different labels whose bit tables leave room for a link.
 
     A bit of one set that the other lacks is a shingle that it lacks, so the common shingles are at most
-    the size less those bits. A bucket is cut into blocks of about ``BLOCK`` members; a pair of blocks is
-    compared as two matrices, and only what passes becomes a row.
+    the size less those bits. A pair of blocks is compared as two matrices, and only what passes becomes a row.
     """
-    number = F.pmod(F.xxhash64("node"), F.ceil(F.col("m") / BLOCK)).alias("part")
-    block = lab.groupBy("key", number).agg(*[F.collect_list(c).alias(c) for c in ("node", "n", "label", "bits")])
-    a, b = (block.select("key", *[F.col(c).alias(c + x) for c in ("part", "node", "n", "label", "bits")]) for x in "ab")
-
     def compare(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -321,12 +353,12 @@ def _candidates(lab: DataFrame, percent: int) -> DataFrame:
                 both = (x @ y.T).astype(np.int64)
                 most = np.minimum((n_a - x.sum(1).astype(np.int64))[:, None] + both, (n_b - y.sum(1).astype(np.int64))[None, :] + both)
                 ok = most * 100 >= (n_a[:, None] + n_b[None, :] - most) * percent
-                same = batch.column("parta")[i].as_py() == batch.column("partb")[i].as_py()
-                ok &= la[:, None] < lb[None, :] if same else la[:, None] != lb[None, :]
+                ok &= la[:, None] < lb[None, :] if batch.column("same")[i].as_py() else la[:, None] != lb[None, :]
                 p, q = np.nonzero(ok)
                 yield pa.RecordBatch.from_arrays([pa.array(na_[p]), pa.array(nb_[q])], names=["a", "b"])
 
-    return a.join(b, "key").filter("parta <= partb").mapInArrow(compare, "a long, b long")
+    same = F.col("owna").isNull() & F.col("ownb").isNull() & (F.col("parta") == F.col("partb"))
+    return block_pairs(_blocks(lab, tables).checkpoint()).withColumn("same", same).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:

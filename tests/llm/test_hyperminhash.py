@@ -5,6 +5,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from corpusflow.llm import hyperminhash as H
 
@@ -112,3 +113,24 @@ def test_short_texts_are_one_shingle():
     sh, sd = H.shingle_sets(pa.array(["a b", "A  b", "b a", "a b c d", "", None, "a b c d e f"]))
     assert sd.tolist() == [0, 1, 2, 3, 6, 6]
     assert sh[0] == sh[1] != sh[2]
+
+
+def test_a_large_group_with_strays_is_linear(spark):
+    # a bucket of 20,000 members: one label but for three, one of them near the group; another of two large labels
+    rng = np.random.default_rng(2)
+    words = H.SET_BITS // 64
+    base = rng.integers(0, 1 << 62, words)
+    rows = [(1, n, -5 if n < 19_997 else n) for n in range(20_000)] + [(2, n, -7 if n < 700 else -8) for n in range(1400)]
+    lab = spark.createDataFrame(rows, "key long, node long, label long").withColumn("m", F.when(F.col("key") == 1, 20_000).otherwise(1400).cast("long"))
+    far = rng.integers(0, 1 << 62, words)
+    tables = spark.createDataFrame([(n, 500, [int(x) for x in (far if n in (19_998, 19_999) else base)]) for n in range(20_000)],
+                                   "node long, n long, bits array<long>")
+    block = H._blocks(lab, tables).checkpoint()
+    pairs = H.block_pairs(block).groupBy("key").count().collect()
+    n = {r["key"]: r["count"] for r in pairs}
+    blocks = {r["key"]: r["count"] for r in block.groupBy("key").count().collect()}
+    assert blocks[1] <= 82 and n[1] <= 2 * blocks[1]  # all pairs of blocks would be over 3,000
+    assert n[2] == 9  # three blocks of each label
+    got = {tuple(sorted(r)) for r in H._candidates(lab, tables, 75).collect()}
+    want = {(n, 19_997) for n in range(19_997)} | {(19_998, 19_999)} | {(a, b) for a in range(700) for b in range(700, 1400)}
+    assert got == want
