@@ -1,8 +1,10 @@
 """PII surrogates: detected entities get keyed replacements of the same type, script, gender and format.
 
 Detection. One pattern finds e-mail addresses, access keys, secrets after ``password=`` and the like,
-phone numbers, IBANs, IPv4 addresses, card numbers, social security numbers, and person names after a
-title or as a known given name before a further name.
+phone numbers (international ones, also in groups of two digits, and ``(017) 555-7713`` or ``555-123-4567``), IBANs,
+IPv4 and IPv6 addresses, card numbers, social security numbers, and person names after a
+title or as a known given name before a further name. A name found so (three letters or more) is also found where it
+stands alone elsewhere in the document.
 
 Surrogate. ``sha256(key | type | entity | attempt)`` drives the replacement: digits become digits,
 letters letters of the same case and script (Latin, Greek, Cyrillic, Han, kana, Hangul, Hebrew, Arabic, Thai,
@@ -19,13 +21,14 @@ that short ones don't run out of surrogates. What a fixed format has no surrogat
 ``MAX_ATTEMPTS`` gets its type and a keyed digest, which is distinct and stable but not of the format. The check joins and aggregates distinct entities, so a hot
 entity costs a row per task.
 
-Plan. Detection and replacement are built-in functions. Documents without entities are passed on as
+Plan. Detection and replacement are built-in functions; only documents with names are read again, for lone mentions. Documents without entities are passed on as
 they are; of the others only (text hash, entities) move, and their texts meet the surrogates in a join
 on the text's hash.
 
 Defined cases: a secret that is one repeated character other than a letter, mark or digit (``******``) is a mask and
 stays; one of several such characters becomes Latin letters; null text stays null, empty text empty, both with no entities; repeated rows get equal
-texts; an empty table gives no rows. Extra columns are kept; columns named ``n_entities`` or
+texts; very long texts are read whole; a name that is a given name and a surname of one document is, alone, a surname; an
+empty table gives no rows. Extra columns are kept; columns named ``n_entities`` or
 ``entity_types`` are replaced.
 """
 
@@ -58,14 +61,22 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z
 ACCESS_KEY = r"\bAKIA[0-9A-Z]{16}\b"
 # the cheap look at one or two characters comes first in each part, as every place of a text is tried
 SECRET = r"(?<=[=:\"]|[=:] )(?<=\b(?:password|passwd|secret|token|api_key) ?[=:] ?\"?)[^\s\"=:,;]{6,}"
-PHONE = r"(?=\+)(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)"
+_PHONES = (r"(?=\+)(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]?\d{3}[ .-]?\d{3,4}(?!\d)",
+           r"(?=\+)(?<![\d+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:(?:[ .-]\d{2}){4}|[ .-]\d{3,4}[ .-]\d{4})(?!\d)",
+           r"(?=\()(?<![\w)])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)",
+           r"(?=\d)(?<![\w.+-])(?:\d{3}-\d{3}-\d{4}|\d{3}\.\d{3}\.\d{4})(?![\w-]|\.\d)")
+PHONE = "(?:" + "|".join(_PHONES) + ")"
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?=\d)(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
+_HEX = "[0-9A-Fa-f]{1,4}"
+IPV6 = (rf"(?=[0-9A-Fa-f]{{0,4}}:)(?<![\w:.])(?=[0-9A-Fa-f:]*\d)"
+        rf"(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::{_HEX}(?::{_HEX}){{0,6}})(?![\w:])")
 CARD = r"(?=\d)(?<![\d.-])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\d-])"
 SSN = r"(?=\d)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PERSON = rf"(?=\p{{Lu}})(?<![\p{{L}}])(?:(?<={_TITLE} ){_NAME}|(?<={_TITLE} \p{{Lu}}[\p{{L}}'’-]{{1,30}} ){_NAME}|{_GIVEN}(?= {_NAME})|(?<={_GIVEN} ){_NAME})"
-PATTERN = "|".join((EMAIL, ACCESS_KEY, SECRET, PHONE, IBAN, IPV4, CARD, SSN, PERSON))
+PATTERN = "|".join((EMAIL, ACCESS_KEY, SECRET, PHONE, IBAN, IPV4, IPV6, CARD, SSN, PERSON))
+NAME_KINDS = ("given_f", "given_m", "surname")
 
 
 def _kind(entity: Column, before: Column, after: Column) -> Column:
@@ -81,25 +92,49 @@ def _kind(entity: Column, before: Column, after: Column) -> Column:
     given = F.when(titled(FEMALE_TITLES), "given_f").when(titled(MALE_TITLES), "given_m").when(
         entity.isin(*FEMALE_NAMES), "given_f").when(entity.isin(*MALE_NAMES), "given_m").otherwise("surname")
     return (F.when(form(EMAIL), "email").when(form(ACCESS_KEY), "access_key").when(form(PHONE), "phone")
-            .when(form(IPV4), "ip").when(form(SSN), "ssn").when(form(CARD), "card").when(form(IBAN), "iban")
+            .when(form(IPV4), "ip").when(form(IPV6), "ipv6").when(form(SSN), "ssn").when(form(CARD), "card").when(form(IBAN), "iban")
             .when(F.rlike(before, F.lit(r"[=:] ?\"?$")), "secret").when(more, given).otherwise("surname"))
 
 
 def _norm(kind: Column, entity: Column) -> Column:
-    return F.when(kind.isin("email", "given_f", "given_m", "surname"), F.lower(entity)).otherwise(entity)
+    return F.when(kind.isin("email", "ipv6", *NAME_KINDS), F.lower(entity)).otherwise(entity)
+
+
+def _with_lone(lone: Column) -> Column:
+    """The pattern, and behind it lone mentions of the names ``lone`` (joined by bars; null: none)."""
+    return F.concat(F.lit(PATTERN), F.coalesce(F.concat(F.lit(r"|(?<![\p{L}\p{M}])(?:"), lone, F.lit(r")(?!\p{L})")), F.lit("")))
 
 
 def detect(docs: DataFrame, text: str) -> DataFrame:
-    """Every input column, and ``_pieces`` (the text around entities) and ``_ents`` (entity, kind, norm), in order."""
+    """Every input column, ``_pieces`` (the text around entities), ``_ents`` (entity, kind, norm), in order, and ``_lone``."""
     t = F.col(text).cast("string")
+
+    def entities(found, pieces):
+        def one(e, i):
+            kind = _kind(e, F.element_at(pieces, i + 1), F.element_at(pieces, i + 2))
+            return F.struct(e.alias("entity"), kind.alias("kind"), _norm(kind, e).alias("norm"))
+
+        return F.transform(found, one)
+
     found = docs.withColumn("_found", F.coalesce(F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0)), F.array().cast("array<string>")))
     found = found.withColumn("_pieces", F.when(F.size("_found") > 0, F.split(t, PATTERN, -1)))
+    found = found.withColumn("_first", entities("_found", "_pieces"))
+    titles = (*FEMALE_TITLES, *MALE_TITLES, *PLAIN_TITLES)
+    names = F.filter("_first", lambda e: e["kind"].isin(*NAME_KINDS) & (F.length(e["entity"]) > 2) & ~e["entity"].isin(*titles))
+    names = F.array_distinct(F.transform(names, lambda e: e["entity"]))
+    found = found.withColumn("_lone", F.when(F.size(names) > 0, F.array_join(names, "|")))
+    more = F.col("_lone").isNotNull()
+    found = found.withColumn("_found", F.when(more, F.regexp_extract_all(t, _with_lone(F.col("_lone")), F.lit(0))).otherwise(F.col("_found")))
+    found = found.withColumn("_pieces", F.when(more, F.split(t, _with_lone(F.col("_lone")), -1)).otherwise(F.col("_pieces")))
 
-    def one(e, i):
-        kind = _kind(e, F.element_at("_pieces", i + 1), F.element_at("_pieces", i + 2))
-        return F.struct(e.alias("entity"), kind.alias("kind"), _norm(kind, e).alias("norm"))
+    def known(e):
+        """A lone mention takes the kind that the name has elsewhere in the document."""
+        same = F.filter("_first", lambda f: f["norm"] == e["norm"])
+        kind = F.when((e["kind"] == "surname") & (F.size(same) > 0) & ~F.exists(same, lambda f: f["kind"] == "surname"), same[0]["kind"])
+        return F.struct(e["entity"].alias("entity"), F.coalesce(kind, e["kind"]).alias("kind"), e["norm"].alias("norm"))
 
-    return found.withColumn("_ents", F.transform("_found", one)).drop("_found")
+    again = F.transform(entities("_found", "_pieces"), known)
+    return found.withColumn("_ents", F.when(more, again).otherwise(F.col("_first"))).drop("_found", "_first")
 
 
 def _hex(i) -> Column:
@@ -171,6 +206,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
     phone = F.concat(F.regexp_extract(norm, r"^\+\d{1,3}(?=[ .(-])|^\+\d", 0),
                      _mapped(F.regexp_replace(norm, r"^\+\d{1,3}(?=[ .(-])|^\+\d", "")))
     ip = F.array_join(F.transform(F.split(norm, r"\."), lambda x, i: (_hex(i) % 254 + 1).cast("string")), ".")
+    ipv6 = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(c == ":", c).otherwise(F.lower(F.hex(_hex(i) % 16)))), "")
     digits = F.regexp_replace(norm, r"\D", "")
     drawn = F.concat(F.substring(norm, 1, 1), _mapped(F.regexp_replace(norm, r"^.", "")))
     stem = F.regexp_replace(drawn, r".$", "")
@@ -179,7 +215,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column) -> Column:
     key = F.concat(F.lit("AKIA"), _mapped(F.regexp_replace(norm, "^AKIA", "")))
     iban = F.concat(F.substring(norm, 1, 2), _mapped(F.regexp_replace(norm, r"^..", "")))
     secret = F.when((attempt >= WIDEN) | ~F.rlike(norm, F.lit(_CHARACTER)), _letters(F.concat(norm, more))).otherwise(_mapped(norm))
-    return (F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "card", card)
+    return (F.when(kind == "email", email).when(kind == "secret", secret).when(kind == "phone", phone).when(kind == "ip", ip).when(kind == "ipv6", ipv6).when(kind == "card", card)
             .when(kind == "access_key", key).when(kind == "iban", iban)
             .when(kind.isin("given_f", "given_m", "surname"), _name(kind, norm, attempt)).otherwise(_mapped(norm)))
 
@@ -227,19 +263,21 @@ def replace_pii(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFram
     text = inner[text]
     base = docs.select(*[F.col(c).alias(i) for c, i in inner.items()])
     back, has = [F.col(i).alias(c) for c, i in inner.items()], F.coalesce(F.rlike(F.col(text).cast("string"), F.lit(PATTERN)), F.lit(False))
-    some = detect(base.filter(has), text).withColumn(h, F.sha2(F.col(text).cast("string").cast("binary"), 256))
+    digest = F.sha2(F.col(text).cast("string").cast("binary"), 256)
     # one row for each distinct text with entities: narrow, and reread below
-    each = some.select(F.col(h).alias("h"), "_ents").dropDuplicates(["h"]).checkpoint()
-    mention = each.select("h", F.posexplode("_ents").alias("i", "e")).select("h", "i", "e.*")
+    each = (detect(base.filter(has), text).select(digest.alias("h"), "_ents", "_lone").dropDuplicates(["h"]).checkpoint())
+    mention = each.select("h", "_lone", F.posexplode("_ents").alias("i", "e")).select("h", "_lone", "i", "e.*")
     table = assign(mention.select("kind", "norm").distinct().checkpoint(), key)
+    new = F.struct("i", _cased(F.col("entity"), F.col("sur"), F.col("kind")).alias("s"))
     out = (mention.join(table, ["kind", "norm"])
-           .groupBy("h").agg(F.array_sort(F.collect_list(F.struct("i", _cased(F.col("entity"), F.col("sur"), F.col("kind")).alias("s")))).alias("subs"))
-           .select(F.col("h").alias(h), F.col("subs.s").alias("_subs")))
-    joined = some.join(out, h)
+           .groupBy("h").agg(F.array_sort(F.collect_list(new)).alias("subs"), F.max("_lone").alias("_lone"),
+                             F.array_join(F.array_sort(F.collect_set("kind")), ",").alias("_types"))
+           .select(F.col("h").alias(h), F.col("subs.s").alias("_subs"), "_lone", "_types"))
+    joined = base.filter(has).withColumn(h, digest).join(out, h)
+    joined = joined.withColumn("_pieces", F.split(F.col(text).cast("string"), _with_lone(F.col("_lone")), -1))
     # the pieces and the surrogates in turn
     parts = F.transform("_pieces", lambda p, i: F.concat(p, F.coalesce(F.get("_subs", i), F.lit(""))))
     changed = joined.withColumn(text, F.array_join(parts, ""))
-    count = F.size("_ents").cast("long").alias("n_entities")
-    types = F.array_join(F.array_sort(F.array_distinct(F.col("_ents.kind"))), ",").alias("entity_types")
+    count, types = F.size("_subs").cast("long").alias("n_entities"), F.col("_types").alias("entity_types")
     plain = base.filter(~has).select(*back, F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entity_types"))
     return changed.select(*back, count, types).unionByName(plain)
