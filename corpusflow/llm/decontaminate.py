@@ -9,7 +9,7 @@ such runs carry the ids of their items.
 
 Plan. One scan of the documents without a shuffle. The items are a stated query set: they are split
 into blocks of about ``block_words`` words; each block's automaton is built on the driver, one after the
-other, flattened into sorted arrays (some 60 bytes a word of the items) and broadcast. A document's words
+other, flattened into sorted arrays (under 100 bytes a word of the items) and broadcast. A document's words
 are cut and hashed once and meet the blocks in turn. Words and word pairs that
 no item has end a match, so only stretches of known pairs are streamed; that skips no match.
 
