@@ -20,29 +20,48 @@ MICROS = 1_000_000
 
 
 class FixedLife(StatefulProcessor):
-    """Sessions that end a fixed time after login, or when the same session logs in again."""
+    """Sessions that end a fixed time after login, or when the same session logs in again.
+
+    A key has one timer, at the earliest time that anything is due: its list is read once a batch, not once a login.
+    An entry of the list holds many logins, as the store reads a key's list again for each entry added.
+    """
 
     def __init__(self, life_us: int):
         self.life = life_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "us long, who long")
+        self.waiting = handle.getListState("waiting", "us array<long>, who array<long>")
         self.live = handle.getValueState("live", "us long, who long")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _wake(self, us: int) -> None:
+        """Set the key's timer just after ``us``, unless it is set for an earlier time."""
+        ms, known = us // 1000 + 1, self.due.get()[0] if self.due.exists() else None
+        if known is not None and known <= ms:
+            return
+        if known is not None:
+            self.handle.deleteTimer(known)
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
         for pdf in rows:
-            logins = [(int(us), int(who)) for us, who in zip(pdf["at_us"], pdf["who"])]
-            self.waiting.appendList(logins)
-            for us in {us // 1000 + 1 for us, _ in logins}:
-                self.handle.registerTimer(us)
+            us = pdf["at_us"].tolist()
+            if us:
+                self.waiting.appendValue((us, pdf["who"].tolist()))
+                first = min(us) if first is None else min(first, min(us))
+        if first is not None:
+            self._wake(first)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
-        logins = sorted(tuple(r) for r in self.waiting.get())
+        self.due.clear()
+        logins = sorted(r for us, who in self.waiting.get() for r in zip(us, who))
         later = [r for r in logins if r[0] >= now]
-        self.waiting.put(later) if later else self.waiting.clear()
+        self.waiting.put([tuple(map(list, zip(*later)))]) if later else self.waiting.clear()
         live = tuple(self.live.get()) if self.live.exists() else None
         ended = []
         for login in (r for r in logins if r[0] < now):
@@ -54,9 +73,11 @@ class FixedLife(StatefulProcessor):
             live = None
         if live:
             self.live.update(live)
-            self.handle.registerTimer((live[0] + self.life) // 1000 + 1)
         else:
             self.live.clear()
+        due = [r[0] for r in later[:1]] + ([live[0] + self.life] if live else [])
+        if due:
+            self._wake(min(due))
         if ended:
             us, who, end, expired = zip(*ended)
             yield pd.DataFrame({"key": [key[0]] * len(ended), "who": who, "login_us": us, "end_us": end,
