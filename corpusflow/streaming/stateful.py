@@ -213,11 +213,16 @@ def active_aborts(events: DataFrame, flags: DataFrame, conversation: str, event:
     """Each generation event with the latest abort flag of its conversation that is at most ``life_s`` seconds old, or null.
 
     A stream-stream join on an interval of event time (watermarks on both sides bound its state), then the latest
-    flag per event; an event comes out once the watermark has passed it.
+    flag per event; an event comes out once the watermark has passed it.  Time is cut into slots of ``life_s`` seconds:
+    an event meets only the flags of its slot and the one before, and a conversation is spread over tasks.
     """
-    e = events.withWatermark(ts, watermark).select(conversation, event, ts)
-    f = flags.withWatermark(ts, watermark).select(F.col(conversation).alias("_c"), F.col(ts).alias("_flag"))
-    near = (F.col(conversation) == F.col("_c")) & (F.col("_flag") <= F.col(ts)) & (F.col("_flag") > F.col(ts) - F.expr(f"INTERVAL {int(life_s)} SECONDS"))
+    life = int(life_s) * MICROS
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    slot = us - F.pmod(us, F.lit(life))
+    e = events.withWatermark(ts, watermark).select(conversation, event, ts, slot.alias("_slot"))
+    f = flags.withWatermark(ts, watermark).select(F.col(conversation).alias("_c"), F.col(ts).alias("_flag"),
+                                                  F.explode(F.array(slot, slot + F.lit(life))).alias("_s"))
+    near = (F.col(conversation) == F.col("_c")) & (F.col("_slot") == F.col("_s")) & (F.col("_flag") <= F.col(ts)) & (F.col("_flag") > F.col(ts) - F.expr(f"INTERVAL {int(life_s)} SECONDS"))
     return e.join(f, near, "leftOuter").groupBy(ts, event, conversation).agg(F.max("_flag").alias("aborted_at"))
 
 

@@ -84,3 +84,21 @@ def test_a_session_key_has_one_timer_and_reads_its_list_once_a_batch():
     got = pd.concat(out)
     assert handle.set < 12 and not handle.timers and list(got["login_us"]) == [us for us, _ in logins] and list(got["who"]) == [w for _, w in logins]
     assert list(got["end_us"]) == [us for us, _ in logins[1:]] + [logins[-1][0] + 14 * day] and list(got["reason"]) == ["replaced"] * 2999 + ["expired"]
+
+
+def test_flags_meet_only_events_of_nearby_slots(spark, tmp_path):
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), i, rnd.choice(["flag", "gen"]), T0 + dt.timedelta(seconds=rnd.choice([0, 29, 30, 31, 60, 90, 500]) + rnd.randrange(60) / 4))
+            for i in range(300)]
+    ends = [("end", -i, k, T0 + dt.timedelta(days=9 + i)) for i in (1, 2) for k in ("flag", "gen")]
+    schema = "c string, id long, kind string, ts timestamp"
+    for i, part in enumerate((rows[:150], rows[150:], ends[:2], ends[2:])):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / "src" / f"f{i}"))
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "src" / "*"))
+    x = S.active_aborts(s.filter("kind = 'gen'"), s.filter("kind = 'flag'"), "c", "id", "ts")
+    assert "_slot" in x._jdf.queryExecution().analyzed().toString()  # a key of the join besides the conversation
+    out, _ = runner.run_to_sink(x)
+    got = {r.id: r.aborted_at for r in runner.read_sink(spark, out, "c string").collect() if r.c != "end"}
+    flags = [(c, t) for c, _, k, t in rows if k == "flag"]
+    want = {i: max((t for c2, t in flags if c2 == c and t <= at < t + dt.timedelta(seconds=30)), default=None) for c, i, k, at in rows if k == "gen"}
+    assert got == want
