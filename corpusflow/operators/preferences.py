@@ -1,7 +1,8 @@
 """Preference and feedback data (group N) and evaluation metrics (group O)."""
 
-from collections import Counter
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,36 +58,76 @@ def rouge_tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(F.lower(col_(text)), F.lit("[a-z0-9]+"), 0)
 
 
-def _overlap(pred: list, ref: list, n: int) -> tuple[int, int, int]:
-    """Common n-grams (the smaller count of each), n-grams of the prediction, of the reference."""
-    p, r = (Counter(zip(*[x[k:] for k in range(n)])) for x in (pred, ref))
-    return sum((p & r).values()), sum(p.values()), sum(r.values())
+def _overlaps(lists: list, n: int) -> tuple[list, list]:
+    """N-grams that a row has in common (the smaller count of each) in the first and each other list column; n-grams per row of every column.
 
-
-def rouge_wide(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
-    """Per row ROUGE-n precision_n / recall_n / f1_n for every n in ``ns`` from multiset n-gram overlap.
-
-    Both sides stand in one row, so the counts are made there, per Arrow batch of token lists: no shuffle.
+    Counted for all rows of the batch at once: equal tokens get equal numbers, an n-gram is the number made of its tokens'.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    height = len(lists[0])
+    lens = [pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False).astype(np.int64) for x in lists]
+    words = pa.concat_arrays([x.flatten() for x in lists]).dictionary_encode()
+    code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(height * len(lists)), np.concatenate(lens))  # counts on through the columns
+    base = size = max(1, len(words.dictionary))
+    gram = code
+    for k in range(1, n):
+        if size * base >= _MANY:
+            seen, gram = np.unique(gram, return_inverse=True)
+            size = max(1, len(seen))
+        gram, size = gram[:-1] * base + code[k:], size * base
+    if size * height >= _MANY:
+        seen, gram = np.unique(gram, return_inverse=True)
+        size = max(1, len(seen))
+    start = row[:len(gram)]
+    whole = start == row[n - 1:]  # n-grams don't reach into the next row
+    key, start = (start % max(1, height) * size + gram)[whole], start[whole]
+    ends = np.searchsorted(start, np.arange(len(lists) + 1) * height)
+    (first, times), *others = [np.unique(key[i:j], return_counts=True) for i, j in zip(ends, ends[1:])]
+    common = []
+    for keys, counts in others:
+        same, i, j = np.intersect1d(first, keys, assume_unique=True, return_indices=True)
+        common.append(np.bincount(same // size, np.minimum(times[i], counts[j]), height).astype(np.int64))
+    return common, [np.maximum(x - n + 1, 0) for x in lens]
+
+
+_MANY = 1 << 62  # below this, numbers of n-grams fit
+
+
+def _rouge_counts(df: DataFrame, key: str, preds: Sequence[str], ref: str, ns: Sequence[int]) -> DataFrame:
+    """(key, ov_i_n, np_i_n, nr_n): n-grams in common, of the i-th prediction, and of the reference.
+
+    All sides stand in one row, so the counts are made there, per Arrow batch of token lists: no shuffle, and the
+    reference is cut into tokens once for all predictions.
     """
     import pyarrow as pa
 
-    ns = tuple(ns)
-    fields = [f"{x}_{n}" for n in ns for x in ("ov", "np", "nr")]
+    fields = [f for n in ns for f in (f"nr_{n}", *[f"{x}_{i}_{n}" for i in range(len(preds)) for x in ("ov", "np")])]
 
     @F.arrow_udf("struct<" + ", ".join(f"{f}: long" for f in fields) + ">")
-    def counts(p: pa.Array, r: pa.Array) -> pa.Array:
-        rows = [[v for n in ns for v in _overlap(x or [], y or [], n)] for x, y in zip(p.to_pylist(), r.to_pylist())]
-        cols = list(zip(*rows)) or [()] * len(fields)
+    def counts(*lists: pa.Array) -> pa.Array:
+        cols = []
+        for n in ns:
+            common, (whole, *sizes) = _overlaps(list(lists), n)
+            cols += [whole, *[x for pair in zip(common, sizes) for x in pair]]
         return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], names=fields)
 
-    x = df.select(key, counts(rouge_tokens(pred), rouge_tokens(ref)).alias("c")).select(key, "c.*")
-    out = []
-    for n in ns:
-        p = F.when(F.col(f"np_{n}") > 0, F.col(f"ov_{n}") / F.col(f"np_{n}")).otherwise(F.lit(0.0))
-        r = F.when(F.col(f"nr_{n}") > 0, F.col(f"ov_{n}") / F.col(f"nr_{n}")).otherwise(F.lit(0.0))
-        f = F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-        out += [p.alias(f"precision_{n}"), r.alias(f"recall_{n}"), f.alias(f"f1_{n}")]
-    return x.select(key, *out)
+    return df.select(key, counts(*[rouge_tokens(c) for c in (ref, *preds)]).alias("c")).select(key, "c.*")
+
+
+def _rouge_columns(i: int, n: int) -> dict[str, Column]:
+    """Scores of the i-th prediction from the counts."""
+    p = F.when(F.col(f"np_{i}_{n}") > 0, F.col(f"ov_{i}_{n}") / F.col(f"np_{i}_{n}")).otherwise(F.lit(0.0))
+    r = F.when(F.col(f"nr_{n}") > 0, F.col(f"ov_{i}_{n}") / F.col(f"nr_{n}")).otherwise(F.lit(0.0))
+    return {"precision": p, "recall": r, "f1": F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))}
+
+
+def rouge_wide(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
+    """Per row ROUGE-n precision_n / recall_n / f1_n for every n in ``ns`` from multiset n-gram overlap."""
+    x = _rouge_counts(df, key, [pred], ref, ns)
+    return x.select(key, *[c.alias(f"{name}_{n}") for n in ns for name, c in _rouge_columns(0, n).items()])
 
 
 def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> DataFrame:
@@ -96,8 +137,12 @@ def rouge_scores(df: DataFrame, key: str, pred: str, ref: str, ns=(1, 2)) -> Dat
     return w.select(key, F.inline(F.array(*each)))
 
 
-def rouge_n(df: DataFrame, key: str, pred: str, ref: str, n: int) -> DataFrame:
-    """ROUGE-n for one n: (key, precision, recall, f1)."""
+def rouge_n(df: DataFrame, key: str, pred: str | Mapping[str, str], ref: str, n: int) -> DataFrame:
+    """ROUGE-n for one n: (key, precision, recall, f1); with a prediction column per model, (key, model, ...) in one pass."""
+    if not isinstance(pred, str):
+        x = _rouge_counts(df, key, list(pred.values()), ref, (n,))
+        each = [F.struct(F.lit(m).alias("model"), *[c.alias(name) for name, c in _rouge_columns(i, n).items()]) for i, m in enumerate(pred)]
+        return x.select(key, F.inline(F.array(*each)))
     return rouge_scores(df, key, pred, ref, (n,)).drop("n")
 
 

@@ -188,9 +188,8 @@ def q_rouge_lsum(spark, d):
 
 def _model_scores(spark, d):
     o = _outputs(spark, d)
-    a = P.rouge_n(o, "doc_id", "pred_a", "ref", 1).select("doc_id", F.lit("model_a").alias("model"), F.col("f1").alias("rouge1"))
-    b = P.rouge_n(o, "doc_id", "pred_b", "ref", 1).select("doc_id", F.lit("model_b").alias("model"), F.col("f1").alias("rouge1"))
-    return a.unionByName(b)
+    models = {"model_a": "pred_a", "model_b": "pred_b"}
+    return P.rouge_n(o, "doc_id", models, "ref", 1).select("doc_id", "model", F.col("f1").alias("rouge1"))
 
 
 MODEL_SQL = f"""{OUT_SQL}, {_rouge_sql('pred_a', 1, 'ra')}, {_rouge_sql('pred_b', 1, 'rb')},

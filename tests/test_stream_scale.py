@@ -102,3 +102,35 @@ def test_flags_meet_only_events_of_nearby_slots(spark, tmp_path):
     flags = [(c, t) for c, _, k, t in rows if k == "flag"]
     want = {i: max((t for c2, t in flags if c2 == c and t <= at < t + dt.timedelta(seconds=30)), default=None) for c, i, k, at in rows if k == "gen"}
     assert got == want
+
+
+def test_models_are_scored_in_one_pass(spark):
+    rnd = random.Random(2)
+    text = lambda: rnd.choice([None, "", "!", " ".join(rnd.choice(["a", "b", "c", "dd"]) for _ in range(rnd.randrange(1, 12)))])
+    rows = [(i, text(), text(), text()) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, a string, b string, ref string").repartition(3)
+
+    def score(p, r, n):
+        (p, r) = (Counter(zip(*[(x or "").replace("!", "").split()[k:] for k in range(n)])) for x in (p, r))
+        ov, np_, nr = sum((p & r).values()), sum(p.values()), sum(r.values())
+        pr, rc = ov / np_ if np_ else 0.0, ov / nr if nr else 0.0
+        return pr, rc, 2 * pr * rc / (pr + rc) if pr + rc else 0.0
+
+    for n in (1, 2, 3):
+        got = P.rouge_n(df, "id", {"x": "a", "y": "b"}, "ref", n)
+        assert got.columns == ["id", "model", "precision", "recall", "f1"]
+        assert str(got._jdf.queryExecution().optimizedPlan()).count("ArrowEvalPython") == 1
+        have = {(r.id, r.model): (r.precision, r.recall, r.f1) for r in got.collect()}
+        want = {(i, m): score(p, r, n) for i, a, b, r in rows for m, p in (("x", a), ("y", b))}
+        assert have.keys() == want.keys() and all(have[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_ngram_numbers_that_do_not_fit_are_made_anew(monkeypatch):
+    import pyarrow as pa
+
+    rnd = random.Random(4)
+    lists = [pa.array([[rnd.choice("abcde") for _ in range(rnd.randrange(30))] for _ in range(40)]) for _ in range(3)]
+    want = P._overlaps(lists, 3)
+    monkeypatch.setattr(P, "_MANY", 30)
+    got = P._overlaps(lists, 3)
+    assert all((x == y).all() for a, b in zip(want, got) for x, y in zip(a, b)) and sum(want[0][0]) > 0
