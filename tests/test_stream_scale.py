@@ -18,27 +18,33 @@ from corpusflow.streaming import stateful as S
 T0 = dt.datetime(2024, 1, 1)
 
 
-class Handle:
+class State:
+    """A value or list state that counts its calls."""
+
     def __init__(self):
-        self.states, self.timers, self.set = {}, set(), 0
+        self.rows, self.calls = [], 0
 
-    def _state(self, name, listed):
-        self.states[name] = s = State()
-        s.listed = listed
-        return s
+    def exists(self):
+        return bool(self.rows)
 
-    def getListState(self, name, schema):
-        return self._state(name, True)
+    def get(self):
+        self.calls += 1
+        return iter(list(self.rows)) if self.listed else self.rows[0]
 
-    def getValueState(self, name, schema):
-        return self._state(name, False)
+    def update(self, row):
+        self.rows = [row]
 
-    def registerTimer(self, ms):
-        self.set += 1
-        self.timers.add(ms)
+    def put(self, rows):
+        self.rows = list(rows)
 
-    def deleteTimer(self, ms):
-        self.timers.remove(ms)
+    def appendValue(self, row):
+        self.rows.append(row)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
 
 
 class Handle:
@@ -104,6 +110,29 @@ def test_flags_meet_only_events_of_nearby_slots(spark, tmp_path):
     assert got == want
 
 
+def test_many_files_do_not_make_as_many_batches(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert runner.files_a_batch(spark, runner.LEAST_FILES) == 1 and runner.files_a_batch(spark, 10_000) == cores
+    df = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("shard"),
+                                 F.transform(F.sequence(F.lit(1), (F.col("id") % 5 + 1).cast("int")), lambda x: x + F.col("id").cast("int")).alias("ids"))
+    sdf = runner.stream_of(df, "packs", "doc_id", 24)
+    out, _ = runner.run_to_sink(Q.pack_stream(sdf, "shard", ["doc_id"], "ids", 16, eos=2))
+    rows = runner.read_sink(spark, out, "shard string").collect()
+    assert runner.LEAST_BATCHES <= len(list((tmp_of(out)).glob("batch=*"))) <= 24 // 3 + 2
+    got = {(r.shard, r.chunk): list(r.input_ids) for r in rows}
+    want = {}
+    for s in range(3):
+        flat = [x for i in range(s, 400, 3) for x in [*(k + i for k in range(1, i % 5 + 2)), 2]]
+        want |= {(str(s), k): flat[k * 16:(k + 1) * 16] for k in range(len(flat) // 16)}
+    assert got == want
+
+
+def tmp_of(path):
+    from pathlib import Path
+
+    return Path(path.removeprefix("file:"))
+
+
 def test_models_are_scored_in_one_pass(spark):
     rnd = random.Random(2)
     text = lambda: rnd.choice([None, "", "!", " ".join(rnd.choice(["a", "b", "c", "dd"]) for _ in range(rnd.randrange(1, 12)))])
