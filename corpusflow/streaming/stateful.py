@@ -149,14 +149,14 @@ class Assembly(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.tokens = handle.getListState("tokens", "seq int, token string")
+        self.tokens = handle.getListState("tokens", "seq array<int>, token array<string>")  # an entry per batch
         self.seen = handle.getValueState("seen", "n int, status int, want int, last long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         n, status, want, last = self.seen.get() if self.seen.exists() else (0, 0, -1, 0)
         first = not last
+        new = []
         for pdf in rows:
-            new = []
             for seq, token, kind, ms in zip(pdf["seq"], pdf["token"], pdf["kind"], pdf["at_ms"]):
                 if kind == "token":
                     n += 1
@@ -167,11 +167,11 @@ class Assembly(StatefulProcessor):
                 elif kind == "end":
                     want = int(seq)
                 last = max(last, int(ms))
-            if new:
-                self.tokens.appendList(new)
         if n == want:
-            yield self._message(key, status, True)
+            yield self._message(key, status, True, new)
             return
+        if new:
+            self.tokens.appendValue(tuple(map(list, zip(*new))))
         self.seen.update((n, status, want, last))
         if first:
             self.handle.registerTimer(last + self.idle)
@@ -184,8 +184,9 @@ class Assembly(StatefulProcessor):
             else:
                 yield self._message(key, status, False)
 
-    def _message(self, key, status: int, complete: bool) -> pd.DataFrame:
-        text = " ".join(t for _, t in sorted(tuple(r) for r in self.tokens.get()))
+    def _message(self, key, status: int, complete: bool, new: list | None = None) -> pd.DataFrame:
+        kept = [r for seq, token in self.tokens.get() for r in zip(seq, token)]
+        text = " ".join(t for _, t in sorted(kept + (new or [])))
         self.tokens.clear()
         self.seen.clear()
         return pd.DataFrame({"key": [key[0]], "text": [text], "n_status": [status], "complete": [complete]})

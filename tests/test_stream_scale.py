@@ -133,6 +133,34 @@ def tmp_of(path):
     return Path(path.removeprefix("file:"))
 
 
+class Stop(Exception):
+    pass
+
+
+def test_files_of_message_updates_follow_their_number(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(0, 0, "user", "q"), (0, 1, "assistant", "a " * 3_000_000)], "conv_id long, turn long, role string, text string").write.parquet(
+        str(tmp_path / "conversations.parquet"))
+
+    def stream_of(df, name, order, files, flush_rows=None):
+        raise Stop(files)
+
+    monkeypatch.setattr(q_stream, "stream_of", stream_of)
+    with pytest.raises(Stop) as e:
+        q_stream.q_s_assembly(spark, str(tmp_path))
+    assert e.value.args[0] >= 6  # the table itself is a few kB
+
+
+def test_a_whole_message_is_one_entry_at_most():
+    handle = Handle()
+    a = S.Assembly(1000)
+    a.init(handle)
+    frame = lambda rows: iter([pd.DataFrame(rows, columns=["seq", "token", "kind", "at_ms"])])
+    assert list(a.handleInputRows(("m",), frame([(i, f"w{i}", "token", 5) for i in range(50, 100)]), None)) == []
+    assert len(handle.states["tokens"].rows) == 1
+    (got,) = a.handleInputRows(("m",), frame([(i, f"w{i}", "token", 6) for i in range(50)] + [(100, "", "end", 7)]), None)
+    assert got["text"][0] == " ".join(f"w{i}" for i in range(100)) and got["complete"][0] and not handle.states["tokens"].rows
+
+
 def test_models_are_scored_in_one_pass(spark):
     rnd = random.Random(2)
     text = lambda: rnd.choice([None, "", "!", " ".join(rnd.choice(["a", "b", "c", "dd"]) for _ in range(rnd.randrange(1, 12)))])
